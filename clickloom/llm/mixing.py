@@ -65,7 +65,7 @@ def _streams(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     placed = sized.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     d, s = placed.alias("d"), starts.alias("s")
     placed = d.join(s, F.col("d.source").eqNullSafe(F.col("s.source")) & (F.col("d.bin") == F.col("s.bin"))).select(
-        "d.doc_id", "d.source", "d.size", (F.col("s.bin_start") + F.col("d.before")).alias("start")
+        "d.doc_id", "d.source", "d.size", "d.h", (F.col("s.bin_start") + F.col("d.before")).alias("start")
     )
     return placed, bins.groupBy("source").agg(F.sum("in_bin").alias("source_size"))
 
@@ -105,8 +105,8 @@ def schedule(planned: DataFrame, n_slots: int, run: int = 4096, most: int = MOST
     return ranked.where(F.col("rank") < F.col("blocks") * most).select("slot", "k", "rank", (F.col("rank") % F.col("blocks")).alias("block"))
 
 
-def mix(docs: DataFrame, block: int = 2048, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST) -> DataFrame:
-    """doc_id, size, source, source_size, target, taken for each row of `docs`.
+def mix(docs: DataFrame, block: int = 2048, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST, keys: bool = False) -> DataFrame:
+    """doc_id, size, source, source_size, target, taken for each row of `docs`; with `keys` the hash h of id and text too.
 
     taken: the words of the document that lie in the blocks that the schedule takes, each as often
     as it is taken. Driver-side only the number of slots and of sources is read.
@@ -117,7 +117,7 @@ def mix(docs: DataFrame, block: int = 2048, weights: tuple[int, ...] = (1, 2, 3)
     times = schedule(planned, int(n_slots), most=most).groupBy("k", "block").agg(F.count(F.lit(1)).alias("times"))
     p, s = placed.alias("p"), planned.alias("s")
     known = p.join(s, F.col("p.source").eqNullSafe(F.col("s.source"))).select(
-        "p.doc_id", "p.size", "p.source", "p.start", "s.source_size", "s.target", "s.k", "s.b"
+        "p.doc_id", "p.size", "p.source", "p.h", "p.start", "s.source_size", "s.target", "s.k", "s.b"
     )
     known = known.withColumns({"first": F.floor(F.col("start") / F.col("b")), "last": F.floor((F.col("start") + F.col("size") - 1) / F.col("b"))})
     # the parts of a document carry their number only; what the document takes is joined by (k, start)
@@ -130,5 +130,26 @@ def mix(docs: DataFrame, block: int = 2048, weights: tuple[int, ...] = (1, 2, 3)
     )
     return (
         known.join(taken.withColumn("some", F.lit(True)), (known["k"] == taken["k"]) & (known["start"] == taken["start"]) & (known["size"] > 0), "left")
-        .select("doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        .select("doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), *["h"] * keys)
     )
+
+
+def repeated(docs: DataFrame, block: int = 2048, weights: tuple[int, ...] = (1, 2, 3), most: int = MOST) -> DataFrame:
+    """Rows of `docs`, with all their columns, each as often as the mix takes its words (0 to `most` times).
+
+    A document that the end of the schedule cuts stands once more if at least half of it is taken.
+    Rows that repeat an id and a text share their copies evenly.
+    """
+    h = F.xxhash64(F.lit("mix"), "doc_id", "text")
+    copies = (
+        mix(docs, block, weights, most, keys=True)
+        .where("size > 0")
+        .groupBy("h", "doc_id")
+        .agg(F.sum(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int").alias("copies"), F.count(F.lit(1)).cast("int").alias("rows"))
+        .where("copies > 0")
+    )
+    d = docs.withColumn("_h", h).withColumn("_i", F.row_number().over(Window.partitionBy("_h", "doc_id").orderBy("_h"))).alias("d")
+    c = copies.alias("c")
+    joined = d.join(c, (F.col("d._h") == F.col("c.h")) & F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")))
+    times = F.expr("array_repeat(1, cast((copies + rows - _i) div rows as int))")
+    return joined.withColumn("_copy", F.explode(times)).select(*(F.col(f"d.`{x}`") for x in docs.columns))
