@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, pieces, quality, secrets, simhash, toxicity, urls
+from . import caps, mixing, pieces, pii, quality, secrets, simhash, topk, toxicity, urls
 from .common import table
 
 
@@ -14,6 +14,18 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find(table(spark, sf_dir, "documents")))
+
+
+def op3_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return caps.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"))
 
@@ -43,6 +55,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
+    "op2_pii": op2_pii,
+    "op3_caps": op3_caps,
+    "op4_topk": op4_topk,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_mixing": op6_mixing,
     "op7_urls": op7_urls,
