@@ -167,9 +167,7 @@ def _found(listed: DataFrame, caps: Caps) -> DataFrame:
                 if d not in turns:
                     turns[d] = caps.rotation(d)
                 one, two = divmod(int(parts[a]), int(cells[a]))
-                i, j = _near(x, cell[a:b], one != two, caps.cosine)
-                mine = _best((x[i] + x[j]) @ turns[d], caps.borders(d)) == codes[a]
-                i, j = i[mine], j[mine]
+                i, j = _near(x, x @ turns[d], cell[a:b], one != two, caps, int(codes[a]))
                 if len(i):
                     n = np.bincount(i, minlength=b - a) + np.bincount(j, minlength=b - a)
                     roots = _forest(b - a, i, j)
@@ -181,18 +179,22 @@ def _found(listed: DataFrame, caps: Caps) -> DataFrame:
     return dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "uid long, n long, root long")
 
 
-def _near(x: np.ndarray, cell: np.ndarray, across: bool, cosine: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs i < j with that cosine or more, between two blocks or within one; rows of the product at a time."""
+def _near(x: np.ndarray, z: np.ndarray, cell: np.ndarray, across: bool, caps: Caps, code: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs i < j of unit rows with the cosine or more whose midpoint belongs to filter `code`, between two blocks
+    or within one. A few rows of the product, and a bounded number of pairs, at a time."""
     found: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-    for s in range(0, len(x), 512):
-        i, j = np.nonzero(x[s : s + 512] @ x[s:].T >= cosine - 1e-9)
+    borders = caps.borders(z.shape[1])
+    for s in range(0, len(x), 256):
+        i, j = np.nonzero(x[s : s + 256] @ x[s:].T >= caps.cosine)
         i, j = i + s, j + s
         ok = i < j
         if across:
             ok &= cell[i] != cell[j]
         i, j = i[ok], j[ok]
-        sure = np.einsum("ij,ij->i", x[i], x[j]) >= cosine
-        found.append((i[sure], j[sure]))
+        for t in range(0, len(i), 32768):
+            a, b = i[t : t + 32768], j[t : t + 32768]
+            mine = _best(z[a] + z[b], borders) == code
+            found.append((a[mine], b[mine]))
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
