@@ -75,22 +75,21 @@ def session_features(snaps: DataFrame, device: str, mean_only: bool = True) -> D
     per_session = rows.groupBy(*KEY).agg(
         *b, *bot,
         share(F.col("likely")).alias("bot_is_likely_bot_ratio"),
-        _zero(F.sum(F.coalesce(F.size("scroll_data"), F.lit(0)).cast("double"))).cast("long").alias("scroll_count"),
+        F.coalesce(F.sum(F.size(F.coalesce("scroll_data", F.array()))), F.lit(0)).cast("long").alias("scroll_count"),
+        _zero(ratio(F.sum(F.aggregate("scroll_data", F.lit(0.0), lambda a, x: a + F.coalesce(F.abs(x), F.lit(0.0)))), F.sum(F.size(F.filter("scroll_data", lambda x: x.isNotNull()))))).alias("scroll_prm_data_mean"),
         n_snaps.alias("mousemove_count"),
         n_snaps.alias("bot_detection_features_count"),
         share(F.col("bot_score") > 0.5).alias("bot_score_above_threshold_ratio"),
         share(F.col("bot_score") > 0.8).alias("bot_score_above_high_threshold_ratio"),
     )
-    per_session = per_session.withColumn("scroll_count", F.greatest("scroll_count", F.lit(0))).withColumn("ratio_scroll_count_on_mousemove_count", _zero(ratio(F.col("scroll_count"), F.col("mousemove_count"))))
+    per_session = per_session.withColumn("ratio_scroll_count_on_mousemove_count", _zero(ratio(F.col("scroll_count"), F.col("mousemove_count"))))
+    if mean_only:
+        return per_session
     deltas = rows.select(*KEY, F.explode_outer("scroll_data").alias("d"), F.coalesce(F.size("scroll_data"), F.lit(0)).alias("_n"))
-    there = F.col("_n") > 0
-    d = F.col("d")
-    scroll = [mean(d).alias("scroll_prm_data_mean")] if mean_only else [least(d).alias("scroll_prm_data_min"), largest(d).alias("scroll_prm_data_max"), mean(d).alias("scroll_prm_data_mean"), total(d, there).alias("scroll_prm_data_sum"), spread(d).alias("scroll_prm_data_std")]
-    per_scroll = deltas.groupBy(*KEY).agg(*scroll)
-    out = per_session.join(per_scroll, KEY)
-    if not mean_only:
-        out = out.join(mean_deviation(deltas.where(there), KEY, "d", "scroll_prm_data_mad"), KEY, "left").withColumn("scroll_prm_data_mad", _zero(F.col("scroll_prm_data_mad")))
-    return out
+    there, d = F.col("_n") > 0, F.col("d")
+    scroll = [least(d).alias("scroll_prm_data_min"), largest(d).alias("scroll_prm_data_max"), total(d, there).alias("scroll_prm_data_sum"), spread(d).alias("scroll_prm_data_std")]
+    out = per_session.join(deltas.groupBy(*KEY).agg(*scroll), KEY)
+    return out.join(mean_deviation(deltas.where(there), KEY, "d", "scroll_prm_data_mad"), KEY, "left").withColumn("scroll_prm_data_mad", _zero(F.col("scroll_prm_data_mad")))
 
 
 def feature_columns(df: DataFrame) -> list[str]:
