@@ -22,11 +22,14 @@ POINTS = "array<struct<x:double,y:double,tm:double>>"
 
 @dataclass(frozen=True)
 class Policy:
-    """history: records of each kind that count, by device; synthetic: emit session-end snapshots."""
+    """mobile, desktop: records of each kind that count; synthetic: emit session-end snapshots; two_phase: the rules of
+    the extract-and-process mode (clicks take scrolls of the ten seconds before; no session ends on mobile, on a desktop
+    only after the last page-ready record)."""
 
     mobile: int = HISTORY["mobile"]
     desktop: int = HISTORY["desktop"]
     synthetic: bool = True
+    two_phase: bool = False
 
     def history(self) -> Column:
         return F.when(F.col("device_type") == "mobile", self.mobile).otherwise(self.desktop)
@@ -40,17 +43,24 @@ def numbered(records: DataFrame) -> DataFrame:
     return own.withColumns({"n_pointer": F.count("pointer").over(w), "n_scroll": F.count("scl").over(w)})
 
 
-def session_ends(own: DataFrame) -> DataFrame:
+LOOKBACK_MS = 10_000
+
+
+def session_ends(own: DataFrame, two_phase: bool = False) -> DataFrame:
     """One row a session: cutoff, reason and numbers of its last record.
 
-    A desktop session that began with `qml` and never was ready counts its last record too.
+    A desktop session that began with `qml` and never was ready counts its last record too; in two phases any with `qml` does.
     """
     ends = own.groupBy(*KEY).agg(
         F.max_by(F.struct("tm", "n_pointer", "n_scroll"), "seq").alias("last"),
         F.bool_or(F.coalesce(F.col("act") == "qml.ready", F.lit(False))).alias("was_ready"),
         F.min_by(F.when(F.col("act") == "qml", F.col("tm")), F.when(F.col("act") == "qml", F.col("seq"))).alias("first_qml"),
         F.max("seq").alias("seq"),
+        F.max_by(F.when(F.col("act") == "qml.ready", F.col("tm")), F.when(F.col("act") == "qml.ready", F.col("seq"))).alias("last_ready"),
     )
+    if two_phase:
+        ends = ends.where((F.col("device_type") == "desktop") & (F.col("last_ready").isNull() | (F.col("last_ready") < F.col("last.tm"))))
+        ends = ends.withColumn("was_ready", F.lit(False))
     first = (F.col("device_type") == "desktop") & ~F.col("was_ready") & F.col("first_qml").isNotNull()
     return ends.select(
         *KEY, "seq", (F.col("last.tm") + first.cast("int")).alias("tm"), F.lit(None).cast("double").alias("ts"), F.lit(None).cast("string").alias("ip"), F.lit("").alias("ua"),
@@ -69,7 +79,7 @@ def wanted(own: DataFrame, policy: Policy) -> DataFrame:
         *KEY, "seq", "tm", "ts", "ip", "ua", F.explode(kinds).alias("type"), F.lit(False).alias("synthetic"), F.lit(None).cast("string").alias("synthetic_reason"),
         F.lit(None).cast("double").alias("first_qml_tm"), "n_pointer", "n_scroll", "pointer",
     )
-    return plain.unionByName(session_ends(own)) if policy.synthetic else plain
+    return plain.unionByName(session_ends(own, policy.two_phase)) if policy.synthetic else plain
 
 
 def _history(snaps: DataFrame, records: DataFrame, n: str, policy: Policy, name: str) -> DataFrame:
@@ -110,6 +120,8 @@ def snapshots(records: DataFrame, policy: Policy = Policy()) -> DataFrame:
     since = F.when(is_click, F.expr("coalesce(array_max(transform(filter(p, r -> r.clk and r.tm < tm), r -> r.i)), -1)"))
     full = full.withColumns({"before": before, "since_i": since})
     full = full.withColumn("since", F.expr("case when type = 'mmv_clk' then coalesce(get(transform(filter(p, r -> r.i = since_i), r -> r.tm), 0), 0D) end"))
+    if policy.two_phase:
+        full = full.withColumn("since", F.when(is_click, F.col("tm") - LOOKBACK_MS))
     full = full.withColumn("scrolled", F.expr("filter(c, r -> r.tm < tm and (since is null or r.tm > since))"))
     current = F.when(is_click, track("pointer", "tm", "pointer")).otherwise(F.expr(f"cast(array() as {POINTS})"))
     full = full.withColumn("current", current)
