@@ -87,12 +87,20 @@ def steps(points: DataFrame, key: str = "session_id", order: tuple[str, ...] = (
 
 
 def entropy(df: DataFrame, key: str, bin_: Column, name: str) -> DataFrame:
-    """(key, name): Shannon entropy, to base 2, over the bins; counted before the shuffle."""
+    """(key, name): Shannon entropy, to base 2, over any number of bins; counted before the shuffle."""
     counts = df.where(bin_.isNotNull()).groupBy(key, bin_.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     total = counts.groupBy(key).agg(F.sum("n").alias("t"), F.sum(F.col("n") * F.log2("n")).alias("s"))
     return total.select(key, (F.log2("t") - F.col("s") / F.col("t") + 0.0).alias(name))
 
 
+def binned_entropy(bin_: Column, bins: int) -> Column:
+    """The same as an aggregate of its own, for few bins: one counter each, so that no further shuffle is needed. 0 without values."""
+    counts = F.array(*(F.count_if(bin_ == k) for k in range(bins)))
+    total = F.count(bin_)
+    logs = F.aggregate(counts, F.lit(0.0), lambda a, n: a + F.when(n > 0, n * F.log2(n.cast("double"))).otherwise(0.0))
+    return F.when(total > 0, F.log2(total.cast("double")) - logs / total + 0.0).otherwise(0.0)
+
+
 def direction_bin() -> Column:
     return F.pmod(F.floor((F.atan2("dy", "dx") + math.pi) / (2 * math.pi / DIRECTIONS)), F.lit(DIRECTIONS))
 
@@ -102,19 +110,27 @@ def cv(x: Column, least: int = 2) -> Column:
     return F.when(F.count(x) < least, 0.0).otherwise(ratio(F.stddev_pop(x), F.avg(x)))
 
 
+def with_runs(stepped: DataFrame, key: str = "session_id") -> DataFrame:
+    """Steps with `run`: how many turns the run of turns under five degrees has that the step is in. No further shuffle."""
+    w = Window.partitionBy(key).orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    breaks = F.when(F.col("angle") >= STRAIGHT_DEG, 1).otherwise(0)
+    inside = Window.partitionBy(key, "island")
+    return stepped.withColumn("island", F.sum(breaks).over(w)).withColumn("run", F.count_if(F.col("angle") < STRAIGHT_DEG).over(inside))
+
+
+def straight_share() -> Column:
+    """Share of turns in runs of five or more turns under five degrees."""
+    return F.coalesce(ratio(F.count_if((F.col("angle") < STRAIGHT_DEG) & (F.col("run") >= STRAIGHT_RUN)), F.count("angle")), F.lit(0.0))
+
+
 def straight_runs(stepped: DataFrame, key: str = "session_id") -> DataFrame:
-    """(key, long_straight_run_share): share of turns in runs of five or more turns under five degrees."""
-    w = Window.partitionBy(key).orderBy("i")
-    turns = stepped.where("angle is not null").select(key, "i", (F.col("angle") < STRAIGHT_DEG).alias("straight"))
-    island = turns.withColumn("island", F.sum(F.when(F.col("straight"), 0).otherwise(1)).over(w))
-    runs = island.groupBy(key, "island").agg(F.count_if("straight").alias("run"), F.count(F.lit(1)).alias("n"))
-    long = F.sum(F.when(F.col("run") >= STRAIGHT_RUN, F.col("run")).otherwise(0))
-    return runs.groupBy(key).agg((long / F.sum("n")).alias("long_straight_run_share"))
+    """(key, long_straight_run_share) for each key with a turn."""
+    return with_runs(stepped, key).groupBy(key).agg(F.count("angle").alias("_n"), straight_share().alias("long_straight_run_share")).where("_n > 0").drop("_n")
 
 
 def point_features(points: DataFrame, key: str = "session_id") -> DataFrame:
-    """One row a key with all features that need neither segments nor groups of points."""
-    s = steps(points, key)
+    """One row a key with all features that need neither segments nor groups of points: one shuffle, one aggregate."""
+    s = with_runs(steps(points, key), key)
     speed = lambda c, back: ratio(F.col(c + back), F.col("dtm" + back))
     forward = (F.col("dtm") > 0) & (F.col("dtm_1") > 0)
     accel = {c: (speed(c, "") - speed(c, "_1")) / F.col("dtm") for c in ("dx", "dy")}
@@ -149,11 +165,11 @@ def point_features(points: DataFrame, key: str = "session_id") -> DataFrame:
         zero(F.avg("angle")).alias("mean_abs_angle_deg"),
         zero(F.percentile("angle", F.lit(0.9))).alias("p90_abs_angle_deg"),
         zero(F.when(path > 0, 100 * F.sum("angle") * math.pi / 180 / path)).alias("curvature_per_100px"),
+        binned_entropy(direction_bin(), DIRECTIONS).alias("direction_entropy"),
+        binned_entropy(F.floor(F.col("angle") / ANGLE_BIN), int(180 / ANGLE_BIN) + 1).alias("angle_entropy"),
+        straight_share().alias("long_straight_run_share"),
     )
-    parts = [entropy(s.where("dx is not null"), key, direction_bin(), "direction_entropy"), entropy(s, key, F.floor(F.col("angle") / ANGLE_BIN), "angle_entropy"), straight_runs(s, key)]
-    for p in parts:
-        flat = flat.join(p, key, "left")
-    return flat.withColumns({c: zero(F.col(c)) for c in ("direction_entropy", "angle_entropy", "long_straight_run_share")})
+    return flat
 
 
 # ---------------------------------------------------------------- arrays of points
