@@ -66,4 +66,45 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+def _list(terms: tuple[str, ...]) -> str:
+    return "[" + ", ".join(f"'{t}'" for t in terms) + "]"
+
+
+def _fits(then: int) -> str:
+    """The rules as CASE branches, the longest first; `then`: 0 for the verdict, 1 for the rule."""
+    return " ".join(
+        f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '/{p}') THEN '{r[then]}'"
+        for r in sorted(urls.RULES, key=lambda r: -len(r[1]))
+        for h, p in [r[1].split("/", 1)]
+    )
+
+
+ORACLE: dict[str, str] = {
+    "op3_caps": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.e, b.e) / (sqrt(list_inner_product(a.e, a.e)) * sqrt(list_inner_product(b.e, b.e))) >= 0.98),
+r(a, c) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT p.a, r.c FROM r JOIN p ON p.b = r.a),
+least AS (SELECT a, min(c) AS c FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM p GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, least.c AS component_id, vec_id = least.c AS kept
+FROM embeddings JOIN least ON least.a = vec_id LEFT JOIN n ON n.a = vec_id""",
+    "op4_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 20""",
+    "op7_urls": f"""
+WITH u AS (SELECT page_id, coalesce(url, '') AS url FROM pages),
+s AS (SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM u),
+h AS (SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+  string_split_regex(lower(url), '[^\\p{{L}}\\p{{N}}]+') AS words FROM s),
+c AS (SELECT *, len(list_filter(words, lambda w: list_contains({_list(urls.STRICT)}, w))) AS n_strict, len(list_distinct(list_filter(words, lambda w: list_contains({_list(urls.SOFT)}, w)))) AS n_soft FROM h)
+SELECT page_id, host, path, CASE {_fits(1)} END AS rule,
+  CASE {_fits(0)} WHEN n_strict > 0 OR n_soft >= 2 THEN 'block' ELSE 'allow' END AS verdict, n_strict, n_soft FROM c""",
+}
