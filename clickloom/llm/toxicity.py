@@ -70,7 +70,8 @@ def stems(text: str, shortest: int, longest: int) -> set[str]:
 @dataclass(frozen=True)
 class Fit:
     """sample: most training rows; stems: most learned; shortest, longest: letters of a stem; support: least toxic
-    documents with it; odds: least log odds; power: of the length in words by which sums are divided."""
+    documents with it; odds: least log odds; evidence: least log likelihood ratio against no connection, so that of
+    very many stems few get in by chance; power: of the length in words by which sums are divided."""
 
     sample: int = 20_000
     stems: int = 2_000
@@ -78,6 +79,7 @@ class Fit:
     longest: int = 9
     support: int = 3
     odds: float = 2.5
+    evidence: float = 10.0
     power: float = 0.1
 
 
@@ -133,21 +135,26 @@ def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), label: str = "to
         for batch in batches:
             for text, y in zip(batch["text"], batch["y"], strict=True):
                 seen[int(y > 0)].update(stems(folded(text), fit.shortest, fit.longest))
-            if sum(map(len, seen.values())) > 500_000:  # bounded memory; the sums go on in Spark
-                yield _counted(seen)
-                seen = {0: Counter(), 1: Counter()}
-        yield _counted(seen)
+                if sum(map(len, seen.values())) > 500_000:  # bounded memory; the sums go on in Spark
+                    yield _counted(seen)
+                    seen = {0: Counter(), 1: Counter()}
+        if any(seen.values()):  # an empty frame has no type to send
+            yield _counted(seen)
 
     n = {int(r["y"] > 0): r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(0) or not n.get(1):
         known.unpersist()
         return Lexicon(dict(SEED), power=fit.power)
     odds = F.log((F.col("bad") + 0.5) / (n[1] + 1)) - F.log((F.col("good") + 0.5) / (n[0] + 1))
+    both = F.col("bad") + F.col("good")
+    log_part = lambda n, expected: F.when(n > 0, n * F.log(n / expected)).otherwise(0.0)
+    share = n[1] / (n[0] + n[1])
+    evidence = log_part(F.col("bad"), both * share) + log_part(F.col("good"), both * (1 - share))
     top = (
         known.mapInPandas(count, "stem string, bad long, good long")
         .groupBy("stem").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
         .withColumn("odds", odds)
-        .where((F.col("bad") >= fit.support) & (F.col("odds") >= fit.odds))
+        .where((F.col("bad") >= fit.support) & (F.col("odds") >= fit.odds) & (evidence >= fit.evidence))
         .orderBy(F.col("bad").desc(), F.col("odds").desc(), "stem")
         .limit(4 * fit.stems)
         .collect()

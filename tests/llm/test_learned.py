@@ -111,3 +111,9 @@ def test_quality_degenerate(spark):
     m = quality.learn(docs, labels.limit(0))
     assert {round(r["score"], 6) for r in quality.score(docs, m).collect()} == {0.5}
     assert quality.statistics("") == (0.0,) * len(quality.STATISTICS)
+
+
+def test_toxicity_with_empty_partitions(spark):
+    docs, labels = tables(spark, corpus(60))
+    few = docs.where("doc_id < 60").repartition(16, "doc_id")
+    assert toxicity.learn(few, labels, toxicity.Fit(support=1, evidence=0.0, odds=0.5)).weights
