@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,8 +76,3 @@ def sizes(text: str = "text") -> Column:
     t = F.coalesce(F.col(text), F.lit(""))
     n = F.size(F.split(t, SPACES)) - t.rlike(rf"^{SPACES}").cast("int") - t.rlike(rf"{SPACES}\z").cast("int")
     return F.when(F.length(t) == 0, 0).otherwise(n).cast("long")
-
-
-def own_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    """Only the columns that an operator reads, so that others can't clash with its own."""
-    return df.select(*names)
