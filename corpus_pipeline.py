@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickloom.llm import mixing, pieces, secrets, simhash, toxicity
 from clickloom.llm.common import settled, table
@@ -27,7 +28,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; secrets in its text become a mark, and n_chars follows the text."""
-    return secrets.redact_secrets(docs)
+    clean = secrets.redact_secrets(docs)
+    n = F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))
+    return clean.withColumn("n_chars", n)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
