@@ -24,8 +24,3 @@ def track(text: str, tm: str, layout: str = "pointer") -> Column:
     return F.expr(f"""case when {text} is null then null else
       aggregate({points}, struct(cast(array() as array<{POINT}>) as done, cast({tm} as double) as at),
         (a, p) -> struct(concat(a.done, array(struct(p.x as x, p.y as y, a.at + p.dt as tm))) as done, a.at + p.dt as at), a -> a.done) end""")
-
-
-def scroll_delta(points: str) -> Column:
-    """Last y less first y of a track of two points or more, else NULL."""
-    return F.expr(f"case when size({points}) > 1 then element_at({points}, -1).y - {points}[0].y end")

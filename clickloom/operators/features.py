@@ -6,8 +6,6 @@ left out, but one unknown value makes a sum 0. Nothing known counts as 0.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -142,7 +140,3 @@ def upsert(existing: DataFrame, updated: DataFrame, key: list[str]) -> DataFrame
 def last_by_key(df: DataFrame, key: list[str], order: str) -> DataFrame:
     w = Window.partitionBy(*key).orderBy(F.col(order).desc())
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-
-
-def any_null(columns: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, (F.col(c).isNull() for c in columns))

@@ -72,3 +72,19 @@ def test_two_phase_rules(spark):
     assert got == {"mmv_clk": [9.0], "qml_ready": [35.0, 9.0]}  # the session ends with its page-ready record
     usual = {r["type"]: r["scroll_data"] for r in snapshots(log_records(logs(spark, recs))).where("not synthetic").collect()}
     assert usual["mmv_clk"] == [35.0, 9.0]
+
+
+def test_rebuild_predicate_and_feature_upsert(spark):
+    from clickloom.operators.scoring import needs_rebuild
+    from clickloom.streaming.sessions import upsert_features
+
+    scores = spark.createDataFrame([("a", 0.5, None)], "session_id string, probability_bot_umap double, probability_lgbm double")
+    changed = scores.select("session_id")
+    assert not needs_rebuild(changed, False, scores)
+    assert needs_rebuild(None, False, scores) and needs_rebuild(changed, True, scores) and needs_rebuild(changed, False, None) and needs_rebuild(changed, False, scores, force=True)
+    assert needs_rebuild(changed, False, scores.selectExpr("session_id", "cast(null as double) as probability_bot_umap", "probability_lgbm"))
+    key = "site_id string, device_type string, session_id string"
+    old = spark.createDataFrame([("x", "d", "a", 1), ("x", "d", "b", 1)], f"{key}, v int")
+    snaps = spark.createDataFrame([("x", "d", "b", 1, True), ("x", "d", "b", 2, True), ("x", "d", "c", 1, False)], f"{key}, seq long, synthetic boolean")
+    got = upsert_features(old, snaps, lambda s: s.groupBy("site_id", "device_type", "session_id").agg({"*": "count"}).withColumnRenamed("count(1)", "v"))
+    assert sorted((r["session_id"], r["v"]) for r in got.collect()) == [("a", 1), ("b", 1), ("c", 1)]
