@@ -169,12 +169,13 @@ def session_agg_mean(spark: SparkSession, d: str) -> DataFrame:
   a AS (SELECT session_id, coalesce(min(abs(v)), 0) AS v_min, coalesce(max(abs(v)), 0) AS v_max, coalesce(avg(abs(v)), 0) AS v_mean, coalesce(stddev_pop(v), 0) AS v_std,
     CASE WHEN bool_or(v IS NULL) THEN 0 ELSE coalesce(sum(abs(v)), 0) END AS v_sum FROM e GROUP BY 1),
   d AS (SELECT session_id, avg(abs(v - m)) AS v_mad FROM e JOIN m USING (session_id) GROUP BY 1)
-  SELECT session_id, {', '.join(f'round(coalesce(v_{x}, 0), 6) + 0.0 AS v_{x}' for x in ('min', 'max', 'mean', 'std', 'sum', 'mad'))} FROM a LEFT JOIN d USING (session_id)""")
+  SELECT session_id, {', '.join(f'round(coalesce(v_{x}, 0), 9) + 0.0 AS v_{x}' for x in ('min', 'max', 'mean', 'std', 'sum', 'mad'))} FROM a LEFT JOIN d USING (session_id)""")
 def session_agg_full(spark: SparkSession, d: str) -> DataFrame:
     e = _signed(spark, d)
     flat = e.groupBy("session_id").agg(*features.family("v", F.col("v"), False), features.total(F.col("v")).alias("v_sum"))
     full = flat.join(features.mean_deviation(e, ["session_id"], "v", "v_mad"), "session_id", "left").fillna(0.0, ["v_mad"])
-    return _rounded(full, "v_min", "v_max", "v_mean", "v_std", "v_sum", "v_mad")
+    # nine digits: amounts have two, so that means often lie just between two numbers of six
+    return full.select("session_id", *((F.round(f"v_{x}", 9) + 0.0).alias(f"v_{x}") for x in ("min", "max", "mean", "std", "sum", "mad")))
 
 
 @query("""WITH m AS (SELECT l_returnflag, l_linestatus, avg(l_quantity) AS m FROM lineitem GROUP BY ALL)
