@@ -5,7 +5,7 @@ lattice is a table: substrings of bounded length are exploded and joined by equa
 table (bounded: the vocabulary), the edges are grouped by unit, and a higher-order aggregate folds
 them: Viterbi's best sum of scores for unigram models; for BPE models, whose scores are merge ranks
 and whose best sum isn't what the model encodes, the merges in order of score over the same edges.
-These units' ids (bounded: `units` of at most `longest_unit` characters) go to every task. A unit
+These units' ids (bounded: fewer than `units` of at most `longest_unit` characters) go to every task. A unit
 outside them is folded by the same rule where it stands, so that no text or unit is shuffled.
 
 Every text is encoded whole. A null or empty text has no ids. Characters that are no piece become
@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import dropped, settled
+
 SPACE = "▁"
 #: Where the public tokenizers of this installation are; a parameter of every function here.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -221,12 +223,19 @@ def folded(grid: DataFrame, model: Model) -> DataFrame:
     )
 
 
-def dictionary(docs: DataFrame, model: Model, units: int = 50_000, longest_unit: int = 32) -> dict[str, bytes]:
-    """Ids, as 32-bit numbers, of the `units` most frequent units of all texts."""
+def dictionary(docs: DataFrame, model: Model, units: int = 500_000, longest_unit: int = 32) -> dict[str, bytes]:
+    """Ids, as 32-bit numbers, of the units that stand for more than 1 / `units` of all units of the texts.
+
+    There are fewer than `units` of those, whatever the corpus (in natural text far fewer), and no
+    sort or task over all units is needed to find them.
+    """
     spark = docs.sparkSession
-    top = unit_counts(docs, model).where((F.length("unit") > 0) & (F.length("unit") <= longest_unit)).orderBy(F.col("n").desc(), "unit").limit(units)
+    counts = settled(unit_counts(docs, model))
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    top = counts.where((F.col("n") > total / units) & (F.length("unit") > 0) & (F.length("unit") <= longest_unit))
     top = top.select("unit").repartition(max(1, spark.sparkContext.defaultParallelism), "unit")
     rows = folded(lattice(top, piece_table(spark, model), model.longest), model).collect()
+    dropped(counts)
     local = Local(model)
     out = {}
     for r in rows:
@@ -267,7 +276,7 @@ def _text(ids: list[int], table: list[bytes], prefix: bool) -> str:
     return text[1:] if prefix and text[:1] == " " else text
 
 
-def encode(docs: DataFrame, model: Model | None = None, units: int = 50_000, room: int = 150_000) -> DataFrame:
+def encode(docs: DataFrame, model: Model | None = None, units: int = 500_000, room: int = 150_000) -> DataFrame:
     """doc_id, ids, n_tokens, round_trip (decoding gives the text) for each row of `docs`."""
     model = model or Model.load()
     spark = docs.sparkSession
