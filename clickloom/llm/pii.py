@@ -27,7 +27,7 @@ from .common import settled
 KINDS = ("email", "ip", "card", "phone", "term")
 MARK, OTHER = "\u0001", "\u0002"
 _LOCAL = r"[A-Za-z0-9._%+-]"
-_PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 PATTERNS = {
     "email": rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",

@@ -102,6 +102,15 @@ def test_pii_base_is_the_plain_patterns(spark):
     assert pii.find(docs(spark, ["x"]).limit(0)).collect() == []
 
 
+def test_pii_ips_with_a_part_of_zeros(spark):
+    """A part of zeros keeps its last digit; leading zeros of other parts don't count."""
+    texts = ["0.0.0.0", "10.0.0.1", "000.1.2.3", "192.168.0.1 or 127.0.0.1", "1.2.3.00", "010.2.3.4", "0256.0.0.1", "0.0.0.300", "0" * 50_000 + ".0.0.999"]
+    got = {x["doc_id"]: x for x in pii.digests(pii.find(docs(spark, texts))).collect()}
+    assert [got[i]["n_ip"] for i in range(len(texts))] == [1, 1, 1, 2, 1, 1, 0, 0, 0]
+    assert [got[i]["base_sha256"] for i in range(8)] == [sha(plain_pii(t)) for t in texts[:8]]
+    assert {x["text"] for x in pii.sanitise(docs(spark, ["at 10.0.0.1"])).collect()} == {"at <ip>"}
+
+
 def test_pii_disclosing_terms(spark):
     """`zorblatt` is only where the address is, `often` is everywhere; a term seen once has no support."""
     texts = ["Often zorblatt wrote to jane@x.org once", "Often a Zorblatt at jane@x.org again", "solitary word for bob@y.org"] + [f"often there are other words {i}" for i in range(40)] + [None, ""]
