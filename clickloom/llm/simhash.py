@@ -15,6 +15,10 @@ of one of them fits, and linked by its total distance. That is for radii that no
 can guarantee; then candidates are those that share an equal segment (stated recall: 1 - (1 - (1 - p)^w)^(m * signs)
 for w bits a segment, p = the share of bits that differ).
 
+With `similarity`, fingerprints only propose: the shingle sets of each component of proposed links are
+read once and compared in full, and what links is a Jaccard similarity of that size. Blocks of large
+components are dealt out in pairs, too.
+
 A null text counts as empty; a text without words has fingerprint zero and is linked like any
 other; with fewer words than a shingle has, the whole sequence is the shingle. Repeated ids are one
 node. Rows with a null id have a fingerprint but no component. An empty table gives an empty result.
@@ -31,20 +35,22 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
 from .common import settled
 
 MOST_BROADCAST = 50_000  # rows of three numbers
+MOST_SHINGLES = 2_000_000  # of a block of a component, about
 
 
 @dataclass(frozen=True)
 class SimHash:
     """words: of a shingle; tau: most differing bits of all; segments: m of each fingerprint; signs: number of
     fingerprints; chain_tau: of one fingerprint, for the chains (tau if there is one); grid: most nodes of a bucket
-    that are compared in one go."""
+    that are compared in one go; distinct: repeated shingles count once; similarity: least Jaccard similarity of
+    shingle sets that links (None: the fingerprints decide)."""
 
     words: int = 3
     tau: int = 2
@@ -52,6 +58,8 @@ class SimHash:
     signs: int = 1
     chain_tau: int | None = None
     grid: int = 4096
+    distinct: bool = False
+    similarity: float | None = None
 
     @property
     def budgets(self) -> list[int]:
@@ -71,20 +79,31 @@ class SimHash:
 #: Five-word shingles whose sets overlap by 0.8 or more: their hash vectors then have a cosine of
 #: 2 * 0.8 / 1.8, and signs differ in a share of acos(0.889) / pi = 0.1517 of the bits, with a
 #: standard deviation of 0.0142 at 640 bits. tau lies 1.65 of them above, for nineteen of twenty at just 0.8.
-NEAR_COPIES = SimHash(words=5, tau=int(640 * (math.acos(1.6 / 1.8) / math.pi + 1.65 * 0.0142)), segments=4, signs=10, chain_tau=16)
+NEAR_COPIES = SimHash(words=5, tau=int(640 * (math.acos(1.6 / 1.8) / math.pi + 1.65 * 0.0142)), segments=4, signs=10, chain_tau=16, distinct=True, similarity=0.8)
 
 
-def fingerprint(text: str, words: int, multipliers: np.ndarray) -> np.ndarray:
-    """One unsigned 64-bit fingerprint for each multiplier; the first multiplier is 1, which keeps the hash."""
+def shingles(text: str, words: int, distinct: bool = False) -> np.ndarray:
+    """The hashes of a text's shingles, in order; `distinct`: sorted, each once."""
     w = text.encode("utf-8", "surrogatepass").lower().split()
     if not w:
-        return np.zeros(len(multipliers), np.uint64)
+        return np.zeros(0, np.uint64)
     flat = b" ".join(w)
     ends = np.cumsum([len(x) + 1 for x in w]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1)).tolist()
     digest = xxhash.xxh64_intdigest
     ends = ends[words - 1 :].tolist() or [len(flat)]
     h = np.array([digest(flat[a:b], 42) for a, b in zip(starts, ends, strict=False)], dtype=np.uint64)
+    return np.unique(h) if distinct else h
+
+
+def fingerprint(text: str, words: int, multipliers: np.ndarray, distinct: bool = False) -> np.ndarray:
+    """One unsigned 64-bit fingerprint for each multiplier; the first multiplier is 1, which keeps the hash."""
+    return _signs(shingles(text, words, distinct), multipliers)
+
+
+def _signs(h: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
+    if not len(h):
+        return np.zeros(len(multipliers), np.uint64)
     out = np.empty(len(multipliers), np.uint64)
     for i, m in enumerate(multipliers):
         x = h
@@ -106,12 +125,12 @@ def _multipliers(signs: int) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, how: SimHash = SimHash()) -> DataFrame:
     """doc_id and `fps`, the fingerprints as longs, of every row."""
-    multipliers, words = _multipliers(how.signs), how.words
+    multipliers, words, distinct = _multipliers(how.signs), how.words, how.distinct
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            fps = [fingerprint(t or "", words, multipliers).view(np.int64) for t in batch["text"]]
+            fps = [fingerprint(t or "", words, multipliers, distinct).view(np.int64) for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"].values, "fps": fps})
 
     return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, fps array<long>")
@@ -138,9 +157,13 @@ def _dealt(keys: DataFrame, how: SimHash) -> DataFrame:
     large = settled(counts)
     few = large.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
     many = keys.join(F.broadcast(large) if few else large, ["t", "key"], "left").withColumn("blocks", F.coalesce(F.ceil(F.col("n") / how.grid), F.lit(1)).cast("int"))
+    return many.select("t", "key", "node", "fps", F.explode(_parts()).alias("part"))
+
+
+def _parts() -> Column:
+    """The pairs of blocks that a node takes part in, from `node` and the number of `blocks`."""
     block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    part = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.least(block, j) * F.col("blocks") + F.greatest(block, j))
-    return many.select("t", "key", "node", "fps", F.explode(part).alias("part"))
+    return F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.least(block, j) * F.col("blocks") + F.greatest(block, j))
 
 
 def _roots(roots: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -189,27 +212,32 @@ def linked(group: np.ndarray, start: np.ndarray, fps: np.ndarray, how: SimHash)
     return roots
 
 
+def _buckets(batches: Iterator[pa.RecordBatch], order: list[str]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Rows of whole buckets, which are equal runs of the columns `order`, with the number of the bucket and those columns."""
+    rest: pa.RecordBatch | None = None
+    for batch in itertools.chain(batches, [None]):
+        if batch is None:
+            whole = rest
+        elif not batch.num_rows:
+            continue
+        else:
+            whole = batch if rest is None else pa.concat_batches([rest, batch])
+        if whole is None:
+            return
+        cols = np.stack([whole.column(c).to_numpy() for c in order], 1).astype(np.int64)
+        new = np.concatenate(([0], (cols[1:] != cols[:-1]).any(1).cumsum()))
+        if batch is not None:  # the last bucket may go on in the next batch
+            cut = int(np.searchsorted(new, new[-1]))
+            rest, whole, new, cols = whole.slice(cut), whole.slice(0, cut), new[:cut], cols[:cut]
+        if whole.num_rows:
+            yield whole, new, cols
+
+
 def links(nodes: DataFrame, how: SimHash) -> DataFrame:
     """(a, b): a forest that connects the nodes (node, fps) just as all links between them would."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.RecordBatch | None = None
-        for batch in itertools.chain(batches, [None]):
-            if batch is None:
-                whole = rest
-            elif not batch.num_rows:
-                continue
-            else:
-                whole = batch if rest is None else pa.concat_batches([rest, batch])
-            if whole is None:
-                return
-            cols = np.stack([whole.column(c).to_numpy() for c in ("t", "key", "part")], 1).astype(np.int64)
-            new = np.concatenate(([0], (cols[1:] != cols[:-1]).any(1).cumsum()))
-            if batch is not None:  # the last bucket may go on in the next batch
-                cut = int(np.searchsorted(new, new[-1]))
-                rest, whole, new, cols = whole.slice(cut), whole.slice(0, cut), new[:cut], cols[:cut]
-            if not whole.num_rows:
-                continue
+        for whole, new, cols in _buckets(batches, ["t", "key", "part"]):
             fps = whole.column("fps").flatten().to_numpy().view(np.uint64).reshape(whole.num_rows, -1)
             roots = linked(new, cols[:, 0], fps, how)
             far = roots != np.arange(len(roots))
@@ -221,6 +249,70 @@ def links(nodes: DataFrame, how: SimHash) -> DataFrame:
     return dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "a long, b long")
 
 
+def alike(sets: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Root (a position) of each set, where a Jaccard similarity of at least `similarity` links; all pairs are decided.
+
+    A set meets all others at once by the lists of who holds its hashes. A pair is settled when one of
+    the two has been met or both are joined, so the smallest class goes first and the largest rests.
+    """
+    n = len(sets)
+    sizes = np.array([len(x) for x in sets])
+    ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    ends, holder = sizes.cumsum(), np.repeat(np.arange(n), sizes)[np.argsort(ids, kind="stable")]
+    first = np.concatenate(([0], np.bincount(ids).cumsum()))
+    roots, left = np.arange(n), np.ones(n, bool)
+    while True:
+        open_ = np.flatnonzero(left)
+        count = np.bincount(roots[open_], minlength=n)
+        classes = np.flatnonzero(count)
+        if len(classes) < 2:
+            return roots
+        i = open_[roots[open_] == classes[count[classes].argmin()]][0]
+        mine = ids[ends[i] - sizes[i] : ends[i]]
+        many = first[mine + 1] - first[mine]
+        both = np.bincount(holder[np.repeat(first[mine] - many.cumsum() + many, many) + np.arange(many.sum())], minlength=n)
+        near = np.flatnonzero(both / np.maximum(sizes[i] + sizes - both, 1) >= similarity)
+        _roots(roots, np.full(len(near), i), near)
+        left[i] = False
+
+
+def verified(docs: DataFrame, nodes: DataFrame, found: DataFrame, how: SimHash) -> DataFrame:
+    """(a, b): a forest of the links by `similarity` between nodes (node, fps) of a component of `found` (id, component).
+
+    Only these nodes' texts are read again, once each. Of a repeated id the text with the node's fingerprints counts.
+    """
+    multipliers, words, similarity = _multipliers(how.signs), how.words, how.similarity
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [shingles(t or "", words, True) for t in batch["text"]]
+            same = [np.array_equal(_signs(x, multipliers).view(np.int64), f) for x, f in zip(sets, batch["fps"], strict=True)]
+            batch = batch.assign(shingles=[x.view(np.int64) for x in sets])[["node", "component", "shingles"]]
+            yield batch[np.array(same, bool)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole, new, _ in _buckets(batches, order):
+            node, lists = whole.column("node").to_numpy(), whole.column("shingles")
+            ends, flat = np.cumsum(lists.value_lengths().to_numpy()), lists.flatten().to_numpy()
+            sets = np.split(flat, ends[:-1])
+            cuts = [*np.searchsorted(new, np.unique(new)).tolist(), len(new)]
+            for a, b in itertools.pairwise(cuts):
+                roots = alike(sets[a:b], similarity)
+                far = roots != np.arange(b - a)
+                yield pa.RecordBatch.from_arrays([pa.array(node[a:b][roots[far]]), pa.array(node[a:b][far])], names=["a", "b"])
+
+    order = ["component", "part"]
+    loose = nodes.join(found, nodes["node"] == found["id"]).select("node", "component", "fps")
+    texts = docs.select("doc_id", "text").join(loose, F.col("doc_id") == F.col("node")).select("node", "component", "fps", "text")
+    sets = settled(texts.mapInPandas(read, "node long, component long, shingles array<long>"))
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / how.grid), F.ceil(F.sum(F.size("shingles")) / MOST_SHINGLES)).cast("int")
+    large = settled(sets.groupBy("component").agg(blocks.alias("blocks")).where("blocks > 1"))
+    few = large.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
+    many = sets.join(F.broadcast(large) if few else large, "component", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = many.select("component", "node", "shingles", F.explode(_parts()).alias("part"))
+    return dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "a long, b long")
+
+
 def groups(docs: DataFrame, how: SimHash = SimHash()) -> DataFrame:
     """doc_id, fps, component_id for each row: the smallest id among documents that links reach."""
     fps = settled(fingerprints(docs, how))
@@ -230,7 +322,10 @@ def groups(docs: DataFrame, how: SimHash = SimHash()) -> DataFrame:
     least = fps.where("doc_id is not null").groupBy("doc_id").agg(F.min("fps").alias("least"))
     odd = fps.join(least, "doc_id").where("fps != least").select("fps", "least").distinct()
     one, two = nodes.select("fps", F.col("node").alias("a")), nodes.select(F.col("fps").alias("least"), F.col("node").alias("b"))
-    found = components(links(nodes, how).union(odd.join(one, "fps").join(two, "least").select("a", "b")))
+    near = links(nodes, how)
+    if how.similarity is not None:
+        near = verified(docs, nodes, components(near), how)
+    found = components(near.union(odd.join(one, "fps").join(two, "least").select("a", "b")))
     nodes = nodes.join(found, nodes["node"] == found["id"], "left").select("fps", F.coalesce("component", "node").alias("component_id"))
     f, n = fps.alias("f"), nodes.alias("n")
     return f.join(n, (F.col("f.fps") == F.col("n.fps")) & F.col("f.doc_id").isNotNull(), "left").select("f.doc_id", "f.fps", "n.component_id")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import math
 import random
 
@@ -159,3 +160,36 @@ def test_near_copies(spark):
     texts = [" ".join(x) for x in kept + copies]
     got = sorted(x["doc_id"] for x in simhash.one_of_each(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect())
     assert set(range(40)) <= set(got) and len(got) <= 41
+
+
+def jaccard(a, b):
+    x, y = ({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.split(), b.split()))
+    return len(x & y) / len(x | y)
+
+
+@pytest.mark.parametrize("grid", [4096, 2])
+def test_near_copies_with_repeated_lines(spark, grid):
+    """A repeated line neither joins texts that share nothing else nor parts near copies."""
+    r = random.Random(11)
+    fresh = lambda n: " ".join(f"u{r.randrange(50_000)}" for _ in range(n))
+    line = fresh(12)
+    texts = [fresh(300) + f" {line}" * 20 for _ in range(12)]
+    for _ in range(6):
+        t = fresh(400)
+        texts += [t, t + f" {fresh(12)}" * 50]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if jaccard(texts[i], texts[j]) >= 0.8]
+    assert len(pairs) == 6
+    want = union(range(len(texts)), pairs)
+    how = dataclasses.replace(simhash.NEAR_COPIES, grid=grid)
+    got = {x["doc_id"]: x["component_id"] for x in simhash.groups(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), how).collect()}
+    assert got == want
+
+
+def test_alike_decides_every_pair():
+    r = random.Random(12)
+    for n in (1, 2, 5, 40):
+        sets = [set(r.sample(range(60), r.randrange(1, 20))) for _ in range(n)]
+        sets += [set(list(s)[1:]) | ({100 + i} if i % 2 else set()) for i, s in enumerate(sets)]
+        pairs = [(i, j) for i in range(len(sets)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) > 0]
+        roots = simhash.alike([np.array(sorted(s), np.int64) for s in sets], 0.8)
+        assert dict(enumerate(roots.tolist())) == union(range(len(sets)), pairs)
