@@ -76,10 +76,10 @@ class SimHash:
         return np.array([(1 << b) - (1 << a) for a, b in zip(cuts, cuts[1:], strict=False)], dtype=np.uint64)
 
 
-#: Five-word shingles whose sets overlap by 0.8 or more: their hash vectors then have a cosine of
-#: 2 * 0.8 / 1.8, and signs differ in a share of acos(0.889) / pi = 0.1517 of the bits, with a
-#: standard deviation of 0.0142 at 640 bits. tau lies 1.65 of them above, for nineteen of twenty at just 0.8.
-NEAR_COPIES = SimHash(words=5, tau=int(640 * (math.acos(1.6 / 1.8) / math.pi + 1.65 * 0.0142)), segments=4, signs=10, chain_tau=16, distinct=True, similarity=0.8)
+#: Five-word shingles whose sets overlap by 0.8 or more: their hash vectors then have a cosine of at least
+#: 2 * 0.8 / 1.8, and signs differ in a share of acos(0.889) / pi = 0.1517 of the bits; sets of four and five hashes,
+#: where half of four is no majority, in 0.1875 of them. tau lies five standard deviations above the latter: it only proposes.
+NEAR_COPIES = SimHash(words=5, tau=int(640 * 0.1875 + 5 * math.sqrt(640 * 0.1875 * 0.8125)), segments=4, signs=10, chain_tau=16, distinct=True, similarity=0.8)
 
 
 def shingles(text: str, words: int, distinct: bool = False) -> np.ndarray:

@@ -69,6 +69,20 @@ def test_one_of_each_group_stays(stages):
     assert stages[2].count() < len(ids)
 
 
+def test_near_copies_by_exact_similarity(stages):
+    """Of each group that five-word similarities of 0.8 link, over all pairs, the smallest id stays."""
+    docs = {r["doc_id"]: r for r in stages[1].collect()}
+    ids = sorted(docs)
+    sets = {i: set(simhash.shingles(docs[i]["text"] or "", 5).tolist()) for i in ids}
+    root = {i: i for i in ids}
+    for k, i in enumerate(ids):
+        for j in ids[:k]:
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                a, b = root[i], root[j]
+                root = {x: min(a, b) if r in (a, b) else r for x, r in root.items()}
+    assert rows(stages[2]) == sorted((tuple(docs[i]) for i in ids if root[i] == i), key=str)
+
+
 def test_secrets_are_redacted(stages):
     want = []
     for r in stages[2].collect():

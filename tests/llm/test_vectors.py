@@ -193,3 +193,26 @@ def test_alike_decides_every_pair():
         pairs = [(i, j) for i in range(len(sets)) for j in range(i) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) > 0]
         roots = simhash.alike([np.array(sorted(s), np.int64) for s in sets], 0.8)
         assert dict(enumerate(roots.tolist())) == union(range(len(sets)), pairs)
+
+
+def test_similarity_decides_around_the_threshold(spark):
+    """Pairs just below 0.8 stay, and the radius proposes pairs of 0.8 and more, short texts too."""
+    r = random.Random(13)
+    fresh = lambda n: [f"z{r.randrange(90_000)}" for _ in range(n)]
+    texts = []
+    for edits in [5] * 20 + [4] * 20:  # similarity 171 / 221 and 176 / 216
+        a = fresh(200)
+        b = list(a)
+        for p in range(10, 10 + 30 * edits, 30):
+            b[p] = "edit"
+        texts += [" ".join(a), " ".join(b)]
+    assert {round(jaccard(texts[i], texts[i + 1]), 4) for i in range(0, 80, 2)} == {round(171 / 221, 4), round(176 / 216, 4)}
+    kept = {x["doc_id"] for x in simhash.one_of_each(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert set(range(40)) <= kept and len(kept & set(range(41, 80, 2))) <= 3
+    m, how = simhash._multipliers(simhash.NEAR_COPIES.signs), simhash.NEAR_COPIES
+    far = 0
+    for _ in range(200):
+        a = fresh(8)
+        f = [simhash.fingerprint(" ".join(x), 5, m, True) for x in (a, a + fresh(1))]
+        far += int(np.bitwise_count(f[0] ^ f[1]).sum()) > how.tau
+    assert far == 0
