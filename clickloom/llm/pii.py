@@ -1,10 +1,11 @@
 """Information-theoretic sanitisation, with DataFrame operations only.
 
-Base patterns find the protected entities. Words near an entity are its terms; over the corpus, a
-term's disclosure of an entity is their pointwise mutual information, log2(n(e,t) * N / (n(e) * n(t))),
-as a share of the entity's own information, log2(N / n(e)), with n counted in documents. Terms that
-occur near the entity in `support` documents or more and disclose at least `disclosure` of it are
-generalised (capitalised ones) or removed like the entity itself.
+Base patterns find the protected entities. The words of a document that holds an entity, but for those that
+overlap a base span, are its terms; over the corpus, a term's disclosure of an entity is their pointwise mutual
+information, log2(n(e,t) * N / (n(e) * n(t))), as a share of the entity's own information, log2(N / n(e)), with n
+counted in documents. Terms that occur with the entity in `support` documents or more and disclose at least
+`disclosure` of it are generalised (capitalised ones) or removed like the entity itself, wherever they stand in
+a document that holds it.
 
 Whole texts are scanned, in code points; all counts are over all documents. A null text counts as
 empty. Rows with the same id and text have the same spans; an empty table gives an empty result; of
@@ -12,14 +13,15 @@ the input only doc_id and text are read, so other columns can't clash.
 
 Patterns that a regular expression could retry along a run are anchored to the run's start, and
 repetitions are possessive, so that time is linear in the text; the matches are those of the plain
-patterns. An entity has a bounded context, so what a document hands out is linear in its entities.
+patterns. Entities that stand in the same documents are counted as one, and a term that is too
+frequent to disclose an entity even if it were in all its documents isn't paired with it.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import settled
@@ -43,12 +45,10 @@ BLOCK = 64
 
 @dataclass(frozen=True)
 class Sanitise:
-    """disclosure: least share of an entity's information; support: least documents; context: characters on
-    each side of an entity whose words are its terms."""
+    """disclosure: least share of an entity's information; support: least documents."""
 
     disclosure: float = 0.8
     support: int = 2
-    context: int = 100
 
 
 def _spans(text: str, pattern: str, kind: str, valid: str, needs: str = "true") -> str:
@@ -91,16 +91,8 @@ def _entity(span: str) -> str:
     return f"concat({span}.kind, ':', case when {span}.kind in ('card', 'phone') then regexp_replace({span}.value, '[^0-9]', '') else lower({span}.value) end)"
 
 
-def _contexts(how: Sanitise) -> Column:
-    """The terms near each base span: (entity, term, start, end); words that the context's border cuts are none."""
-    w = how.context
-    before = f"substring(t, greatest(b.start - {w}, 0) + 1, least(b.start, {w}))"
-    after = f"substring(t, b.end + 1, {w})"
-    terms = lambda c: _spans(c, TERM, "term", "true")
-    return F.expr(f"""flatten(transform(base, b -> transform(concat(
-        transform(filter({terms(before)}, s -> s.start > 0 or b.start <= {w}), s -> struct(s.value as value, s.start + greatest(b.start - {w}, 0) as start, s.end + greatest(b.start - {w}, 0) as end)),
-        transform(filter({terms(after)}, s -> s.end < {w}), s -> struct(s.value as value, s.start + b.end as start, s.end + b.end as end))),
-      s -> struct({_entity('b')} as entity, lower(s.value) as term, s.start as start, s.end as end))))""")
+#: The words of `t` that overlap no base span.
+_TERMS = f"filter({_spans('t', TERM, 'term', 'true')}, x -> not exists(base, s -> s.start < x.end and x.start < s.end))"
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -109,32 +101,45 @@ def term_counts(docs: DataFrame) -> DataFrame:
     return docs.where("text is not null").select(F.explode(words).alias("term")).where("length(term) >= 3").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
 
 
-def disclosing(found: DataFrame, counts: DataFrame, n_docs: DataFrame, how: Sanitise) -> DataFrame:
-    """(entity, term) whose disclosure reaches the threshold, with `share`.
+def _held(texts: DataFrame, n: int, how: Sanitise) -> DataFrame:
+    """(row, class, n_entity): a class is the entities of the same documents; those below the support can't be disclosed.
 
-    found: one row (doc_id, digest, entity, term) for each document, entity and term; counts: of the
-    terms in the corpus; n_docs: one row with n.
+    Of rows with the same id and text the first stands for all.
     """
-    pairs = found.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= how.support)
-    entities = found.select("doc_id", "digest", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    n = F.broadcast(n_docs)  # one row
-    scored = pairs.join(entities, "entity").join(counts, "term").join(n)
-    own = F.log2(F.col("n") / F.col("n_entity"))
-    shared = F.log2(F.col("n_both") * F.col("n") / (F.col("n_entity") * F.col("n_term")))
-    return scored.withColumn("share", F.when(own > 0, shared / own)).where(F.col("share") >= how.disclosure).select("entity", "term", "share")
+    first = texts.groupBy("doc_id", "digest").agg(F.min("row").alias("row")).select("row")
+    held = texts.select("row", F.explode(F.array_distinct(F.expr(f"transform(base, b -> {_entity('b')})"))).alias("entity")).join(first, "row", "left_semi")
+    two = [F.bit_xor(F.xxhash64(F.lit(salt), "row")).cast("string") for salt in (1, 2)]
+    count = F.count(F.lit(1))
+    classes = held.groupBy("entity").agg(count.alias("n_entity"), F.concat_ws(":", count.cast("string"), *two).alias("class"))
+    usable = classes.where((F.col("n_entity") >= how.support) & (F.col("n_entity") < n))
+    return held.join(usable, "entity").select("row", "class", "n_entity").distinct()
+
+
+def disclosing(held: DataFrame, words: DataFrame, counts: DataFrame, n: int, how: Sanitise) -> DataFrame:
+    """(class, term) whose disclosure reaches the threshold.
+
+    held: (row, class, n_entity); words: (row, term), once each; counts: of the terms in the corpus; n: documents.
+    """
+    known = words.join(counts.where(F.col("n_term") >= how.support), "term")
+    most = n * F.pow(F.col("n_entity") / n, F.lit(how.disclosure)) * (1 + 1e-9)  # n_both is n_entity at most
+    pairs = known.join(held, "row").where(F.col("n_term") <= most).groupBy("class", "n_entity", "term", "n_term").agg(F.count(F.lit(1)).alias("n_both"))
+    shared = F.log2(F.col("n_both") * n / (F.col("n_entity") * F.col("n_term")))
+    return pairs.where((F.col("n_both") >= how.support) & (shared / F.log2(n / F.col("n_entity")) >= how.disclosure)).select("class", "term")
 
 
 def find(docs: DataFrame, how: Sanitise = Sanitise()) -> DataFrame:
     """doc_id, digest, base, terms: the base spans and the terms (start, end) that disclose an entity of the document."""
-    base = settled(base_spans(docs).withColumn("near", _contexts(how)).drop("t"))
-    near = base.where("size(near) > 0").select("doc_id", "digest", F.explode("near").alias("x")).select("doc_id", "digest", "x.*")
-    once = near.select("doc_id", "digest", "entity", "term").distinct()
-    hit = disclosing(once, term_counts(docs), base.agg(F.count(F.lit(1)).alias("n")), how)
-    terms = near.join(hit, ["entity", "term"]).groupBy("doc_id", "digest").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("terms"))
+    base = settled(base_spans(docs).withColumn("t", F.when(F.size("base") > 0, F.col("t"))).withColumn("row", F.monotonically_increasing_id()))
+    n, texts = base.count(), base.where("size(base) > 0")
+    held = settled(_held(texts, n, how))
+    spans = texts.join(held.select("row").distinct(), "row", "left_semi").select("row", "doc_id", "digest", F.explode(F.expr(_TERMS)).alias("x"))
+    found = spans.select("row", "doc_id", "digest", F.lower("x.value").alias("term"), "x.start", "x.end")
+    hit = disclosing(held, found.select("row", "term").distinct(), term_counts(docs), n, how)
+    marks = held.join(hit, "class").select("row", "term").distinct()
+    terms = found.join(marks, ["row", "term"]).groupBy("doc_id", "digest").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("terms"))
     b, t = base.alias("b"), terms.alias("t")
     joined = b.join(t, F.col("b.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("b.digest") == F.col("t.digest")), "left")
-    free = F.expr("filter(coalesce(t.terms, cast(array() as array<struct<start:int,end:int>>)), x -> not exists(b.base, s -> s.start < x.end and x.start < s.end))")
-    return joined.select("b.doc_id", "b.digest", "b.base", free.alias("terms"))
+    return joined.select("b.doc_id", "b.digest", "b.base", F.expr("coalesce(t.terms, cast(array() as array<struct<start:int,end:int>>))").alias("terms"))
 
 
 def digests(found: DataFrame) -> DataFrame:

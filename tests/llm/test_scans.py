@@ -125,6 +125,14 @@ def test_pii_disclosing_terms(spark):
     assert clean[0] == "Often  wrote to <email> once" and clean[1] == "Often a <name> at <email> again" and clean[43] is None and clean[44] == ""
 
 
+def test_pii_terms_of_the_whole_document(spark):
+    """A name far from the address discloses it, and goes wherever it stands in the document."""
+    far = " often" * 60
+    texts = [f"Zorblatt writes{far} jane@x.org{far} zorblatt", f"Dear Zorblatt{far} jane@x.org", "writes"] + [f"often writes {i}" for i in range(40)]
+    got = {x["doc_id"]: [texts[x["doc_id"]][t["start"] : t["end"]] for t in x["terms"]] for x in pii.find(docs(spark, texts)).collect() if x["terms"]}
+    assert got == {0: ["Zorblatt", "zorblatt"], 1: ["Zorblatt"]}
+
+
 def test_pii_repeated_rows_and_ids(spark):
     d = spark.createDataFrame([(1, "a@b.co"), (1, "a@b.co"), (1, "x"), (None, "1.2.3.4"), (None, None)], "doc_id long, text string")
     got = sorted((x["doc_id"] or 0, x["spans"]) for x in pii.digests(pii.find(d)).collect())
