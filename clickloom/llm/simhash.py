@@ -6,22 +6,24 @@ consecutive segments differs in at most l * tau / m bits. Where that budget is b
 are equal: the leading equal ones are the join key, the longer chains are checked before the full
 distance.
 
-Equal texts, then equal fingerprints, are one node. Nodes that share a key are compared inside the
-key's bucket, in numpy, and only a spanning forest of the links leaves it: no pairs are made. A
-bucket of more than `grid` nodes is dealt out in pairs of blocks, so that none needs one task.
+Equal fingerprints are one node. Nodes that share a key are compared inside the key's bucket, in
+numpy, and only a spanning forest of the links leaves it: no pairs are made. A bucket of more than
+`grid` nodes is dealt out in pairs of blocks, so that none needs one task.
 
 With `signs` > 1 a document has so many independent fingerprints; a pair is compared if a chain
-of one of them fits, and linked by its total distance. That is for radii that no key of 64 bits
-can guarantee; then candidates are those that share an equal segment (stated recall: 1 - (1 - (1 - p)^w)^(m * signs)
-for w bits a segment, p = the share of bits that differ).
+of one of them fits, and linked by the distance of the first `compared` ones. That is for radii that no
+key of 64 bits can guarantee; then candidates are those that share an equal segment. `near_copies` chooses
+the segments' width by the number of texts, so that unrelated texts don't crowd a bucket, and the number
+of fingerprints by the recall asked for.
 
 With `similarity`, fingerprints only propose: the shingle sets of each component of proposed links are
 read once and compared in full, and what links is a Jaccard similarity of that size. Blocks of large
 components are dealt out in pairs, too.
 
 A null text counts as empty; a text without words has fingerprint zero and is linked like any
-other; with fewer words than a shingle has, the whole sequence is the shingle. Repeated ids are one
-node. Rows with a null id have a fingerprint but no component. An empty table gives an empty result.
+other; with fewer words than a shingle has, the whole sequence is the shingle. Rows that repeat an id and
+a text are one document. Rows with a null id have a fingerprint but no component. An empty table gives an
+empty result. Ids of any type with an order stay as they are; other columns can't clash.
 """
 
 from __future__ import annotations
@@ -32,14 +34,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .components import components
 from .common import settled
+from .components import components
 
 MOST_BROADCAST = 50_000  # rows of three numbers
 MOST_SHINGLES = 2_000_000  # of a block of a component, about
@@ -47,10 +48,11 @@ MOST_SHINGLES = 2_000_000  # of a block of a component, about
 
 @dataclass(frozen=True)
 class SimHash:
-    """words: of a shingle; tau: most differing bits of all; segments: m of each fingerprint; signs: number of
-    fingerprints; chain_tau: of one fingerprint, for the chains (tau if there is one); grid: most nodes of a bucket
-    that are compared in one go; distinct: repeated shingles count once; similarity: least Jaccard similarity of
-    shingle sets that links (None: the fingerprints decide)."""
+    """words: of a shingle; tau: most differing bits of the fingerprints compared; segments: m of each fingerprint;
+    bits: of a segment (None: 64 / m); signs: number of fingerprints; compared: of them, for the distance (None: all);
+    chain_tau: of one fingerprint, for the chains (tau if there is one); grid: most nodes of a bucket that are
+    compared in one go; distinct: repeated shingles count once; similarity: least Jaccard similarity of shingle sets
+    that links (None: the fingerprints decide)."""
 
     words: int = 3
     tau: int = 2
@@ -60,6 +62,8 @@ class SimHash:
     grid: int = 4096
     distinct: bool = False
     similarity: float | None = None
+    bits: int | None = None
+    compared: int | None = None
 
     @property
     def budgets(self) -> list[int]:
@@ -72,14 +76,34 @@ class SimHash:
         return max(1, sum(x == 0 for x in self.budgets))
 
     def masks(self) -> np.ndarray:
-        cuts = [64 * i // self.segments for i in range(self.segments + 1)]
-        return np.array([(1 << b) - (1 << a) for a, b in zip(cuts, cuts[1:], strict=False)], dtype=np.uint64)
+        if self.bits:
+            cuts = [self.bits * i for i in range(self.segments + 1)]
+        else:
+            cuts = [64 * i // self.segments for i in range(self.segments + 1)]
+        return np.array([(1 << b) - (1 << a) for a, b in itertools.pairwise(cuts)], dtype=np.uint64)
+
+
+def near_copies(texts: int = 0, similarity: float = 0.8, words: int = 5, recall: float = 0.95, crowd: int = 256) -> SimHash:
+    """For shingle sets that overlap by `similarity` or more, among so many `texts`.
+
+    Their hash vectors then have a cosine of at least 2 s / (1 + s), and signs differ in a share p = acos of that / pi
+    of the bits. A key of w bits is equal in (1 - p)^w of such pairs and in 2^-w of unrelated ones: w is at least 16
+    and so large that `crowd` unrelated texts at most meet in a bucket on average, and there are so many keys that
+    `recall` of the pairs at just `similarity` share one (more similar ones, more of them). Both grow with the corpus: to
+    16 million texts w is 16 with 41 keys, for 10 billion 26 with 214. Small sets differ in up to 0.1875 of the bits at
+    0.8 (four hashes and five, where half of four is no majority): tau lies five standard deviations above that.
+    """
+    bits = max(16, math.ceil(math.log2(max(texts, 1) / crowd)))
+    differ = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    keys = math.ceil(math.log(1 - recall) / math.log(1 - (1 - differ) ** bits))
+    segments = max(1, 64 // bits)
+    signs = math.ceil(keys / segments)
+    compared = min(signs, 11)
+    n, p = 64 * compared, differ * 0.1875 / 0.1517
+    return SimHash(words, int(n * p + 5 * math.sqrt(n * p * (1 - p))), segments, signs, segments * bits // 4, distinct=True, similarity=similarity, bits=bits, compared=compared)
 
 
-#: Five-word shingles whose sets overlap by 0.8 or more: their hash vectors then have a cosine of at least
-#: 2 * 0.8 / 1.8, and signs differ in a share of acos(0.889) / pi = 0.1517 of the bits; sets of four and five hashes,
-#: where half of four is no majority, in 0.1875 of them. tau lies five standard deviations above the latter: it only proposes.
-NEAR_COPIES = SimHash(words=5, tau=int(640 * 0.1875 + 5 * math.sqrt(640 * 0.1875 * 0.8125)), segments=4, signs=10, chain_tau=16, distinct=True, similarity=0.8)
+NEAR_COPIES = near_copies()
 
 
 def shingles(text: str, words: int, distinct: bool = False) -> np.ndarray:
@@ -96,26 +120,47 @@ def shingles(text: str, words: int, distinct: bool = False) -> np.ndarray:
     return np.unique(h) if distinct else h
 
 
+class _Words(dict):
+    """Hashes of words, with a bound on how many are kept."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        out = self[word] = xxhash.xxh64_intdigest(word, 42)
+        return out
+
+
+def shingle_sets(text: str, words: int, memo: _Words) -> np.ndarray:
+    """One sorted hash for each different shingle, from its words' hashes: for sets, where no particular hash is asked for."""
+    w = text.encode("utf-8", "surrogatepass").lower().split()
+    if not w:
+        return np.zeros(0, np.uint64)
+    h = np.fromiter(map(memo.__getitem__, w), np.uint64, len(w))
+    k = min(words, len(w))
+    total = np.zeros(len(w) - k + 1, np.uint64)
+    for i in range(k):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + h[i : len(w) - k + 1 + i]
+    total ^= total >> np.uint64(31)
+    total *= np.uint64(0xD6E8FEB86659FD93)
+    total ^= total >> np.uint64(32)
+    return np.unique(total)
+
+
 def fingerprint(text: str, words: int, multipliers: np.ndarray, distinct: bool = False) -> np.ndarray:
     """One unsigned 64-bit fingerprint for each multiplier; the first multiplier is 1, which keeps the hash."""
     return _signs(shingles(text, words, distinct), multipliers)
 
 
 def _signs(h: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
-    if not len(h):
-        return np.zeros(len(multipliers), np.uint64)
-    out = np.empty(len(multipliers), np.uint64)
-    for i, m in enumerate(multipliers):
-        x = h
-        if i:
-            x = (h ^ (h >> np.uint64(29))) * m
-            x ^= x >> np.uint64(32)
-        total = np.zeros(64, np.int64)
-        for at in range(0, len(x), 65536):  # bounded memory for very long texts
-            part = x[at : at + 65536].astype(">u8").view(np.uint8).reshape(-1, 8)
-            total += np.unpackbits(part, axis=1).sum(0, dtype=np.int32)
-        out[i] = int.from_bytes(np.packbits(2 * total > len(x)).tobytes(), "big")
-    return out
+    total = np.zeros(64 * len(multipliers), np.int64)
+    for at in range(0, len(h), 255):  # so many rows that a sum fits a byte
+        part = h[at : at + 255]
+        x = (part ^ (part >> np.uint64(29)))[:, None] * multipliers
+        x ^= x >> np.uint64(32)
+        x[:, 0] = part
+        bits = np.unpackbits(x.astype(">u8").view(np.uint8), axis=1)
+        total += np.add.reduce(bits, axis=0, dtype=np.uint8)
+    return np.packbits(2 * total > len(h)).view(">u8").astype(np.uint64)
 
 
 def _multipliers(signs: int) -> np.ndarray:
@@ -123,28 +168,46 @@ def _multipliers(signs: int) -> np.ndarray:
     return np.concatenate((np.array([1], np.uint64), rest))
 
 
+def _identified(docs: DataFrame) -> DataFrame:
+    """doc_id, digest (of the text) and text: what tells a document from others with its id."""
+    return docs.select("doc_id", F.xxhash64("text").alias("digest"), "text")
+
+
 def fingerprints(docs: DataFrame, how: SimHash = SimHash()) -> DataFrame:
-    """doc_id and `fps`, the fingerprints as longs, of every row."""
+    """doc_id, digest and `fps`, the fingerprints as longs, of every row. With `distinct`, `fps` ends with the set's own hash."""
     multipliers, words, distinct = _multipliers(how.signs), how.words, how.distinct
     kind = docs.schema["doc_id"].dataType.simpleString()
+    width = how.signs + distinct
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = _Words()
         for batch in batches:
-            fps = [fingerprint(t or "", words, multipliers, distinct).view(np.int64) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].values, "fps": fps})
+            out = np.zeros((batch.num_rows, width), np.uint64)
+            for i, text in enumerate(batch.column(2)):
+                t = text.as_py() or ""
+                h = shingle_sets(t, words, memo) if distinct else shingles(t, words)
+                out[i, : how.signs] = _signs(h, multipliers)
+                if distinct:
+                    out[i, -1] = xxhash.xxh64_intdigest(h.tobytes())
+            offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * width)
+            fps = pa.ListArray.from_arrays(offsets, pa.array(out.view(np.int64).ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), fps], names=["doc_id", "digest", "fps"])
 
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, fps array<long>")
+    return _identified(docs).mapInArrow(run, f"doc_id {kind}, digest long, fps array<long>")
 
 
 def _keys(nodes: DataFrame, how: SimHash) -> DataFrame:
-    """A row for each node, fingerprint and start of a chain: `key`, the equal leading segments."""
+    """A row for each node, fingerprint and start of a chain: `key`, the equal leading segments, `own`, that
+    fingerprint, and `fps`, those that the distance compares."""
     masks = how.masks()
     key = []
     for sign in range(how.signs):
         for i in range(how.segments):
             mask = int(np.bitwise_or.reduce(masks[[(i + j) % how.segments for j in range(how.lead)]]).view(np.int64))
-            key.append(F.struct(F.lit(sign * how.segments + i).alias("t"), F.get("fps", F.lit(sign)).bitwiseAND(F.lit(mask)).alias("key")))
-    return nodes.select("node", "fps", F.explode(F.array(*key)).alias("k")).select("node", "fps", "k.t", "k.key")
+            own = F.get("fps", F.lit(sign))
+            key.append(F.struct(F.lit(sign * how.segments + i).alias("t"), own.bitwiseAND(F.lit(mask)).alias("key"), own.alias("own")))
+    compared = F.slice("fps", 1, how.compared or how.signs)
+    return nodes.select("node", compared.alias("fps"), F.explode(F.array(*key)).alias("k")).select("node", "fps", "k.t", "k.key", "k.own")
 
 
 def _dealt(keys: DataFrame, how: SimHash) -> DataFrame:
@@ -157,7 +220,7 @@ def _dealt(keys: DataFrame, how: SimHash) -> DataFrame:
     large = settled(counts)
     few = large.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
     many = keys.join(F.broadcast(large) if few else large, ["t", "key"], "left").withColumn("blocks", F.coalesce(F.ceil(F.col("n") / how.grid), F.lit(1)).cast("int"))
-    return many.select("t", "key", "node", "fps", F.explode(_parts()).alias("part"))
+    return many.select("t", "key", "node", "own", "fps", F.explode(_parts()).alias("part"))
 
 
 def _parts() -> Column:
@@ -179,7 +242,7 @@ def _roots(roots: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             roots[:] = up
 
 
-def linked(group: np.ndarray, start: np.ndarray, fps: np.ndarray, how: SimHash) -> np.ndarray:
+def linked(group: np.ndarray, start: np.ndarray, own: np.ndarray, fps: np.ndarray, how: SimHash) -> np.ndarray:
     """Root (a position) of each row, by links inside equal runs of `group`; rows are sorted by group.
 
     Row i is compared with row i + lag for lag = 1, 2, ...; pairs that are joined already need no
@@ -197,9 +260,9 @@ def linked(group: np.ndarray, start: np.ndarray, fps: np.ndarray, how: SimHash)
         for at in range(0, len(a), 65536):
             i = a[at : at + 65536]
             j = i + lag
-            sign, seg = start[i] // how.segments, start[i] % how.segments
+            seg = start[i] % how.segments
             if how.lead < how.segments:
-                diff = fps[i, sign] ^ fps[j, sign]
+                diff = own[i] ^ own[j]
                 total = np.zeros(len(i), np.int64)
                 ok = np.ones(len(i), bool)
                 for length in range(how.segments):
@@ -237,9 +300,10 @@ def links(nodes: DataFrame, how: SimHash) -> DataFrame:
     """(a, b): a forest that connects the nodes (node, fps) just as all links between them would."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole, new, cols in _buckets(batches, ["t", "key", "part"]):
+        for whole, new, cols in _buckets(batches, order):
             fps = whole.column("fps").flatten().to_numpy().view(np.uint64).reshape(whole.num_rows, -1)
-            roots = linked(new, cols[:, 0], fps, how)
+            own = whole.column("own").to_numpy().view(np.uint64)
+            roots = linked(new, cols[:, 0], own, fps, how)
             far = roots != np.arange(len(roots))
             node = whole.column("node").to_numpy()
             yield pa.RecordBatch.from_arrays([pa.array(node[roots[far]]), pa.array(node[far])], names=["a", "b"])
@@ -276,19 +340,20 @@ def alike(sets: list[np.ndarray], similarity: float) -> np.ndarray:
         left[i] = False
 
 
-def verified(docs: DataFrame, nodes: DataFrame, found: DataFrame, how: SimHash) -> DataFrame:
-    """(a, b): a forest of the links by `similarity` between nodes (node, fps) of a component of `found` (id, component).
+def verified(docs: DataFrame, loose: DataFrame, how: SimHash) -> DataFrame:
+    """(a, b): a forest of the links by `similarity` inside each component of proposals.
 
-    Only these nodes' texts are read again, once each. Of a repeated id the text with the node's fingerprints counts.
+    loose: (doc_id, digest, node, component), one row a node. Only these texts are read again, once each.
     """
-    multipliers, words, similarity = _multipliers(how.signs), how.words, how.similarity
+    words, similarity = how.words, how.similarity
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = _Words()
         for batch in batches:
-            sets = [shingles(t or "", words, True) for t in batch["text"]]
-            same = [np.array_equal(_signs(x, multipliers).view(np.int64), f) for x, f in zip(sets, batch["fps"], strict=True)]
-            batch = batch.assign(shingles=[x.view(np.int64) for x in sets])[["node", "component", "shingles"]]
-            yield batch[np.array(same, bool)]
+            sets = [shingle_sets(t.as_py() or "", words, memo).view(np.int64) for t in batch.column(2)]
+            offsets = np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*sets, np.zeros(0, np.int64)])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["node", "component", "shingles"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole, new, _ in _buckets(batches, order):
@@ -302,9 +367,9 @@ def verified(docs: DataFrame, nodes: DataFrame, found: DataFrame, how: SimHash)
                 yield pa.RecordBatch.from_arrays([pa.array(node[a:b][roots[far]]), pa.array(node[a:b][far])], names=["a", "b"])
 
     order = ["component", "part"]
-    loose = nodes.join(found, nodes["node"] == found["id"]).select("node", "component", "fps")
-    texts = docs.select("doc_id", "text").join(loose, F.col("doc_id") == F.col("node")).select("node", "component", "fps", "text")
-    sets = settled(texts.mapInPandas(read, "node long, component long, shingles array<long>"))
+    texts = _identified(docs).join(loose, ["doc_id", "digest"]).select("node", "component", "text")
+    # a document that stands in several rows counts once
+    sets = settled(texts.mapInArrow(read, "node long, component long, shingles array<long>").dropDuplicates(["node"]))
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / how.grid), F.ceil(F.sum(F.size("shingles")) / MOST_SHINGLES)).cast("int")
     large = settled(sets.groupBy("component").agg(blocks.alias("blocks")).where("blocks > 1"))
     few = large.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
@@ -313,31 +378,59 @@ def verified(docs: DataFrame, nodes: DataFrame, found: DataFrame, how: SimHash)
     return dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "a long, b long")
 
 
-def groups(docs: DataFrame, how: SimHash = SimHash()) -> DataFrame:
-    """doc_id, fps, component_id for each row: the smallest id among documents that links reach."""
-    fps = settled(fingerprints(docs, how))
-    # the smallest id stands for all documents with the same fingerprints
-    nodes = settled(fps.where("doc_id is not null").groupBy("fps").agg(F.min("doc_id").cast("long").alias("node")))
-    # an id that stands on rows with different texts links their nodes
-    least = fps.where("doc_id is not null").groupBy("doc_id").agg(F.min("fps").alias("least"))
-    odd = fps.join(least, "doc_id").where("fps != least").select("fps", "least").distinct()
-    one, two = nodes.select("fps", F.col("node").alias("a")), nodes.select(F.col("fps").alias("least"), F.col("node").alias("b"))
+def _classes(docs: DataFrame, how: SimHash, by_id: bool) -> tuple[DataFrame, DataFrame]:
+    """Rows (row, doc_id, digest, fps) and nodes (fps, node, n, least, component): the smallest row with
+    the fingerprints stands for all, n of them, with smallest id `least`; component is null for a node without links."""
+    rows = settled(fingerprints(docs, how).withColumn("row", F.monotonically_increasing_id()))
+    known = rows.where("doc_id is not null")
+    nodes = settled(known.groupBy("fps").agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("least")))
     near = links(nodes, how)
     if how.similarity is not None:
-        near = verified(docs, nodes, components(near), how)
-    found = components(near.union(odd.join(one, "fps").join(two, "least").select("a", "b")))
-    nodes = nodes.join(found, nodes["node"] == found["id"], "left").select("fps", F.coalesce("component", "node").alias("component_id"))
-    f, n = fps.alias("f"), nodes.alias("n")
-    return f.join(n, (F.col("f.fps") == F.col("n.fps")) & F.col("f.doc_id").isNotNull(), "left").select("f.doc_id", "f.fps", "n.component_id")
+        found = components(near)
+        loose = known.join(found, known["row"] == found["id"]).select("doc_id", "digest", F.col("row").alias("node"), "component")
+        near = verified(docs, loose, how)
+    if by_id:
+        # an id that stands on rows with different texts links their nodes
+        several = known.groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a != b").select("doc_id")
+        odd = known.join(several, "doc_id", "left_semi").select("doc_id", "fps").join(nodes.select("fps", "node"), "fps")
+        least = odd.groupBy("doc_id").agg(F.min("node").alias("a"))
+        near = near.union(odd.join(least, "doc_id").select("a", F.col("node").alias("b")))
+    found = components(near)
+    return rows, nodes.join(found, nodes["node"] == found["id"], "left").drop("id")
+
+
+def groups(docs: DataFrame, how: SimHash = SimHash()) -> DataFrame:
+    """doc_id, fps, component_id for each row: the smallest id among documents that links reach.
+
+    An id stands for one document, whatever its rows' texts: they belong together.
+    """
+    rows, nodes = _classes(docs, how, by_id=True)
+    nodes = settled(nodes)
+    named = nodes.where("component is not null").groupBy("component").agg(F.min("least").alias("first"))
+    with_name = nodes.join(named, "component", "left").select("fps", F.coalesce("first", "least").alias("component_id"))
+    r, n = rows.alias("r"), with_name.alias("n")
+    return r.join(n, (F.col("r.fps") == F.col("n.fps")) & F.col("r.doc_id").isNotNull(), "left").select("r.doc_id", "r.fps", "n.component_id")
 
 
-def one_of_each(docs: DataFrame, how: SimHash = NEAR_COPIES) -> DataFrame:
-    """Rows of `docs`, with all their columns, that stay: of each group the one with the smallest id.
+def one_of_each(docs: DataFrame, how: SimHash | None = None) -> DataFrame:
+    """Rows of `docs`, with all their columns, that stay: of each group the document with the smallest id.
 
-    Rows without an id stay. Of rows that repeat an id and its text one stays.
+    Documents are told apart by id and text: rows that share an id but not a text are different documents (of
+    equal ids in a group the one with the smallest hash of the text stays). Of rows that repeat an id and its text
+    one stays, the one with the smallest hash of all columns. Rows without an id stay. Texts aren't shuffled but in
+    the two joins by which they are read again, and not there while the ids concerned are few enough to be broadcast.
     """
-    keep = groups(docs, how).where("doc_id = component_id").select(F.col("component_id").alias("kept_id")).distinct()
-    with_id = docs.where("doc_id is not null")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    stay = with_id.join(keep, with_id["doc_id"] == keep["kept_id"], "left_semi").withColumn("_row", F.row_number().over(first)).where("_row = 1").drop("_row")
-    return stay.unionByName(docs.where("doc_id is null"))
+    how = how or near_copies(docs.count())
+    rows, nodes = _classes(docs, how, by_id=False)
+    busy = nodes.where("n > 1 or component is not null").select("fps", F.coalesce("component", "node").alias("class"))
+    member = settled(rows.where("doc_id is not null").join(busy, "fps").groupBy("class", "doc_id", "digest").agg(F.count(F.lit(1)).alias("n")))
+    first = member.groupBy("class").agg(F.min(F.struct("doc_id", "digest")).alias("first"))
+    told = member.join(first, "class").withColumn("stays", F.struct("doc_id", "digest") == F.col("first"))
+    go = told.where("not stays").select("doc_id", "digest")
+    again = told.where("stays and n > 1").select("doc_id", "digest")
+    each = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("digest"))
+    stay = each.join(go, ["doc_id", "digest"], "left_anti")
+    once = stay.join(again, ["doc_id", "digest"], "left_anti")
+    order = Window.partitionBy("doc_id", "digest").orderBy(F.xxhash64(F.to_json("row")))
+    one = stay.join(again, ["doc_id", "digest"], "left_semi").withColumn("i", F.row_number().over(order)).where("i = 1")
+    return once.select("row.*").union(one.select("row.*"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 from collections import Counter
 
-import numpy as np
 import pytest
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
@@ -43,32 +42,6 @@ def test_toxic_documents_go(spark, stages):
     assert rows(stages[1]) == sorted(map(tuple, want), key=str) and len(want) < stages[0].count()
 
 
-def test_one_of_each_group_stays(stages):
-    how = simhash.NEAR_COPIES
-    m = simhash._multipliers(how.signs)
-    docs = {r["doc_id"]: r for r in stages[1].collect()}
-    fps = {i: simhash.fingerprint(r["text"] or "", how.words, m) for i, r in docs.items()}
-    root = {i: i for i in docs}
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    ids, masks = sorted(docs), how.masks()
-    for k, i in enumerate(ids):
-        for j in ids[:k]:
-            diff = fps[i] ^ fps[j]
-            if np.bitwise_count(diff).sum() <= how.tau:
-                parts = np.bitwise_count(diff[:, None] & masks)
-                chains = [all(np.roll(p, -s)[: n + 1].sum() <= max(b, 0 if n else 0) for n, b in enumerate(how.budgets)) and np.roll(p, -s)[0] == 0 for p in parts for s in range(how.segments)]
-                if any(chains):
-                    a, b = find(i), find(j)
-                    root[max(a, b)] = min(a, b)
-    assert rows(stages[2]) == sorted((tuple(docs[i]) for i in ids if find(i) == i), key=str)
-    assert stages[2].count() < len(ids)
-
-
 def test_near_copies_by_exact_similarity(stages):
     """Of each group that five-word similarities of 0.8 link, over all pairs, the smallest id stays."""
     docs = {r["doc_id"]: r for r in stages[1].collect()}

@@ -144,7 +144,61 @@ def test_repeated_ids(spark):
     a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
     df = spark.createDataFrame([(5, a), (5, b), (7, a), (3, b), (3, b)], "doc_id long, text string")
     assert {x["component_id"] for x in simhash.groups(df).collect()} == {3}
-    assert [x["doc_id"] for x in simhash.one_of_each(df, simhash.SimHash()).collect()] == [3]
+    # an id with two texts is two documents for deduplication: (5, a) stands for (7, a), (3, b) for (5, b)
+    assert sorted(map(tuple, simhash.one_of_each(df, simhash.SimHash()).collect())) == [(3, b), (5, a)]
+
+
+def test_ids_and_columns_stay_as_they_are(spark):
+    """Ids above 2^53 beside a null one; columns named like those used inside; repeated rows."""
+    big, t = 2**53 + 1, " ".join(f"a{i}" for i in range(30))
+    names = "doc_id long, text string, _row int, row string, digest long, component int, node int, fps int, i int"
+    rest = (7, "r", 1, 2, 3, 4, 5)
+    rows = [(big, t, *rest), (big, t, *rest), (None, t, *rest), (None, t, *rest), (big + 2, t, *rest), (big + 4, "other words", *rest), (big + 6, None, *rest), (big + 8, "", *rest)]
+    df = spark.createDataFrame(rows, names)
+    got = {x["doc_id"]: x["component_id"] for x in simhash.groups(df).collect()}
+    assert got == {big: big, big + 2: big, big + 4: big + 4, big + 6: big + 6, big + 8: big + 6, None: None}
+    for how in (None, simhash.SimHash()):
+        kept = sorted(map(tuple, simhash.one_of_each(df, how).collect()), key=str)
+        assert kept == sorted([rows[0], rows[2], rows[3], rows[5], rows[6]], key=str)
+    text_ids = spark.createDataFrame([("b", t), ("a", t), ("c", "x")], "doc_id string, text string")
+    assert sorted(x["doc_id"] for x in simhash.one_of_each(text_ids).collect()) == ["a", "c"]
+    assert simhash.one_of_each(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("texts", [0, 10**8, 10**10])
+def test_recall_of_the_keys(texts):
+    """At a similarity of just 0.8 the stated share of pairs is proposed, whatever the corpus' size asks of the keys."""
+    how = simhash.near_copies(texts)
+    assert how.bits >= math.log2(max(texts, 2**24) / 256) - 1e-9 and how.segments * how.bits <= 64
+    r, m = random.Random(texts), simhash._multipliers(how.signs)
+    hit, n = 0, 150
+    for _ in range(n):
+        a = [f"z{r.randrange(10**6)}" for _ in range(230)]
+        b = list(a)
+        for p in range(10, 10 + 40 * 5, 40):
+            b[p] = "edit"
+        assert jaccard(" ".join(a), " ".join(b)) == 201 / 251
+        f = [simhash._signs(simhash.shingle_sets(" ".join(x), 5, simhash._Words()), m) for x in (a, b)]
+        near = np.bitwise_count(f[0][: how.compared] ^ f[1][: how.compared]).sum() <= how.tau
+        key = False
+        for s in range(how.signs):
+            own = np.array([x[s] for x in f])
+            for start in range(how.segments):
+                masks = how.masks()
+                if not (own[0] ^ own[1]) & masks[start]:
+                    key |= bool(simhash.linked(np.zeros(2), np.full(2, start), own, np.stack([x[: how.compared] for x in f]), how)[1] == 0)
+        hit += bool(near and key)
+    assert hit / n >= 0.9
+
+
+def test_shingle_sets_are_the_shingles():
+    r = random.Random(3)
+    for _ in range(60):
+        t = " ".join(r.choice("abcdefg") for _ in range(r.randrange(0, 60)))
+        assert len(simhash.shingle_sets(t, 5, simhash._Words())) == len(simhash.shingles(t, 5, True))
+    a, b = "p q r s t u v w", "x q r s t u v w"
+    memo = simhash._Words()
+    assert len(np.intersect1d(simhash.shingle_sets(a, 5, memo), simhash.shingle_sets(b, 5, memo))) == 3
 
 
 def test_near_copies(spark):
