@@ -16,13 +16,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set."""
+    """The folder that driver and executors share; a temporary one only where none is set and all run on this machine."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
     kept = sc._jsc.sc().getCheckpointDir()
     if kept.isEmpty():
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="clickloom-"))
         kept = sc._jsc.sc().getCheckpointDir()
     return kept.get().rstrip("/")

@@ -5,8 +5,10 @@ hash. The stream is cut into blocks of equally many words. Slots of the mix take
 golden-ratio sequence, which fall through the cumulative shares of the sources; the r-th slot of
 a source takes its block r mod (number of blocks), so that a stream starts again when it has ended.
 
-Positions in a stream are running sums over hash ranges (`RANGES` for each source) and then inside
-each range, ranks of slots likewise over runs of slots, so that no source is ever in one task.
+Positions in a stream are running sums over hash ranges (`RANGES` for each source, more for a large
+table, so that a range stays a small share of it) and then inside each range, ranks of slots likewise
+over runs of slots, so that no source is ever in one task. Only windows over one row a source, and over
+one row a range of one source, stand in one task.
 
 A null text has size 0, a null source is a source of its own and comes last; repeated rows count
 as often as they stand; a source without words has target 0; an empty table gives an empty result.
@@ -20,8 +22,12 @@ from pyspark.sql import functions as F
 
 from .common import settled, sizes
 
-#: Hash ranges of each source; the golden ratio's share of 2**31, odd, so that it runs through all points.
+#: Least hash ranges of each source, a power of two; the golden ratio's share of 2**31, odd, so that it runs through all points.
 RANGES, PERIOD, GOLDEN = 1024, 2**31, 1_327_217_885
+#: Documents of a range, if all were of one source.
+ROWS = 65_536
+#: Copies of one row that a task emits in one go.
+RUN = 1_000
 #: No document is taken more often than this.
 MOST = 3
 
@@ -54,9 +60,10 @@ def _streams(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Texts are read once; what is kept of them (five numbers a document) is written and reread.
     """
+    ranges = max(RANGES, 1 << (docs.count() // ROWS).bit_length())
     sized = settled(
         docs.select("doc_id", "source", sizes().alias("size"), F.xxhash64(F.lit("mix"), "doc_id", "text").alias("h")).withColumn(
-            "bin", F.shiftrightunsigned("h", 64 - RANGES.bit_length() + 1)
+            "bin", F.shiftrightunsigned("h", 64 - ranges.bit_length() + 1)
         )
     )
     bins = sized.groupBy("source", "bin").agg(F.sum("size").alias("in_bin"))
@@ -140,16 +147,22 @@ def repeated(docs: DataFrame, block: int = 2048, weights: tuple[int, ...] = (1,
     A document that the end of the schedule cuts stands once more if at least half of it is taken.
     Rows that repeat an id and a text share their copies evenly.
     """
-    h = F.xxhash64(F.lit("mix"), "doc_id", "text")
-    copies = (
+    copies = settled(
         mix(docs, block, weights, most, keys=True)
         .where("size > 0")
         .groupBy("h", "doc_id")
-        .agg(F.sum(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("int").alias("copies"), F.count(F.lit(1)).cast("int").alias("rows"))
+        .agg(F.sum(F.floor(F.col("taken") / F.col("size") + 0.5)).cast("long").alias("copies"), F.count(F.lit(1)).alias("rows"))
         .where("copies > 0")
+        .select(F.col("h").alias("ch"), F.col("doc_id").alias("cid"), "copies", "rows")
     )
-    d = docs.withColumn("_h", h).withColumn("_i", F.row_number().over(Window.partitionBy("_h", "doc_id").orderBy("_h"))).alias("d")
-    c = copies.alias("c")
-    joined = d.join(c, (F.col("d._h") == F.col("c.h")) & F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")))
-    times = F.expr("array_repeat(1, cast((copies + rows - _i) div rows as int))")
-    return joined.withColumn("_copy", F.explode(times)).select(*(F.col(f"d.`{x}`") for x in docs.columns))
+    each = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64(F.lit("mix"), "doc_id", "text").alias("h"))
+    same = (F.col("h") == F.col("ch")) & F.col("id").eqNullSafe(F.col("cid"))
+    once = each.join(copies.where("rows = 1"), same).select("row", "copies")
+    # equal rows are counted, not ranked; different rows of one id and text share by running sums over their counts
+    several = each.join(copies.where("rows > 1"), same).groupBy("row", "h", "id", "copies", "rows").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("h", "id").orderBy(F.xxhash64(F.to_json("row"))).rowsBetween(Window.unboundedPreceding, 0))
+    share = F.floor(upto * F.col("copies") / F.col("rows")) - F.floor((upto - F.col("n")) * F.col("copies") / F.col("rows"))
+    # many copies of one row leave in runs, which are dealt to all tasks
+    runs = several.select("row", share.alias("copies")).where("copies > 0").select("row", "copies", F.explode(F.expr(f"sequence(0L, copies - 1, {RUN}L)")).alias("at"))
+    dealt = runs.repartition(F.xxhash64("row", "at")).select("row", F.least(F.lit(RUN), F.col("copies") - F.col("at")).alias("copies"))
+    return once.unionByName(dealt).select("row", F.explode(F.expr("array_repeat(1, cast(copies as int))"))).select("row.*")

@@ -7,7 +7,7 @@ counted in documents. Terms that occur with the entity in `support` documents or
 `disclosure` of it are generalised (capitalised ones) or removed like the entity itself, wherever they stand in
 a document that holds it.
 
-Whole texts are scanned, in code points; all counts are over all documents. A null text counts as
+Whole texts are scanned, in code points; all counts are over all rows, each of which is a document. A null text counts as
 empty. Rows with the same id and text have the same spans; an empty table gives an empty result; of
 the input only doc_id and text are read, so other columns can't clash.
 
@@ -104,10 +104,9 @@ def term_counts(docs: DataFrame) -> DataFrame:
 def _held(texts: DataFrame, n: int, how: Sanitise) -> DataFrame:
     """(row, class, n_entity): a class is the entities of the same documents; those below the support can't be disclosed.
 
-    Of rows with the same id and text the first stands for all.
+    Each row is a document, as in all counts, even where it repeats an id and a text.
     """
-    first = texts.groupBy("doc_id", "digest").agg(F.min("row").alias("row")).select("row")
-    held = texts.select("row", F.explode(F.array_distinct(F.expr(f"transform(base, b -> {_entity('b')})"))).alias("entity")).join(first, "row", "left_semi")
+    held = texts.select("row", F.explode(F.array_distinct(F.expr(f"transform(base, b -> {_entity('b')})"))).alias("entity"))
     two = [F.bit_xor(F.xxhash64(F.lit(salt), "row")).cast("string") for salt in (1, 2)]
     count = F.count(F.lit(1))
     classes = held.groupBy("entity").agg(count.alias("n_entity"), F.concat_ws(":", count.cast("string"), *two).alias("class"))
@@ -153,11 +152,11 @@ def digests(found: DataFrame) -> DataFrame:
 
 def sanitise(docs: DataFrame, how: Sanitise = Sanitise()) -> DataFrame:
     """`docs` with every base span generalised to its kind, and disclosing terms to <name> or removed."""
-    spans = find(docs, how).dropDuplicates(["doc_id", "digest"])
-    d, s = docs.withColumn("_digest", F.md5(F.coalesce("text", F.lit("")))).alias("d"), spans.alias("s")
-    joined = d.join(s, F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d._digest") == F.col("s.digest")), "left")
-    ordered = """array_sort(concat(transform(s.base, x -> struct(x.start as start, x.end as end, concat('<', x.kind, '>') as mark)),
-        transform(s.terms, x -> struct(x.start as start, x.end as end,
+    spans = find(docs, how).dropDuplicates(["doc_id", "digest"]).withColumnsRenamed({"doc_id": "sid", "digest": "sdigest"})
+    d = docs.select(F.struct("*").alias("d"), F.md5(F.coalesce("text", F.lit(""))).alias("digest"))
+    joined = d.join(spans, F.col("d.doc_id").eqNullSafe(F.col("sid")) & (F.col("digest") == F.col("sdigest")), "left")
+    ordered = """array_sort(concat(transform(base, x -> struct(x.start as start, x.end as end, concat('<', x.kind, '>') as mark)),
+        transform(terms, x -> struct(x.start as start, x.end as end,
           case when substring(d.text, x.start + 1, 1) rlike '\\\\p{Lu}' then '<name>' else '' end as mark))))"""
     clean = f"""case when d.text is null then null else aggregate({ordered}, struct('' as out, 0 as at),
         (a, x) -> case when x.start < a.at then struct(a.out as out, greatest(a.at, x.end) as at)

@@ -54,14 +54,14 @@ def statistics(text: str) -> tuple[float, ...]:
     )
 
 
-def with_statistics(docs: DataFrame) -> DataFrame:
-    """doc_id and `s`, the struct of STATISTICS, of every row."""
+def with_statistics(docs: DataFrame, *others: str) -> DataFrame:
+    """doc_id, `others` and `s`, the struct of STATISTICS, of every row."""
 
     @F.pandas_udf(", ".join(f"{x} double" for x in STATISTICS))
     def run(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([statistics(t or "") for t in texts], columns=list(STATISTICS), dtype=float)
 
-    return docs.select("doc_id", run("text").alias("s"))
+    return docs.select("doc_id", *others, run("text").alias("s"))
 
 
 #: (statistic, at most?, threshold); a rule holds where all its conditions do.
@@ -171,10 +171,11 @@ def ensemble(X: np.ndarray, y: np.ndarray, fit: Fit = Fit()) -> Ensemble:
 
 
 def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), label: str = "quality") -> Ensemble:
+    """The ensemble of the training rows: one of each labelled id, of several texts the one with the least statistics."""
     rows = F.broadcast(labelled_sample(labels, label, fit.sample))  # at most fit.sample rows of two numbers
     known = docs.select("doc_id", "text").join(rows, "doc_id")
-    found = with_statistics(known).join(rows, "doc_id").select("doc_id", "y", *(f"s.{x}" for x in STATISTICS)).distinct().limit(fit.sample)
-    got = found.toPandas().sort_values(["doc_id", *STATISTICS], kind="stable")  # one order on every run
+    found = with_statistics(known, "y").groupBy("doc_id", "y").agg(F.min("s").alias("s")).select("doc_id", "y", "s.*")
+    got = found.toPandas().sort_values("doc_id", kind="stable")  # one order on every run
     return ensemble(got[list(STATISTICS)].to_numpy(float), (got["y"] > 0).to_numpy(float), fit)
 
 

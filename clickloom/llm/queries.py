@@ -103,7 +103,7 @@ SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 20""",
 WITH u AS (SELECT page_id, coalesce(url, '') AS url FROM pages),
 s AS (SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM u),
 h AS (SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
-  string_split_regex(lower(url), '[^\\p{{L}}\\p{{N}}]+') AS words FROM s),
+  string_split_regex(lower(coalesce(TRY(url_decode(url)), url)), '[^\\p{{L}}\\p{{N}}]+') AS words FROM s),
 c AS (SELECT *, len(list_filter(words, lambda w: list_contains({_list(urls.STRICT)}, w))) AS n_strict, len(list_distinct(list_filter(words, lambda w: list_contains({_list(urls.SOFT)}, w)))) AS n_soft FROM h)
 SELECT page_id, host, path, CASE {_fits(1)} END AS rule,
   CASE {_fits(0)} WHEN n_strict > 0 OR n_soft >= 2 THEN 'block' ELSE 'allow' END AS verdict, n_strict, n_soft FROM c""",

@@ -1,9 +1,9 @@
 """Secret scan: base patterns, then assignment-aware lexing.
 
 The lexer reads source and configuration syntax into name-literal pairs (`name = "x"`, `"name": "x"`,
-`NAME=x`, `name := 'x'`, `name => "x"`, with `+` between literals), propagates constants (a name that
-is assigned another name stands for that name's literals) and scores each literal by how sensitive
-the names are that it reaches. A literal that scores `threshold` or more becomes a span of kind
+`NAME=x`, `name := 'x'`, `name => "x"`, with `+` between literals, triple-quoted strings and indented
+`name: |` blocks), propagates constants (a name that is assigned another name stands for that name's
+literals, through any number of names) and scores each literal by how sensitive the names are that it reaches. A literal that scores `threshold` or more becomes a span of kind
 `literal`; base spans stay as they are.
 
 Whole texts are scanned; a null text counts as empty and has no spans. Repeated rows are scanned
@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 KINDS = ("assign", "access", "hex", "literal")
@@ -41,6 +42,9 @@ _PAIR = re.compile(
     r"""(?<![A-Za-z0-9_$.-])["']?([A-Za-z_$][A-Za-z0-9_$.-]*+)["']?[\x20\t]*+(?::=|=>|[:=](?![=:]))[\x20\t]*+((?:STRING)(?:[\x20\t]*+\+[\x20\t]*+(?:STRING))*+|[^\s"'`,;(){}\[\]<>]++)""".replace("STRING", _STRING)
 )
 _STRINGS = re.compile(_STRING)
+_NAMED = r"(?<![A-Za-z0-9_$.-])[\"']?([A-Za-z_$][A-Za-z0-9_$.-]*+)[\"']?[\x20\t]*+"
+_TRIPLE = re.compile(_NAMED + r"""(?::=|=>|[:=])[\x20\t]*+(\"{3}|'{3})(?s:(.*?))\2""")
+_BLOCK = re.compile(r"(?m)^([\x20]*)(?:-\x20)?" + _NAMED + r":[\x20\t]*[|>][+-]?[\x20\t]*\n((?:\1\x20+\S[^\n]*(?:\n|\Z))+)")
 _NAME = re.compile(r"[A-Za-z_$][A-Za-z0-9_$.]*+\Z")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
@@ -60,11 +64,10 @@ _PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|-+|none|null|true|false|nil|undef
 
 @dataclass(frozen=True)
 class Scan:
-    """`threshold`: least score of a literal; `shortest`: of its characters; `hops`: most names a constant passes."""
+    """`threshold`: least score of a literal; `shortest`: of its characters; `names`: what the parts of a name weigh."""
 
     threshold: float = 0.8
     shortest: int = 6
-    hops: int = 8
     names: dict = field(default_factory=lambda: SENSITIVE | HARMLESS)
 
     def of_name(self, name: str) -> float:
@@ -90,17 +93,33 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def pairs(text: str) -> Iterator[tuple[str, list[tuple[int, int, str]]]]:
-    """(name, its literals as start, end, value) in the order of the text; one bare word is a literal too."""
+    """(name, its literals as start, end, value) in the order of the text; one bare word is a literal too.
+
+    What stands in a triple-quoted string or a block is read as the lines of one literal, and as pairs of its own.
+    """
     if "=" not in text and ":" not in text:
         return
+    found = []
+    if '"""' in text or "'''" in text:
+        found += [(m.start(), m.group(1), _lines(text, *m.span(3))) for m in _TRIPLE.finditer(text)]
+    if "|" in text or ">" in text:
+        found += [(m.start(), m.group(2), _lines(text, *m.span(3))) for m in _BLOCK.finditer(text)]
     for line in _LINE.finditer(text):
         for m in _PAIR.finditer(text, line.start(), line.end()):
             at, value = m.start(2), m.group(2)
             if value[0] in "\"'":
-                yield m.group(1), [(at + s.start() + 1, at + s.end() - 1, s.group()[1:-1]) for s in _STRINGS.finditer(value)]
-            else:
+                if value[:2] not in ('""', "''") or text[at : at + 3] not in ('"""', "'''"):
+                    found.append((m.start(), m.group(1), [(at + s.start() + 1, at + s.end() - 1, s.group()[1:-1]) for s in _STRINGS.finditer(value)]))
+            elif value not in ("|", ">", "|-", ">-", "|+", ">+"):
                 value = value.rstrip(".")
-                yield m.group(1), [(at, at + len(value), value)]
+                found.append((m.start(), m.group(1), [(at, at + len(value), value)]))
+    for _, name, literals in sorted(found, key=lambda x: x[0]):
+        yield name, literals
+
+
+def _lines(text: str, start: int, end: int) -> list[tuple[int, int, str]]:
+    """The lines between two places, without the spaces around them."""
+    return [(start + m.start(), start + m.end(), m.group()) for m in re.finditer(r"\S(?:[^\n]*\S)?", text[start:end])]
 
 
 def lexed_spans(text: str, scan: Scan) -> list[tuple[int, int, str]]:
@@ -108,10 +127,11 @@ def lexed_spans(text: str, scan: Scan) -> list[tuple[int, int, str]]:
     bound: dict[str, list[tuple[int, int, str]]] = {}
     wanted: list[tuple[float, list[tuple[int, int, str]]]] = []
     for name, literals in pairs(text):
-        score, hop = scan.of_name(name), 0
-        while len(literals) == 1 and hop < scan.hops and text[literals[0][0] - 1] not in "\"'" and _NAME.match(literals[0][2]) and literals[0][2] in bound:
-            literals, hop = bound[literals[0][2]], hop + 1
-        bound[name] = literals
+        score, passed = scan.of_name(name), {name}
+        while len(literals) == 1 and text[literals[0][0] - 1] not in "\"'" and _NAME.match(literals[0][2]) and literals[0][2] in bound and literals[0][2] not in passed:
+            passed.add(literals[0][2])
+            literals = bound[literals[0][2]]
+        bound.update(dict.fromkeys(passed, literals))  # so that no chain is followed twice
         if score > 0:
             wanted.append((score, literals))
     found = set()
@@ -145,18 +165,19 @@ def find_secrets(docs: DataFrame, scan: Scan = Scan()) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_literal for each row of `docs`."""
     kept = docs.schema["doc_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text in batch["text"]:
-                base, found = all_spans(text or "", scan)
+            for text in batch.column(1):
+                base, found = all_spans(text.as_py() or "", scan)
                 n = Counter(k for _, _, k in base)
                 rows.append((n["assign"], n["access"], n["hex"], hashlib.sha256(joined(base).encode()).hexdigest(), joined(found), len(found) - len(base)))
-            out = pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_literal"])
-            out.insert(0, "doc_id", batch["doc_id"].values)
-            yield out
+            columns = list(zip(*rows, strict=True)) or [()] * len(types)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names=names)
 
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kept}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_literal long")
+    names = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_literal"]
+    types = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()]
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kept}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_literal long")
 
 
 def redact_secrets(docs: DataFrame, scan: Scan = Scan()) -> DataFrame:

@@ -1,9 +1,11 @@
 """URL filter: host and path rules, then a weighted vocabulary matched by Aho-Corasick.
 
-The vocabulary has strict terms, one of which rejects, and soft terms, of which several different
-ones reject. A term counts where it stands between two characters that are neither letters nor
-digits (or at an end of the url), so that `sex` isn't found in `essex`. All terms are matched in
-one pass over each url, whatever their number.
+The vocabulary, given or read from a table, has strict terms, one of which rejects, and soft terms with
+weights, of which different ones reject together when their weights reach `reject_at`. A term counts where
+it stands between two characters that are neither letters nor digits (or at an end of the url), so that
+`sex` isn't found in `essex`. Percent-encoded characters are decoded for it (once; what is no UTF-8 becomes
+U+FFFD). All terms are matched in one pass over each url, whatever their number, so that time is linear in
+the url; of overlapping terms each counts.
 
 A null url and one without `://` has an empty host and path; such a url fits no rule and is judged
 by its whole text, a null one as ''. Repeated rows are judged alike; an empty table gives an empty
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 import ahocorasick
 import pandas as pd
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 
 # The rules of the query, in the order given.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
-# An example vocabulary; callers pass their own.
+# An example vocabulary, its soft terms weighing 1 each; callers pass or read their own.
 STRICT = ("porn", "porno", "xxx", "viagra", "cialis", "casino", "escort", "camgirls", "hentai", "spam", "warez")
 SOFT = ("adult", "bet", "cheap", "click", "dating", "free", "gambling", "loan", "nude", "pharmacy", "pills",
         "poker", "sex", "slots", "torrent", "winner")
@@ -30,16 +33,33 @@ SOFT = ("adult", "bet", "cheap", "click", "dating", "free", "gambling", "loan",
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """`reject_at`: so many different soft terms reject."""
+    """strict: one rejects; soft: terms, or (term, weight) pairs; `reject_at`: the sum of the weights of different soft terms that rejects."""
 
     strict: tuple[str, ...] = STRICT
-    soft: tuple[str, ...] = SOFT
-    reject_at: int = 2
+    soft: tuple[str | tuple[str, float], ...] = SOFT
+    reject_at: float = 2.0
+
+    @classmethod
+    def from_table(cls, terms: DataFrame, reject_at: float = 2.0, most: int = 100_000) -> Vocabulary:
+        """From rows (term, weight); a null weight marks a strict term, of repeated terms the largest weight counts.
+
+        It goes to every task, so more than `most` terms raise. Null and empty terms don't count.
+        """
+        low = F.lower("term")
+        found = terms.where(F.length("term") > 0).groupBy(low.alias("term")).agg(F.max("weight").cast("double").alias("weight"), F.count_if(F.col("weight").isNull()).alias("strict"))
+        rows = found.limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError(f"more than {most} terms")
+        strict = sorted(r["term"] for r in rows if r["strict"])
+        return cls(tuple(strict), tuple(sorted((r["term"], r["weight"]) for r in rows if not r["strict"])), reject_at)
 
     def automaton(self) -> ahocorasick.Automaton:
         found = ahocorasick.Automaton()
-        for term in (*self.soft, *self.strict):
-            found.add_word(term.lower(), (term.lower(), term in self.strict))
+        for term in self.soft:
+            name, weight = term if isinstance(term, tuple) else (term, 1.0)
+            found.add_word(name.lower(), (name.lower(), weight))
+        for name in self.strict:
+            found.add_word(name.lower(), (name.lower(), None))
         found.make_automaton()
         return found
 
@@ -47,16 +67,16 @@ class Vocabulary:
 def judge(urls: Iterable[str], vocabulary: Vocabulary, automaton: ahocorasick.Automaton) -> Iterator[tuple[int, int, bool]]:
     """For each url: strict hits, different soft terms hit, rejected or not."""
     for url in urls:
-        low = url.lower()
-        strict, soft = 0, set()
-        for last, (term, is_strict) in automaton.iter(low):
+        low = (unquote(url) if "%" in url else url).lower()
+        strict, soft = 0, {}
+        for last, (term, weight) in automaton.iter(low) if len(automaton) else ():
             before, after = last - len(term), last + 1
             if (before < 0 or not low[before].isalnum()) and (after == len(low) or not low[after].isalnum()):
-                if is_strict:
+                if weight is None:
                     strict += 1
                 else:
-                    soft.add(term)
-        yield strict, len(soft), strict > 0 or len(soft) >= vocabulary.reject_at
+                    soft[term] = weight
+        yield strict, len(soft), strict > 0 or sum(soft.values()) >= vocabulary.reject_at
 
 
 def _parts(url: Column) -> tuple[Column, Column]:

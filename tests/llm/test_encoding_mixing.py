@@ -128,3 +128,16 @@ def test_repeated(spark):
     assert got == {k: v for k, v in times.items() if v}
     assert mixing.mix(df.limit(0)).collect() == [] and mixing.repeated(df.limit(0)).collect() == []
     assert mixing.mix(spark.createDataFrame([(1, "", "a"), (2, None, None)], df.schema)).select("taken").distinct().collect()[0][0] == 0
+
+
+def test_repeated_rows_and_names(spark):
+    """Columns named like those used inside; rows that repeat an id and a text share its copies, different ones too."""
+    names = "doc_id long, text string, source string, _copy string, _h int, _i int, h string, copies int, row int"
+    rest = ("c", 1, 2, "h", 3, 4)
+    rows = [(i, f"some words of text {i}", "a", *rest) for i in range(60)] + [(7, "twin words here", "b", *rest)] * 50 + [(7, "twin words here", "b", *rest[:-1], 9)] * 30
+    df = spark.createDataFrame(rows, names)
+    taken = sum(int(r["taken"] / r["size"] + 0.5) for r in mixing.mix(df).collect() if r["source"] == "b")
+    got = [tuple(r) for r in mixing.repeated(df).collect()]
+    assert set(got) <= set(rows) and mixing.repeated(df).columns == df.columns
+    twins = [got.count(rows[60]), got.count(rows[-1])]
+    assert sum(twins) == taken > 80 and abs(twins[0] / sum(twins) - 5 / 8) < 0.05

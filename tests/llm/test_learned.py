@@ -117,3 +117,91 @@ def test_toxicity_with_empty_partitions(spark):
     docs, labels = tables(spark, corpus(60))
     few = docs.where("doc_id < 60").repartition(16, "doc_id")
     assert toxicity.learn(few, labels, toxicity.Fit(support=1, evidence=0.0, odds=0.5)).weights
+
+
+def plain_total(weights, exceptions, text, power):
+    """The lexicon without an automaton: every place of every term, one after another."""
+    low = toxicity.folded(text)
+    starts = lambda term: {i for i in range(len(low)) if low.startswith(term, i) and (i == 0 or not low[i - 1].isalnum())}
+    spared = {x for e in exceptions for i in starts(e) for x in range(i, i + len(e))}
+    best = {}
+    for term, w in weights.items():
+        for i in starts(term) - spared:
+            best[i] = max(best.get(i, 0.0), w)
+    return sum(best.values()) / (low.count(" ") + low.count("\n") + 1) ** power, len(best)
+
+
+def test_lexicon_by_brute_force():
+    r = random.Random(21)
+    words = ["trash", "trashy", "trash can", "can", "clown", "clownfish", "untrash", "TR4SH", "сlоwn", "fish", "not", "fine", "1045", "a.trash", "trash-can", "stupid", "not stupid", "stupid me"]
+    weights = {"trash": 2.0, "trashy": 3.0, "clown": 1.0, "stupid": 2.5, "stu": 0.5}
+    for _ in range(400):
+        text = "".join(r.choice(words) + r.choice([" ", " ", "\n", ", ", ""]) for _ in range(r.randrange(0, 25)))
+        x = toxicity.Lexicon(weights, power=0.1)
+        assert x.total(x.automaton(), text) == pytest.approx(plain_total(weights, x.exceptions, text, 0.1))
+    long = "trash can " * 30_000 + "trash"  # hits and exceptions in one long text
+    x = toxicity.Lexicon(weights, power=0.0)
+    assert x.total(x.automaton(), long) == (2.0, 1)
+
+
+def test_stem_counts_by_brute_force(spark):
+    """The learned weights are the smoothed log odds of plain counts over the training rows."""
+    import math
+
+    rows = corpus(300, seed=6)
+    docs, labels = tables(spark, rows)
+    fit = toxicity.Fit(support=2, odds=1.0, evidence=3.0)
+    train = [(toxicity.folded(t), y) for i, t, y, _ in rows if not held(i)]
+    n = [sum(y == k for _, y in train) for k in (0, 1)]
+    weights = toxicity.learn(docs, labels, fit).weights
+    learned = {k: w for k, w in weights.items() if k not in toxicity.SEED}
+    assert len(learned) >= 3
+    for stem, w in learned.items():
+        good, bad = (sum(any(x.startswith(stem) for x in toxicity._WORD.findall(t)) for t, y in train if y == k) for k in (0, 1))
+        assert w == pytest.approx(math.log((bad + 0.5) / (n[1] + 1)) - math.log((good + 0.5) / (n[0] + 1)))
+
+
+def test_ids_and_repeats_of_the_classifiers(spark):
+    """Ids above 2^53 beside a null one stay; documents that repeat an id change no model; repeated rows score alike."""
+    rows = corpus(300)
+    docs, labels = tables(spark, rows)
+    big = 2**53 + 1
+    odd = spark.createDataFrame([(big, "snarkel snarkel"), (None, "fine words"), (big, "snarkel snarkel")], "doc_id long, text string").coalesce(1)
+    twice = docs.unionByName(docs)
+    lex, lex2 = toxicity.learn(docs, labels), toxicity.learn(twice, labels)
+    got = toxicity.score(odd, lex).collect()
+    assert sorted((r["doc_id"] or 0) for r in got) == [0, big, big] and len({r["score"] for r in got if r["doc_id"]}) == 1
+    assert set(lex.weights) == set(lex2.weights) or len(lex2.weights) >= len(lex.weights)
+    q, q2 = quality.learn(docs, labels), quality.learn(twice, labels)
+    assert q == q2
+    got = quality.score(odd, q).collect()
+    assert sorted((r["doc_id"] or 0) for r in got) == [0, big, big] and len({r["score"] for r in got if r["doc_id"]}) == 1
+
+
+def test_statistics_by_brute_force():
+    """Every statistic against a plain count over bytes, words and lines."""
+    import math
+    from collections import Counter
+
+    r = random.Random(2)
+    parts = ["Word", "word", "ABC", "12", "a|b", "!", "x.", "y,", "#", "é", "\n", "\n\n", " ", "$$$", "the cat", "\t"]
+    for _ in range(300):
+        t = "".join(r.choice(parts) + r.choice(["", " "]) for _ in range(r.randrange(1, 40)))
+        b = t.encode()
+        w = [x for x in b.replace(b"\n", b" ").replace(b"\t", b" ").split(b" ") if x]
+        got = dict(zip(quality.STATISTICS, quality.statistics(t), strict=True))
+        if not w:
+            assert set(got.values()) == {0.0}
+            continue
+        share = lambda f: sum(f(bytes([c])) for c in b) / len(b)
+        lines = [x for x in b.split(b"\n") if x.strip()]
+        n = Counter(b)
+        want = {
+            "n_words": len(w), "mean_word": sum(map(len, w)) / len(w), "upper": share(lambda c: b"A" <= c <= b"Z"), "upper_words": sum(x.isupper() for x in w) / len(w),
+            "digits": share(lambda c: c.isdigit()), "marks": share(lambda c: c in b"#$%&*@^~_=+<>\\{}[]"), "bars": b.count(b"|") / len(w), "bangs": b.count(b"!") / len(w),
+            "stops": b.count(b".") / len(w), "commas": b.count(b",") / len(w), "odd": share(lambda c: not (c.isalpha() or c[0] >= 128)), "lines": len(lines),
+            "repeated_lines": 1 - len(set(lines)) / len(lines), "longest_line": max(map(len, lines)) / len(b), "distinct_words": len(set(w)) / len(w),
+            "top_word": max(Counter(w).values()) / len(w), "short_words": sum(len(x) <= 3 for x in w) / len(w), "odd_ends": sum(x[-1:] in b"#$%&*!|@" for x in w) / len(w),
+            "entropy": -sum(k / len(b) * math.log2(k / len(b)) for k in n.values()),
+        }
+        assert got == pytest.approx(want)

@@ -63,6 +63,28 @@ def test_secrets_lexing():
     assert secrets.redacted(text, secrets.all_spans(text, secrets.Scan())[1]) == 'x = "<secret>"\npwd = x\n<secret>"'
 
 
+def test_secrets_lexing_of_long_strings():
+    assert literals('private_key = """\nMIIEvQIBADANBg\n  kqhkiG9w0BAQEF\n"""\nnote = 1') == ["MIIEvQIBADANBg", "kqhkiG9w0BAQEF"]
+    assert literals("auth_token: |\n  abcDEF123456\n  ghiJKL789012\nname: fine-value\n") == ["abcDEF123456", "ghiJKL789012"]
+    assert literals("  signing_key: >-\n    abcDEF123456\n  label: ghiJKL789012\n") == ["abcDEF123456"]
+    assert literals('doc = """\nit is about a long\nstory\n"""') == []
+
+
+def test_secrets_constants_pass_any_number_of_names():
+    chain = "".join(f"n{i} = n{i + 1}\n" for i in range(40)) + 'n40 = "q1w2e3r4t5"\nclient_secret = n0\n'
+    assert literals(chain) == ["q1w2e3r4t5"]
+    assert literals("a = b\nb = a\nclient_secret = a\n") == []  # a circle has no literal longer than a name
+    long = 'k0 = "q1w2e3r4t5"\n' + "".join(f"k{i + 1} = k{i}\n" for i in range(20_000)) + "client_secret = k20000\n"
+    assert literals(long) == ["q1w2e3r4t5"]
+
+
+def test_secrets_ids_stay_as_they_are(spark):
+    big = 2**53 + 1
+    rows = [(big, "token = abcdefgh"), (None, "token = abcdefgh"), (big + 2, None)]
+    got = secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+    assert sorted(((r["doc_id"] or 0), r["n_assign"]) for r in got) == [(0, 1), (big, 1), (big + 2, 0)]
+
+
 def test_redaction_keeps_rows(spark):
     d = docs(spark, ["token = abcdefgh", None, "", "fine", "fine"])
     got = sorted(secrets.redact_secrets(d).collect())
@@ -133,6 +155,31 @@ def test_pii_terms_of_the_whole_document(spark):
     assert got == {0: ["Zorblatt", "zorblatt"], 1: ["Zorblatt"]}
 
 
+def test_pii_counts_rows(spark):
+    """Rows that repeat count in every number alike: a pair of rows is support enough, and the share is that of rows."""
+    texts = ["zorblatt jane@x.org"] * 2 + [f"often there are other words {i}" for i in range(40)]
+    d = spark.createDataFrame([(min(i, 1), t) for i, t in enumerate(texts[:1] * 2)] + [(i, t) for i, t in enumerate(texts[2:], 2)], "doc_id long, text string")
+    one_id = spark.createDataFrame([(0, texts[0]), (0, texts[0]), *enumerate(texts[2:], 2)], "doc_id long, text string")
+    for df in (d, one_id):
+        assert [[t["start"] for t in x["terms"]] for x in pii.find(df).collect() if x["terms"]] == [[0], [0]]
+
+
+def test_pii_columns_stay_as_they_are(spark):
+    d = spark.createDataFrame([(1, "a@b.co", "x", 5, "y"), (None, "fine", "z", 6, "w")], "doc_id long, text string, digest string, _digest int, base string")
+    got = sorted(map(tuple, pii.sanitise(d).collect()), key=str)
+    assert got == sorted([(1, "<email>", "x", 5, "y"), (None, "fine", "z", 6, "w")], key=str)
+
+
+def test_pii_dotted_numbers_by_brute_force(spark):
+    """Runs of dotted numbers, dense in zeros and leading zeros."""
+    r = random.Random(8)
+    part = lambda: r.choice(["0", "00", "000", "01", "1", "10", "99", "100", "199", "249", "255", "256", "300", "0255", "0256", "1000"])
+    texts = ["".join(part() + r.choice([*"........", "..", " ", "-", "@", ""]) for _ in range(r.randrange(3, 14))) for _ in range(4000)]
+    got = {x["doc_id"]: x for x in pii.digests(pii.find(docs(spark, texts))).collect()}
+    assert [i for i, t in enumerate(texts) if got[i]["base_sha256"] != sha(plain_pii(t))] == []
+    assert sum(x["n_ip"] for x in got.values()) > 500
+
+
 def test_pii_repeated_rows_and_ids(spark):
     d = spark.createDataFrame([(1, "a@b.co"), (1, "a@b.co"), (1, "x"), (None, "1.2.3.4"), (None, None)], "doc_id long, text string")
     got = sorted((x["doc_id"] or 0, x["spans"]) for x in pii.digests(pii.find(d)).collect())
@@ -175,3 +222,15 @@ def test_vocabulary_boundaries(text):
     words = re.findall(r"[^\W_]+", text.lower())
     want = sum(w in v.strict for w in words), len({w for w in words if w in v.soft})
     assert (strict, soft) == want and rejected == (want[0] > 0 or want[1] > 1)
+
+
+def test_vocabulary_from_a_table_and_percent_signs(spark):
+    t = spark.createDataFrame([("Foo", None), ("bar", 1.5), ("baz", 0.5), ("baz", 0.25), ("qux", 0.4), (None, None), ("", None), ("foo", 0.1)], "term string, weight double")
+    v = urls.Vocabulary.from_table(t)
+    assert v.strict == ("foo",) and v.soft == (("bar", 1.5), ("baz", 0.5), ("qux", 0.4))
+    given = ["http://a/%66oo", "http://a/b%61r-baz", "http://a/bar-qux", "http://a/bar-bar", "http://a/%zz%e9-foo%20", "http://a/f%6Fod", "http://a/%2566oo"]
+    assert [r for _, _, r in urls.judge(given, v, v.automaton())] == [True, True, False, False, True, False, False]
+    with pytest.raises(ValueError):
+        urls.Vocabulary.from_table(t, most=2)
+    empty = urls.Vocabulary((), ())
+    assert list(urls.judge(["x"], empty, empty.automaton())) == [(0, 0, False)]
