@@ -72,9 +72,12 @@ def combined(parts: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def append_log(delta: DataFrame, path: str, day: str) -> None:
-    """Adds the delta to the day's partition of the change log; other days stay as they are."""
-    delta.withColumn("day", F.lit(day)).write.mode("append").partitionBy("day").parquet(path)
+def append_log(delta: DataFrame, path: str, day: str, run: str = "0") -> None:
+    """Adds the delta to the day's partition of the change log, as the part of one run; other days and runs stay.
+
+    A run that is tried again writes its own part again, so nothing stands twice.
+    """
+    delta.write.mode("overwrite").parquet(f"{path}/day={day}/run={run}")
 
 
 def reset_day(spark, path: str, day: str) -> None:

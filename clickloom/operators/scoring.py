@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,17 +97,31 @@ class Projection:
         return cls(tuple(m["columns"]), tuple(map(tuple, m["weights"])), tuple(m.get("bias", (0.0, 0.0))))
 
 
-def score_projection(features: DataFrame, model: Callable[[np.ndarray], np.ndarray], columns: list[str], centroid: dict, mode: str | None = None, key: str = "session_id") -> DataFrame:
+def _listed(key: Sequence[str] | str) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def _typed(df: DataFrame, key: list[str]) -> str:
+    return ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in key)
+
+
+def _numbers(batch: pa.RecordBatch, columns: Sequence[str]) -> np.ndarray:
+    """A matrix of the batch's columns; NULL is NaN."""
+    cols = [batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in columns]
+    return np.stack(cols, 1) if cols else np.zeros((batch.num_rows, 0))
+
+
+def score_projection(features: DataFrame, model: Callable[[np.ndarray], np.ndarray], columns: list[str], centroid: dict, mode: str | None = None, key: Sequence[str] | str = "session_id") -> DataFrame:
     """(key, probability_bot_umap): only the projection runs in Python, in Arrow batches; distance and probability are expressions."""
-    kind = features.schema[key].dataType.simpleString()
+    key = _listed(key)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            z = np.nan_to_num(np.asarray(model(b[columns].to_numpy(float)), float), nan=0.0, posinf=1e10, neginf=-1e10)
-            yield pd.DataFrame({key: b[key].values, "px": z[:, 0], "py": z[:, 1]})
+            z = np.nan_to_num(np.asarray(model(_numbers(b, columns)), float), nan=0.0, posinf=1e10, neginf=-1e10)
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in key), pa.array(z[:, 0]), pa.array(z[:, 1])], names=[*key, "px", "py"])
 
-    flat = aligned(features, columns, [key]).mapInPandas(run, f"{key} {kind}, px double, py double")
-    return flat.select(key, probability(distance(F.col("px"), F.col("py"), centroid), centroid, mode).alias("probability_bot_umap"))
+    flat = aligned(features, columns, key).mapInArrow(run, f"{_typed(features, key)}, px double, py double")
+    return flat.select(*key, probability(distance(F.col("px"), F.col("py"), centroid), centroid, mode).alias("probability_bot_umap"))
 
 
 # ---------------------------------------------------------------- page tokens
@@ -122,15 +136,16 @@ def page_type(uri: Column, patterns: Sequence[tuple[str, str]] = PAGE_PATTERNS)
     return found
 
 
-def page_sequences(records: DataFrame, key: str = "session_id", patterns: Sequence[tuple[str, str]] = PAGE_PATTERNS) -> DataFrame:
+def page_sequences(records: DataFrame, key: Sequence[str] | str = "session_id", patterns: Sequence[tuple[str, str]] = PAGE_PATTERNS) -> DataFrame:
     """(key, tokens): types of the first record of each page view, by ts (unknown: 0) and arrival; unmatched ones are left out.
 
     records: key, page_id, uri, ts, seq. All records without a page id are one page view.
     """
-    w = Window.partitionBy(key, "page_id").orderBy("_ts", "seq")
+    key = _listed(key)
+    w = Window.partitionBy(*key, "page_id").orderBy("_ts", "seq")
     first = records.withColumn("_ts", F.coalesce("ts", F.lit(0.0))).withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
     typed = first.withColumn("_type", page_type(F.col("uri"), patterns))
-    return typed.groupBy(key).agg(F.expr("transform(array_sort(collect_list(case when _type is not null then struct(_ts, seq, _type) end)), x -> x._type)").alias("tokens"))
+    return typed.groupBy(*key).agg(F.expr("transform(array_sort(collect_list(case when _type is not null then struct(_ts, seq, _type) end)), x -> x._type)").alias("tokens"))
 
 
 def token_ids(tokens: str, vocabulary: dict[str, int], most: int) -> Column:
@@ -200,16 +215,18 @@ def _norm(x: np.ndarray, g: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (x - x.mean(-1, keepdims=True)) / np.sqrt(x.var(-1, keepdims=True) + 1e-5) * g + b
 
 
-def embed(sequences: DataFrame, encoder: Encoder, vocabulary: dict[str, int], key: str = "session_id") -> DataFrame:
+def embed(sequences: DataFrame, encoder: Encoder, vocabulary: dict[str, int], key: Sequence[str] | str = "session_id") -> DataFrame:
     """(key, embedding) for each session with a known token; others are left out."""
-    kind = sequences.schema[key].dataType.simpleString()
-    ids = sequences.select(key, token_ids("tokens", vocabulary, encoder.most).alias("ids")).where(F.size("ids") > 0)
+    key = _listed(key)
+    ids = sequences.select(*key, token_ids("tokens", vocabulary, encoder.most).alias("ids")).where(F.size("ids") > 0)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pd.DataFrame({key: b[key].values, "embedding": list(encoder(b["ids"].tolist()))})
+            found = encoder(b.column("ids").to_pylist()).astype(np.float32)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * encoder.width), pa.array(found.ravel()))
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in key), lists], names=[*key, "embedding"])
 
-    return ids.mapInPandas(run, f"{key} {kind}, embedding array<float>")
+    return ids.mapInArrow(run, f"{_typed(sequences, key)}, embedding array<float>")
 
 
 # ---------------------------------------------------------------- trees
@@ -273,25 +290,27 @@ class Trees:
         return 1 / (1 + F.exp(-total))
 
 
-def tree_matrix(features: DataFrame, embeddings: DataFrame, model: Trees, key: str = "session_id") -> DataFrame:
+def tree_matrix(features: DataFrame, embeddings: DataFrame, model: Trees, key: Sequence[str] | str = "session_id") -> DataFrame:
     """key and the model's columns: sessions with features, their embedding or zeros, in the model's order."""
+    key = _listed(key)
     zeros = F.array_repeat(F.lit(0.0).cast("float"), model.embedding)
     e = F.coalesce("embedding", zeros)
     joined = features.join(embeddings, key, "left").withColumn("embedding", F.when(F.size(e) == model.embedding, e).otherwise(F.raise_error(F.lit("embedding of another width"))))
     named = re.compile(r"transformer_embedding_(\d+)\Z")
     pick = lambda c: F.get("embedding", F.lit(int(m[1]))) if (m := named.match(c)) else F.col(c)
-    return joined.select(key, *(pick(c).cast("float").alias(c) for c in model.columns))
+    return joined.select(*key, *(pick(c).cast("float").alias(c) for c in model.columns))
 
 
-def score_trees(matrix: DataFrame, model: Trees, key: str = "session_id") -> DataFrame:
+def score_trees(matrix: DataFrame, model: Trees, key: Sequence[str] | str = "session_id") -> DataFrame:
     """(key, probability_lgbm)."""
-    kind, columns = matrix.schema[key].dataType.simpleString(), list(model.columns)
+    key, columns = _listed(key), list(model.columns)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pd.DataFrame({key: b[key].values, "probability_lgbm": model(b[columns].to_numpy(float))})
+            p = np.asarray(model(_numbers(b, columns)), float)
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in key), pa.array(p)], names=[*key, "probability_lgbm"])
 
-    return matrix.mapInPandas(run, f"{key} {kind}, probability_lgbm double")
+    return matrix.mapInArrow(run, f"{_typed(matrix, key)}, probability_lgbm double")
 
 
 # ---------------------------------------------------------------- merge
@@ -301,7 +320,7 @@ SCORES = ["probability_bot_umap", "probability_lgbm"]
 
 def merge_scores(bots: DataFrame, trees: DataFrame | None, existing: DataFrame | None = None, key: list[str] | str = "session_id") -> DataFrame:
     """key and both scores. Full rebuild (no `existing`): sessions of either; else existing rows take over what is new, column by column."""
-    key = [key] if isinstance(key, str) else key
+    key = _listed(key)
     if trees is None:
         trees = bots.select(*key, F.lit(None).cast("double").alias(SCORES[1])).limit(0)
     new = bots.join(trees, key, "full")

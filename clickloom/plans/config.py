@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from pathlib import Path
 
 DEVICES = ("mobile", "desktop")
@@ -59,7 +59,8 @@ class Site:
 
 @dataclass(frozen=True)
 class Run:
-    """Settings of one run: mode is incremental, full, extract or process; the others are named in `plans.pipeline`."""
+    """Settings of one run. mode: incremental; full scores all sessions again; extract and process are the two phases, whose
+    rules for snapshots differ. The others are named in `plans.pipeline`."""
 
     mode: str = "incremental"
     probability: str = "decay"
@@ -67,6 +68,15 @@ class Run:
     desktop_history: int = 5
     force: bool = False
     allow: tuple[str, ...] | None = None
+    trees: dict[str, str] = field(default_factory=dict)
+
+    @property
+    def rebuild(self) -> bool:
+        return self.force or self.mode != "incremental"
+
+    @property
+    def two_phase(self) -> bool:
+        return self.mode in ("extract", "process")
 
     @classmethod
     def from_env(cls, environ: dict[str, str] | None = None) -> Run:
@@ -75,4 +85,5 @@ class Run:
         return cls(
             e.get("MODE", "incremental"), e.get("PROBABILITY_MODE", "decay"), int(e.get("MAX_TMV_RECORDS", 10)), int(e.get("MAX_MMV_RECORDS", 5)),
             e.get("FORCE_FULL_REBUILD", "") in ("1", "true"), tuple(x.strip() for x in names.split(",") if x.strip()) if names else None,
+            {d: e[name] for d in DEVICES if (name := f"TREES_{d.upper()}") in e},
         )

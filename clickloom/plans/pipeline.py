@@ -1,13 +1,13 @@
 """The whole pipeline as one plan: logs, records, snapshots, features, scores, change log.
 
-Sites and devices are columns, so many sites are one job. What a run writes is partitioned by day.
+Sites and devices are columns, so many sites are one job. Change logs are partitioned by day and run.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass, field
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from clickloom.sources.ndjson import read_logs
 from .config import DEVICES, Run, Site
 
 KEY = ["site_id", "session_id"]
+META = ("ip", "user_agent")
 
 
 def log_records(logs: DataFrame) -> DataFrame:
@@ -47,73 +48,161 @@ class Models:
     vocabulary: dict[str, int] = field(default_factory=dict)
 
     @classmethod
-    def load(cls, site: Site, device: str) -> Models:
+    def load(cls, site: Site, device: str, named: str | None = None) -> Models:
+        """The site's model set of a device; `named` is a file of trees that goes first."""
         folder = site.projection(device)
         if folder is None:
             raise FileNotFoundError(f"no complete projection model for {site.site_id}, {device}")
         read = lambda f: json.loads((folder / f).read_text())
-        _, trees = site.trees(device)
-        return cls(read("scaler.json"), scoring.Projection.load(str(folder / "projection.json")), read("centroid.json"), scoring.Trees.load(str(trees)) if trees else None)
+        _, trees = site.trees(device, named)
+        encoder, words = folder / "encoder.npz", folder / "vocabulary.json"
+        complete = trees is not None and encoder.exists() and words.exists()
+        return cls(
+            read("scaler.json"), scoring.Projection.load(str(folder / "projection.json")), read("centroid.json"), scoring.Trees.load(str(trees)) if trees else None,
+            scoring.Encoder.load(str(encoder)) if complete else None, read("vocabulary.json") if complete else {},
+        )
 
 
 def score(records: DataFrame, feats: DataFrame, models: Models, mode: str = "decay", existing: DataFrame | None = None) -> DataFrame:
-    """session_id and both scores; trees are left out without a model."""
-    scaled = scaling.scale(feats, models.scaler, ["session_id"])
-    bots = scoring.score_projection(scaled, models.projection, list(models.projection.columns), models.centroid, mode)
+    """site_id, session_id and both scores; trees are left out without a model."""
+    scaled = scaling.scale(feats, models.scaler, KEY)
+    bots = scoring.score_projection(scaled, models.projection, list(models.projection.columns), models.centroid, mode, KEY)
     trees = None
     if models.trees is not None:
-        pages = records.where("session_id is not null and uri is not null").select("session_id", "page_id", "uri", "ts", "seq")
+        pages = records.where("session_id is not null and uri is not null").select(*KEY, "page_id", "uri", "ts", "seq")
         if models.encoder is not None:
-            embedded = scoring.embed(scoring.page_sequences(pages), models.encoder, models.vocabulary)
+            embedded = scoring.embed(scoring.page_sequences(pages, KEY), models.encoder, models.vocabulary, KEY)
         else:
-            embedded = pages.select("session_id", F.lit(None).cast("array<float>").alias("embedding")).limit(0)
-        trees = scoring.score_trees(scoring.tree_matrix(scaled, embedded, models.trees), models.trees)
-    return scoring.merge_scores(bots, trees, existing)
+            embedded = pages.select(*KEY, F.lit(None).cast("array<float>").alias("embedding")).limit(0)
+        trees = scoring.score_trees(scoring.tree_matrix(scaled, embedded, models.trees, KEY), models.trees, KEY)
+    return scoring.merge_scores(bots, trees, existing, KEY)
 
 
-def run_sites(spark: SparkSession, logs: str, out: str, models: dict[str, Models], day: str, at: str, run: Run = Run()) -> dict[str, int]:
-    """One batch run over all sites: predictions, change log and history under `out`; changed rows by device.
+def scored(records: DataFrame, feats: DataFrame, models: Models, own: dict[str, Models], mode: str) -> DataFrame:
+    """`score`, with the models of `own` for the sites that have some."""
+    rest = ~F.col("site_id").isin(*own) if own else F.lit(True)
+    out = score(records.where(rest), feats.where(rest), models, mode)
+    for site, m in own.items():
+        here = F.col("site_id") == site
+        out = out.unionByName(score(records.where(here), feats.where(here), m, mode))
+    return out
 
-    Earlier predictions are replaced only after the new ones are written in full.
+
+def changed_sessions(records: DataFrame, before: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """(site_id, session_id, n, last) of all sessions, and of those whose number of records or last one isn't what it was."""
+    now = records.where("session_id is not null").groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.max("seq").alias("last"))
+    return now, now if before is None else now.join(before, [*KEY, "n", "last"], "left_anti")
+
+
+def run_sites(
+    spark: SparkSession, logs: str, out: str, models: dict[str, Models], day: str, at: str, run: Run = Run(), own: dict[str, dict[str, Models]] | None = None, sites: list[str] | None = None
+) -> dict[str, int]:
+    """One batch run over all sites, or those given: predictions, change log and history by device under `out`; changed rows by device.
+
+    Sessions are told apart by site. Records are parsed once; only sessions with new records are scored, unless the
+    scores have to be rebuilt. own: {site: {device: models}} of sites with models of their own. Tables are versions of
+    which the last complete one counts, and the log's part of a version is written again by a run that is tried again,
+    so a run may stop anywhere. The combined log is the union of the devices'; the combined history has the day's keys.
     """
-    records = log_records(read_logs(spark, logs, list(run.allow) if run.allow else None))
-    policy = Policy(run.mobile_history, run.desktop_history)
-    changed = {}
+    allow = sites if sites is not None else list(run.allow) if run.allow else None
+    work = f"{out}/work-{uuid.uuid4().hex}"
+    log_records(read_logs(spark, logs, allow)).write.partitionBy("device_type").parquet(f"{work}/records")
+    records = spark.read.parquet(f"{work}/records")
+    policy = Policy(run.mobile_history, run.desktop_history, two_phase=run.two_phase)
+    counted = {}
     for device in DEVICES:
         if device not in models:
             continue
-        own = records.where(F.col("device_type") == device)
-        now = score(own, device_features(own, device, policy), models[device], run.probability)
-        place = Path(out) / device
-        old = _read(spark, place / "predictions", now) if not run.force else now.limit(0)
-        meta = publish.first_known(own.select("session_id", "seq", "ip", F.col("ua").alias("user_agent")), ["session_id"], ("ip", "user_agent"), "seq")
-        history = _read(spark, place / "history", None)
-        before = publish.last_known(history, ["session_id"], ("ip", "user_agent"), F.col("date")) if history is not None else meta.limit(0)
-        delta = publish.with_metadata(publish.changed_scores(old, now, ["session_id"]), meta, before, ["session_id"])
-        delta = delta.withColumns({"date": F.lit(at), "device_type": F.lit(device)}).persist()
-        changed[device] = delta.count()
-        publish.append_log(delta, str(place / "log"), day)
-        kept = delta if history is None else publish.history_upsert(history, delta, ["session_id"])
-        _replace(spark, kept, place / "history")
-        _replace(spark, now, place / "predictions")
-        delta.unpersist()
-    return changed
-
-
-def _read(spark: SparkSession, path: Path, like: DataFrame | None) -> DataFrame | None:
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(str(path))
-    if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
-        return spark.read.parquet(str(path))
-    return None if like is None else like.limit(0)
-
-
-def _replace(spark: SparkSession, df: DataFrame, path: Path) -> None:
-    """Written beside the old table, then renamed over it."""
-    df.write.mode("overwrite").parquet(f"{path}.new")
-    jvm = spark.sparkContext._jvm
-    new, old = jvm.org.apache.hadoop.fs.Path(f"{path}.new"), jvm.org.apache.hadoop.fs.Path(str(path))
-    fs = new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(old, True)
-    if not fs.rename(new, old):
-        raise OSError(f"can't rename {path}.new")
+        place = f"{out}/{device}"
+        mine = records.where(F.col("device_type") == device)
+        before = current(spark, f"{place}/sessions")
+        seen, new = changed_sessions(mine, before)
+        existing = current(spark, f"{place}/predictions")
+        rebuild = run.rebuild or scoring.needs_rebuild(None if before is None else new, False, existing)
+        part = mine if rebuild else mine.join(new.select(*KEY), KEY, "left_semi")
+        feats = _kept(device_features(part, device, policy), f"{work}/{device}-features")
+        theirs = {s: m[device] for s, m in (own or {}).items() if device in m}
+        fresh = _kept(scored(part, feats, models[device], theirs, run.probability), f"{work}/{device}-scores")
+        now = fresh if existing is None else _merged(existing, fresh, seen, rebuild)
+        old = now.limit(0) if existing is None or run.rebuild else existing
+        meta = publish.first_known(mine.select(*KEY, "seq", "ip", F.col("ua").alias("user_agent")), KEY, META, "seq")
+        history = current(spark, f"{place}/history")
+        was = publish.last_known(history, KEY, META, F.col("date")) if history is not None else meta.limit(0)
+        dated = publish.with_metadata(now.join(seen.select(*KEY), KEY, "left_semi"), meta, was, KEY).withColumns({"date": F.lit(at), "device_type": F.lit(device)})
+        rows = _kept(dated, f"{work}/{device}-rows")
+        delta = publish.changed_scores(old, rows, KEY)
+        counted[device] = delta.count()
+        publish.append_log(delta, f"{place}/log", day, next_version(spark, f"{place}/predictions"))
+        replace(spark, rows if history is None else publish.history_upsert(history, rows, KEY), f"{place}/history")
+        replace(spark, features.summary(feats).withColumn("date", F.lit(at)), f"{place}/summary")
+        replace(spark, now, f"{place}/predictions")
+        others = None if before is None else before.join(seen.select(*KEY), KEY, "left_anti")
+        replace(spark, seen if others is None else others.unionByName(seen), f"{place}/sessions")  # last: these needn't be scored again
+    _combine(spark, out, day, [d for d in DEVICES if d in models])
+    _delete(spark, work)
+    return counted
+
+
+def _merged(existing: DataFrame, fresh: DataFrame, seen: DataFrame, rebuild: bool) -> DataFrame:
+    """All sessions' scores: of a rebuild only sessions that aren't in the logs read keep what they had."""
+    if not rebuild:
+        return scoring.merge_scores(fresh.drop(scoring.SCORES[1]), fresh.drop(scoring.SCORES[0]), existing, KEY)
+    return existing.join(seen.select(*KEY), KEY, "left_anti").unionByName(fresh)
+
+
+def _combine(spark: SparkSession, out: str, day: str, devices: list[str]) -> None:
+    """The day's keys of all devices with their last row."""
+    logs = {d: spark.read.parquet(f"{out}/{d}/log").where(F.col("day").cast("string") == day).drop("day", "run", "device_type") for d in devices}
+    if not logs:
+        return
+    key = ["device_type", *KEY]
+    log = publish.combined(logs)
+    last = features.last_by_key(log, key, "date")
+    before = current(spark, f"{out}/history")
+    replace(spark, publish.pruned_history(last.limit(0) if before is None else before, last, log, day, key), f"{out}/history")
+
+
+def _kept(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# ---------------------------------------------------------------- versions of a table
+
+
+def _path(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Names of the complete versions under `path`, the oldest first; a write that stopped has none."""
+    at, fs = _path(spark, path)
+    if not fs.exists(at):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(at)]
+    return sorted(n for n in names if n.startswith("v") and fs.exists(_path(spark, f"{path}/{n}/_SUCCESS")[0]))
+
+
+def next_version(spark: SparkSession, path: str) -> str:
+    had = versions(spark, path)
+    return f"v{int(had[-1][1:]) + 1 if had else 1:08d}"
+
+
+def current(spark: SparkSession, path: str) -> DataFrame | None:
+    """The last complete version of the table, or None."""
+    had = versions(spark, path)
+    return spark.read.parquet(f"{path}/{had[-1]}") if had else None
+
+
+def replace(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Writes the next version and, once it is complete, deletes those before the last one but it."""
+    had = versions(spark, path)
+    df.write.mode("overwrite").parquet(f"{path}/{next_version(spark, path)}")
+    for name in had[:-1]:
+        _delete(spark, f"{path}/{name}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at, fs = _path(spark, path)
+    fs.delete(at, True)

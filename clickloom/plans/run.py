@@ -1,4 +1,4 @@
-"""Command line: one batch run over the sites whose logs changed, or a stream that follows them.
+"""Command line: one batch run over the sites whose logs changed, or one after another as they change.
 
     python -m clickloom.plans.run LOGS OUT --models DIR [--force] [--sites 1_1,1_2] [--follow 45]
 """
@@ -10,14 +10,16 @@ import datetime
 import fcntl
 import json
 import os
-from collections.abc import Iterator
+import time
+import traceback
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import replace
 from pathlib import Path
 
 from clickloom.sources.ndjson import sites
 
-from .config import DEVICES, Run, Site
+from .config import DEVICES, Run, Site, load_env, site_name
 
 
 def log_state(path: str, allow: list[str] | None = None) -> dict[str, list[int]]:
@@ -52,6 +54,53 @@ def only_writer(path: str) -> Iterator[bool]:
         yield True
 
 
+def models_of(site: Site, run: Run) -> dict:
+    from .pipeline import Models
+
+    return {d: Models.load(site, d, run.trees.get(d)) for d in DEVICES if site.projection(d)}
+
+
+def once(logs: str, out: str, roots: tuple[str, ...], run: Run) -> dict[str, int] | None:
+    """One run over the sites whose logs changed; None if another run is at work or nothing changed.
+
+    A site's own models are in the folder of its name under the first of `roots`.
+    """
+    state = f"{out}/state.json"
+    with only_writer(f"{out}/lock") as free:
+        if not free:
+            print("another run is at work")
+            return None
+        now = log_state(logs, list(run.allow) if run.allow else None)
+        changed = list(now) if run.force else changed_sites(now, state)
+        if not changed:
+            print("nothing changed")
+            return None
+        from pyspark.sql import SparkSession
+
+        from .pipeline import run_sites
+
+        spark = SparkSession.builder.appName("clickloom").getOrCreate()
+        shared = models_of(Site("all", logs, roots), run)
+        own = {s: models_of(Site(s, logs, (f"{roots[0]}/{site_name(s)}", *roots)), run) for s in changed if roots and os.path.isdir(f"{roots[0]}/{site_name(s)}")}
+        at = datetime.datetime.now()
+        counted = run_sites(spark, logs, out, shared, f"{at:%Y-%m-%d}", f"{at:%Y-%m-%d %H:%M:%S}", run, own, changed)
+        save_state(now, state)  # only after success
+        return counted
+
+
+def follow(step: Callable[[], object], every: float, rounds: int | None = None, sleep: Callable[[float], None] = time.sleep) -> None:
+    """`step` again and again, `every` seconds apart; a change that comes while one runs waits for the next. A failed step is tried again."""
+    done = 0
+    while rounds is None or done < rounds:
+        try:
+            step()
+        except Exception:  # noqa: BLE001 - what fails now may work with the next look at the logs
+            traceback.print_exc()
+        done += 1
+        if rounds is None or done < rounds:
+            sleep(every)
+
+
 def main(args: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(description=__doc__)
     p.add_argument("logs")
@@ -59,29 +108,17 @@ def main(args: list[str] | None = None) -> int:
     p.add_argument("--models", action="append", default=[], help="folders with model sets, own ones first")
     p.add_argument("--sites")
     p.add_argument("--force", action="store_true")
+    p.add_argument("--env", default=".env", help="file of settings that aren't set yet")
+    p.add_argument("--follow", type=float, metavar="SECONDS", help="look again every so many seconds")
     a = p.parse_args(args)
-    run = Run.from_env()
+    run = Run.from_env(load_env(a.env))
     run = replace(run, force=run.force or a.force, allow=tuple(a.sites.split(",")) if a.sites else run.allow)
     Path(a.out).mkdir(parents=True, exist_ok=True)
-    state = f"{a.out}/state.json"
-    with only_writer(f"{a.out}/lock") as free:
-        if not free:
-            print("another run is at work")
-            return 0
-        now = log_state(a.logs, list(run.allow) if run.allow else None)
-        if not run.force and not changed_sites(now, state):
-            print("nothing changed")
-            return 0
-        from pyspark.sql import SparkSession
-
-        from .pipeline import Models, run_sites
-
-        spark = SparkSession.builder.appName("clickloom").getOrCreate()
-        site = Site("all", a.logs, tuple(a.models))
-        models = {d: Models.load(site, d) for d in DEVICES if site.projection(d)}
-        at = datetime.datetime.now()
-        print(json.dumps(run_sites(spark, a.logs, a.out, models, f"{at:%Y-%m-%d}", f"{at:%Y-%m-%d %H:%M:%S}", run)))
-        save_state(now, state)  # only after success
+    step = lambda: print(json.dumps(once(a.logs, a.out, tuple(a.models), run)))
+    if a.follow:
+        follow(step, a.follow)
+    else:
+        step()
     return 0
 
 

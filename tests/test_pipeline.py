@@ -179,3 +179,80 @@ def test_run_sites_publishes_changes_only(spark, tmp_path):
     assert publish.owns_day(spark, str(out / "desktop" / "log"), "2024-01-02")
     publish.reset_day(spark, str(out / "desktop" / "log"), "2024-01-02")
     assert not publish.owns_day(spark, str(out / "desktop" / "log"), "2024-01-02")
+
+
+COLS = ("bot_score_mean", "mousemove_prm_data_b_l_mean")
+
+
+def linear_models(slope=0.1):
+    return Models({c: {"scale": 1.0, "min": 0.0} for c in COLS}, scoring.Projection(COLS, ((1.0, 0.0), (0.0, slope))), {"centroid_x": 0.0, "centroid_y": 0.0, "bot_distance_p95": 9.0})
+
+
+def test_sites_are_kept_apart(spark, tmp_path):
+    """The same session id on two sites is two sessions, with their own scores, models, addresses and history."""
+    log, out = tmp_path / "logs", tmp_path / "out"
+    log.mkdir(), out.mkdir()
+    tracks = {"1_1": DESKTOP, "1_2": "0,0,0;a,5,5;a,z,z;a,9,1"}
+    for site, ip in (("1_1", "1.1.1.1"), ("1_2", "2.2.2.2")):
+        (log / f"{site}.json").write_text(json.dumps(record("s", 1000, "qml", {"mmv": {"l": tracks[site]}}, ip=ip)) + "\n")
+    args = (spark, str(log), str(out), {"desktop": linear_models()})
+    assert run_sites(*args, "2024-01-01", "2024-01-01 00:00:00") == {"desktop": 2}
+    rows = {r["site_id"]: r for r in spark.read.parquet(str(out / "desktop" / "log")).collect()}
+    assert {k: r["ip"] for k, r in rows.items()} == {"1_1": "1.1.1.1", "1_2": "2.2.2.2"} and rows["1_1"]["probability_bot_umap"] != rows["1_2"]["probability_bot_umap"]
+    assert run_sites(*args, "2024-01-01", "2024-01-01 00:10:00") == {"desktop": 0}
+    # one site has models of its own, and only its log is read
+    assert run_sites(*args, "2024-01-02", "2024-01-02 00:00:00", config.Run(mode="full"), {"1_2": {"desktop": linear_models(0.01)}}, ["1_2"]) == {"desktop": 1}
+    from clickloom.plans.pipeline import current
+
+    scores = {r["site_id"]: r["probability_bot_umap"] for r in current(spark, str(out / "desktop" / "predictions")).collect()}
+    assert scores["1_1"] == rows["1_1"]["probability_bot_umap"] and scores["1_2"] != rows["1_2"]["probability_bot_umap"]
+    history = current(spark, str(out / "desktop" / "history")).collect()
+    assert sorted((r["site_id"], r["ip"], r["date"][:10]) for r in history) == [("1_1", "1.1.1.1", "2024-01-01"), ("1_2", "2.2.2.2", "2024-01-02")]
+    assert [(r["site_id"], r["device_type"]) for r in current(spark, str(out / "history")).collect()] == [("1_2", "desktop")]  # keys of the day
+
+
+def test_an_incremental_run_equals_a_full_one(spark, tmp_path):
+    """Two runs, of which the second scores the changed session only, end with the predictions of one run over everything."""
+    from clickloom.plans import pipeline
+
+    first = [record(x, 1000 + i, "qml", {"mmv": {"l": DESKTOP}}) for i, x in enumerate("abc")]
+    more = [record("b", 2000, e={"mmv": {"l": "0,0,0;a,5,5;a,z,z;a,9,1"}}), record("b", 3000, "qml.ready"), record("d", 3500, "qml", {"mmv": {"l": DESKTOP}})]
+    got = {}
+    for name, runs in (("two", ([*first], [*first, *more])), ("one", ([*first, *more],))):
+        log, out = tmp_path / name / "logs", tmp_path / name / "out"
+        log.mkdir(parents=True), out.mkdir()
+        for i, recs in enumerate(runs):
+            (log / "1_1.json").write_text("".join(json.dumps(r) + "\n" for r in recs))
+            n = run_sites(spark, str(log), str(out), {"desktop": linear_models()}, "2024-01-01", f"2024-01-01 0{i}:00:00")
+        got[name] = sorted(map(tuple, pipeline.current(spark, str(out / "desktop" / "predictions")).collect()))
+        assert n == {"desktop": 2 if name == "two" else 4}
+    assert got["one"] == got["two"]
+    # a write that stopped leaves the version before it, and the run's part of the log is written again
+    place = str(tmp_path / "two" / "out" / "desktop" / "predictions")
+    kept = pipeline.versions(spark, place)
+    (tmp_path / "two" / "out" / "desktop" / "predictions" / "v00000099").mkdir()
+    assert pipeline.versions(spark, place) == kept and len(kept) == 2
+
+
+def test_following(tmp_path):
+    from clickloom.plans.run import follow
+
+    seen, naps = [], []
+
+    def step():
+        seen.append(1)
+        if len(seen) == 2:
+            raise ValueError("once")
+
+    follow(step, 45, 3, naps.append)
+    assert len(seen) == 3 and naps == [45, 45]
+
+
+def test_keys_above_two_to_53(spark):
+    """Numbers as keys pass the models unchanged, beside a null one."""
+    big = 2**53 + 1
+    df = spark.createDataFrame([(big, 1.0), (None, 2.0)], "session_id long, x double").coalesce(1)
+    got = scoring.score_projection(df, scoring.Projection(("x",), ((1.0, 0.0),)), ["x"], {"centroid_x": 0, "centroid_y": 0, "bot_distance_p95": 9})
+    assert {r["session_id"] for r in got.collect()} == {big, None}
+    t = scoring.Trees(("x",), ({"feature": [0], "threshold": [1.5], "left": [-1], "right": [-2], "leaf": [1.0, -1.0]},))
+    assert {r["session_id"] for r in scoring.score_trees(df, t).collect()} == {big, None}
