@@ -12,7 +12,7 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -49,7 +49,7 @@ class Sessions(StatefulProcessor):
                 continue
             device = self._device(s, r)
             touched[device] = r
-            out += [self._row(key, device, r, *made) for made in self._fold(s[device], device, r)][:1]
+            out += [self._row(key, device, r, *made) for made in self._fold(s[device], device, r)]
         if self.policy.synthetic:
             for device, r in touched.items():
                 h = s[device]
@@ -124,7 +124,7 @@ def _list(points: object) -> list[list[float | None]]:
 
 
 def trajectories(records: DataFrame, policy: Policy = Policy()) -> DataFrame:
-    """Snapshots with their trajectories from a stream of typed records."""
+    """Snapshots with their trajectories from a stream of typed records; of a record's click and page-ready one `with_statistics` chooses."""
     rows = records.where("session_id is not null").select(
         "site_id", "session_id", "seq", "act", "tm", "ts", "ip", "ua", "clk", "touch", "mb",
         track("mmv", "tm", "pointer").alias("pointer_points"), track("tmv", "tm", "touch").alias("touch_points"), track("scl", "tm", "scroll").alias("scroll_points"),
@@ -133,9 +133,14 @@ def trajectories(records: DataFrame, policy: Policy = Policy()) -> DataFrame:
 
 
 def with_statistics(rows: DataFrame) -> DataFrame:
-    """The batch plan's snapshot columns from `trajectories`' rows; those of fewer than three points go."""
+    """The batch plan's snapshot columns from `trajectories`' rows; those of fewer than three points go.
+
+    A click counts as page-ready record if it is one and its own trajectory is too short.
+    """
     s = track_stats(F.col("x"), F.col("y"), F.col("t"), F.col("groups"), F.col("device_type"))
-    return rows.withColumn("s", s).where("s.n is not null").drop("x", "y", "t", "groups")
+    whole = rows.withColumn("s", s).where("s.n is not null").drop("x", "y", "t", "groups")
+    rank = F.row_number().over(Window.partitionBy("site_id", "device_type", "session_id", "seq", "synthetic").orderBy(F.col("type") != "mmv_clk"))
+    return whole.withColumn("_r", rank).where("_r = 1").drop("_r")
 
 
 def latest_synthetic(snaps: DataFrame) -> DataFrame:
