@@ -5,7 +5,7 @@ lattice is a table: substrings of bounded length are exploded and joined by equa
 table (bounded: the vocabulary), the edges are grouped by unit, and a higher-order aggregate folds
 them: Viterbi's best sum of scores for unigram models; for BPE models, whose scores are merge ranks
 and whose best sum isn't what the model encodes, the merges in order of score over the same edges.
-These units' ids (bounded: fewer than `units` of at most `longest_unit` characters) go to every task. A unit
+These units' ids (bounded: `units` of at most `longest_unit` characters) go to every task. A unit
 outside them is folded by the same rule where it stands, so that no text or unit is shuffled.
 
 Every text is encoded whole. A null or empty text has no ids. Characters that are no piece become
@@ -223,24 +223,38 @@ def folded(grid: DataFrame, model: Model) -> DataFrame:
     )
 
 
-def dictionary(docs: DataFrame, model: Model, units: int = 500_000, longest_unit: int = 32) -> dict[str, bytes]:
-    """Ids, as 32-bit numbers, of the units that stand for more than 1 / `units` of all units of the texts.
+def _ids(model: Model) -> Column:
+    """The ids of `parts`: a character without a piece stands as its bytes, or as the unknown piece."""
+    if model.first_byte is None:
+        other = f"array({model.unk})"
+    else:
+        other = f"transform(sequence(1, octet_length(p.piece)), i -> {model.first_byte} + cast(conv(substring(hex(p.piece), 2 * i - 1, 2), 16, 10) as int))"
+    return F.expr(f"flatten(transform(parts, p -> case when p.id is not null then array(p.id) else {other} end))")
 
-    There are fewer than `units` of those, whatever the corpus (in natural text far fewer), and no
-    sort or task over all units is needed to find them.
+
+def dictionary(docs: DataFrame, model: Model, units: int = 300_000, longest_unit: int = 32) -> dict[str, bytes]:
+    """Ids, as 32-bit numbers, of the most frequent units of the texts, at most `units` of them.
+
+    The least count that counts is found from the numbers of units by the logarithm of their count (some hundred
+    rows), so that no sort or task over all units is needed.
     """
     spark = docs.sparkSession
     counts = settled(unit_counts(docs, model))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    top = counts.where((F.col("n") > total / units) & (F.length("unit") > 0) & (F.length("unit") <= longest_unit))
-    top = top.select("unit").repartition(max(1, spark.sparkContext.defaultParallelism), "unit")
-    rows = folded(lattice(top, piece_table(spark, model), model.longest), model).collect()
+    usable = counts.where((F.length("unit") > 0) & (F.length("unit") <= longest_unit)).withColumn("bin", F.floor(F.log2("n") * 8))
+    least, total = None, 0
+    for r in usable.groupBy("bin").agg(F.count(F.lit(1)).alias("units"), F.min("n").alias("least")).orderBy(F.col("bin").desc()).collect():
+        total += r["units"]
+        if total > units:
+            break
+        least = r["least"]
+    out: dict[str, bytes] = {}
+    if least is not None:
+        top = usable.where(F.col("n") >= least).select("unit").repartition(max(1, spark.sparkContext.defaultParallelism), "unit")
+        found = folded(lattice(top, piece_table(spark, model), model.longest), model).select("unit", _ids(model).alias("ids")).toArrow()
+        for part in found.to_batches():
+            flat, cuts = part.column("ids").flatten().to_numpy().astype(np.int32), part.column("ids").value_lengths().to_numpy().cumsum()
+            out.update(zip(part.column("unit").to_pylist(), (flat[i:j].tobytes() for i, j in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True)), strict=True))
     dropped(counts)
-    local = Local(model)
-    out = {}
-    for r in rows:
-        ids = [i for p in r["parts"] for i in ([p["id"]] if p["id"] is not None else local.of_piece(p["piece"]))]
-        out[r["unit"]] = np.array(ids, np.int32).tobytes()
     return out
 
 
@@ -276,7 +290,7 @@ def _text(ids: list[int], table: list[bytes], prefix: bool) -> str:
     return text[1:] if prefix and text[:1] == " " else text
 
 
-def encode(docs: DataFrame, model: Model | None = None, units: int = 500_000, room: int = 150_000) -> DataFrame:
+def encode(docs: DataFrame, model: Model | None = None, units: int = 300_000, room: int = 100_000) -> DataFrame:
     """doc_id, ids, n_tokens, round_trip (decoding gives the text) for each row of `docs`."""
     model = model or Model.load()
     spark = docs.sparkSession
