@@ -52,6 +52,22 @@ def dropped(df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+#: Bits of the map that `marked` broadcasts: at most 2**18 rows of two numbers, whatever the data.
+PLACES = 1 << 24
+
+
+def marked(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """`df` with `maybe`: false only where no row of `keys` has its values of the columns `on`.
+
+    A bitmap of the hashed keys goes to every task, so that rows which can't join need not be shuffled by the exact
+    join that follows. Where the map fills up, more rows are marked; nothing else changes.
+    """
+    place = F.pmod(F.xxhash64(*on), F.lit(PLACES))
+    words = keys.select(place.alias("place")).groupBy(F.expr("place div 64").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(place % 64 as int)))").alias("bits"))
+    found = df.withColumn("place", place).join(F.broadcast(words), F.expr("place div 64 = word"), "left")  # bounded by PLACES
+    return found.withColumn("maybe", F.expr("coalesce(getbit(bits, cast(place % 64 as int)) = 1, false)")).drop("place", "word", "bits")
+
+
 def in_fold(doc_id: Column | str) -> Column:
     """crc32 of the id as text, mod 5, is 0: such rows are held out. A null id counts as ''."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

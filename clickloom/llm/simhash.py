@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import settled
+from .common import marked, settled
 from .components import components
 
 MOST_BROADCAST = 50_000  # rows of three numbers
@@ -367,7 +367,7 @@ def verified(docs: DataFrame, loose: DataFrame, how: SimHash) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(node[a:b][roots[far]]), pa.array(node[a:b][far])], names=["a", "b"])
 
     order = ["component", "part"]
-    texts = _identified(docs).join(loose, ["doc_id", "digest"]).select("node", "component", "text")
+    texts = marked(_identified(docs), loose, ["doc_id", "digest"]).where("maybe").join(loose, ["doc_id", "digest"]).select("node", "component", "text")
     # a document that stands in several rows counts once
     sets = settled(texts.mapInArrow(read, "node long, component long, shingles array<long>").dropDuplicates(["node"]))
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / how.grid), F.ceil(F.sum(F.size("shingles")) / MOST_SHINGLES)).cast("int")
@@ -388,7 +388,7 @@ def _classes(docs: DataFrame, how: SimHash, by_id: bool) -> tuple[DataFrame, Dat
     if how.similarity is not None:
         found = components(near)
         loose = known.join(found, known["row"] == found["id"]).select("doc_id", "digest", F.col("row").alias("node"), "component")
-        near = verified(docs, loose, how)
+        near = verified(docs, settled(loose), how)
     if by_id:
         # an id that stands on rows with different texts links their nodes
         several = known.groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a != b").select("doc_id")
@@ -417,20 +417,17 @@ def one_of_each(docs: DataFrame, how: SimHash | None = None) -> DataFrame:
 
     Documents are told apart by id and text: rows that share an id but not a text are different documents (of
     equal ids in a group the one with the smallest hash of the text stays). Of rows that repeat an id and its text
-    one stays, the one with the smallest hash of all columns. Rows without an id stay. Texts aren't shuffled but in
-    the two joins by which they are read again, and not there while the ids concerned are few enough to be broadcast.
+    one stays, the one with the smallest hash of all columns. Rows without an id stay. Only the texts of documents that
+    are verified, go or repeat are shuffled.
     """
     how = how or near_copies(docs.count())
     rows, nodes = _classes(docs, how, by_id=False)
     busy = nodes.where("n > 1 or component is not null").select("fps", F.coalesce("component", "node").alias("class"))
     member = settled(rows.where("doc_id is not null").join(busy, "fps").groupBy("class", "doc_id", "digest").agg(F.count(F.lit(1)).alias("n")))
-    first = member.groupBy("class").agg(F.min(F.struct("doc_id", "digest")).alias("first"))
-    told = member.join(first, "class").withColumn("stays", F.struct("doc_id", "digest") == F.col("first"))
-    go = told.where("not stays").select("doc_id", "digest")
-    again = told.where("stays and n > 1").select("doc_id", "digest")
-    each = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("digest"))
-    stay = each.join(go, ["doc_id", "digest"], "left_anti")
-    once = stay.join(again, ["doc_id", "digest"], "left_anti")
+    first = settled(member.groupBy("class").agg(F.min(F.struct("doc_id", "digest")).alias("first")))
+    told = settled(member.join(first, "class").select("doc_id", "digest", (F.struct("doc_id", "digest") == F.col("first")).alias("stays"), "n").where("not stays or n > 1"))
+    each = marked(docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("digest")), told, ["doc_id", "digest"])
+    odd = each.where("maybe").join(told, ["doc_id", "digest"], "left")
     order = Window.partitionBy("doc_id", "digest").orderBy(F.xxhash64(F.to_json("row")))
-    one = stay.join(again, ["doc_id", "digest"], "left_semi").withColumn("i", F.row_number().over(order)).where("i = 1")
-    return once.select("row.*").union(one.select("row.*"))
+    one = odd.where("stays").withColumn("i", F.row_number().over(order)).where("i = 1")
+    return each.where("not maybe").select("row.*").union(odd.where("stays is null").select("row.*")).union(one.select("row.*"))
