@@ -546,3 +546,111 @@ def event_logs(spark: SparkSession, d: str) -> DataFrame:
     act = F.when(F.col("event_type") == "purchase", "qml.ready").when(F.col("event_type") == "signup", "qml").otherwise("track")
     record = F.struct(F.struct(F.col("session_id").cast("string").alias("a"), (F.col("seq") % 3).cast("string").alias("c")).alias("sess"), act.alias("act"), F.col("tm").alias("ts"), F.struct(F.col("tm"), F.struct(body.alias("e")).alias("data")).alias("prm"))
     return e.select(F.lit("1_1").alias("site_id"), "seq", F.to_json(record).alias("line"))
+
+
+# ---------------------------------------------------------------- the engine's own functions
+
+#: Points a step of 1.5 apart, none of them noise, and without pauses, so that plain SQL sees the same trajectory.
+_MOVED = (
+    _P.replace("p AS (", "p0 AS (", 1)
+    + """, p AS (SELECT session_id, seq, tm / 1000000 AS tm, 1.5 * row_number() OVER (PARTITION BY session_id ORDER BY tm, seq) AS x, y * 1.0007391 AS y, event_type FROM p0)"""
+)
+_S2 = _S.replace(_P, _MOVED)
+_REPEATED = """, seg AS (SELECT session_id, i, x, y, lead(x) OVER w AS x1, lead(y) OVER w AS y1, lead(x, 2) OVER w AS x2, lead(y, 2) OVER w AS y2 FROM s WINDOW w AS (PARTITION BY session_id ORDER BY i)),
+rep AS (SELECT a.session_id, avg(CASE WHEN greatest(0, 1 - (sqrt(((b.x1 - b.x) - (a.x1 - a.x)) ** 2 + ((b.y1 - b.y) - (a.y1 - a.y)) ** 2) + sqrt(((b.x2 - b.x) - (a.x2 - a.x)) ** 2 + ((b.y2 - b.y) - (a.y2 - a.y)) ** 2)) / 3 / 50) > 0.8
+  THEN 1.0 ELSE 0.0 END) AS repetition_patterns FROM seg a JOIN seg b ON a.session_id = b.session_id AND b.i >= a.i + 3 WHERE a.x2 IS NOT NULL AND b.x2 IS NOT NULL GROUP BY 1)"""
+_ALL = (*trajectory.COMMON, *trajectory.DESKTOP_ONLY)
+
+
+def _engine_sql() -> str:
+    terms = ["CASE " + " ".join(f"WHEN {name} {op} {limit} THEN CAST({p} AS DOUBLE)" for op, limit, p in cases) + " ELSE 0 END" for name, _, cases in trajectory.SCORE_TERMS]
+    score = f"least(1.0, {' + '.join(terms)})"
+    shown = ", ".join(f"round({'ln(1 + jerk)' if c == 'jerk' else c}, 6) + 0.0 AS {c}" for c in (*_ALL, "l", "ms"))
+    return _S2 + _DIR + _ANG + _RUNS + _REPEATED + f""", f AS (SELECT b.*, CASE WHEN chord = 0 OR l = 0 THEN 1 ELSE chord / l END AS linearity, coalesce(direction_entropy, 0) AS direction_entropy,
+  coalesce(angle_entropy, 0) AS angle_entropy, coalesce(long_straight_run_share, 0) AS long_straight_run_share, coalesce(repetition_patterns, 0) AS repetition_patterns, CAST(n AS DOUBLE) AS mmv_points_per_group
+  FROM ({_FLAT}) b LEFT JOIN de USING (session_id) LEFT JOIN ae USING (session_id) LEFT JOIN sr USING (session_id) LEFT JOIN rep USING (session_id))
+  SELECT session_id, CAST(n AS INTEGER) AS n, {shown}, round({score}, 6) + 0.0 AS bot_score, {score} > 0.5 AS is_likely_bot FROM f WHERE n >= 3"""
+
+
+def _tracks(p: DataFrame) -> DataFrame:
+    return p.groupBy("session_id").agg(F.array_sort(F.collect_list(F.struct("tm", "seq", "x", "y"))).alias("p"))
+
+
+@query(_engine_sql())
+def engine_trajectory(spark: SparkSession, d: str) -> DataFrame:
+    """All features and the full score of each session's track, by the function that the snapshots use."""
+    order = Window.partitionBy("session_id").orderBy("tm", "seq")
+    p = points(spark, d).withColumn("x", F.lit(1.5) * F.row_number().over(order)).withColumns({"y": F.col("y") * 1.0007391, "tm": F.col("tm") / 1_000_000})
+    t = _tracks(p)
+    s = trajectory.track_stats(F.col("p.x"), F.col("p.y"), F.col("p.tm"), F.array(F.size("p")), F.lit("desktop"))
+    full = t.select("session_id", s.alias("s")).where("s.n is not null").select("session_id", "s.*")
+    rounded = [round6(F.log1p(c) if c == "jerk" else F.col(c)).alias(c) for c in (*_ALL, "l", "ms", "bot_score")]
+    return full.select("session_id", "n", *rounded, "is_likely_bot")
+
+
+@query(f"""WITH RECURSIVE {_P}, q AS (SELECT session_id, tm / 10000 AS tm, CAST(x AS BIGINT) % 3 AS x, y / 20 AS y, CAST(row_number() OVER (PARTITION BY session_id ORDER BY tm, seq) AS BIGINT) AS i FROM p),
+  r(session_id, i, px, py, pt, kept, run) AS (SELECT session_id, i, CAST(x AS DOUBLE), y, tm, true, 0 FROM q WHERE i = 1 UNION ALL
+    SELECT session_id, i, CASE WHEN noise THEN px ELSE x END, CASE WHEN noise THEN py ELSE y END, CASE WHEN noise THEN pt ELSE tm END, NOT noise, CASE WHEN NOT noise AND tm - pt > 15000 THEN run + 1 ELSE run END
+    FROM (SELECT q.*, r.px, r.py, r.pt, r.run, sqrt((q.x - r.px) ** 2 + (q.y - r.py) ** 2) < 1 AS noise FROM r JOIN q ON q.session_id = r.session_id AND q.i = r.i + 1)),
+  k AS (SELECT *, max(run) OVER (PARTITION BY session_id) AS last_run, row_number() OVER (PARTITION BY session_id, run, kept ORDER BY i DESC) AS back FROM r),
+  t AS (SELECT *, sqrt((px - lag(px) OVER w) ** 2 + (py - lag(py) OVER w) ** 2) AS dist FROM k WHERE kept AND run = last_run AND back <= 1000 WINDOW w AS (PARTITION BY session_id ORDER BY i)),
+  size AS (SELECT session_id, count(*) AS all_points FROM q GROUP BY 1)
+  SELECT session_id, CAST(count(*) AS INTEGER) AS n, round(max(pt) - min(pt), 3) AS ms, round(sum(dist), 6) AS l, arg_min(px, i) AS x0, round(arg_max(py, i), 6) AS y1,
+    CASE WHEN max(run) > 0 THEN 0 ELSE CAST(max(all_points) AS DOUBLE) END AS mmv_points_per_group FROM t JOIN size USING (session_id) GROUP BY session_id HAVING count(*) >= 3""")
+def engine_intake(spark: SparkSession, d: str) -> DataFrame:
+    """Which points of a track stay: noise goes, a pause starts it anew, the last thousand count; after a pause no group size is known."""
+    p = points(spark, d).withColumns({"x": F.pmod(F.col("x").cast("long"), F.lit(3)).cast("double"), "y": F.col("y") / 20})
+    t = _tracks(p)
+    s = trajectory.track_stats(F.col("p.x"), F.col("p.y"), F.transform("p.tm", lambda v: v / 10_000), F.array(F.size("p")), F.lit("desktop"))
+    full = t.select("session_id", s.alias("s")).where("s.n is not null").select("session_id", "s.*")
+    return full.select("session_id", "n", F.round("ms", 3).alias("ms"), F.round("l", 6).alias("l"), "x0", F.round("y1", 6).alias("y1"), "mmv_points_per_group")
+
+
+_LINE_ACT = "CASE event_type WHEN 'purchase' THEN 'qml.ready' WHEN 'signup' THEN 'qml' ELSE 'track' END"
+
+
+@query(f"""WITH {_P}, q AS (SELECT *, CAST(x AS BIGINT) AS k FROM p WHERE seq % 13 <> 0)
+  SELECT seq, CASE WHEN k % 5 <> 0 THEN 'u' || session_id END AS session_id, 'p' || (seq % 3) AS page_id, {_LINE_ACT} AS act, CAST(CASE WHEN k % 11 = 0 THEN 0 ELSE seq * 10 END AS DOUBLE) AS tm,
+    CAST(seq AS DOUBLE) AS ts, '1.2.3.' || (k % 200) AS ip, CASE WHEN k % 2 = 0 THEN 'agent ' || (k % 9) ELSE '' END AS ua, CASE WHEN event_type = 'click' AND k % 6 <> 0 THEN '0,a,b;5,' || k || ',c' END AS mmv,
+    event_type = 'click' AND k % 7 <> 0 AS clk, k % 4 = 0 AS touch, CASE k % 3 WHEN 0 THEN false WHEN 1 THEN true END AS mb FROM q""")
+def parsed_records(spark: SparkSession, d: str) -> DataFrame:
+    """Log lines of all kinds (broken ones, falsy sessions, times and clicks, `mb` at some depth) as typed records."""
+    from clickloom.sources.events import parse
+
+    k = "cast(x as bigint)"
+    line = F.expr(f"""case when seq % 13 = 0 then concat('{{"sess":', seq) else concat('{{"sess":{{"a":"', case when {k} % 5 = 0 then '' else concat('u', session_id) end, '","c":"p', seq % 3, '"}},"act":"', {_LINE_ACT},
+      '","ts":', seq, ',"ip":"1.2.3.', {k} % 200, '","prm":{{"tm":', case when {k} % 11 = 0 then 0 else seq * 10 end, ',"data":{{"e":{{', case when {k} % 4 = 0 then '"tst":1,' else '' end,
+      '"mmv":{{"l":"', case when event_type = 'click' and {k} % 6 <> 0 then concat('0,a,b;5,', {k}, ',c') else '' end, '"}},"clk":', case when event_type = 'click' and {k} % 7 <> 0 then '{{"n":1}}' else '0' end, '}}}}}}',
+      case when {k} % 2 = 0 then concat(',"ua":{{"v":"agent ', {k} % 9, '"}}') else '' end,
+      case {k} % 3 when 0 then ',"z":[{{"y":{{"mb":0}}}}],"zz":{{"mb":1}}' when 1 then ',"mb":1,"z":{{"mb":0}}' else '' end, '}}') end""")
+    logs = points(spark, d).select(F.lit("1_1").alias("site_id"), "seq", line.alias("line"))
+    return parse(logs).select("seq", "session_id", "page_id", "act", "tm", "ts", "ip", "ua", "mmv", "clk", "touch", "mb")
+
+
+@query("""WITH o AS (SELECT CASE WHEN o_custkey % 2 = 0 THEN '1_1' ELSE '1_2' END AS site_id, CAST(o_custkey % 50 AS VARCHAR) AS session_id, o_orderkey, o_totalprice FROM orders),
+  now AS (SELECT site_id, session_id, count(*) AS n, max(o_orderkey) AS last FROM o GROUP BY ALL),
+  old AS (SELECT site_id, session_id, count(*) AS n, max(o_orderkey) AS last FROM o WHERE o_orderkey % 40 <> 7 GROUP BY ALL)
+  SELECT now.* FROM now LEFT JOIN old USING (site_id, session_id, n, last) WHERE NOT EXISTS (SELECT 1 FROM old o2 WHERE o2.site_id = now.site_id AND o2.session_id = now.session_id AND o2.n = now.n AND o2.last = now.last)""")
+def sessions_to_score(spark: SparkSession, d: str) -> DataFrame:
+    """Sessions, told apart by site, with records that the run before hadn't seen."""
+    from clickloom.plans.pipeline import changed_sessions
+
+    o = read(spark, d, "orders").select(F.when(F.col("o_custkey") % 2 == 0, "1_1").otherwise("1_2").alias("site_id"), (F.col("o_custkey") % 50).cast("string").alias("session_id"), F.col("o_orderkey").alias("seq"))
+    before = changed_sessions(o.where("seq % 40 <> 7"), None)[0]
+    return changed_sessions(o, before)[1]
+
+
+@query("""WITH o AS (SELECT CASE WHEN o_custkey % 2 = 0 THEN '1_1' ELSE '1_2' END AS site_id, CAST(o_custkey % 50 AS VARCHAR) AS session_id, CAST(o_totalprice AS DOUBLE) / 100000 AS x FROM orders),
+  f AS (SELECT site_id, session_id, avg(x) AS x FROM o GROUP BY ALL), g AS (SELECT *, sqrt((0.5 * x - 0.2) ** 2 + (0.25 * x) ** 2) AS dist FROM (SELECT site_id, session_id, x * 2.0 - 1.0 AS x FROM f))
+  SELECT site_id, session_id, round(greatest(CASE WHEN dist <= 0.9 THEN greatest(1 - dist / 0.9, 0.01) ELSE 0.01 * exp(-(dist - 0.9) / (0.5 / ln(0.01 / 0.001))) END, 0.001), 6) AS probability_bot_umap,
+    round(1 / (1 + exp(-(CASE WHEN CAST(x AS FLOAT) <= CAST(1.9 AS FLOAT) THEN 0.75 ELSE -0.5 END + 0.25))), 6) AS probability_lgbm FROM g""")
+def site_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Scaling, projection, probability and trees over sessions of two sites that share their ids."""
+    from clickloom.plans.pipeline import Models, score
+
+    o = read(spark, d, "orders").select(F.when(F.col("o_custkey") % 2 == 0, "1_1").otherwise("1_2").alias("site_id"), (F.col("o_custkey") % 50).cast("string").alias("session_id"), (F.col("o_totalprice").cast("double") / 100_000).alias("x"))
+    feats = o.groupBy("site_id", "session_id").agg(F.avg("x").alias("x"))
+    none = feats.select("site_id", "session_id", *(F.lit(None).cast(t).alias(c) for c, t in (("page_id", "string"), ("uri", "string"), ("ts", "double"), ("seq", "long"))))
+    trees = scoring.Trees(("x",), ({"feature": [0], "threshold": [1.9], "left": [-1], "right": [-2], "leaf": [0.75, -0.5]},), base=0.25, embedding=2)
+    m = Models({"x": {"scale": 2.0, "min": -1.0}}, scoring.Projection(("x",), ((0.5, 0.25),)), {"centroid_x": 0.2, "centroid_y": 0.0, "bot_distance_p95": 0.9, "all_distance_p99": 1.4}, trees)
+    return score(none, feats, m).withColumns({c: F.round(c, 6) for c in scoring.SCORES})
