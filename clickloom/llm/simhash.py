@@ -90,7 +90,7 @@ def near_copies(texts: int = 0, similarity: float = 0.8, words: int = 5, recall:
     of the bits. A key of w bits is equal in (1 - p)^w of such pairs and in 2^-w of unrelated ones: w is at least 16
     and so large that `crowd` unrelated texts at most meet in a bucket on average, and there are so many keys that
     `recall` of the pairs at just `similarity` share one (more similar ones, more of them). Both grow with the corpus: to
-    16 million texts w is 16 with 41 keys, for 10 billion 26 with 214. Small sets differ in up to 0.1875 of the bits at
+    16 million texts w is 16 with 40 keys, for 10 billion 26 with 214. Small sets differ in up to 0.1875 of the bits at
     0.8 (four hashes and five, where half of four is no majority): tau lies five standard deviations above that.
     """
     bits = max(16, math.ceil(math.log2(max(texts, 1) / crowd)))
