@@ -67,6 +67,25 @@ def test_caps_repeated_rows_and_empty(spark):
     assert caps.near_duplicates(df.limit(0)).collect() == []
 
 
+def test_caps_compares_labels_as_they_are(spark):
+    rows = [(1, [1.0, 0.0], "a", 1.2), (2, [1.0, 0.01], "a", 1.2), (3, [1.0, 0.0], "b", 1.5), (4, [1.0, 0.0], None, None), (5, [1.0, 0.0], "1", 1.0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, text string, number double")
+    for label in ("text", "number"):
+        got = caps.near_duplicates(df.selectExpr("vec_id", "embedding", f"{label} AS label")).collect()
+        assert {x["vec_id"]: x["component_id"] for x in got} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
+
+
+def test_caps_blocks_grow_with_the_vectors():
+    assert [caps.blocks_for(n) for n in (0, 99_999, 100_000, 500_000, 2_500_000, 10**10)] == [2, 2, 3, 4, 5, 5]
+
+
+@pytest.mark.parametrize("blocks", [1, 3, 5])
+def test_caps_of_any_number_of_blocks_find_the_same(spark, blocks):
+    _, df = vectors(spark)
+    seen = [sorted(map(str, caps.near_duplicates(df, caps.Caps(blocks=b)).collect())) for b in (2, blocks)]
+    assert seen[0] == seen[1]
+
+
 @pytest.mark.parametrize("how", [topk.Search(), topk.Search(k=5, block=16, queries=3, strands=2, leading=0.1)])
 def test_topk(spark, how):
     rows, df = vectors(spark, 200, 12)
@@ -81,6 +100,35 @@ def test_topk(spark, how):
     assert not got
 
 
+def test_topk_blocks_of_short_vectors_arent_sent(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.normal(size=8) * 20 * 0.97**i).tolist()) for i in rng.permutation(300).tolist()]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    sent = []
+    dealt = topk._dealt
+
+    def counting(heads, against, axes, how):
+        sent.append(against.count())
+        return dealt(heads, against, axes, how)
+
+    monkeypatch.setattr(topk, "_dealt", counting)
+    got = sorted((x["query_id"], x["rank"], x["vec_id"], x["score"]) for x in topk.search(df, 20, topk.Search(k=3, block=10, queries=5, first=1)).collect())
+    whole = {i: [math.floor(64 * x) for x in v] for i, v in rows}
+    want = []
+    for i in range(0, 300, 20):
+        best = sorted((-sum(a * b for a, b in zip(whole[i], v, strict=True)), j) for j, v in whole.items() if j != i)[:3]
+        want += [(i, k + 1, j, -x) for k, (x, j) in enumerate(best)]
+    assert got == want
+    assert sent[0] == 3 and 0 < sent[1] < 3 * (300 // 10 - 1)  # of all pairs of blocks
+
+
+def test_topk_narrow_forms_keep_the_numbers():
+    for most in (0, 127, 128, 32767, 32768, 2**31 - 1, 2**31, 2**50):
+        x = np.array([[most, -most]], float)
+        form, data = topk._narrow(x)
+        assert (np.frombuffer(data, form).astype(float) == x.ravel()).all()
+
+
 def test_topk_ties_and_empty(spark):
     df = spark.createDataFrame([(i, [1.0, 0.0]) for i in (0, 5, 3, 3, 9)] + [(40, [])], "vec_id long, embedding array<float>")
     got = sorted((x["query_id"], x["rank"], x["vec_id"]) for x in topk.search(df).collect())
