@@ -105,28 +105,32 @@ def _best(z: np.ndarray, borders: list[int]) -> np.ndarray:
     return code
 
 
-def decoded(z: np.ndarray, caps: Caps) -> Iterator[tuple[int, np.ndarray]]:
-    """For each row of rotated unit vectors its position and all filters within the loss."""
+def decoded(z: np.ndarray, caps: Caps) -> tuple[np.ndarray, np.ndarray]:
+    """All filters within the loss of each row of rotated unit vectors: rows, ascending, and filters."""
     borders = caps.borders(z.shape[1])
     bound = caps.loss(np.arange(caps.blocks + 1), z.shape[1])
-    for i, row in enumerate(z):
-        codes, gaps, differing = np.zeros(1, np.int64), np.zeros(1), np.zeros(1, np.int64)
-        for a, b in itertools.pairwise(borders):
-            if a == b:
-                continue
-            own = np.empty(2 * (b - a))
-            own[0::2], own[1::2] = row[a:b], -row[a:b]
-            gap = own.max() - own
-            other = (np.arange(len(own)) != own.argmax()).astype(np.int64)
-            near = np.flatnonzero(gap <= bound[-1])
-            codes = (codes[:, None] * len(own) + near).ravel()
-            gaps = (gaps[:, None] + gap[near]).ravel()
-            differing = (differing[:, None] + other[near]).ravel()
-            ok = gaps <= bound[np.minimum(differing + 0, caps.blocks)]
-            # a block that differs later only widens the bound, so the widest one decides until the last block
-            ok |= gaps <= bound[-1] if b != borders[-1] else False
-            codes, gaps, differing = codes[ok], gaps[ok], differing[ok]
-        yield i, codes
+    rows = np.arange(len(z))
+    codes, gaps, differing = np.zeros(len(z), np.int64), np.zeros(len(z)), np.zeros(len(z), np.int64)
+    for a, b in itertools.pairwise(borders):
+        if a == b:
+            continue
+        own = np.empty((len(z), 2 * (b - a)))
+        own[:, 0::2], own[:, 1::2] = z[:, a:b], -z[:, a:b]
+        top = own.argmax(1)
+        gap = own[np.arange(len(z)), top][:, None] - own
+        of, axis = np.nonzero(gap <= bound[-1])
+        # each filter so far goes on with every near axis of its row
+        many = np.bincount(of, minlength=len(z))
+        first = np.cumsum(many) - many
+        reps = many[rows]
+        up = np.repeat(np.arange(len(rows)), reps)
+        near = np.arange(len(up)) - np.repeat(np.cumsum(reps) - reps, reps) + first[rows][up]
+        rows, axis = rows[up], axis[near]
+        codes, gaps, differing = codes[up] * own.shape[1] + axis, gaps[up] + gap[rows, axis], differing[up] + (axis != top[rows])
+        # a block that differs later only widens the bound, so the widest one decides until the last block
+        ok = gaps <= (bound[-1] if b != borders[-1] else bound[differing])
+        rows, codes, gaps, differing = rows[ok], codes[ok], gaps[ok], differing[ok]
+    return rows, codes
 
 
 def _listed(rows: DataFrame, caps: Caps) -> DataFrame:
@@ -144,10 +148,9 @@ def _listed(rows: DataFrame, caps: Caps) -> DataFrame:
                 at = np.flatnonzero(dims == d)
                 x = vectors.take(pa.array(at)).flatten().to_numpy().reshape(-1, d)
                 z = unit(x) @ turns[d]
-                for s in range(0, len(at), 2048):
-                    found = [(s + i, c) for i, c in decoded(z[s : s + 2048], caps)]
-                    where = np.concatenate([np.full(len(c), i) for i, c in found])
-                    code = np.concatenate([c for _, c in found])
+                for s in range(0, len(at), 512):
+                    where, code = decoded(z[s : s + 512], caps)
+                    where = where + s
                     flat = pa.array(x[where].ravel())
                     lists = pa.ListArray.from_arrays(pa.array(np.arange(len(where) + 1, dtype=np.int32) * d), flat)
                     yield pa.RecordBatch.from_arrays(
