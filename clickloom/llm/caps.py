@@ -3,8 +3,8 @@
 Filter directions are a random product code: a random rotation, then in each of `blocks` blocks
 the signed coordinate axes. A filter takes one axis from each block, and its inner product with a
 vector is a sum of coordinates. Each vector is list-decoded to all filters that its inner product
-exceeds a bound for; vectors meet in the filters that they share and are verified there by cosine
-in double precision.
+exceeds a bound for. What is sent to a filter is a sketch of a byte a component with its exact error; only vectors
+that by those bounds may link with another one there are sent whole, and verified by cosine in double precision.
 
 The bound hangs on the vector's best filter: a pair at the threshold angle t is counted at the best
 filter of its midpoint, and from there either vector's sum can lie below its own best by at most
@@ -44,6 +44,7 @@ from .components import components
 from .vectors import runs, usable
 
 MOST_BROADCAST = 50_000  # rows of four numbers
+ORDER = ["label", "dim", "code", "part"]
 
 
 @dataclass(frozen=True)
@@ -134,7 +135,7 @@ def decoded(z: np.ndarray, caps: Caps) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _listed(rows: DataFrame, caps: Caps) -> DataFrame:
-    """(uid, label, dim, code, v): each usable vector once for each of its filters."""
+    """(uid, label, dim, code, sketch, err): the sketch of each usable vector once for each of its filters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turns: dict[int, np.ndarray] = {}
@@ -146,24 +147,51 @@ def _listed(rows: DataFrame, caps: Caps) -> DataFrame:
                 if d not in turns:
                     turns[d] = caps.rotation(d)
                 at = np.flatnonzero(dims == d)
-                x = vectors.take(pa.array(at)).flatten().to_numpy().reshape(-1, d)
-                z = unit(x) @ turns[d]
+                x = unit(vectors.take(pa.array(at)).flatten().to_numpy().reshape(-1, d))
+                z = x @ turns[d]
                 for s in range(0, len(at), 512):
                     where, code = decoded(z[s : s + 512], caps)
-                    where = where + s
-                    flat = pa.array(x[where].ravel())
-                    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(where) + 1, dtype=np.int32) * d), flat)
+                    sketch, err = sketched(x[s : s + 512])
+                    rows_of = at[s + where]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(uid[at[where]]), pa.array(label[at[where]].astype(np.int64)), pa.array(np.full(len(where), d, np.int32)), pa.array(code), lists],
-                        names=["uid", "label", "dim", "code", "v"],
+                        [
+                            pa.array(uid[rows_of]),
+                            pa.array(label[rows_of].astype(np.int64)),
+                            pa.array(np.full(len(where), d, np.int32)),
+                            pa.array(code),
+                            pa.array(sketch, pa.binary()).take(pa.array(where)),
+                            pa.array(err[where]),
+                        ],
+                        names=["uid", "label", "dim", "code", "sketch", "err"],
                     )
 
-    kind = rows.schema["v"].dataType.simpleString()
-    return rows.mapInArrow(run, f"uid long, label long, dim int, code long, v {kind}")
+    return rows.mapInArrow(run, "uid long, label long, dim int, code long, sketch binary, err double")
 
 
-def _found(listed: DataFrame, caps: Caps) -> DataFrame:
-    """(uid, n, root): links that count at this filter, and another vector of the same piece of the forest."""
+def sketched(x: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """Unit rows with a byte a component after their step, and how far each lies from its row."""
+    step = (np.abs(x).max(1, keepdims=True, initial=0.0) / 127).astype(np.float32)
+    q = np.rint(np.divide(x, step, out=np.zeros_like(x), where=step > 0)).clip(-127, 127).astype(np.int8)
+    err = np.sqrt(((x - q * step.astype(np.float64)) ** 2).sum(1))
+    return [a.tobytes() + b.tobytes() for a, b in zip(step, q, strict=True)], err
+
+
+def may_link(y: np.ndarray, err: np.ndarray, cell: np.ndarray, across: bool, cosine: float) -> np.ndarray:
+    """Which of the sketches have a partner, by the sum of both errors, whose vector may reach the cosine."""
+    out = np.zeros(len(y), bool)
+    for s in range(0, len(y), 256):
+        e = min(s + 256, len(y))
+        near = y[s:e] @ y[s:].T + (err[s:e, None] * (1 + err[None, s:]) + err[None, s:]) >= cosine - 1e-4
+        near[np.arange(e - s), np.arange(e - s)] = False
+        if across:
+            near &= cell[s:e, None] != cell[None, s:]
+        out[s:e] |= near.any(1)
+        out[s:] |= near.any(0)
+    return out
+
+
+def _met(listed: DataFrame, caps: Caps) -> DataFrame:
+    """(label, dim, code, part, cells, cell, uid) of the vectors that may link with another one of their filter."""
     key = ["label", "dim", "code"]
     large = settled(listed.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > caps.grid))
     few = large.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST
@@ -172,13 +200,33 @@ def _found(listed: DataFrame, caps: Caps) -> DataFrame:
         .withColumn("cells", F.coalesce(F.ceil(F.col("n") / caps.grid), F.lit(1)).cast("int"))
         .withColumn("cell", F.pmod(F.xxhash64("uid"), F.col("cells")).cast("int"))
         .withColumn("part", F.explode(F.expr("transform(sequence(0, cells - 1), j -> least(cell, j) * cells + greatest(cell, j))")))
-        .select(*key, "part", "cells", "cell", "uid", "v")
+        .select(*ORDER, "cells", "cell", "uid", "sketch", "err")
     )
-    order = [*key, "part"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, first in runs(batches, ORDER):
+            keep = np.zeros(batch.num_rows, bool)
+            cell, err, dims = (batch.column(c).to_numpy() for c in ("cell", "err", "dim"))
+            parts, cells = batch.column("part").to_numpy(), batch.column("cells").to_numpy()
+            for a, b in itertools.pairwise(first.tolist()):
+                if b - a < 2:
+                    continue
+                one, two = divmod(int(parts[a]), int(cells[a]))
+                raw = np.frombuffer(b"".join(batch.column("sketch").slice(a, b - a).to_pylist()), np.uint8).reshape(b - a, 4 + int(dims[a]))
+                y = raw[:, 4:].view(np.int8) * raw[:, :4].copy().view(np.float32)
+                keep[a:b] = may_link(y, err[a:b], cell[a:b], one != two, caps.cosine)
+            if keep.any():
+                yield batch.filter(pa.array(keep)).select([*ORDER, "cells", "cell", "uid"])
+
+    return dealt.repartition(*ORDER).sortWithinPartitions(*ORDER).mapInArrow(run, "label long, dim int, code long, part int, cells int, cell int, uid long")
+
+
+def _found(met: DataFrame, caps: Caps) -> DataFrame:
+    """(uid, n, root): links that count at this filter, and another vector of the same piece of the forest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turns: dict[int, np.ndarray] = {}
-        for batch, first in runs(batches, order):
+        for batch, first in runs(batches, ORDER):
             out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             uid, cell = batch.column("uid").to_numpy(), batch.column("cell").to_numpy()
             dims, codes = batch.column("dim").to_numpy(), batch.column("code").to_numpy()
@@ -202,7 +250,7 @@ def _found(listed: DataFrame, caps: Caps) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], names=["uid", "n", "root"])
 
-    return dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(run, "uid long, n long, root long")
+    return met.repartition(*ORDER).sortWithinPartitions(*ORDER).mapInArrow(run, "uid long, n long, root long")
 
 
 def _near(x: np.ndarray, z: np.ndarray, cell: np.ndarray, across: bool, caps: Caps, code: int) -> tuple[np.ndarray, np.ndarray]:
@@ -243,7 +291,8 @@ def near_duplicates(embeddings: DataFrame, caps: Caps = Caps()) -> DataFrame:
     if not caps.blocks:
         most = part.groupBy("label", F.size("v")).count().agg(F.max("count").alias("most")).first()["most"]
         caps = replace(caps, blocks=blocks_for(most or 0))
-    found = settled(_found(_listed(part.select("uid", "label", "v"), caps), caps))
+    met = settled(_met(_listed(part.select("uid", "label", "v"), caps), caps))
+    found = settled(_found(met.join(part.select("uid", "v"), "uid"), caps))
     links = found.groupBy("uid").agg(F.sum("n").alias("n_links"))
     ids = rows.select("uid", F.col("vec_id").cast("long").alias("id"))
     forest = found.where("uid != root").select("uid", "root").distinct()

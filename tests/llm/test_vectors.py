@@ -318,3 +318,18 @@ def test_similarity_decides_around_the_threshold(spark):
         f = [simhash.fingerprint(" ".join(x), 5, m, True) for x in (a, a + fresh(1))]
         far += int(np.bitwise_count(f[0] ^ f[1]).sum()) > how.tau
     assert far == 0
+
+
+def test_caps_sketches_lose_no_link():
+    rng = np.random.default_rng(8)
+    base = caps.unit(rng.normal(size=(40, 48)))
+    x = caps.unit(np.concatenate([base] + [base + rng.normal(size=base.shape) * w for w in (0.0, 0.01, 0.029, 0.0293, 0.03, 0.05)] + [np.eye(48)]))
+    sketch, err = caps.sketched(x)
+    raw = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(x), 52)
+    y = raw[:, 4:].view(np.int8) * raw[:, :4].copy().view(np.float32)
+    assert (np.linalg.norm(x - y, axis=1) <= err + 1e-6).all()
+    cell = rng.integers(0, 2, len(x))
+    for across in (False, True):
+        real = (x @ x.T >= 0.98) & ~np.eye(len(x), dtype=bool) & ((cell[:, None] != cell) | (not across))
+        kept = caps.may_link(y, err, cell, across, 0.98)
+        assert kept[real.any(1)].all() and not kept[-48:].any()
