@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import caps, mixing, pieces, pii, quality, secrets, simhash, topk, toxicity, urls
 from .common import table
@@ -53,6 +54,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def base_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op1_secrets finds by the base patterns alone, which SQL can say."""
+    return op1_secrets(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+
+
+def base_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op2_pii finds by the base patterns alone, which SQL can say."""
+    return op2_pii(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
+
+
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes and targets of op6_mixing, which SQL can say."""
+    return op6_mixing(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 6).alias("target"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_pii": op2_pii,
@@ -64,8 +80,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
+    "base_secrets": base_secrets,
+    "base_pii": base_pii,
+    "mix_targets": mix_targets,
 }
 
+
 def _list(terms: tuple[str, ...]) -> str:
     return "[" + ", ".join(f"'{t}'" for t in terms) + "]"
 
@@ -79,7 +99,56 @@ def _fits(then: int) -> str:
     )
 
 
+def _patterns(kinds: tuple[tuple[str, str, str], ...], by: tuple[str, str]) -> str:
+    """Counts and digest of the spans of (kind, pattern, condition on the match `x.m`), ordered by the struct fields `by`.
+
+    A match starts after all pieces of the text and all matches before it.
+    """
+    q = lambda p: "'" + p.replace("'", "''") + "'"
+    cut = ", ".join(
+        f"regexp_extract_all(t, {q(p)}) AS {k}_m, list_transform(string_split_regex(t, {q(p)}), lambda x: length(x)) AS {k}_p" for k, p, _ in kinds
+    )
+    at = "list_sum({k}_p[1:i]) + coalesce(list_sum(list_transform({k}_m[1:i - 1], lambda y: length(y))), 0)"
+    spans = ", ".join(
+        f"list_filter(list_transform(range(1, len({k}_m) + 1), lambda i: {{'k': '{k}', 'o': {o}, 's': CAST({at.format(k=k)} AS BIGINT), 'm': {k}_m[i]}}), lambda x: {valid}) AS {k}_s"
+        for o, (k, _, valid) in enumerate(kinds)
+    )
+    every = "flatten([" + ", ".join(f"{k}_s" for k, _, _ in kinds) + "])"
+    ordered = f"list_sort(list_transform({every}, lambda x: {{'a': x.{by[0]}, 'b': x.{by[1]}, 'v': x.k || ':' || x.s || ':' || (x.s + length(x.m))}}))"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), m AS (SELECT doc_id, {cut} FROM d), s AS (SELECT doc_id, {spans} FROM m)
+SELECT doc_id, {", ".join(f"len({k}_s) AS n_{k}" for k, _, _ in kinds)}, sha256(coalesce(array_to_string(list_transform({ordered}, lambda x: x.v), ','), '')) AS base_sha256 FROM s"""
+
+
+# The contracts' patterns.
+_NAMES = "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+_ASSIGN = rf"""({_NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+_DIGITS = "regexp_replace(x.m, '[^0-9]', '', 'g')"
+_LUHN = f"""list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda i: CASE WHEN i % 2 = 1 THEN CAST({_DIGITS}[-i] AS INTEGER)
+  WHEN CAST({_DIGITS}[-i] AS INTEGER) > 4 THEN 2 * CAST({_DIGITS}[-i] AS INTEGER) - 9 ELSE 2 * CAST({_DIGITS}[-i] AS INTEGER) END)) % 10 = 0"""
+SECRETS = (
+    ("assign", _ASSIGN, "length(regexp_extract(x.m, '" + _ASSIGN.replace("'", "''") + "', 2)) >= 6"),
+    ("access", "AKIA[A-Z0-9]+", "length(x.m) >= 20"),
+    ("hex", "[0-9a-f]{24,}", "true"),  # a run is matched whole, so that its length can stand in the pattern
+)
+PERSONAL = (
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "len(list_filter(string_split(x.m, '.'), lambda p: coalesce(TRY_CAST(p AS HUGEINT) <= 255, false))) = 4"),
+    ("card", r"[0-9]([\x20-]?[0-9])+", f"length({_DIGITS}) BETWEEN 16 AND 19 AND {_LUHN}"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 8 AND 15"),
+)
+
 ORACLE: dict[str, str] = {
+    "base_secrets": _patterns(SECRETS, ("s", "o")),
+    "base_pii": _patterns(PERSONAL, ("o", "s")),
+    "mix_targets": r"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w FROM d GROUP BY source),
+-- sources in the order in which they reach three times their size as the common level rises; the rest share what is left
+o AS (SELECT *, sum(source_size) OVER () AS total, row_number() OVER (ORDER BY 3.0 * source_size / w, source NULLS LAST) AS j FROM s),
+l AS (SELECT *, (total - coalesce(sum(3 * source_size) OVER (ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / CAST(sum(w) OVER (ORDER BY j ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level FROM o),
+c AS (SELECT arg_min(level, j) FILTER (level * w <= 3 * source_size) AS level FROM l)
+SELECT doc_id, size, source_size, round(least(c.level * w, 3 * source_size), 6) AS target FROM d JOIN l ON d.source IS NOT DISTINCT FROM l.source, c""",
     "op3_caps": """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
