@@ -66,7 +66,7 @@ def session_ends(own: DataFrame, two_phase: bool = False) -> DataFrame:
         *KEY, "seq", (F.col("last.tm") + first.cast("int")).alias("tm"), F.lit(None).cast("double").alias("ts"), F.lit(None).cast("string").alias("ip"), F.lit("").alias("ua"),
         F.lit("qml_ready").alias("type"), F.lit(True).alias("synthetic"),
         F.when(first, "first_qml_session_end").otherwise("session_end_or_no_next_ready").alias("synthetic_reason"),
-        F.when(first, F.col("first_qml")).alias("first_qml_tm"), "last.n_pointer", "last.n_scroll", F.lit(None).cast("string").alias("pointer"),
+        F.when(first, F.col("first_qml")).alias("first_qml_tm"), "last.n_pointer", "last.n_scroll",
     )
 
 
@@ -77,18 +77,27 @@ def wanted(own: DataFrame, policy: Policy) -> DataFrame:
     kinds = F.array_compact(F.array(F.when(click, "mmv_clk"), F.when(ready, "qml_ready")))
     plain = own.where(click | ready).select(
         *KEY, "seq", "tm", "ts", "ip", "ua", F.explode(kinds).alias("type"), F.lit(False).alias("synthetic"), F.lit(None).cast("string").alias("synthetic_reason"),
-        F.lit(None).cast("double").alias("first_qml_tm"), "n_pointer", "n_scroll", "pointer",
+        F.lit(None).cast("double").alias("first_qml_tm"), "n_pointer", "n_scroll",
     )
     return plain.unionByName(session_ends(own, policy.two_phase)) if policy.synthetic else plain
 
 
-def _history(snaps: DataFrame, records: DataFrame, n: str, policy: Policy, name: str) -> DataFrame:
-    """(KEY, seq, type, synthetic, name): the last K records as an array ordered by number."""
+def _histories(snaps: DataFrame, records: DataFrame, policy: Policy) -> DataFrame:
+    """(KEY, seq, type, synthetic, p, c): the last K pointer and scroll records, each as an array ordered by number.
+
+    records: KEY, kind (p or c), i and r, the record. Both kinds are found by one join.
+    """
     ident = [*KEY, "seq", "type", "synthetic"]
     k = policy.history()
-    listed = snaps.where(F.col(n) > 0).select(*ident, F.explode(F.sequence(F.greatest(F.lit(1), F.col(n) - k + 1).cast("long"), F.col(n))).alias("i"))
-    found = listed.join(records, [*KEY, "i"])
-    return found.groupBy(*ident).agg(F.array_sort(F.collect_list(F.struct("i", "tm", "clk", "points"))).alias(name))
+
+    def last(n: str, kind: str) -> Column:
+        numbers = F.sequence(F.greatest(F.lit(1), F.col(n) - k + 1).cast("long"), F.greatest(F.lit(1), F.col(n)))
+        return F.transform(numbers, lambda i: F.struct(F.lit(kind).alias("kind"), i.alias("i")))
+
+    either = F.explode(F.concat(last("n_pointer", "p"), last("n_scroll", "c"))).alias("h")
+    listed = snaps.select(*ident, "n_pointer", "n_scroll", either).where("h.i <= if(h.kind = 'p', n_pointer, n_scroll)").select(*ident, "h.kind", "h.i")
+    found = listed.join(records, [*KEY, "kind", "i"])
+    return found.groupBy(*ident).agg(*(F.array_sort(F.collect_list(F.when(F.col("kind") == x, F.col("r")))).alias(x) for x in ("p", "c")))
 
 
 # Positions are from 0; `p` is the pointer history, which holds the current record if it has a track.
@@ -109,10 +118,12 @@ def snapshots(records: DataFrame, policy: Policy = Policy()) -> DataFrame:
     own = numbered(records)
     snaps = wanted(own, policy)
     layout = F.when(F.col("device_type") == "mobile", track("pointer", "tm", "touch")).otherwise(track("pointer", "tm", "pointer"))
-    pointers = own.where("pointer is not null").select(*KEY, F.col("n_pointer").alias("i"), "tm", "clk", layout.alias("points"))
-    scrolls = own.where("scl is not null").select(*KEY, F.col("n_scroll").alias("i"), "tm", "clk", track("scl", "tm", "scroll").alias("points"))
+    kinds = {"p": ("pointer", "n_pointer", layout), "c": ("scl", "n_scroll", track("scl", "tm", "scroll"))}
+    tracks = F.array(*(F.when(F.col(has).isNotNull(), F.struct(F.lit(kind).alias("kind"), F.col(n).alias("i"), points.alias("points"))) for kind, (has, n, points) in kinds.items()))
+    each = own.where("pointer is not null or scl is not null").select(*KEY, "tm", "clk", F.explode(F.array_compact(tracks)).alias("t"))
+    records = each.select(*KEY, "t.kind", "t.i", F.struct("t.i", "tm", "clk", "t.points").alias("r"))
     ident = [*KEY, "seq", "type", "synthetic"]
-    full = snaps.join(_history(snaps, pointers, "n_pointer", policy, "p"), ident, "left").join(_history(snaps, scrolls, "n_scroll", policy, "c"), ident, "left")
+    full = snaps.join(_histories(snaps, records, policy), ident, "left")
     none = "cast(array() as array<struct<i:bigint,tm:double,clk:boolean,points:array<struct<x:double,y:double,tm:double>>>>)"
     full = full.withColumns({"p": F.expr(f"coalesce(p, {none})"), "c": F.expr(f"coalesce(c, {none})")})
     is_click = F.col("type") == "mmv_clk"
@@ -123,7 +134,7 @@ def snapshots(records: DataFrame, policy: Policy = Policy()) -> DataFrame:
     if policy.two_phase:
         full = full.withColumn("since", F.when(is_click, F.col("tm") - LOOKBACK_MS))
     full = full.withColumn("scrolled", F.expr("filter(c, r -> r.tm < tm and (since is null or r.tm > since))"))
-    current = F.when(is_click, track("pointer", "tm", "pointer")).otherwise(F.expr(f"cast(array() as {POINTS})"))
+    current = F.when(is_click, F.expr("element_at(p, -1).points")).otherwise(F.expr(f"cast(array() as {POINTS})"))
     full = full.withColumn("current", current)
     full = full.withColumn("points", F.expr("concat(flatten(transform(before, r -> r.points)), flatten(transform(scrolled, r -> r.points)), current)"))
     groups = F.expr("filter(concat(transform(before, r -> size(r.points)), case when type = 'mmv_clk' then array(size(current)) else cast(array() as array<int>) end), n -> n > 0)")

@@ -654,3 +654,59 @@ def site_scores(spark: SparkSession, d: str) -> DataFrame:
     trees = scoring.Trees(("x",), ({"feature": [0], "threshold": [1.9], "left": [-1], "right": [-2], "leaf": [0.75, -0.5]},), base=0.25, embedding=2)
     m = Models({"x": {"scale": 2.0, "min": -1.0}}, scoring.Projection(("x",), ((0.5, 0.25),)), {"centroid_x": 0.2, "centroid_y": 0.0, "bot_distance_p95": 0.9, "all_distance_p99": 1.4}, trees)
     return score(none, feats, m).withColumns({c: F.round(c, 6) for c in scoring.SCORES})
+
+
+# What each event becomes in the log of `engine_snapshots`, in words that both Spark and the oracle know.
+_BECOMES = {
+    "ptr": "event_type = 'click' OR (event_type IN ('purchase', 'signup') AND seq % 2 = 0)",
+    "clk": "(event_type = 'click' AND seq % 3 <> 0) OR (event_type = 'purchase' AND seq % 2 = 0)",
+    "ready": "event_type = 'purchase' AND session_id % 4 <> 0",
+    "qml": "event_type = 'signup'",
+    "scl": "event_type = 'view'",
+}
+
+
+@query(f"""WITH {_P}, r AS (SELECT *, {', '.join(f'{c} AS {k}' for k, c in _BECOMES.items())}
+    FROM (SELECT session_id, seq, event_type, CAST(30 * (row_number() OVER (PARTITION BY session_id ORDER BY seq) // 2) AS DOUBLE) AS tm FROM p) WHERE tm <> 0 AND session_id <> 0),
+  own AS (SELECT *, count(*) FILTER (ptr) OVER w AS np, count(*) FILTER (scl) OVER w AS ns FROM r WINDOW w AS (PARTITION BY session_id ORDER BY seq)),
+  snap AS (SELECT session_id AS sid, seq AS shot, tm AS until, 'mmv_clk' AS type, false AS synthetic, np AS sp, ns AS ss FROM own WHERE clk AND ptr
+    UNION ALL SELECT session_id, seq, tm, 'qml_ready', false, np, ns FROM own WHERE ready
+    UNION ALL SELECT session_id, max(seq), arg_max(tm, seq) + CASE WHEN NOT bool_or(ready) AND bool_or(qml) THEN 1 ELSE 0 END, 'qml_ready', true, arg_max(np, seq), arg_max(ns, seq) FROM own GROUP BY session_id),
+  -- the last five pointer records of each snapshot by position, and the position of the click before
+  h AS (SELECT *, lag(clk) OVER (PARTITION BY sid, shot, type, synthetic ORDER BY j) AS after_click, max(j) FILTER (clk AND tm < until) OVER (PARTITION BY sid, shot, type, synthetic) AS c
+    FROM (SELECT snap.*, own.seq AS g, own.tm, own.clk, row_number() OVER (PARTITION BY sid, shot, type, synthetic ORDER BY own.np) - 1 AS j
+      FROM snap JOIN own ON own.session_id = sid AND own.ptr AND own.np > sp - 5 AND own.np <= sp)),
+  since AS (SELECT sid, shot, type, synthetic, CASE WHEN type = 'mmv_clk' THEN coalesce(max(tm) FILTER (j = c), 0) ELSE -1 END AS since FROM h GROUP BY sid, shot, type, synthetic),
+  part AS (SELECT sid, shot, type, synthetic, 0 AS block, -j AS place, g, tm FROM h WHERE type = 'mmv_clk' AND NOT clk AND tm < until AND j > coalesce(c, -1) AND (j = 0 OR after_click)
+    UNION ALL SELECT sid, shot, type, synthetic, 1, j, g, tm FROM h WHERE CASE WHEN type = 'mmv_clk' THEN j <= c ELSE tm < until END
+    UNION ALL SELECT snap.sid, snap.shot, snap.type, snap.synthetic, 2, own.ns, own.seq, own.tm FROM snap LEFT JOIN since USING (sid, shot, type, synthetic)
+      JOIN own ON own.session_id = snap.sid AND own.scl AND own.ns > ss - 5 AND own.ns <= ss AND own.tm < until AND own.tm > coalesce(since, -1)
+    UNION ALL SELECT sid, shot, type, synthetic, 3, 0, shot, until FROM snap WHERE type = 'mmv_clk'),
+  k AS (SELECT unnest([0, 1, 2]) AS k),
+  pt AS (SELECT sid, shot, type, synthetic, block, place, k, tm + [5, 15, 18][k + 1] AS t, 40 * g + CASE WHEN block = 2 THEN [20, 26][k + 1] ELSE [0, 7, 13][k + 1] END AS x,
+    CASE WHEN block = 2 THEN g % 30 + [0, 5 + g % 3][k + 1] ELSE g % 50 + [0, 3, 0][k + 1] END AS y FROM part, k WHERE block <> 2 OR k < 2),
+  step AS (SELECT *, row_number() OVER w AS i, sqrt((x - lag(x) OVER w) ** 2 + (y - lag(y) OVER w) ** 2) AS dist FROM pt WINDOW w AS (PARTITION BY sid, shot, type, synthetic ORDER BY block, place, k)),
+  made AS (SELECT sid AS session_id, shot AS seq, type, synthetic, CAST(count(*) FILTER (block = 2) AS INTEGER) AS scl_count, CAST(coalesce(sum(CASE WHEN block = 2 THEN CASE k WHEN 0 THEN -y ELSE y END END), 0) AS DOUBLE) AS scrolled,
+    CAST(count(*) AS INTEGER) AS n, round(sum(dist), 6) AS l, CAST(arg_max(t, i) - arg_min(t, i) AS DOUBLE) AS ms, CAST(arg_min(x, i) AS DOUBLE) AS x0, CAST(arg_max(y, i) AS DOUBLE) AS y1,
+    CASE WHEN NOT synthetic AND bool_or(block <> 2) THEN 3.0 ELSE 0.0 END AS mmv_points_per_group FROM step GROUP BY sid, shot, type, synthetic HAVING count(*) >= 3)
+  SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY session_id, seq, synthetic ORDER BY type) AS r FROM made) WHERE r = 1""")
+def engine_snapshots(spark: SparkSession, d: str) -> DataFrame:
+    """Click, page-ready and session-end snapshots of a log, from its lines to the trajectory that each is given."""
+    from clickloom.operators.snapshots import snapshots
+    from clickloom.plans.pipeline import log_records
+
+    order = Window.partitionBy("session_id").orderBy("seq")
+    e = points(spark, d).select("session_id", "seq", "event_type", (30 * F.floor(F.row_number().over(order) / 2)).cast("double").alias("tm"))
+    e = e.withColumns({k: F.expr(c) for k, c in _BECOMES.items()})
+    to36 = lambda c: F.lower(F.conv(c.cast("string"), 10, 36))
+    step = lambda delta, x, y: F.concat_ws(",", F.lit(delta), to36(40 * F.col("seq") + x), to36(y))
+    low, high = F.col("seq") % 50, F.col("seq") % 30
+    pointer = F.concat_ws(";", step("5", 0, low), step("a", 7, low + 3), step("3", 13, low))
+    scroll = F.concat_ws(";", step("5", 20, high), step("a", 26, high + 5 + F.col("seq") % 3))
+    part = lambda has, text: F.when(F.col(has), F.struct(text.alias("l")))
+    body = F.struct(part("ptr", pointer).alias("mmv"), part("scl", scroll).alias("scl"), F.when(F.col("clk"), 1).alias("clk"))
+    act = F.when(F.col("ready"), "qml.ready").when(F.col("qml"), "qml").otherwise("track")
+    record = F.struct(F.struct(F.col("session_id").cast("string").alias("a")).alias("sess"), act.alias("act"), F.struct("tm", F.struct(body.alias("e")).alias("data")).alias("prm"))
+    made = snapshots(log_records(e.select(F.lit("1_1").alias("site_id"), "seq", F.to_json(record).alias("line"))))
+    scrolled = F.expr("aggregate(scroll_data, 0D, (a, v) -> a + v)").alias("scrolled")
+    return made.select(F.col("session_id").cast("long").alias("session_id"), "seq", "type", "synthetic", "scl_count", scrolled, "s.n", F.round("s.l", 6).alias("l"), "s.ms", "s.x0", "s.y1", "s.mmv_points_per_group")
