@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import math
+import random
 
 import numpy as np
 import pytest
 
 from clickloom.operators import trajectory as T
+from clickloom.operators.decode import track
 
 STAIRS = [(0, 0, 1000), (10, 0, 1010), (10, 10, 1030), (20, 10, 1040), (20, 20, 1060)]
 
@@ -61,3 +63,21 @@ def test_window_form_agrees_with_arrays(spark):
         want = made([(r[3], r[4], r[2]) for r in rows if r[0] == s])
         for name in set(T.COMMON + T.DESKTOP_ONLY) - {"repetition_patterns", "mmv_points_per_group"}:
             assert got[s][name] == pytest.approx(want[name], rel=1e-9, abs=1e-12), name
+
+
+def test_track_times_are_running_sums(spark):
+    """Around the edges of a block, with an unreadable delta, an empty and a null track."""
+    digits = "0123456789abcdefghijklmnopqrstuvwxyz"
+    to36 = lambda n: (to36(n // 36) if n >= 36 else "") + digits[n % 36]
+    rnd = random.Random(3)
+    deltas = [[rnd.randrange(500) for _ in range(n)] for n in (1, 2, 63, 64, 65, 128, 129, 1000)]
+    texts = [";".join(f"{to36(d)},{to36(i)},1" for i, d in enumerate(ds)) for ds in deltas] + ["5,1,2;?!,1,2;3,3,3", "", None]
+    rows = [(i, t, 1e12 + rnd.random()) for i, t in enumerate(texts)]
+    got = spark.createDataFrame(rows, "i int, text string, tm double").select("i", track("text", "tm").alias("t")).orderBy("i").collect()
+    for (_, _, tm), ds, g in zip(rows, [*deltas, [5, None, 3], [None]], got, strict=False):
+        want, at = [], tm
+        for d in ds:
+            at = None if at is None or d is None else at + d
+            want.append(at)
+        assert [p.tm for p in g.t] == want
+    assert got[-1].t is None
