@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import caps, mixing, pieces, pii, quality, secrets, simhash, topk, toxicity, urls
+from . import caps, mixing, pieces, pii, prefixes, quality, repair, secrets, simhash, topk, toxicity, urls, warc
 from .common import table
 
 
@@ -54,6 +54,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damaged(table(spark, sf_dir, "conversations")), F.col("dropped"))
+
+
 def base_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What op1_secrets finds by the base patterns alone, which SQL can say."""
     return op1_secrets(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
@@ -80,6 +92,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_simhash": op9_simhash,
     "op10_toxicity": op10_toxicity,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_warc": op12_warc,
+    "op13_repair": op13_repair,
     "base_secrets": base_secrets,
     "base_pii": base_pii,
     "mix_targets": mix_targets,
@@ -138,7 +153,73 @@ PERSONAL = (
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 8 AND 15"),
 )
 
+def _crc32(text: str) -> str:
+    """crc32 of an ASCII text, bit by bit."""
+    bits = "list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce(list_concat([4294967295], list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda c, b: {bits}), 4294967295)"
+
+
+TRIE = f"""
+WITH o AS (SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST, role, text) AS s FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT *, CAST({_crc32("CAST(conv_id AS VARCHAR)")} % 6 AS BIGINT) AS h FROM o),
+w AS (SELECT h.conv_id, list_concat(coalesce(b.s, [])[1:h], h.s[h + 1:]) AS s FROM h LEFT JOIN o b ON b.conv_id = h.conv_id - h.conv_id % 100),
+m AS (SELECT conv_id, s, unnest(range(len(s) + 1)) AS d FROM w),
+n AS (SELECT s[1:d] AS p, d, min(conv_id) AS c, count(*) AS n, sha256(coalesce(string_agg(CASE WHEN len(s) = d THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS e FROM m GROUP BY 1, 2),
+k AS (SELECT p[1:d - 1] AS p, count(*) AS k FROM n WHERE d > 0 GROUP BY 1),
+x AS (SELECT n.*, coalesce(k.k, 0) AS k, CASE WHEN d > 0 THEN (n - 1) * length(n.p[d].t) ELSE 0 END AS own FROM n LEFT JOIN k ON n.p = k.p),
+z AS (SELECT p, k, own, unnest(range(d + 1)) AS j FROM x),
+y AS (SELECT p[1:j] AS p, count(*) FILTER (k = 0) AS leaves, sum(own) AS saved FROM z GROUP BY 1)
+SELECT x.c AS conv_id, x.d AS depth, q.c AS parent_conv_id, x.n AS n_convs, x.k AS n_children, y.leaves AS n_leaves, CAST(y.saved AS BIGINT) AS saved_tokens, x.e AS ends_sha256
+FROM x JOIN y ON x.p = y.p LEFT JOIN x q ON x.d > 0 AND q.d = x.d - 1 AND q.p = x.p[1:x.d - 1]"""
+
+WARC = """
+WITH d AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+s AS (SELECT page_id, CAST(octet_length(encode(t)) AS BIGINT) AS n, sha1(t) AS h, min(page_id) OVER (PARTITION BY t) AS f, row_number() OVER (PARTITION BY t ORDER BY page_id) AS k FROM d)
+SELECT page_id, n AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (CAST('0x' || substr(h, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) % 32 AS BIGINT), 1)), '') AS payload_digest,
+  CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN k > 1 THEN f END AS refers_to FROM s"""
+
+
+def _repair() -> str:
+    """The same states as the operator's, but with whole lists of edits and rows, in a recursive query of one step a row."""
+
+    def edit(of: str, cost: str, letter: str, row: str | None, when: str = "true") -> str:
+        kept = f"list_append({of}.t, {row})" if row else f"{of}.t"
+        return f"CASE WHEN {of} IS NOT NULL AND {when} THEN {{'c': CAST({of}.c + {cost} AS BIGINT), 'a': {of}.a || '{letter}', 't': {kept}}} END"
+
+    best = lambda *x: "list_sort(list_filter([" + ", ".join(x) + "], lambda x: x IS NOT NULL))[1]"
+    insert = lambda of, role: edit(of, "2", "I", f"'{role}:'")
+    delete = lambda of: edit(of, "3", "D", None)
+    keep = lambda of, initial: edit(of, "cut", "K", "role || ':' || t", f"NOT gone AND left(role, 1) = '{initial}'")
+    turn = lambda of, role: edit(of, "2 + cut", "R", f"'{role}:' || t", "NOT gone")
+    filled = "regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')"
+    state = "STRUCT(c BIGINT, a VARCHAR, t VARCHAR[])"
+    before_user = ("s0", "s1", "s3")
+    inserted = f"(SELECT *, {best('s3', insert('s2', 'assistant'))} AS a3 FROM (SELECT * REPLACE ({best('s2', *(insert(s, 'user') for s in before_user))} AS s2) FROM r))"
+    key = "coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')"
+    return f"""
+WITH RECURSIVE d AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS t, {_crc32(key)} % 20 AS how FROM conversations),
+e AS (SELECT conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role, CASE WHEN how = 1 THEN '' WHEN how = 2 THEN regexp_replace(t, '[.!?]', '', 'g') ELSE t END AS t, unnest(range(CASE how WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS twice FROM d),
+f AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, t, twice) AS i, row_number() OVER (PARTITION BY conv_id, role, t ORDER BY turn NULLS FIRST, twice) AS k, {filled} AS body FROM e),
+g AS (SELECT *, body = '' OR k > 1 AS gone, body <> '' AND k = 1 AND right(body, 1) NOT IN ('.', '!', '?') AS ends_open, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS was FROM f),
+n AS MATERIALIZED (SELECT conv_id, i, role, t, gone, CAST(ends_open AS BIGINT) AS cut FROM g),
+c AS (SELECT d.conv_id, coalesce(max(x.most), 0) AS most FROM d LEFT JOIN (SELECT conv_id, max(i) AS most FROM n GROUP BY 1) x ON x.conv_id IS NOT DISTINCT FROM d.conv_id GROUP BY 1),
+r AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, most, CAST({{'c': 0, 'a': '', 't': []}} AS {state}) AS s0, CAST(NULL AS {state}) AS s1, CAST(NULL AS {state}) AS s2, CAST(NULL AS {state}) AS s3 FROM c
+  UNION ALL
+  SELECT q.conv_id, q.i + 1, q.most, {delete('s0')}, {best(delete('s1'), keep('s0', 's'))},
+    {best(delete('s2'), *(f(s, x) for s in ('s0', 's1', 'a3') for f, x in ((keep, 'u'), (turn, 'user'))))}, {best(delete('a3'), keep('s2', 'a'), turn('s2', 'assistant'))}
+  FROM {inserted} q JOIN n ON n.conv_id IS NOT DISTINCT FROM q.conv_id AND n.i = q.i + 1),
+z AS (SELECT conv_id, {best('s0', 'a3')} AS b FROM {inserted} q WHERE i = most),
+s AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (body = '') AS blank, count(*) FILTER (body <> '' AND k > 1) AS duplicate, count(*) FILTER (ends_open) AS truncated,
+  count(*) FILTER (was || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal FROM g GROUP BY 1)
+SELECT z.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, b.c AS cost, b.a AS audit,
+  sha256(array_to_string(b.t, chr(10))) AS repaired_sha256 FROM z LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM z.conv_id"""
+
+
 ORACLE: dict[str, str] = {
+    "op11_prefix_trie": TRIE,
+    "op12_warc": WARC,
+    "op13_repair": _repair(),
     "base_secrets": _patterns(SECRETS, ("s", "o")),
     "base_pii": _patterns(PERSONAL, ("o", "s")),
     "mix_targets": r"""
