@@ -20,9 +20,21 @@ def ratio(a: Column, b: Column) -> Column:
     return F.try_divide(a.cast("double"), b.cast("double"))
 
 
+#: Digits that fit a whole double each, and those that scripts read in one go where there are more.
+EXACT_DIGITS, PART = 10, 5
+
+
 def base36(text: str) -> str:
-    """SQL for the number at the start of `text`, written to base 36; NULL where there is none. Twelve digits at most."""
-    return f"cast(conv(nullif(regexp_extract({text}, r'^\\s*[+]?(-?[0-9a-zA-Z]{{1,12}})', 1), ''), 36, -10) as double)"
+    """SQL for the number at the start of `text`, written to base 36, as a double; NULL where there is none.
+
+    Up to ten digits are whole numbers. Of more digits, however many, parts of five are folded from the left in double
+    arithmetic, each step rounded, as scripts do that write and read the logs.
+    """
+    digits = f"nullif(regexp_extract({text}, r'^\\s*(?:[+](?!-))?(-?[0-9a-zA-Z]+)', 1), '')"
+    part = f"substring(d, {PART} * k + 1, {PART})"
+    folded = f"aggregate(sequence(0, (length(d) - 1) div {PART}), 0D, (v, k) -> v * pow(36D, length({part})) + cast(conv({part}, 36, 10) as double))"
+    long = f"transform(array({digits}), n -> transform(array(regexp_replace(n, '^-?0*(?=.)', '')), d -> if(startswith(n, '-'), -1D, 1D) * {folded})[0])[0]"
+    return f"case when length({text}) <= {EXACT_DIGITS} then cast(conv({digits}, 36, -10) as double) else {long} end"
 
 
 def text_or_null(x: Column) -> Column:

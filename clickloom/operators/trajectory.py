@@ -2,7 +2,7 @@
 
 Two forms with the same definitions. `point_features` works on a table of points with windows, inside
 whole-stage code, for trajectories that need no noise suppression. `track_stats` takes arrays of points,
-in one pass of an Arrow function: the intake rules look back at the last point kept, which no window does.
+whole batches at once in an Arrow function: the intake rules look back at the last point kept, which no window does.
 """
 
 from __future__ import annotations
@@ -173,114 +173,266 @@ def point_features(points: DataFrame, key: str = "session_id") -> DataFrame:
 
 
 # ---------------------------------------------------------------- arrays of points
+# A batch of trajectories is one set of flat arrays: `at` has the first position of each and, last, the end. Every
+# feature is a sum by trajectory over points, steps, turns or pairs of segments; nothing loops over points or trajectories
+# but the intake of those that hold noise, which hops from one dropped point to the next.
 
 
-def taken_in(x: np.ndarray, y: np.ndarray, t: np.ndarray) -> tuple[np.ndarray, bool]:
-    """Positions of the points that stay, and whether a pause has started the trajectory anew.
+def taken_in(x: np.ndarray, y: np.ndarray, t: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions of the points that stay, `at` among them, and of which trajectories a pause has started anew.
 
     A point nearer than one pixel to the last one kept is noise; after a pause of 15 s only what
     follows stays; of more than 1000 the last stay.
     """
-    kept: list[int] = []
-    reset = False
-    px = py = pt = math.nan
-    for i, (a, b, c) in enumerate(zip(x.tolist(), y.tolist(), t.tolist(), strict=True)):
-        if kept:
-            if math.hypot(a - px, b - py) < LEAST_MOVE:
+    of = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    near = (np.sqrt(np.diff(x) ** 2 + np.diff(y) ** 2) < LEAST_MOVE) & (of[1:] == of[:-1])
+    stay = np.ones(len(x), bool)
+    marks = np.flatnonzero(near)  # such a point and the next one
+    for k in np.unique(of[marks]).tolist():
+        a, b = int(at[k]), int(at[k + 1])
+        xs, ys, i = x[a:b].tolist(), y[a:b].tolist(), 0
+        mine = (marks[np.searchsorted(marks, a) : np.searchsorted(marks, b)] - a).tolist()
+        for m in mine:
+            if m < i:  # dropped or passed already
                 continue
-            if c - pt > PAUSE_MS:
-                kept, reset = [], True
-        kept.append(i)
-        px, py, pt = a, b, c
-    return np.array(kept[-MOST_POINTS:], int), reset
-
-
-def _entropy(bins: np.ndarray) -> float:
-    if not len(bins):
-        return 0.0
-    p = np.unique(bins, return_counts=True)[1] / len(bins)
-    return float(-(p * np.log2(p)).sum() + 0.0)
-
-
-def _cv(v: np.ndarray) -> float:
-    if len(v) < 2:
-        return 0.0
-    return float(np.std(v) / m) if (m := v.mean()) else math.nan
-
+            px, py, i = xs[m], ys[m], m + 1
+            while i < b - a and math.sqrt((xs[i] - px) ** 2 + (ys[i] - py) ** 2) < LEAST_MOVE:
+                stay[a + i] = False
+                i += 1
+    kept = np.flatnonzero(stay)
+    of = of[kept]
+    paused = np.flatnonzero((np.diff(t[kept]) > PAUSE_MS) & (of[1:] == of[:-1])) + 1
+    first = np.searchsorted(of, np.arange(len(at) - 1))
+    anew = np.zeros(len(at) - 1, bool)
+    anew[of[paused]] = True
+    first[of[paused]] = paused  # of several pauses the last counts
+    ends = np.searchsorted(of, np.arange(len(at) - 1), "right")
+    first = np.maximum(first, ends - MOST_POINTS)
+    n = ends - first
+    chosen = np.repeat(first - np.concatenate(([0], n.cumsum()[:-1])), n) + np.arange(n.sum())
+    return kept[chosen], np.concatenate(([0], n.cumsum())), anew
+
+
+def _farthest() -> float:
+    """The largest sum of distances at which two segments are alike, in the arithmetic of the definition."""
+    d = SEGMENT * SEGMENT_SCALE * (1 - ALIKE)
+    alike = lambda d: max(0, 1 - d / SEGMENT / SEGMENT_SCALE) > ALIKE
+    while alike(d):
+        d = math.nextafter(d, math.inf)
+    while not alike(d):
+        d = math.nextafter(d, 0)
+    return d
+
+
+FARTHEST = _farthest()
+#: Pairs of segments that are compared in one go; segments of a trajectory from which on they are sorted first.
+PAIRS, MANY = 1 << 20, 128
+
+
+def _alike(v: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether segments i and j are alike; v: both offsets of each from its start, as rows (x1, y1, x2, y2)."""
+    d = v[:, i] - v[:, j]
+    d *= d
+    return np.sqrt(d[0] + d[1]) + np.sqrt(d[2] + d[3]) <= FARTHEST
+
+
+def _alike_of_many(v: np.ndarray) -> int:
+    """Pairs of alike segments, at least three points apart, of one trajectory.
+
+    Alike segments differ by less than FARTHEST in their first offset: they are sorted by it, and a block of them meets only those
+    up to there. Pairs nearer than three points are counted, too, and taken off again.
+    """
+    n = v.shape[1]
+    s = np.ascontiguousarray(v[:, np.argsort(v[0], kind="stable")])
+    upto = np.searchsorted(s[0], s[0] + FARTHEST, "right")
+    total, step = 0, 48
+    room = np.empty((3, step * n))
+    for a in range(0, n, step):
+        b = min(a + step, n)
+        e = max(b, int(upto[a:b].max()))
+        one, two, both = (r[: (b - a) * (e - a)].reshape(b - a, e - a) for r in room)
+        for k, into in ((0, both), (2, one)):
+            np.subtract(s[k, a:b, None], s[k, None, a:e], out=into)
+            np.multiply(into, into, out=into)
+            np.subtract(s[k + 1, a:b, None], s[k + 1, None, a:e], out=two)
+            np.multiply(two, two, out=two)
+            np.sqrt(np.add(into, two, out=into), out=into)
+        hit = np.add(both, one, out=both) <= FARTHEST
+        total += np.count_nonzero(hit) - np.count_nonzero(np.tril(hit[:, : b - a]))
+    for gap in range(1, min(SEGMENT, n)):
+        total -= int(_alike(v, np.arange(n - gap), np.arange(gap, n)).sum())
+    return total
+
+
+def repetitions(x: np.ndarray, y: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Of each trajectory the share of pairs of three-point segments, at least three points apart, that are alike when moved to their starts."""
+    n = np.diff(at)
+    of = np.repeat(np.arange(len(n)), n)
+    rows = np.flatnonzero(np.arange(len(x)) <= at[of + 1] - SEGMENT)  # where a segment starts
+    v = np.stack([c[rows + k] - c[rows] for k in (1, 2) for c in (x, y)]) if len(rows) else np.zeros((4, 0))
+    of, segments = of[rows], np.maximum(n - SEGMENT + 1, 0)
+    ends = np.repeat(segments.cumsum(), segments)
+    alike, here = np.zeros(len(n)), np.arange(len(rows))
+    for k in np.flatnonzero(segments > MANY).tolist():
+        e = int(segments[: k + 1].sum())
+        alike[k] = _alike_of_many(v[:, e - int(segments[k]) : e])
+    partners = np.where(segments[of] > MANY, 0, np.maximum(ends - here - SEGMENT, 0))
+    upto = partners.cumsum()
+    a = 0
+    while a < len(rows):
+        b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + PAIRS, "right")))
+        count = partners[a:b]
+        i = np.repeat(here[a:b], count)
+        j = np.arange(count.sum()) - np.repeat(count.cumsum() - count, count) + i + SEGMENT
+        alike += np.bincount(of[i], _alike(v, i, j), len(n))
+        a = b
+    total = np.maximum(n - 2 * SEGMENT + 1, 0) * np.maximum(n - 2 * SEGMENT + 2, 0) / 2
+    return np.divide(alike, total, out=np.zeros(len(n)), where=total > 0)
+
+
+class _By:
+    """Sums by trajectory over one kind of thing."""
+
+    def __init__(self, of: np.ndarray, n: int):
+        self.of, self.n = of, n
+        self.count = np.bincount(of, minlength=n)
+
+    def sum(self, v: np.ndarray) -> np.ndarray:
+        return np.bincount(self.of, v, self.n)
+
+    def mean(self, v: np.ndarray, empty: float = 0.0) -> np.ndarray:
+        return np.where(self.count > 0, self.sum(v) / self.count, empty)
+
+    def std(self, v: np.ndarray) -> np.ndarray:
+        m = self.sum(v) / self.count
+        return np.sqrt(self.sum((v - m[self.of]) ** 2) / self.count)
+
+    def variability(self, v: np.ndarray, least: int) -> np.ndarray:
+        """Deviation over the mean; 0 with fewer than `least` values, NaN if the mean is 0."""
+        m = self.sum(v) / self.count
+        return np.where(self.count < least, 0.0, np.where(m == 0, np.nan, self.std(v) / m))
+
+    def entropy(self, bins: np.ndarray, most: int) -> np.ndarray:
+        """Shannon entropy, to base 2, of bins 0 to most - 1; unknown values are a bin of their own. 0 without values."""
+        b = np.where(np.isnan(bins), most, bins).astype(int)
+        counts = np.bincount(self.of * (most + 1) + b, minlength=self.n * (most + 1)).reshape(self.n, most + 1)
+        p = counts / np.maximum(self.count, 1)[:, None]
+        return -np.where(p > 0, p * np.log2(np.where(p > 0, p, 1)), 0).sum(1) + 0.0
+
+    def percentile(self, v: np.ndarray, q: float) -> np.ndarray:
+        """Linear between the values around the rank; 0 without values, NaN if one is."""
+        order = np.lexsort((v, self.of))
+        v, first = v[order], np.concatenate(([0], self.count.cumsum()[:-1]))
+        rank = np.maximum(self.count - 1, 0) * q
+        low = first + np.floor(rank).astype(int)
+        high = first + np.ceil(rank).astype(int)
+        v = np.append(v, 0.0)
+        last = v[np.minimum(first + np.maximum(self.count - 1, 0), len(v) - 1)]
+        low, high = np.minimum(low, len(v) - 1), np.minimum(high, len(v) - 1)
+        out = v[low] + (v[high] - v[low]) * (rank - np.floor(rank))
+        return np.where(self.count == 0, 0.0, np.where(np.isnan(last), np.nan, out))
+
+
+def batch_stats(x: np.ndarray, y: np.ndarray, t: np.ndarray, at: np.ndarray, mean_group: np.ndarray, desktop: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Which trajectories have three points or more after the intake, and of those all features; unknown ones are NaN.
+
+    mean_group: mean size of each trajectory's groups of points, 0 without any.
+    """
+    with np.errstate(all="ignore"):
+        keep, at, anew = taken_in(x, y, t, at)
+        n = np.diff(at)
+        there = n >= LEAST_POINTS
+        keep = keep[np.repeat(there, n)]
+        n, anew, mean_group, desktop = n[there], anew[there], mean_group[there], desktop[there]
+        at, m = np.concatenate(([0], n.cumsum())), len(n)
+        x, y, t = x[keep], y[keep], t[keep]
+        of = np.repeat(np.arange(m), n)
+        last, first = at[1:] - 1, at[:-1]
+
+        step = np.flatnonzero(of[1:] == of[:-1])
+        dx, dy, dt = (np.diff(c)[step] for c in (x, y, t))
+        of = of[step]
+        dist = np.sqrt(dx * dx + dy * dy)
+        steps = _By(of, m)
+        path, chord = steps.sum(dist), np.sqrt((x[last] - x[first]) ** 2 + (y[last] - y[first]) ** 2)
+        vx, vy = dx / dt, dy / dt
+        moving = dt > 0
+        speeds = _By(of[moving], m)
+
+        two = np.flatnonzero(of[1:] == of[:-1])  # a step and the next one
+        ax, ay = np.diff(vx)[two] / dt[two + 1], np.diff(vy)[two] / dt[two + 1]
+        forward = moving[two] & moving[two + 1]
+        accel = _By(of[two][forward], m)
+        cross, dot = dx[two] * dy[two + 1] - dy[two] * dx[two + 1], dx[two] * dx[two + 1] + dy[two] * dy[two + 1]
+        turned = (cross != 0) | (dot != 0)
+        degrees, turns = np.abs(np.degrees(np.arctan2(cross, dot)))[turned], _By(of[two][turned], m)
+        both = dist[two] * dist[two + 1]
+        bent = both > 0
+        bends = _By(of[two][bent], m)
+
+        three = np.flatnonzero(of[two][1:] == of[two][:-1])  # of `two` and the next of it
+        jx, jy = np.diff(ax)[three] / dt[two[three] + 2], np.diff(ay)[three] / dt[two[three] + 2]
+        on = forward[three] & forward[three + 1]
+        jerks = _By(of[two[three]][on], m)
 
-def repetition(x: np.ndarray, y: np.ndarray) -> float:
-    """Share of pairs of three-point segments, at least three points apart, that are alike when moved to their starts."""
-    n = len(x)
-    if n < 2 * SEGMENT:
-        return 0.0
-    ox = np.stack([x[k : n - SEGMENT + 1 + k] - x[: n - SEGMENT + 1] for k in range(SEGMENT)])
-    oy = np.stack([y[k : n - SEGMENT + 1 + k] - y[: n - SEGMENT + 1] for k in range(SEGMENT)])
-    alike = total = 0
-    for i in range(n - 2 * SEGMENT + 1):
-        d = np.hypot(ox[:, i + SEGMENT :] - ox[:, i : i + 1], oy[:, i + SEGMENT :] - oy[:, i : i + 1]).mean(0)
-        alike += int((np.maximum(0, 1 - d / SEGMENT_SCALE) > ALIKE).sum())
-        total += d.size
-    return alike / total if total else 0.0
+        out = {
+            "direction_entropy": steps.entropy(np.floor((np.arctan2(dy, dx) + math.pi) / (2 * math.pi / DIRECTIONS)) % DIRECTIONS, DIRECTIONS),
+            "jerk": jerks.mean(np.sqrt(jx * jx + jy * jy)[on]),
+            "linearity": np.where((chord == 0) | (path == 0), 1.0, chord / path),
+            "jitter": steps.mean(dist < 3),
+            "speed_variability": speeds.variability((dist / dt)[moving], 2),
+            "curvature": bends.mean((np.abs(cross) / both)[bent]),
+            "repetition_patterns": repetitions(x, y, at),
+            "time_irregularity": steps.variability(dt, 1),
+            "acceleration_variability": accel.variability(np.sqrt(ax * ax + ay * ay)[forward], 2),
+        }
+        straight = degrees < STRAIGHT_DEG
+        edge = np.flatnonzero((np.diff(straight) != 0) | (np.diff(turns.of) != 0)) + 1
+        starts = np.concatenate(([0], edge)) if len(straight) else np.zeros(0, int)
+        runs = np.diff(np.append(starts, len(straight)))
+        long = straight[starts] & (runs >= STRAIGHT_RUN)
+        in_runs = np.bincount(turns.of[starts[long]], runs[long], m)
+        for_desktop = {
+            "micro_jitter_2px": steps.mean(dist < 2),
+            "mmv_points_per_group": np.where(anew, 0.0, mean_group),
+            "long_straight_run_share": np.where(turns.count > 0, in_runs / turns.count, 0.0),
+            "turn_rate_45_per_100": 100 * turns.mean(degrees > SHARP_DEG),
+            "mean_abs_angle_deg": turns.mean(degrees),
+            "p90_abs_angle_deg": turns.percentile(degrees, 0.9),
+            "angle_entropy": turns.entropy(np.floor(degrees / ANGLE_BIN), int(180 / ANGLE_BIN) + 1),
+            "curvature_per_100px": np.where((turns.count > 0) & (path != 0), 100 * turns.sum(np.radians(degrees)) / path, 0.0),
+        }
+        score = np.zeros(m)
+        for name, only_desktop, cases in SCORE_TERMS:
+            f = for_desktop[name] if only_desktop else out[name]
+            term = np.zeros(m)
+            for op, limit, points in reversed(cases):
+                term = np.where(f < limit if op == "<" else f > limit if op == ">" else f >= limit, points, term)
+            score += np.where(desktop, term, 0.0) if only_desktop else term
+        out |= {k: np.where(desktop, v, np.nan) for k, v in for_desktop.items()}
+        out = {k: np.where(np.isfinite(v), v, np.nan) for k, v in out.items()}
+        score = np.minimum(1.0, score)
+        out |= {"bot_score": score, "is_likely_bot": score > LIKELY, "n": n}
+        out |= {"tm": t[last], "ms": t[last] - t[first], "l": path, "x0": x[first], "y0": y[first], "x1": x[last], "y1": y[last]}
+        return there, out
 
 
 def stats(x: np.ndarray, y: np.ndarray, t: np.ndarray, groups: list[int], device: str) -> dict | None:
-    """All features of one trajectory after the intake, or None with fewer than three points."""
-    keep, reset = taken_in(x, y, t)
-    if len(keep) < LEAST_POINTS:
-        return None
-    x, y, t = x[keep], y[keep], t[keep]
-    with np.errstate(all="ignore"):
-        dx, dy, dt = np.diff(x), np.diff(y), np.diff(t)
-        dist = np.hypot(dx, dy)
-        path, chord = float(dist.sum()), float(math.hypot(x[-1] - x[0], y[-1] - y[0]))
-        v = np.stack((dx, dy)) / dt
-        a = np.diff(v) / dt[1:]
-        two, three = (dt[:-1] > 0) & (dt[1:] > 0), (dt[:-2] > 0) & (dt[1:-1] > 0) & (dt[2:] > 0)
-        jerk = np.hypot(*(np.diff(a) / dt[2:]))[three]
-        cross, dot = dx[:-1] * dy[1:] - dy[:-1] * dx[1:], dx[:-1] * dx[1:] + dy[:-1] * dy[1:]
-        turns = np.abs(np.degrees(np.arctan2(cross, dot)))[(cross != 0) | (dot != 0)]
-        both = dist[:-1] * dist[1:]
-        bent = np.abs(cross[both > 0]) / both[both > 0]
-        out = {
-            "direction_entropy": _entropy(np.floor((np.arctan2(dy, dx) + math.pi) / (2 * math.pi / DIRECTIONS)) % DIRECTIONS),
-            "jerk": float(jerk.mean()) if len(jerk) else 0.0,
-            "linearity": chord / path if chord and path else 1.0,
-            "jitter": float((dist < 3).mean()),
-            "speed_variability": _cv((dist / dt)[dt > 0]),
-            "curvature": float(bent.mean()) if len(bent) else 0.0,
-            "repetition_patterns": repetition(x, y),
-            "time_irregularity": float(np.std(dt) / m) if (m := dt.mean()) else math.nan,
-            "acceleration_variability": _cv(np.hypot(*a)[two]),
-        }
-        if device == "desktop":
-            straight = np.concatenate(([0], (turns < STRAIGHT_DEG).astype(int), [0]))
-            starts, ends = np.flatnonzero(np.diff(straight) == 1), np.flatnonzero(np.diff(straight) == -1)
-            runs = ends - starts
-            sizes = [] if reset else [g for g in groups if g > 0]
-            some = len(turns) > 0
-            out |= {
-                "micro_jitter_2px": float((dist < 2).mean()),
-                "mmv_points_per_group": sum(sizes) / len(sizes) if sizes else 0.0,
-                "long_straight_run_share": float(runs[runs >= STRAIGHT_RUN].sum() / len(turns)) if some else 0.0,
-                "turn_rate_45_per_100": float(100 * (turns > SHARP_DEG).mean()) if some else 0.0,
-                "mean_abs_angle_deg": float(turns.mean()) if some else 0.0,
-                "p90_abs_angle_deg": float(np.percentile(turns, 90)) if some else 0.0,
-                "angle_entropy": _entropy(np.floor(turns / ANGLE_BIN)),
-                "curvature_per_100px": float(100 * np.radians(turns).sum() / path) if some and path else 0.0,
-            }
-    score = 0.0
-    for name, only_desktop, cases in SCORE_TERMS:
-        if not only_desktop or device == "desktop":
-            f = out[name]
-            score += next((p for op, limit, p in cases if (f < limit if op == "<" else f > limit if op == ">" else f >= limit)), 0.0)
-    out = {k: (v if math.isfinite(v) else None) for k, v in out.items()}
-    out |= {"bot_score": min(1.0, score), "is_likely_bot": min(1.0, score) > LIKELY}
-    out |= {"n": len(x), "tm": float(t[-1]), "ms": float(t[-1] - t[0]), "l": path, "x0": float(x[0]), "y0": float(y[0]), "x1": float(x[-1]), "y1": float(y[-1])}
-    return out
+    """`batch_stats` of one trajectory; None with fewer than three points, and for each unknown feature."""
+    sizes = [g for g in groups if g > 0]
+    there, out = batch_stats(x, y, t, np.array([0, len(x)]), np.array([sum(sizes) / len(sizes) if sizes else 0.0]), np.array([device == "desktop"]))
+    names = features_of(device) + tuple(c for c in _NAMES if c not in COMMON + DESKTOP_ONLY)
+    return {k: None if isinstance(v := out[k][0].item(), float) and math.isnan(v) else v for k in names} if there[0] else None
 
 
 STATS = "n int, tm double, ms double, l double, x0 double, y0 double, x1 double, y1 double, " + ", ".join(f"{c} double" for c in COMMON + DESKTOP_ONLY) + ", bot_score double, is_likely_bot boolean"
 _NAMES = [c.split()[0] for c in STATS.split(", ")]
+#: Points of the trajectories that are worked off together.
+POINTS_AT_ONCE = 1 << 18
+
+
+def _flat(lists: list, sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.asarray(v, float) for v, n in zip(lists, sizes, strict=True) if n]) if sizes.any() else np.zeros(0)
 
 
 def track_stats(x: Column, y: Column, tm: Column, groups: Column, device: Column) -> Column:
@@ -289,12 +441,22 @@ def track_stats(x: Column, y: Column, tm: Column, groups: Column, device: Column
     @F.pandas_udf(STATS)
     def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for xs, ys, ts, gs, ds in batches:
-            rows = []
-            for a, b, c, g, d in zip(xs, ys, ts, gs, ds, strict=True):
-                got = stats(*(np.asarray(v, float) for v in (a, b, c)), [int(k) for k in g] if g is not None else [], d) if a is not None else None
-                rows.append([(got or {}).get(k) for k in _NAMES])
-            out = pd.DataFrame(rows, columns=_NAMES, dtype=object)
-            floats = {k: float for k in _NAMES if k not in ("n", "is_likely_bot")}
-            yield out.astype(floats).assign(n=out["n"].astype("Int32"), is_likely_bot=out["is_likely_bot"].astype("boolean"))
+            sizes = np.array([0 if a is None else len(a) for a in xs], int)
+            some = [[] if g is None else [k for k in g if k > 0] for g in gs]
+            group = np.array([sum(g) / len(g) if g else 0.0 for g in some])
+            desktop = (ds == "desktop").to_numpy(bool)
+            full = {c: np.full(len(sizes), np.nan) for c in _NAMES}
+            lists = [v.tolist() for v in (xs, ys, ts)]
+            upto, a = sizes.cumsum(), 0
+            while a < len(sizes):
+                b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + POINTS_AT_ONCE, "right")))
+                at = np.concatenate(([0], sizes[a:b].cumsum()))
+                there, out = batch_stats(*(_flat(v[a:b], sizes[a:b]) for v in lists), at, group[a:b], desktop[a:b])
+                for c in _NAMES:
+                    full[c][a:b][there] = out[c]
+                a = b
+            out = pd.DataFrame(full)
+            none = out["n"].isna()
+            yield out.assign(n=out["n"].astype("Int32"), is_likely_bot=(out["is_likely_bot"] > 0).astype("boolean").mask(none))
 
     return run.asNondeterministic()(x, y, tm, groups, device)  # else a filter on a field would run it twice

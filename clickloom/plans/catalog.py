@@ -508,10 +508,18 @@ def json_keys_touch(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "events").select("event_id", F.coalesce(F.arrays_overlap(keys, F.array(F.lit("tmv"), F.lit("k"))), F.lit(False)).alias("touched"))
 
 
-@query("SELECT event_id, CAST(user_id AS DOUBLE) AS u, CAST(-event_id AS DOUBLE) AS e FROM events")
+_LONG36 = "substr(repeat(to_base(event_id * 7919 + 35, 36), 14), 1, 13 + CAST(event_id % 28 AS INTEGER))"
+_VALUE36 = "list_reduce(list_transform(string_split(substr(w, 5 * k + 1, 5), ''), lambda c: CAST(instr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', c) - 1 AS BIGINT)), lambda v, c: v * 36 + c)"
+
+
+@query(f"""WITH t AS (SELECT event_id, user_id, {_LONG36} AS w FROM events), l AS (SELECT *, list_transform(range((length(w) + 4) // 5), lambda k: {{'v': CAST({_VALUE36} AS DOUBLE), 'n': length(substr(w, 5 * k + 1, 5))}}) AS parts FROM t)
+  SELECT event_id, CAST(user_id AS DOUBLE) AS u, CAST(-event_id AS DOUBLE) AS e, list_reduce(parts, lambda a, x: {{'v': a.v * CAST(pow(36, x.n) AS DOUBLE) + x.v, 'n': x.n}}).v AS w FROM l""")
 def base36_decode(spark: SparkSession, d: str) -> DataFrame:
-    e = read(spark, d, "events").select("event_id", F.lower(F.conv(F.col("user_id").cast("string"), 10, 36)).alias("a"), F.concat(F.lit("-"), F.conv(F.col("event_id").cast("string"), 10, 36)).alias("b"))
-    return e.select("event_id", F.expr(base36("a")).alias("u"), (F.expr(base36("b")) + 0.0).alias("e"))
+    """Numbers of few digits, negative ones, and ones of 13 to 40 digits."""
+    to36 = lambda c: F.conv(c.cast("string"), 10, 36)
+    long = F.substring(F.repeat(to36(F.col("event_id") * 7919 + 35), 14), F.lit(1), (13 + F.col("event_id") % 28).cast("int"))
+    e = read(spark, d, "events").select("event_id", F.lower(to36(F.col("user_id"))).alias("a"), F.concat(F.lit("-"), to36(F.col("event_id"))).alias("b"), long.alias("c"))
+    return e.select("event_id", F.expr(base36("a")).alias("u"), (F.expr(base36("b")) + 0.0).alias("e"), F.expr(base36("c")).alias("w"))
 
 
 @query("""SELECT c_custkey, CASE WHEN lower(trim(c_mktsegment)) IN ('', 'nan', 'none', 'null', '<na>', 'building') THEN NULL ELSE c_mktsegment END AS segment, round(c_acctbal / nullif(c_nationkey, 0), 6) AS share FROM customer""")

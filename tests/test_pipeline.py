@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -34,6 +35,28 @@ def test_decode(spark):
     assert [tuple(p) for p in odd] == [(10, -10, None), (1, None, None)]
 
 
+def test_base36_of_any_length(spark):
+    """Against a plain reading by parts of five digits, from the first digit that isn't 0."""
+    import random
+
+    from clickloom.functions.expressions import base36
+
+    def plain(text):
+        m = re.match(r"\s*(?:\+(?!-))?(-?)([0-9a-z]+)", text, re.I)
+        if not m:
+            return None
+        digits, v = m[2].lstrip("0") or "0", 0.0
+        for k in range(0, len(digits), 5):
+            v = v * float(36 ** len(digits[k : k + 5])) + int(digits[k : k + 5], 36)
+        return -v if m[1] else v
+
+    r = random.Random(1)
+    texts = ["".join(r.choice("0123456789azAZ") for _ in range(n)) for n in range(1, 60) for _ in range(3)]
+    texts += ["z" * 12, "z" * 13, "-" + "z" * 13, "0" * 30 + "1a", "0" * 15, " +zz", "+-a", "", "!", "-", "a.5", "1" * 20 + "!!", "-0"]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", F.expr(base36("t")).alias("v")).orderBy("i").collect()
+    assert [x["v"] for x in got] == [plain(t) for t in texts] and got[texts.index("z" * 12)]["v"] != got[texts.index("z" * 13)]["v"]
+
+
 def test_first_mb():
     assert first_mb({"x": {"mb": 0}, "mb": 1}) is True
     assert first_mb({"x": [{"y": {"mb": 0}}], "z": {"mb": 1}}) is False
