@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import urlparse
+
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,15 @@ def shared_dir(spark: SparkSession) -> str:
     return kept.get().rstrip("/")
 
 
+def filesystem(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """How tasks reach a shared folder by themselves, and its path there; raises where pyarrow doesn't know its kind."""
+    if not urlparse(folder).scheme:
+        folder = f"file://{folder}"
+    elif folder.startswith("file:/") and not folder.startswith("file://"):
+        folder = "file://" + folder.removeprefix("file:")
+    return pyarrow.fs.FileSystem.from_uri(folder)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """`df` written once to the shared folder and read again.
 

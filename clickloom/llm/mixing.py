@@ -10,6 +10,7 @@ table, so that a range stays a small share of it) and then inside each range, ra
 over runs of slots, so that no source is ever in one task. Only windows over one row a source, and over
 one row a range of one source, stand in one task.
 
+Documents of equal hash go by id and size, which changes no sum. Very long texts are only counted, and may span many blocks.
 A null text has size 0, a null source is a source of its own and comes last; repeated rows count
 as often as they stand; a source without words has target 0; an empty table gives an empty result.
 Of the input, doc_id, text and source are read; other columns can't clash.
@@ -158,11 +159,13 @@ def repeated(docs: DataFrame, block: int = 2048, weights: tuple[int, ...] = (1,
     each = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64(F.lit("mix"), "doc_id", "text").alias("h"))
     same = (F.col("h") == F.col("ch")) & F.col("id").eqNullSafe(F.col("cid"))
     once = each.join(copies.where("rows = 1"), same).select("row", "copies")
-    # equal rows are counted, not ranked; different rows of one id and text share by running sums over their counts
-    several = each.join(copies.where("rows > 1"), same).groupBy("row", "h", "id", "copies", "rows").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.partitionBy("h", "id").orderBy(F.xxhash64(F.to_json("row"))).rowsBetween(Window.unboundedPreceding, 0))
+    # equal rows are counted, not ranked; different rows of one id and text share by running sums over their counts. A row is
+    # known by the digest of its JSON text, as columns may be of types that can't be compared
+    told = F.sha2(F.to_json("row", {"ignoreNullFields": "false"}), 256)
+    several = each.join(copies.where("rows > 1"), same).withColumn("told", told).groupBy("told", "h", "id", "copies", "rows").agg(F.first("row").alias("row"), F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("h", "id").orderBy("told").rowsBetween(Window.unboundedPreceding, 0))
     share = F.floor(upto * F.col("copies") / F.col("rows")) - F.floor((upto - F.col("n")) * F.col("copies") / F.col("rows"))
     # many copies of one row leave in runs, which are dealt to all tasks
-    runs = several.select("row", share.alias("copies")).where("copies > 0").select("row", "copies", F.explode(F.expr(f"sequence(0L, copies - 1, {RUN}L)")).alias("at"))
-    dealt = runs.repartition(F.xxhash64("row", "at")).select("row", F.least(F.lit(RUN), F.col("copies") - F.col("at")).alias("copies"))
+    runs = several.select("row", "told", share.alias("copies")).where("copies > 0").select("row", "told", "copies", F.explode(F.expr(f"sequence(0L, copies - 1, {RUN}L)")).alias("at"))
+    dealt = runs.repartition(F.xxhash64("told", "at")).select("row", F.least(F.lit(RUN), F.col("copies") - F.col("at")).alias("copies"))
     return once.unionByName(dealt).select("row", F.explode(F.expr("array_repeat(1, cast(copies as int))"))).select("row.*")

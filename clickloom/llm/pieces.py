@@ -1,37 +1,47 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-Texts are cut into units that no piece crosses. For the most frequent units of the corpus the
-lattice is a table: substrings of bounded length are exploded and joined by equality to the piece
-table (bounded: the vocabulary), the edges are grouped by unit, and a higher-order aggregate folds
-them: Viterbi's best sum of scores for unigram models; for BPE models, whose scores are merge ranks
-and whose best sum isn't what the model encodes, the merges in order of score over the same edges.
-These units' ids (bounded: `units` of at most `longest_unit` characters) go to every task. A unit
-outside them is folded by the same rule where it stands, so that no text or unit is shuffled.
+Texts are cut into units that no piece crosses. The lattice of all different units is a table: substrings of bounded
+length are exploded and joined by equality to the piece table (bounded: the vocabulary), the edges are grouped by unit, and a
+higher-order aggregate folds them: Viterbi's best sum of scores for unigram models; for BPE models, whose scores are merge
+ranks and whose best sum isn't what the model encodes, the merges in order of score over the same edges. The cost of that fold
+grows with the cube of a unit's length: the rare units of over `LATTICE` characters, which are no words, are folded by the
+same rule with a heap, a row each.
+
+Texts are not shuffled. Each file split that Spark scans is a shard; a first pass lists its different units, and the
+units' ids go back to the shards that hold them, as a table with a folder for each. A second pass over the same splits reads the
+dictionary of its shard, which is as large as a split has different words. A table that isn't read from files is written once.
 
 Every text is encoded whole. A null or empty text has no ids. Characters that are no piece become
 the pieces of their UTF-8 bytes, so that decoding gives the text back; only a literal U+2581 comes
-back as a space. Repeated rows are encoded alike; an empty table gives an empty result; only doc_id
+back as a space. Of equal scores the leftmost merge goes first. Repeated rows are encoded alike; an empty table gives an empty result; only doc_id
 and text are read, so other columns can't clash.
 """
 
 from __future__ import annotations
 
 import heapq
+import os
+import posixpath
 import re
-from collections import Counter
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet as pq
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import dropped, settled
+from .common import filesystem, settled, shared_dir
 
 SPACE = "▁"
-#: Where the public tokenizers of this installation are; a parameter of every function here.
-MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+#: The model file where none is named: a setting of the driver's environment.
+MODEL = os.environ.get("CLICKLOOM_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
+#: Characters of the longest unit whose edges are a relation.
+LATTICE = 64
 
 
 @dataclass(frozen=True)
@@ -98,24 +108,11 @@ class Local:
         return [self.model.first_byte + b for b in piece.encode("utf-8", "surrogatepass")]
 
     def fold(self, unit: str) -> list[int]:
-        parts = self._viterbi(unit) if self.model.kind == "unigram" else self._short(unit) if len(unit) <= 40 else self._long(unit)
+        parts = self._viterbi(unit) if self.model.kind == "unigram" else self._merged(unit)
         return [i for p in parts for i in self.of_piece(p)]
 
-    def _short(self, unit: str) -> list[str]:
-        parts, scores = list(unit), self.scores
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                s = scores.get(parts[i] + parts[i + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, i
-            if best is None:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
-
-    def _long(self, unit: str) -> list[str]:
-        """The same merges from a heap, for units of any length."""
+    def _merged(self, unit: str) -> list[str]:
+        """The merges in order of score, of equal ones the leftmost, from a heap."""
         parts: list[str] = list(unit)
         after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
         heap: list[tuple[float, int, int, str]] = []
@@ -159,25 +156,35 @@ def piece_table(spark: SparkSession, model: Model) -> DataFrame:
     return spark.createDataFrame(rows, "piece string, id int, score double")
 
 
-def unit_counts(docs: DataFrame, model: Model) -> DataFrame:
-    """(unit, n) over all texts, summed up in each task before the shuffle."""
+def sharded(docs: DataFrame) -> DataFrame:
+    """(shard, doc_id, text): the shard names the file split that a row is read from, so that a second scan finds the same."""
+    whole = docs.select("doc_id", "text")
+    try:
+        return docs.select(F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias("shard"), "doc_id", "text")
+    except AnalysisException:  # not read from files
+        return sharded(settled(whole))
+
+
+def shard_units(rows: DataFrame, model: Model) -> DataFrame:
+    """(unit, shards): all different units, each with the shards that hold it. What a task has seen twice is sent once."""
+
+    def table(seen: dict[int, set[str]]) -> pa.RecordBatch:
+        n = [len(v) for v in seen.values()]
+        return pa.RecordBatch.from_arrays([pa.array([u for v in seen.values() for u in v], pa.string()), pa.array(np.repeat(np.array(list(seen), np.int64), n))], names=["unit", "shard"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pattern, seen = model.units(), Counter()
+        find, seen = model.units().findall, {}
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for shard, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if text:
-                    seen.update(pattern.findall(model.spaced(text)))
-            if len(seen) > 400_000:  # bounded memory; the sums go on in Spark
-                yield _table(seen)
-                seen = Counter()
-        yield _table(seen)
-
-    return docs.select("text").mapInArrow(run, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
-
+                    seen.setdefault(shard, set()).update(find(model.spaced(text)))
+            if sum(map(len, seen.values())) > 1_000_000:  # bounded memory; the rest is told apart in Spark
+                yield table(seen)
+                seen = {}
+        if seen:
+            yield table(seen)
 
-def _table(seen: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["unit", "n"])
+    return rows.select("shard", "text").mapInArrow(run, "unit string, shard long").groupBy("unit").agg(F.collect_set("shard").alias("shards"))
 
 
 def lattice(units: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
@@ -190,13 +197,14 @@ def lattice(units: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
 
 
 def _merged() -> Column:
-    """Borders of the parts after all merges, highest score first, of equal ones the leftmost."""
+    """Borders of the parts after all merges, highest score first, of equal ones the leftmost; `wide`: the edges of several characters."""
     return F.expr("""
-        aggregate(sequence(1, length(unit)), sequence(1, length(unit) + 1), (cuts, step) ->
+        aggregate(sequence(1, length(unit)), struct(sequence(1, length(unit) + 1) as cuts, false as done), (a, step) -> case when a.done then a else
           transform(array(array_max(transform(
-              filter(edges, e -> array_position(cuts, e.start) > 0 and array_position(cuts, e.end) = array_position(cuts, e.start) + 2),
+              filter(wide, e -> array_position(a.cuts, e.start) > 0 and array_position(a.cuts, e.end) = array_position(a.cuts, e.start) + 2),
               e -> struct(e.score as score, -e.start as start)))),
-            m -> case when m is null then cuts else filter(cuts, (c, i) -> i != array_position(cuts, -m.start)) end)[0])""")
+            m -> case when m is null then struct(a.cuts as cuts, true as done) else struct(filter(a.cuts, (c, i) -> i != array_position(a.cuts, -m.start)) as cuts, false as done) end)[0] end,
+          a -> a.cuts)""")
 
 
 def _best_path(low: float) -> Column:
@@ -215,7 +223,8 @@ def folded(grid: DataFrame, model: Model) -> DataFrame:
     """(unit, parts): the ids of each part, or null for a character without a piece, with its text."""
     low = min((p[1] for p in model.pieces if p), default=0.0) - 10.0
     cuts = _merged() if model.kind == "bpe" else _best_path(low)
-    return grid.withColumn("cuts", cuts).select(
+    wide = grid.withColumn("wide", F.expr("filter(edges, e -> e.end > e.start + 1)"))
+    return wide.withColumn("cuts", cuts).select(
         "unit",
         F.expr("""transform(slice(cuts, 1, size(cuts) - 1), (a, i) -> struct(
             get(filter(edges, e -> e.start = a and e.end = cuts[i + 1]), 0).id as id,
@@ -232,44 +241,50 @@ def _ids(model: Model) -> Column:
     return F.expr(f"flatten(transform(parts, p -> case when p.id is not null then array(p.id) else {other} end))")
 
 
-def dictionary(docs: DataFrame, model: Model, units: int = 300_000, longest_unit: int = 32) -> dict[str, bytes]:
-    """Ids, as 32-bit numbers, of the most frequent units of the texts, at most `units` of them.
-
-    The least count that counts is found from the numbers of units by the logarithm of their count (some hundred
-    rows), so that no sort or task over all units is needed.
-    """
-    spark = docs.sparkSession
-    counts = settled(unit_counts(docs, model))
-    usable = counts.where((F.length("unit") > 0) & (F.length("unit") <= longest_unit)).withColumn("bin", F.floor(F.log2("n") * 8))
-    least, total = None, 0
-    for r in usable.groupBy("bin").agg(F.count(F.lit(1)).alias("units"), F.min("n").alias("least")).orderBy(F.col("bin").desc()).collect():
-        total += r["units"]
-        if total > units:
-            break
-        least = r["least"]
-    out: dict[str, bytes] = {}
-    if least is not None:
-        top = usable.where(F.col("n") >= least).select("unit").repartition(max(1, spark.sparkContext.defaultParallelism), "unit")
-        found = folded(lattice(top, piece_table(spark, model), model.longest), model).select("unit", _ids(model).alias("ids")).toArrow()
-        for part in found.to_batches():
-            flat, cuts = part.column("ids").flatten().to_numpy().astype(np.int32), part.column("ids").value_lengths().to_numpy().cumsum()
-            out.update(zip(part.column("unit").to_pylist(), (flat[i:j].tobytes() for i, j in zip([0, *cuts[:-1].tolist()], cuts.tolist(), strict=True)), strict=True))
-    dropped(counts)
-    return out
-
-
-class _Memo(dict):
-    """Ids of units; others are folded on the spot, and kept while there is room."""
+def encoded_units(units: DataFrame, model: Model) -> DataFrame:
+    """(unit, ids) of all units of `units`, a row each."""
+    kind, local = "unit string, ids array<int>", Local(model)
 
-    def __init__(self, known: dict[str, bytes], local: Local, room: int):
-        super().__init__(known)
-        self.local, self.most = local, len(known) + room
-
-    def __missing__(self, unit: str) -> bytes:
-        out = np.array(self.local.fold(unit), np.int32).tobytes()
-        if len(self) < self.most:
-            self[unit] = out
-        return out
+    def one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([local.fold(u) for u in batch.column(0).to_pylist()], pa.list_(pa.int32()))], names=["unit", "ids"])
+
+    words, others = (units.select("unit").where(c) for c in (F.length("unit") <= LATTICE, F.length("unit") > LATTICE))
+    found = folded(lattice(words, piece_table(units.sparkSession, model), model.longest), model).select("unit", _ids(model).alias("ids"))
+    return found.unionByName(others.mapInArrow(one_by_one, kind))
+
+
+def dictionaries(rows: DataFrame, model: Model) -> str:
+    """Writes the ids of each shard's units to a folder of its own under the one returned, in the shared folder."""
+    units = shard_units(rows, model)
+    folder = f"{shared_dir(rows.sparkSession)}/clickloom-pieces-{uuid.uuid4().hex}"
+    known = encoded_units(units, model).join(units, "unit")
+    known.select("unit", "ids", F.explode("shards").alias("shard")).repartition("shard").write.partitionBy("shard").parquet(folder)
+    return folder
+
+
+class Shard:
+    """The dictionary of the shard that a task reads; the last ones are kept, as a task may hold more than one."""
+
+    def __init__(self, folder: str, keep: int = 2):
+        self.fs, self.root = filesystem(folder)
+        self.keep, self.held = keep, {}
+
+    def of(self, shard: int) -> dict[str, bytes]:
+        if shard not in self.held:
+            while len(self.held) >= self.keep:
+                del self.held[next(iter(self.held))]
+            out: dict[str, bytes] = {}
+            place = posixpath.join(self.root, f"shard={shard}")
+            for f in self.fs.get_file_info(pyarrow.fs.FileSelector(place)) if self.fs.get_file_info(place).type == pyarrow.fs.FileType.Directory else []:
+                if f.path.endswith(".parquet"):
+                    with self.fs.open_input_file(f.path) as source:
+                        for part in pq.ParquetFile(source).iter_batches(columns=["unit", "ids"]):
+                            ids = part.column("ids")
+                            flat, ends = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32), ids.value_lengths().to_numpy(zero_copy_only=False).astype(int).cumsum()
+                            out.update(zip(part.column("unit").to_pylist(), (flat[i:j].tobytes() for i, j in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)), strict=True))
+            self.held[shard] = out
+        return self.held[shard]
 
 
 def decoder(model: Model) -> list[bytes]:
@@ -290,23 +305,21 @@ def _text(ids: list[int], table: list[bytes], prefix: bool) -> str:
     return text[1:] if prefix and text[:1] == " " else text
 
 
-def encode(docs: DataFrame, model: Model | None = None, units: int = 300_000, room: int = 100_000) -> DataFrame:
+def encode(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """doc_id, ids, n_tokens, round_trip (decoding gives the text) for each row of `docs`."""
     model = model or Model.load()
-    spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sent = spark.sparkContext.broadcast((model, dictionary(docs, model, units)))
+    rows = sharded(docs)
+    folder = dictionaries(rows, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, known = sent.value
-        memo, find, table = _Memo(known, Local(model), room), model.units().findall, decoder(model)
-        get = memo.__getitem__
+        shard, find, table = Shard(folder), model.units().findall, decoder(model)
         for batch in batches:
-            doc_ids, texts = batch.column(0), batch.column(1)
+            shards, doc_ids, texts = batch.columns
             for at in range(0, batch.num_rows, 256):  # texts may be long
                 found, same = [], []
-                for text in texts.slice(at, 256).to_pylist():
-                    ids = b"".join(map(get, find(model.spaced(text)))) if text else b""
+                for of, text in zip(shards.slice(at, 256).to_pylist(), texts.slice(at, 256).to_pylist(), strict=True):
+                    ids = b"".join(map(shard.of(of).__getitem__, find(model.spaced(text)))) if text else b""
                     found.append(ids)
                     same.append(_text(np.frombuffer(ids, np.int32).tolist(), table, model.prefix) == (text or ""))
                 n = np.array([len(x) // 4 for x in found], np.int64)
@@ -314,7 +327,7 @@ def encode(docs: DataFrame, model: Model | None = None, units: int = 300_000, ro
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], n.cumsum())).astype(np.int32)), flat)
                 yield pa.RecordBatch.from_arrays([doc_ids.slice(at, 256), lists, pa.array(n), pa.array(same, pa.bool_())], names=["doc_id", "ids", "n_tokens", "round_trip"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids array<int>, n_tokens long, round_trip boolean")
+    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, n_tokens long, round_trip boolean")
 
 
 def decode(encoded: DataFrame, model: Model | None = None) -> DataFrame:

@@ -246,9 +246,10 @@ FROM embeddings JOIN least ON least.a = vec_id LEFT JOIN n ON n.a = vec_id""",
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
-k AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
-SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 20""",
+q AS (SELECT vec_id, e, row_number() OVER (PARTITION BY vec_id ORDER BY e) AS query_place FROM (SELECT DISTINCT vec_id, e FROM v WHERE vec_id % 20 = 0)),
+s AS (SELECT q.vec_id AS query_id, query_place, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score FROM q JOIN v c ON q.vec_id <> c.vec_id),
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id, query_place ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score, query_place FROM k WHERE rank <= 20""",
     "op7_urls": f"""
 WITH u AS (SELECT page_id, coalesce(url, '') AS url FROM pages),
 s AS (SELECT page_id, url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM u),

@@ -428,6 +428,6 @@ def one_of_each(docs: DataFrame, how: SimHash | None = None) -> DataFrame:
     told = settled(member.join(first, "class").select("doc_id", "digest", (F.struct("doc_id", "digest") == F.col("first")).alias("stays"), "n").where("not stays or n > 1"))
     each = marked(docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("digest")), told, ["doc_id", "digest"])
     odd = each.where("maybe").join(told, ["doc_id", "digest"], "left")
-    order = Window.partitionBy("doc_id", "digest").orderBy(F.xxhash64(F.to_json("row")))
+    order = Window.partitionBy("doc_id", "digest").orderBy(F.xxhash64(F.to_json("row", {"ignoreNullFields": "false"})))
     one = odd.where("stays").withColumn("i", F.row_number().over(order)).where("i = 1")
     return each.where("not maybe").select("row.*").union(odd.where("stays is null").select("row.*")).union(one.select("row.*"))

@@ -12,8 +12,8 @@ k rows each, are merged by rank.
 
 Scores are exact while they are below 2**53. Rows that are null, hold null or non-finite components
 or have a null id take no part. Vectors meet only within one dimension. Repeated rows are candidates of
-their own, but no row with a query's id is its candidate; repeated queries are answered once. Ties go to
-the smaller id. An empty table gives an empty result; only vec_id and embedding are read, so other
+their own, but no row with a query's id is its candidate; rows that repeat a query's id and vector are answered once, and an
+id that stands on several vectors asks with each of them, told apart by `query_place`. Ties go to the smaller id. An empty table gives an empty result; only vec_id and embedding are read, so other
 columns can't clash. Only counts and the second moments of at most `turned` dimensions (squared, each at most
 `widest`; other vectors aren't rotated, with the same result) reach the driver.
 """
@@ -36,7 +36,7 @@ from .vectors import usable
 
 #: Products of one step; values of the salt in joins by dimension, which may be the same for all.
 PAIRS, SALTS = 1 << 20, 64
-PACKED = ("dim", "most", "form", "ids", "data")
+PACKED = ("dim", "most", "form", "ids", "places", "data")
 
 
 @dataclass(frozen=True)
@@ -95,19 +95,20 @@ def _narrow(x: np.ndarray) -> tuple[str, bytes]:
 
 
 def _packed(rows: DataFrame, size: int) -> DataFrame:
-    """Blocks of at most `size` rows of one dimension, in the order they come: (dim, most, form, ids, data).
+    """Blocks of at most `size` rows of one dimension, in the order they come: PACKED. places: `place` of each row, if there is one.
 
     A task holds the rows of one block, however many rows of a dimension its partition has.
     """
 
+    placed = "place" in rows.columns
+
     def block(held: list[pa.RecordBatch], d: int) -> pa.RecordBatch:
         part = pa.concat_batches(held)
         form, data = _narrow(part.column("v").flatten().to_numpy())
         most = float(part.column("norm").to_numpy().max())
         ids = part.column("vec_id").to_numpy().tobytes()
-        return pa.RecordBatch.from_arrays(
-            [pa.array([d]), pa.array([most]), pa.array([form]), pa.array([ids], pa.binary()), pa.array([data], pa.binary())], names=["dim", "most", "form", "ids", "data"]
-        )
+        places = part.column("place").to_numpy().tobytes() if placed else b""
+        return pa.RecordBatch.from_arrays([pa.array([d]), pa.array([most]), pa.array([form]), *(pa.array([x], pa.binary()) for x in (ids, places, data))], names=list(PACKED))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -126,7 +127,7 @@ def _packed(rows: DataFrame, size: int) -> DataFrame:
         if held:
             yield block(held, d)
 
-    return rows.mapInArrow(run, "dim long, most double, form string, ids binary, data binary")
+    return rows.mapInArrow(run, "dim long, most double, form string, ids binary, places binary, data binary")
 
 
 class _Best:
@@ -182,7 +183,9 @@ def _down(Q: np.ndarray, qid: np.ndarray, best: _Best, X: np.ndarray, xid: np.nd
 
 
 def top_k(vectors: DataFrame, is_query: Column, how: Search = Search()) -> DataFrame:
-    """query_id, rank, vec_id, score: the k best of all rows for each row where `is_query` holds.
+    """query_id, rank, vec_id, score, query_place: the k best of all rows for each row where `is_query` holds.
+
+    query_place: 1, or the number of the query's vector among those of its id, in their order.
 
     vectors: vec_id and `v`, an array of whole numbers as double.
     """
@@ -196,7 +199,9 @@ def top_k(vectors: DataFrame, is_query: Column, how: Search = Search()) -> DataF
     parts = max(spark.sparkContext.defaultParallelism, n["all"] // (256 * how.block))
     falling = rows.select("vec_id", "v", "dim", "norm").repartitionByRange(parts, "dim", F.col("norm").desc()).sortWithinPartitions("dim", F.col("norm").desc(), "vec_id")
     candidates = settled(_packed(falling, how.block).withColumn("cb", F.monotonically_increasing_id()))
-    asked = rows.where("is_query").dropDuplicates(["vec_id", "v"]).select("vec_id", "v", "dim", "norm")
+    # an id may stand on several vectors: each is a query with a list of its own
+    asked = rows.where("is_query").groupBy("vec_id", "v").agg(F.first("dim").alias("dim"), F.first("norm").alias("norm"))
+    asked = asked.withColumn("place", F.row_number().over(Window.partitionBy("vec_id").orderBy("v")).cast("long"))
     by_id = asked.repartitionByRange(max(1, -(-n["asked"] // how.queries)), "dim", "vec_id").sortWithinPartitions("dim")
     blocks = settled(_packed(by_id, how.queries).withColumn("qb", F.monotonically_increasing_id()))
 
@@ -223,10 +228,10 @@ def top_k(vectors: DataFrame, is_query: Column, how: Search = Search()) -> DataF
     again = blocks.join(begun.select("qb", "floor"), "qb").join(used, "qb").select("qb", "strand", F.lit(0).alias("kind"), "floor", *PACKED)
     found = _dealt(again, against, axes, how)
 
-    triple = F.explode(F.arrays_zip("query_id", "vec_id", "score")).alias("x")
-    listed = begun.select(triple).unionByName(found.select(triple)).select("x.*")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return listed.withColumn("rank", rank).where(F.col("rank") <= how.k).select("query_id", "rank", "vec_id", "score")
+    each = F.explode(F.arrays_zip("query_id", "query_place", "vec_id", "score")).alias("x")
+    listed = begun.select(each).unionByName(found.select(each)).select("x.*")
+    rank = F.row_number().over(Window.partitionBy("query_id", "query_place").orderBy(F.col("score").desc(), "vec_id"))
+    return listed.withColumn("rank", rank).where(F.col("rank") <= how.k).select("query_id", "rank", "vec_id", "score", "query_place")
 
 
 def _dealt(heads: DataFrame, against: DataFrame, axes: Broadcast, how: Search) -> DataFrame:
@@ -234,30 +239,30 @@ def _dealt(heads: DataFrame, against: DataFrame, axes: Broadcast, how: Search) -
     if it has so many) and `need`, the least length with which a vector can reach the floor of any of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, best, Q, qid, d = None, None, np.zeros((0, 0)), np.zeros(0, np.int64), 0
+        key, best, Q, qid, place, d = None, None, np.zeros((0, 0)), np.zeros(0, np.int64), np.zeros(0, np.int64), 0
         for batch in batches:
             for r in range(batch.num_rows):
-                qb, strand, kind, floor, d_, _, form, ids, data = (batch.column(c)[r] for c in range(9))
+                qb, strand, kind, floor, d_, _, form, ids, places, data = (batch.column(c)[r] for c in range(10))
                 now = (qb.as_py(), strand.as_py())
                 ids = np.frombuffer(ids.as_buffer(), np.int64)
                 x = np.frombuffer(data.as_buffer(), form.as_py()).astype(np.float64).reshape(len(ids), d_.as_py())
                 if kind.as_py() == 0:
                     if best is not None:
-                        yield _result(key[0], d, best, Q, qid)
-                    key, Q, qid, d = now, x, ids.copy(), d_.as_py()
+                        yield _result(key[0], d, best, Q, qid, place)
+                    key, Q, qid, place, d = now, x, ids.copy(), np.frombuffer(places.as_buffer(), np.int64).copy(), d_.as_py()
                     best = _Best(len(ids), how.k, None if floor.as_py() is None else np.array(floor.as_py()))
                 elif now == key:
                     turn = axes.value.get(d)
                     _down(Q, qid, best, x, ids, turn, d if turn is None else max(1, int(d * how.leading)))
         if best is not None:
-            yield _result(key[0], d, best, Q, qid)
+            yield _result(key[0], d, best, Q, qid, place)
 
     dealt = heads.unionByName(against).repartition("qb", "strand").sortWithinPartitions("qb", "strand", "kind", F.col("most").desc())
-    schema = "qb long, dim long, need double, floor array<double>, query_id array<long>, vec_id array<long>, score array<long>"
+    schema = "qb long, dim long, need double, floor array<double>, query_id array<long>, query_place array<long>, vec_id array<long>, score array<long>"
     return dealt.mapInArrow(run, schema)
 
 
-def _result(qb: int, d: int, best: _Best, Q: np.ndarray, qid: np.ndarray) -> pa.RecordBatch:
+def _result(qb: int, d: int, best: _Best, Q: np.ndarray, qid: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
     q, k = np.nonzero(np.isfinite(best.scores))
     length = np.sqrt((Q * Q).sum(1))
     need = np.divide(best.last - 0.5, length, out=np.full(len(length), -np.inf), where=length > 0)
@@ -267,6 +272,7 @@ def _result(qb: int, d: int, best: _Best, Q: np.ndarray, qid: np.ndarray) -> pa.
         "need": [float(need.min())],
         "floor": [best.last],
         "query_id": [qid[q]],
+        "query_place": [place[q]],
         "vec_id": [best.ids[q, k]],
         "score": [best.scores[q, k].astype(np.int64)],
     }

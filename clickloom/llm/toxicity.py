@@ -1,15 +1,16 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick in folded text.
 
 Folding lowers case, maps homoglyphs of Latin letters and, inside words with a letter, digits and
-signs that stand for letters. The lexicon is a seed list plus word stems learned from labelled
+signs that stand for letters. The lexicon is a seed list plus word stems of any length, and short whole words, learned from labelled
 training rows (counts of documents with and without the label, over executors); a stem's weight is
-its smoothed log odds. A stem counts where a word begins, unless it lies in an exception phrase.
+its smoothed log odds. As many stems count as have the evidence. A stem counts where a word begins, unless it lies in an exception phrase.
 A document's sum of weights, normalised by a power of its length, goes through a logistic curve
 fitted on the same rows.
 
 The training sample has at most `sample` rows, by smallest hashed id, never held-out ones. A null
 or empty text has no hits and the score of no hits. Without labels of both kinds the seed list
-alone decides. Repeated rows score alike; an empty table gives an empty result; only doc_id and
+alone decides. Repeated rows score alike, and the same id teaches once; equal weights are all kept, so ties need no choice. Very long texts are
+folded and searched whole, in time near linear in their length. An empty table gives an empty result; only doc_id and
 text are read, so other columns can't clash.
 """
 
@@ -62,27 +63,40 @@ def folded(text: str) -> str:
     return " ".join(out)
 
 
-def stems(text: str, shortest: int, longest: int) -> set[str]:
+#: A word of fewer letters counts whole, and is written with this mark at its end, which no word has.
+SHORTEST, WHOLE = 4, "."
+#: Letters up to which each beginning of a word is a stem; longer ones are those of 64, 128, ... letters and the word.
+STEPS = 32
+
+
+def stems(text: str) -> set[str]:
     found = set()
     for w in set(_WORD.findall(text)):
-        found.update(w[:k] for k in range(shortest, min(longest, len(w)) + 1))
+        n = len(w)
+        if n < SHORTEST:
+            found.add(w + WHOLE)
+            continue
+        found.update(w[:k] for k in range(SHORTEST, min(n, STEPS) + 1))
+        k = 2 * STEPS
+        while k < n:
+            found.add(w[:k])
+            k *= 2
+        found.add(w)
     return found
 
 
 @dataclass(frozen=True)
 class Fit:
-    """sample: most training rows; stems: most learned; shortest, longest: letters of a stem; support: least toxic
-    documents with it; odds: least log odds; evidence: least log likelihood ratio against no connection, so that of
-    very many stems few get in by chance; power: of the length in words by which sums are divided."""
+    """sample: most training rows; support: least toxic documents with a stem; odds: least log odds; evidence: least log
+    likelihood ratio against no connection, so that of very many stems few get in by chance: these alone decide which stems count;
+    power: of the length in words by which sums are divided; most: stems that can be sent to every task: with more, `learn` raises."""
 
     sample: int = 20_000
-    stems: int = 2_000
-    shortest: int = 4
-    longest: int = 9
     support: int = 3
     odds: float = 2.5
     evidence: float = 10.0
     power: float = 0.1
+    most: int = 500_000
 
 
 @dataclass(frozen=True)
@@ -96,9 +110,11 @@ class Lexicon:
     def automaton(self) -> ahocorasick.Automaton:
         found = ahocorasick.Automaton()
         for term, weight in self.weights.items():
-            found.add_word(term, (len(term), weight))
+            whole = term.endswith(WHOLE)
+            letters = term[:-1] if whole else term
+            found.add_word(letters, (len(letters), weight, whole))
         for phrase in self.exceptions:
-            found.add_word(phrase, (len(phrase), None))
+            found.add_word(phrase, (len(phrase), None, False))
         found.make_automaton()
         return found
 
@@ -107,9 +123,9 @@ class Lexicon:
         low = folded(text)
         best: dict[int, float] = {}
         spared: list[tuple[int, int]] = []
-        for last, (length, weight) in automaton.iter(low):
+        for last, (length, weight, whole) in automaton.iter(low):
             at = last + 1 - length
-            if at and low[at - 1].isalnum():
+            if at and low[at - 1].isalnum() or whole and low[last + 1 : last + 2].isalnum():
                 continue
             if weight is None:
                 spared.append((at, last))
@@ -141,16 +157,17 @@ def _outside(hits: dict[int, float], spans: list[tuple[int, int]]) -> dict[int,
 def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), label: str = "toxic") -> Lexicon:
     """Counts stems in the training rows on the executors, then picks the lexicon on the driver.
 
-    To the driver come at most 4 * fit.stems stems and the number of training rows for each rounded sum and label.
+    Of rows that repeat an id the least text counts. To the driver come the stems with enough evidence, at most fit.most, and
+    the number of training rows for each rounded sum and label.
     """
     rows = F.broadcast(labelled_sample(labels, label, fit.sample))  # at most fit.sample rows of two numbers
-    known = docs.select("doc_id", "text").where("text is not null").join(rows, "doc_id").select("text", "y").persist()
+    known = docs.select("doc_id", "text").where("text is not null").join(rows, "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("text", "y").persist()
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
         for batch in batches:
             for text, y in zip(batch["text"], batch["y"], strict=True):
-                seen[int(y > 0)].update(stems(folded(text), fit.shortest, fit.longest))
+                seen[int(y > 0)].update(stems(folded(text)))
                 if sum(map(len, seen.values())) > 500_000:  # bounded memory; the sums go on in Spark
                     yield _counted(seen)
                     seen = {0: Counter(), 1: Counter()}
@@ -171,11 +188,12 @@ def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), label: str = "to
         .groupBy("stem").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
         .withColumn("odds", odds)
         .where((F.col("bad") >= fit.support) & (F.col("odds") >= fit.odds) & (evidence >= fit.evidence))
-        .orderBy(F.col("bad").desc(), F.col("odds").desc(), "stem")
-        .limit(4 * fit.stems)
+        .limit(fit.most + 1)
         .collect()
     )
-    weights = _picked([(r["stem"], r["bad"], r["odds"]) for r in top], fit)
+    if len(top) > fit.most:
+        raise ValueError(f"more than {fit.most} stems have evidence: ask for more of it")
+    weights = _picked([(r["stem"], r["bad"], r["odds"]) for r in top])
     lexicon = Lexicon({**{k: v for k, v in SEED.items() if not any(k.startswith(w) for w in weights)}, **weights}, power=fit.power)
 
     def totals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -183,7 +201,7 @@ def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), label: str = "to
         for batch in batches:
             yield pd.DataFrame({"x": [lexicon.total(automaton, t)[0] for t in batch["text"]], "y": batch["y"] > 0})
 
-    # rounded and counted, so that documents which repeat an id add no rows
+    # rounded and counted, so that few numbers reach the driver
     seen = known.mapInPandas(totals, "x double, y boolean").groupBy(F.round("x", 3).alias("x"), "y").agg(F.count(F.lit(1)).alias("n")).orderBy("x", "y").collect()
     known.unpersist()
     slope, middle = _curve(*(np.array([r[c] for r in seen], float) for c in "xyn"))
@@ -195,15 +213,15 @@ def _counted(seen: dict[int, Counter]) -> pd.DataFrame:
     return pd.DataFrame({"stem": names, "bad": [seen[1][x] for x in names], "good": [seen[0][x] for x in names]})
 
 
-def _picked(found: list[tuple[str, int, float]], fit: Fit) -> dict[str, float]:
+def _picked(found: list[tuple[str, int, float]]) -> dict[str, float]:
     """Of stems that begin with one another, the longest that is in nearly all documents of the shorter one."""
     by = {s: (bad, odds) for s, bad, odds in found}
-    shorter = {t[:k] for t in by for k in range(fit.shortest, len(t)) if t[:k] in by and by[t][0] >= 0.95 * by[t[:k]][0]}
-    by = {s: x for s, x in by.items() if s not in shorter}
+    sizes = sorted({len(s) for s in by})
+    shorter = {t[:k] for t in by for k in sizes if k < len(t) and t[:k] in by and by[t][0] >= 0.95 * by[t[:k]][0]}
     out: dict[str, float] = {}
-    for s, (_, odds) in sorted(by.items(), key=lambda x: (len(x[0]), -x[1][0], x[0])):
-        if len(out) < fit.stems and not any(s[:k] in out for k in range(fit.shortest, len(s))):
-            out[s] = float(odds)
+    for s in sorted(by.keys() - shorter, key=lambda s: (len(s), s)):
+        if not any(s[:k] in out for k in sizes if k < len(s)):
+            out[s] = float(by[s][1])
     return out
 
 

@@ -28,7 +28,6 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from urllib.parse import urlparse
 
 import numpy as np
 import pandas as pd
@@ -37,7 +36,7 @@ import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import dropped, settled, shared_dir
+from .common import dropped, filesystem, settled, shared_dir
 
 MANIFEST = "name string, shard long, number int, records long, bytes long, sha256 string"
 RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary, block_ok boolean, payload_ok boolean"
@@ -103,14 +102,6 @@ def _firsts(narrow: DataFrame, how: Archive) -> DataFrame:
     return each.join(least, ["key", "n"]).select("page_id", "key", "first")
 
 
-def _fs(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    if not urlparse(folder).scheme:
-        folder = f"file://{folder}"
-    elif folder.startswith("file:/") and not folder.startswith("file://"):
-        folder = "file://" + folder.removeprefix("file:")
-    return pyarrow.fs.FileSystem.from_uri(folder)
-
-
 # ---------------------------------------------------------------- records
 
 
@@ -151,7 +142,7 @@ class _Roller:
     """Writes the files of one shard after another."""
 
     def __init__(self, folder: str, how: Archive):
-        self.fs, self.root = _fs(folder)
+        self.fs, self.root = filesystem(folder)
         self.how, self.out, self.done = how, None, []
         self.shard, self.number = -1, 0
 
@@ -202,7 +193,7 @@ def write(pages: DataFrame, folder: str, how: Archive = Archive()) -> DataFrame:
     )
     rows = ours.select("page_id", F.sha2("payload", 256).alias("key"), F.lit(1).alias("kind"), "url", "payload", F.lit(None).cast("long").alias("first"))
     dealt = rows.unionByName(marks).withColumn("shard", _shard_of(starts)).repartitionById(n, F.col("shard").cast("int")).sortWithinPartitions("shard", "page_id", "key", "kind", "url")
-    fs, root = _fs(folder)
+    fs, root = filesystem(folder)
     fs.create_dir(root, recursive=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,7 +275,7 @@ def read(files: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = _fs(folder)
+        fs, root = filesystem(folder)
         for batch in batches:
             for name in batch.column(0).to_pylist():
                 held, size = [], 0

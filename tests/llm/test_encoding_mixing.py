@@ -22,7 +22,7 @@ def test_bpe_equals_the_library(spark):
     words = ["thing", "ing", " ", "  ", "\n", "\t", "é", "e\u0301", "😀", "㍍", "123", "...", "();", "\r", "ﬁ", "ab" * 30, "Wörter", "C++", "a.b@c.de", "' s", "\x00"]
     texts = ["".join(r.choice(words) for _ in range(r.randrange(1, 30))) for _ in range(250)] + [None, "", " ", "x" * 3000, "ab " * 4000, "thing thing thing"] * 2
     df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, ids int")
-    enc = pieces.encode(df, units=300)
+    enc = pieces.encode(df)
     got = {x["doc_id"]: x for x in enc.collect()}
     for i, t in enumerate(texts):
         assert list(got[i]["ids"]) == (sp.encode(t) if t else []), t
@@ -32,27 +32,44 @@ def test_bpe_equals_the_library(spark):
     assert pieces.encode(df.limit(0)).collect() == []
 
 
+def units_of(spark, texts, model):
+    """The ids of all units of the texts, by the relation."""
+    rows = pieces.sharded(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    return {x["unit"]: list(x["ids"]) for x in pieces.encoded_units(pieces.shard_units(rows, model), model).collect()}
+
+
 @pytest.mark.skipif(not HAVE, reason="no public tokenizer here")
 def test_relational_fold_equals_the_local_one(spark):
-    import numpy as np
-
-    df = spark.createDataFrame([(0, "the thing that is there, aaaaaaa baaab (a)+(b) Überraschung naïve 😀😀 zzzz")], "doc_id long, text string")
     m = pieces.Model.load()
     local = pieces.Local(m)
-    known = pieces.dictionary(df, m, 1000)
-    assert len(known) > 8
-    assert {u: np.frombuffer(v, np.int32).tolist() for u, v in known.items()} == {u: local.fold(u) for u in known}
+    r = random.Random(4)
+    rare = ["".join(r.choice("abcdefghijklmnopqrstuvwxyzéß") for _ in range(r.randrange(1, 40))) for _ in range(150)]
+    text = "the thing that is there, aaaaaaa baaab (a)+(b) Überraschung naïve 😀😀 zzzz " + " ".join(rare) + " " + "ab" * 100
+    known = units_of(spark, [text, None, ""], m)
+    assert len(known) > 150 and known == {u: local.fold(u) for u in known}
+    assert set(known) == set(m.units().findall(m.spaced(text)))  # every unit, however rare
+
+
+@pytest.mark.skipif(not HAVE, reason="no public tokenizer here")
+def test_encoding_of_files_in_many_splits(spark, tmp_path):
+    """Each split finds its own dictionary, whatever units the others have; a column named like the files' one is left alone."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    texts = [f"word{i} some {'x' * (i % 90)} of split {i * i}" for i in range(300)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7).write.parquet(str(tmp_path / "t"))
+    files = spark.read.parquet(str(tmp_path / "t"))
+    for df in (files, files.withColumn("_metadata", pieces.F.lit("mine")), files.join(files.select("doc_id"), "doc_id")):
+        assert {x["doc_id"]: list(x["ids"]) for x in pieces.encode(df).collect()} == {i: sp.encode(t) for i, t in enumerate(texts)}
 
 
 def test_viterbi(spark):
     """A unigram model: the best sum over all segmentations, relational and local."""
-    import numpy as np
-
     scores = {"a": -2.0, "b": -2.5, "ab": -3.0, "aba": -5.1, "ba": -4.0, "bab": -4.2, "c": -1.0}
     m = pieces.Model((None, *scores.items()), None, 0, "unigram", prefix=False)
     local = pieces.Local(m)
     texts = ["".join(t) for n in range(1, 6) for t in itertools.product("abx", repeat=n)][:150]
-    known = pieces.dictionary(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), m, 1000)
+    known = units_of(spark, texts, m)
     low = min(scores.values()) - 10
 
     def best(t):
@@ -62,8 +79,7 @@ def test_viterbi(spark):
 
     names = [None, *scores]
     for u in known:
-        ids = np.frombuffer(known[u], np.int32).tolist()
-        assert sum(scores[names[i]] if i else low for i in ids) == pytest.approx(best(u))
+        assert sum(scores[names[i]] if i else low for i in known[u]) == pytest.approx(best(u))
         assert sum(scores[names[i]] if i else low for i in local.fold(u)) == pytest.approx(best(u))
 
 
@@ -141,3 +157,17 @@ def test_repeated_rows_and_names(spark):
     assert set(got) <= set(rows) and mixing.repeated(df).columns == df.columns
     twins = [got.count(rows[60]), got.count(rows[-1])]
     assert sum(twins) == taken > 80 and abs(twins[0] / sum(twins) - 5 / 8) < 0.05
+
+
+def test_stages_pass_columns_that_cannot_be_compared(spark):
+    """MAP and VARIANT columns go through mixing and near-dedup as they are."""
+    from clickloom.llm import simhash
+
+    rows = [(i % 7, f"some words of text {i % 7} and a few more {'x ' * 20}", "a", i) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, i int")
+    df = df.selectExpr("*", "map('k', i % 3, 'l', null) as m", "parse_json(concat('{\"v\":', i % 2, '}')) as v", "named_struct('m', map(i % 2, 1)) as s")
+    taken = sum(int(x["taken"] / x["size"] + 0.5) for x in mixing.mix(df).collect())
+    got = mixing.repeated(df)
+    assert got.dtypes == df.dtypes and abs(got.selectExpr("doc_id", "m", "cast(v as string) as v", "s").count() - taken) <= 7
+    assert {(x["m"]["k"], x["v"]) for x in got.selectExpr("m", "cast(v as string) as v").collect()} == {(k, f'{{"v":{v}}}') for k in range(3) for v in range(2)}
+    assert simhash.one_of_each(df).selectExpr("doc_id", "m", "cast(v as string) as v").count() == 7

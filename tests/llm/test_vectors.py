@@ -333,3 +333,11 @@ def test_caps_sketches_lose_no_link():
         real = (x @ x.T >= 0.98) & ~np.eye(len(x), dtype=bool) & ((cell[:, None] != cell) | (not across))
         kept = caps.may_link(y, err, cell, across, 0.98)
         assert kept[real.any(1)].all() and not kept[-48:].any()
+
+
+def test_topk_of_an_id_on_two_vectors(spark):
+    """Each of its vectors is a query with a list of its own, and each row a candidate."""
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [0.0, 1.0]), (1, [0.5, 0.25]), (2, [0.25, 0.5]), (2, [0.125, 0.0])]
+    got = topk.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    want = [(0, 1, k + 1, j, s) for k, (j, s) in enumerate([(2, 2048), (1, 1024), (2, 0)])] + [(0, 2, k + 1, j, s) for k, (j, s) in enumerate([(1, 2048), (2, 1024), (2, 512)])]
+    assert sorted((x["query_id"], x["query_place"], x["rank"], x["vec_id"], x["score"]) for x in got) == sorted(want)
