@@ -60,7 +60,7 @@ class Site:
 @dataclass(frozen=True)
 class Run:
     """Settings of one run. mode: incremental; full scores all sessions again; extract and process are the two phases, whose
-    rules for snapshots differ. The others are named in `plans.pipeline`."""
+    rules for snapshots differ. exports: a folder for text files of each run. The others are named in `plans.pipeline`."""
 
     mode: str = "incremental"
     probability: str = "decay"
@@ -69,6 +69,7 @@ class Run:
     force: bool = False
     allow: tuple[str, ...] | None = None
     trees: dict[str, str] = field(default_factory=dict)
+    exports: str | None = None
 
     @property
     def rebuild(self) -> bool:
@@ -86,4 +87,5 @@ class Run:
             e.get("MODE", "incremental"), e.get("PROBABILITY_MODE", "decay"), int(e.get("MAX_TMV_RECORDS", 10)), int(e.get("MAX_MMV_RECORDS", 5)),
             e.get("FORCE_FULL_REBUILD", "") in ("1", "true"), tuple(x.strip() for x in names.split(",") if x.strip()) if names else None,
             {d: e[name] for d in DEVICES if (name := f"TREES_{d.upper()}") in e},
+            e.get("EXPORTS") or None,
         )

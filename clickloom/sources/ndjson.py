@@ -1,40 +1,77 @@
 """Append-only NDJSON logs, one file a site: batch and streaming scans by byte range.
 
 A line counts when its newline is there; the tail after the last newline waits for the next run.
-`seq` is the line's byte offset, a total order within a site that doesn't hang on how files are cut.
+`seq` is the line's byte offset, a total order within a site that doesn't hang on how files are cut. Files are listed and read
+over any file system that pyarrow knows (local, hdfs, s3, gs), named by path or URI; lines leave a task as Arrow batches.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 import os
+import posixpath
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from glob import glob
+from urllib.parse import urlparse
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
 SITE_FILE = re.compile(r"1_\d+\.json\Z")
 SCHEMA = "site_id string, seq long, line string"
+#: Bytes that a task reads at once.
+CHUNK = 4 << 20
+
+
+def place(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The file system of a path or URI, and the path there."""
+    if len(urlparse(path).scheme) < 2:
+        path = f"file://{os.path.abspath(path)}"
+    elif path.startswith("file:/") and not path.startswith("file://"):
+        path = "file://" + path.removeprefix("file:")
+    return pyarrow.fs.FileSystem.from_uri(path)
 
 
 def sites(path: str, allow: list[str] | None = None) -> dict[str, str]:
     """{site id: file} of the logs in a folder, in order; ids may be given with or without `.json`."""
     named = None if allow is None else {x.removesuffix(".json") for x in allow}
-    found = {os.path.basename(f).removesuffix(".json"): f for f in sorted(glob(os.path.join(path, "1_*.json"))) if SITE_FILE.search(os.path.basename(f))}
+    fs, root = place(path)
+    files = sorted(f.base_name for f in fs.get_file_info(pyarrow.fs.FileSelector(root, allow_not_found=True)) if f.is_file and SITE_FILE.match(f.base_name))
+    found = {f.removesuffix(".json"): posixpath.join(path, f) for f in files}
     return {k: v for k, v in found.items() if named is None or k in named}
 
 
+def stat(file: str) -> tuple[int, int, int]:
+    """Size, time in ns and inode of a file; file systems without inodes have 0."""
+    fs, path = place(file)
+    info = fs.get_file_info(path)
+    if not info.is_file:
+        raise FileNotFoundError(file)
+    return info.size, info.mtime_ns or 0, os.stat(path).st_ino if isinstance(fs, pyarrow.fs.LocalFileSystem) else 0
+
+
+def head(file: str, n: int) -> str:
+    """Digest of the first n bytes: a log that was replaced begins otherwise, whatever its inode."""
+    fs, path = place(file)
+    with fs.open_input_file(path) as f:
+        return hashlib.sha256(f.read_at(n, 0)).hexdigest()
+
+
 def last_line_end(file: str, start: int, size: int, step: int = 1 << 16) -> int:
     """Offset after the last newline in [start, size), or start; looks backwards from the end."""
-    with open(file, "rb") as f:
+    fs, path = place(file)
+    with fs.open_input_file(path) as f:
         at = size
         while at > start:
             begin = max(start, at - step)
-            f.seek(begin)
-            k = f.read(at - begin).rfind(b"\n")
+            k = f.read_at(at - begin, begin).rfind(b"\n")
             if k >= 0:
                 return begin + k + 1
             at = begin
@@ -50,22 +87,70 @@ class Range(InputPartition):
     aligned: bool = True
 
 
-def lines(part: Range) -> Iterator[tuple[str, int, str]]:
+@dataclass
+class Ranges(InputPartition):
+    """Ranges of one task: small logs share it."""
+
+    parts: list[Range]
+
+
+def packed(ranges: list[Range], step: int, most: int = 256) -> list[Ranges]:
+    """Tasks of about `step` bytes."""
+    out: list[Ranges] = []
+    room = 0
+    for r in ranges:
+        if not out or room + r.end - r.start > step or len(out[-1].parts) >= most:
+            out.append(Ranges([]))
+            room = 0
+        out[-1].parts.append(r)
+        room += r.end - r.start
+    return out or [Ranges([])]
+
+
+def _batch(site: str, at: int, data: bytes) -> tuple[pa.RecordBatch, int]:
+    """The lines of `data`, which begins at `at`, up to its last newline, and how many bytes that are; blank lines are left out."""
+    ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
+    used = int(ends[-1]) + 1 if len(ends) else 0
+    text = data[:used].decode("utf-8", "replace")
+    lines = pc.utf8_rtrim(pc.list_flatten(pc.split_pattern(pa.array([text], pa.large_string()), "\n")), "\r\n")[: len(ends)]
+    starts = np.concatenate(([0], ends[:-1] + 1)) + at if len(ends) else np.zeros(0, np.int64)
+    some = pc.not_equal(pc.utf8_trim_whitespace(lines), "")
+    lines, starts = lines.filter(some).cast(pa.string()), pa.array(starts, pa.int64()).filter(some)
+    return pa.RecordBatch.from_arrays([pa.array([site] * len(lines), pa.string()), starts, lines], names=["site_id", "seq", "line"]), used
+
+
+def lines(part: Range, chunk: int = CHUNK) -> Iterator[pa.RecordBatch]:
     """Lines that begin in the range and are terminated; a range that isn't aligned begins after its first newline."""
-    with open(part.file, "rb") as f:
-        at = part.start
+    fs, path = place(part.file)
+    with fs.open_input_file(path) as f:
+        size, at = f.size(), part.start
+        data = b""
         if not part.aligned and at > 0:
-            f.seek(at - 1)
-            at += len(f.readline()) - 1
-        f.seek(at)
+            at -= 1  # a line begins here if a newline stands right before
+            while at < size:
+                data = f.read_at(chunk, at)
+                k = data.find(b"\n")
+                at += k + 1 if k >= 0 else len(data)
+                if k >= 0:
+                    break
+            data = b""
+        read = at
         while at < part.end:
-            raw = f.readline()
-            if not raw.endswith(b"\n"):
-                return
-            text = raw.decode("utf-8", "replace").rstrip("\r\n")
-            if text.strip():
-                yield part.site, at, text
-            at += len(raw)
+            data += (more := f.read_at(min(chunk, size - read), read))
+            read += len(more)
+            if read > part.end:  # of the last line in the range the end is behind it
+                inside = data.find(b"\n", max(0, part.end - at - 1))
+                if inside >= 0:
+                    yield _batch(part.site, at, data[: inside + 1])[0]
+                    return
+            if not more:
+                break
+            batch, used = _batch(part.site, at, data)
+            if batch.num_rows:
+                yield batch
+            at, data = at + used, data[used:]
+        if at < part.end and b"\n" in data:
+            yield _batch(part.site, at, data)[0]
 
 
 class _Batch(DataSourceReader):
@@ -74,20 +159,21 @@ class _Batch(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         step = int(self.options.get("rangeBytes", 64 << 20))
-        out = []
-        for site, file in sites(self.options["path"], _allow(self.options)).items():
-            size = os.path.getsize(file)
-            out += [Range(site, file, a, min(a + step, size), aligned=False) for a in range(0, size, step)]
-        return out or [Range("", os.devnull, 0, 0)]
+        if "ranges" in self.options:
+            wanted = json.loads(self.options["ranges"])
+        else:
+            wanted = {site: (file, 0, stat(file)[0]) for site, file in sites(self.options["path"], _allow(self.options)).items()}
+        return packed([Range(site, file, a, min(a + step, end), aligned=a == start) for site, (file, start, end) in wanted.items() for a in range(start, end, step)], step)
 
-    def read(self, partition: Range) -> Iterator[tuple]:
-        return lines(partition)
+    def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
+        for part in partition.parts:
+            yield from lines(part)
 
 
 class _Stream(DataSourceStreamReader):
-    """Offsets are {site: {offset, inode}}; `onReplace` says what a new inode or a shorter file means.
+    """Offsets are {site: {offset, inode, generation}}; `onReplace` says what a new inode or a shorter file means.
 
-    rebuild (default): the file is read again from its start; continue: only a shorter file is.
+    rebuild (default): the file is read again from its start, as a new generation; continue: only a shorter file is.
     """
 
     def __init__(self, options: dict):
@@ -99,8 +185,8 @@ class _Stream(DataSourceStreamReader):
     def latestOffset(self) -> dict:
         out = {}
         for site, file in sites(self.options["path"], _allow(self.options)).items():
-            at = os.stat(file)
-            out[site] = {"offset": last_line_end(file, 0, at.st_size), "inode": at.st_ino}
+            size, _, inode = stat(file)
+            out[site] = {"offset": last_line_end(file, 0, size), "inode": inode}
         return out
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
@@ -111,13 +197,14 @@ class _Stream(DataSourceStreamReader):
             had = start.get(site) or {"offset": 0, "inode": to["inode"]}
             begin = 0 if self.again(had, to) else had["offset"]
             out += [Range(site, files[site], a, min(a + step, to["offset"]), aligned=a == begin) for a in range(begin, to["offset"], step)]
-        return out
+        return packed(out, step)
 
     def again(self, had: dict, now: dict) -> bool:
         return rebuild_needed(had["offset"], had["inode"], now["offset"], now["inode"], self.options.get("onReplace", "rebuild"))
 
-    def read(self, partition: Range) -> Iterator[tuple]:
-        return lines(partition)
+    def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
+        for part in partition.parts:
+            yield from lines(part)
 
     def commit(self, end: dict) -> None:
         """The offsets are kept in the query's checkpoint."""
@@ -134,7 +221,8 @@ def _allow(options: dict) -> list[str] | None:
 
 
 class SiteLogs(DataSource):
-    """Format `sitelogs`; options path, sites (comma-separated allow-list), rangeBytes, onReplace."""
+    """Format `sitelogs`; options path, sites (comma-separated allow-list), rangeBytes, onReplace; or ranges, JSON of
+    {site: [file, start, end]} where lines begin at start."""
 
     @classmethod
     def name(cls) -> str:
@@ -157,6 +245,12 @@ def read_logs(spark: SparkSession, path: str, allow: list[str] | None = None, **
     return spark.read.format("sitelogs").options(path=path, **named, **options).load()
 
 
+def read_ranges(spark: SparkSession, ranges: dict[str, tuple[str, int, int]], **options: str) -> DataFrame:
+    """The lines of {site: (file, start, end)}; a line begins at each start."""
+    spark.dataSource.register(SiteLogs)
+    return spark.read.format("sitelogs").options(ranges=json.dumps(ranges), **options).load()
+
+
 def stream_logs(spark: SparkSession, path: str, allow: list[str] | None = None, **options: str) -> DataFrame:
     spark.dataSource.register(SiteLogs)
     named = {"sites": ",".join(allow)} if allow else {}

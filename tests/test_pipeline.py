@@ -181,8 +181,30 @@ def test_log_scan_ranges(spark, tmp_path):
     lines = [json.dumps(record(f"s{i}", i)) for i in range(40)]
     (tmp_path / "1_1.json").write_bytes(("\n".join(lines[:20]) + "\r\n\n" + "\n".join(lines[20:])).encode())
     for step in ("64", "1000000"):
-        got = [r["line"] for r in ndjson.read_logs(spark, str(tmp_path), rangeBytes=step).orderBy("seq").collect()]
-        assert got == lines[:39]  # the last line isn't ended
+        for path in (str(tmp_path), f"file://{tmp_path}"):
+            got = [r["line"] for r in ndjson.read_logs(spark, path, rangeBytes=step).orderBy("seq").collect()]
+            assert got == lines[:39]  # the last line isn't ended
+
+
+def test_ranges_by_plain_splitting(tmp_path):
+    """Ranges of any size and chunks of any size together give each line once, at its offset."""
+    import random
+
+    r = random.Random(3)
+    for k in range(60):
+        data = b"".join(r.choice([b"a", b"\n", b"\r\n", "é".encode(), b"\xff", b" ", b"bcd"]) for _ in range(r.randrange(0, 60)))
+        (tmp_path / f"1_{k}.json").write_bytes(data)
+        want, at = [], 0
+        while (e := data.find(b"\n", at)) >= 0:
+            text = data[at:e].decode("utf-8", "replace").rstrip("\r\n")
+            want += [(at, text)] if text.strip() else []
+            at = e + 1
+        file = str(tmp_path / f"1_{k}.json")
+        for step in (1, 3, 7, 1000):
+            for chunk in (1, 2, 5, 1000):
+                got = [x for a in range(0, len(data), step) for b in ndjson.lines(ndjson.Range("s", file, a, min(a + step, len(data)), a == 0), chunk) for x in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+                assert got == want, (data, step, chunk)
+        assert ndjson.last_line_end(file, 0, len(data), 3) == data.rfind(b"\n") + 1
 
 
 def test_run_sites_publishes_changes_only(spark, tmp_path):
@@ -225,11 +247,11 @@ def test_sites_are_kept_apart(spark, tmp_path):
     assert run_sites(*args, "2024-01-01", "2024-01-01 00:10:00") == {"desktop": 0}
     # one site has models of its own, and only its log is read
     assert run_sites(*args, "2024-01-02", "2024-01-02 00:00:00", config.Run(mode="full"), {"1_2": {"desktop": linear_models(0.01)}}, ["1_2"]) == {"desktop": 1}
-    from clickloom.plans.pipeline import current
+    from clickloom.plans.pipeline import current, device_history, upserted
 
-    scores = {r["site_id"]: r["probability_bot_umap"] for r in current(spark, str(out / "desktop" / "predictions")).collect()}
+    scores = {r["site_id"]: r["probability_bot_umap"] for r in upserted(spark, str(out / "desktop" / "predictions")).collect()}
     assert scores["1_1"] == rows["1_1"]["probability_bot_umap"] and scores["1_2"] != rows["1_2"]["probability_bot_umap"]
-    history = current(spark, str(out / "desktop" / "history")).collect()
+    history = device_history(spark, str(out), "desktop").collect()
     assert sorted((r["site_id"], r["ip"], r["date"][:10]) for r in history) == [("1_1", "1.1.1.1", "2024-01-01"), ("1_2", "2.2.2.2", "2024-01-02")]
     assert [(r["site_id"], r["device_type"]) for r in current(spark, str(out / "history")).collect()] == [("1_2", "desktop")]  # keys of the day
 
@@ -247,28 +269,16 @@ def test_an_incremental_run_equals_a_full_one(spark, tmp_path):
         for i, recs in enumerate(runs):
             (log / "1_1.json").write_text("".join(json.dumps(r) + "\n" for r in recs))
             n = run_sites(spark, str(log), str(out), {"desktop": linear_models()}, "2024-01-01", f"2024-01-01 0{i}:00:00")
-        got[name] = sorted(map(tuple, pipeline.current(spark, str(out / "desktop" / "predictions")).collect()))
+        got[name] = sorted(map(tuple, pipeline.upserted(spark, str(out / "desktop" / "predictions")).collect()))
         assert n == {"desktop": 2 if name == "two" else 4}
     assert got["one"] == got["two"]
     # a write that stopped leaves the version before it, and the run's part of the log is written again
-    place = str(tmp_path / "two" / "out" / "desktop" / "predictions")
-    kept = pipeline.versions(spark, place)
-    (tmp_path / "two" / "out" / "desktop" / "predictions" / "v00000099").mkdir()
-    assert pipeline.versions(spark, place) == kept and len(kept) == 2
-
-
-def test_following(tmp_path):
-    from clickloom.plans.run import follow
-
-    seen, naps = [], []
-
-    def step():
-        seen.append(1)
-        if len(seen) == 2:
-            raise ValueError("once")
+    from clickloom.sources.versions import versions
 
-    follow(step, 45, 3, naps.append)
-    assert len(seen) == 3 and naps == [45, 45]
+    place = tmp_path / "two" / "out" / "desktop" / "predictions" / "manifest"
+    kept = versions(spark, str(place))
+    (place / "v00000099").mkdir()
+    assert versions(spark, str(place)) == kept and len(kept) == 2
 
 
 def test_keys_above_two_to_53(spark):
