@@ -74,6 +74,17 @@ def probability(d: Column, centroid: dict, mode: str | None = None) -> Column:
     return decay(d, p95, float(centroid["all_distance_p99"]))
 
 
+def probabilities(d: np.ndarray, centroid: dict, mode: str | None = None) -> np.ndarray:
+    """`probability` for an array of distances."""
+    p95, p99 = float(centroid["bot_distance_p95"]), centroid.get("all_distance_p99")
+    if p95 <= 0:
+        return np.zeros(len(d))
+    inner = np.maximum(np.clip(1 - d / p95, 0.0, 1.0), FLOOR)
+    if (mode or "decay").strip().lower() == "linear" or p99 is None:
+        return inner
+    return np.maximum(np.where(d <= p95, inner, FLOOR * np.exp(-(d - p95) / sigma(p95, float(p99)))), TAIL_FLOOR)
+
+
 def distance(x: Column, y: Column, centroid: dict) -> Column:
     dx, dy = x - float(centroid["centroid_x"]), y - float(centroid["centroid_y"])
     return F.sqrt(dx * dx + dy * dy)

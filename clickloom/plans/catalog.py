@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.expressions import base36, ratio, round6
-from clickloom.operators import asof, features, publish, scaling, scoring, trajectory
+from clickloom.operators import asof, features, neighbours, publish, scaling, scoring, trajectory
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -442,6 +442,48 @@ def prob_decay(spark: SparkSession, d: str) -> DataFrame:
     return _distances(spark, d).select("vec_id", F.round(scoring.probability(F.col("distance") * 4, _CENTROID), 6).alias("probability"))
 
 
+_STORED = 8  # neighbours of each vector among the stored points
+_SIGMA = f"""list_reduce(list_transform(range(65), lambda i: {{'lo': CAST(0 AS DOUBLE), 'hi': CAST('inf' AS DOUBLE), 'mid': CAST(1 AS DOUBLE)}}), lambda s, x:
+  CASE WHEN abs(list_sum(list_transform(ds[2:], lambda v: CASE WHEN v > 0 THEN exp(-v / s.mid) ELSE 1 END)) - log2({_STORED})) < 1e-5 THEN s
+    WHEN list_sum(list_transform(ds[2:], lambda v: CASE WHEN v > 0 THEN exp(-v / s.mid) ELSE 1 END)) > log2({_STORED}) THEN {{'lo': s.lo, 'hi': s.mid, 'mid': (s.lo + s.mid) / 2}}
+    ELSE {{'lo': s.mid, 'hi': s.hi, 'mid': CASE WHEN isinf(s.hi) THEN 2 * s.mid ELSE (s.mid + s.hi) / 2 END}} END).mid"""
+
+
+@query(f"""WITH c AS (SELECT label, embedding[1] >= 0 AS side, i, avg(CAST(embedding[i] AS DOUBLE)) AS v FROM embeddings, range(1, 65) r(i) WHERE label IS NOT NULL GROUP BY ALL),
+  p AS (SELECT label, side, list(v ORDER BY i) AS v, row_number() OVER (ORDER BY label, side) - 1 AS n FROM c GROUP BY label, side),
+  d AS (SELECT vec_id, n, p.v, sqrt(list_sum(list_transform(range(1, 65), lambda i: (CAST(embedding[i] AS DOUBLE) - p.v[i]) ** 2))) AS d FROM embeddings, p),
+  k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, n) AS rank FROM d) WHERE rank <= {_STORED}),
+  s AS (SELECT vec_id, ds, greatest({_SIGMA}, 0.001 * list_avg(ds)) AS sigma FROM (SELECT vec_id, list(d ORDER BY rank) AS ds FROM k GROUP BY 1)),
+  w AS (SELECT k.*, CASE WHEN d <= 0 THEN 1 ELSE exp(-d / sigma) END AS w FROM k JOIN s USING (vec_id))
+  SELECT vec_id, CAST(rank AS INTEGER) AS rank, CAST(n AS INTEGER) AS neighbour, round(d, 6) AS distance, round(w, 6) AS weight,
+    round(sum(w * v[1]) OVER (PARTITION BY vec_id) / sum(w) OVER (PARTITION BY vec_id), 6) + 0.0 AS start_x, round(sum(w * v[2]) OVER (PARTITION BY vec_id) / sum(w) OVER (PARTITION BY vec_id), 6) + 0.0 AS start_y FROM w""")
+def neighbour_graph(spark: SparkSession, d: str) -> DataFrame:
+    """Nearest stored points of every vector, their weights and the place where its projection starts. Stored: two mean vectors a label."""
+    import numpy as np
+    import pyarrow as pa
+
+    e = read(spark, d, "embeddings")
+    parts = e.where("label is not null").select("label", (F.get("embedding", F.lit(0)) >= 0).alias("side"), F.posexplode("embedding").alias("i", "x"))
+    means = parts.groupBy("label", "side", "i").agg(F.avg(F.col("x").cast("double")).alias("v"))
+    rows = means.groupBy("label", "side").agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("v")).orderBy("label", "side").select(F.col("v.v").alias("v")).collect()  # two a label
+    points = np.array([r["v"] for r in rows], float)
+    model = neighbours.NeighbourProjection(tuple(f"e{i}" for i in range(points.shape[1])), points, points[:, :2], k=_STORED)
+
+    def run(batches):
+        for b in batches:
+            x = np.asarray(b.column("embedding").flatten(), float).reshape(b.num_rows, -1)
+            at, far = model.nearest(x)
+            w = model.weights(far)
+            z = model.start(at, w)
+            k = at.shape[1]
+            columns = [np.tile(np.arange(1, k + 1, dtype=np.int32), len(x)), at.ravel().astype(np.int32), far.ravel(), w.ravel(), np.repeat(z[:, 0], k), np.repeat(z[:, 1], k)]
+            ids = b.column("vec_id").take(pa.array(np.repeat(np.arange(len(x)), k)))
+            yield pa.RecordBatch.from_arrays([ids, *map(pa.array, columns)], names=["vec_id", "rank", "neighbour", "distance", "weight", "start_x", "start_y"])
+
+    out = e.select("vec_id", "embedding").mapInArrow(run, "vec_id long, rank int, neighbour int, distance double, weight double, start_x double, start_y double")
+    return out.select("vec_id", "rank", "neighbour", *(round6(F.col(c)).alias(c) for c in ("distance", "weight", "start_x", "start_y")))
+
+
 @query("SELECT min(p) AS min, round(median(p), 6) AS median, max(p) AS max FROM (SELECT round(value / 100, 6) AS p FROM events)")
 def score_distribution(spark: SparkSession, d: str) -> DataFrame:
     return scoring.distribution(read(spark, d, "events").select(F.round(F.col("value") / 100, 6).alias("p")), "p").withColumn("median", F.round("median", 6))

@@ -18,7 +18,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.operators import features, publish, routing, scoring
+from clickloom.operators import features, neighbours, publish, routing, scoring
 from clickloom.operators.snapshots import Policy, snapshots
 from clickloom.sources import ndjson, store, tables
 from clickloom.sources.events import parse
@@ -48,7 +48,7 @@ class Models:
     """What scores a device: a scaler, a projection with its centroid and, optionally, trees with an encoder."""
 
     scaler: dict
-    projection: scoring.Projection
+    projection: scoring.Projection | neighbours.NeighbourProjection
     centroid: dict
     trees: scoring.Trees | None = None
     encoder: scoring.Encoder | None = None
@@ -65,7 +65,7 @@ class Models:
         encoder, words = folder / "encoder.npz", folder / "vocabulary.json"
         complete = trees is not None and encoder.exists() and words.exists()
         return cls(
-            read("scaler.json"), scoring.Projection.load(str(folder / "projection.json")), read("centroid.json"), scoring.Trees.load(str(trees)) if trees else None,
+            read("scaler.json"), neighbours.load(str(folder / "projection.json")), read("centroid.json"), scoring.Trees.load(str(trees)) if trees else None,
             scoring.Encoder.load(str(encoder)) if complete else None, read("vocabulary.json") if complete else {},
         )
 
