@@ -4,8 +4,8 @@ The model is what a trained map leaves behind: its training points, their places
 the curve 1 / (1 + a d^2b) of the map (see McInnes, Healy, Melville, "UMAP", arXiv:1802.03426, whose transform of new data this is). A new point finds its
 exact nearest training points, weighs them by its own local scale, starts at their weighted mean and then moves by the
 map's forces: drawn to its neighbours by their weights, pushed off from other training points. The pushing points are a fixed
-low-discrepancy sequence over the training points instead of random draws, and every step takes the expected force, so that a point's place
-depends on the model and on itself alone, not on the batch that it comes in.
+low-discrepancy sequence over the training points instead of random draws, and a neighbour draws in every round by its weight instead of in a share of
+the rounds, so that a point's place depends on the model and on itself alone, not on the batch that it comes in.
 
 The model is a file that is sent to every task once (its size is checked there); points come in Arrow batches.
 """
@@ -30,7 +30,7 @@ BLOCK, ROWS = 8192, 1024
 @dataclass(frozen=True)
 class NeighbourProjection:
     """points: training points (n, d), as the scaler leaves them; places: their places (n, 2); k: neighbours; a, b: the
-    curve; epochs: steps of the refinement, 0 for none; pushes: points that push in a step; rate, push: strength of steps and of pushes."""
+    curve; epochs: rounds of the refinement, 0 for none; pushes: points that push at each neighbour; rate, push: strength of steps and of pushes."""
 
     columns: tuple[str, ...]
     points: np.ndarray
@@ -40,7 +40,7 @@ class NeighbourProjection:
     b: float = 0.8950608779109733
     epochs: int = 30
     pushes: int = 5
-    rate: float = 1.0
+    rate: float = 0.25
     push: float = 1.0
 
     def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -96,26 +96,29 @@ class NeighbourProjection:
     def start(self, i: np.ndarray, w: np.ndarray) -> np.ndarray:
         return (self.places[i] * (w / w.sum(1, keepdims=True))[:, :, None]).sum(1)
 
-    def pushing(self, epoch: int) -> np.ndarray:
+    def pushing(self, step: int) -> np.ndarray:
         """The training points that push in a step, the same for every point."""
-        at = (np.arange(1, self.pushes + 1, dtype=np.uint64) + np.uint64(epoch * self.pushes)) * np.uint64(GOLDEN) % np.uint64(1 << 32)
+        at = (np.arange(1, self.pushes + 1, dtype=np.uint64) + np.uint64(step * self.pushes)) * np.uint64(GOLDEN) % np.uint64(1 << 32)
         return (at * np.uint64(len(self.points)) >> np.uint64(32)).astype(int)
 
     def refined(self, z: np.ndarray, i: np.ndarray, w: np.ndarray) -> np.ndarray:
-        """z after `epochs` steps along the expected forces, each clipped to 4, with steps that shrink to 0."""
+        """z after `epochs` rounds over the neighbours, the nearest first: a step towards each, by its weight, and steps off from the
+        points that push, each clipped to 4 and all shrinking to 0."""
         z, a, b = z.copy(), self.a, self.b
         share = w / np.maximum(w.max(1, keepdims=True), 1e-300)
         for e in range(self.epochs):
             rate = self.rate * (1 - e / self.epochs)
-            gap = z[:, None, :] - self.places[i]
-            d2 = (gap * gap).sum(2)
-            drawn = np.where(d2 > 0, -2 * a * b * np.where(d2 > 0, d2, 1.0) ** (b - 1) / (a * d2**b + 1), 0.0)
-            force = (np.clip(drawn[:, :, None] * gap, -4, 4) * share[:, :, None]).sum(1)
-            gap = z[:, None, :] - self.places[self.pushing(e)]
-            d2 = (gap * gap).sum(2)
-            pushed = 2 * self.push * b / ((0.001 + d2) * (a * d2**b + 1))
-            force += np.clip(np.where((d2 > 0)[:, :, None], pushed[:, :, None] * gap, 0.0), -4, 4).sum(1) * share.sum(1, keepdims=True)
-            z += rate * force
+            for j in range(i.shape[1]):
+                step = (rate * share[:, j])[:, None]
+                gap = z - self.places[i[:, j]]
+                d2 = (gap * gap).sum(1)
+                drawn = np.where(d2 > 0, -2 * a * b * np.where(d2 > 0, d2, 1.0) ** (b - 1) / (a * d2**b + 1), 0.0)
+                z += step * np.clip(drawn[:, None] * gap, -4, 4)
+                for n in self.pushing(e * i.shape[1] + j):
+                    gap = z - self.places[n]
+                    d2 = (gap * gap).sum(1)
+                    pushed = np.where(d2 > 0, 2 * self.push * b / ((0.001 + d2) * (a * d2**b + 1)), 0.0)
+                    z += step * np.clip(pushed[:, None] * gap, -4, 4)
         return z
 
     def __call__(self, x: np.ndarray) -> np.ndarray:

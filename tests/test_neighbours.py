@@ -40,24 +40,19 @@ def plain(m, x):
     w = [1.0 if v <= 0 else math.exp(-v / mid) for v, _ in d]
     z = [sum(m.places[i][c] * v for (_, i), v in zip(d, w)) / sum(w) for c in (0, 1)]
     for e in range(m.epochs):
-        force = [0.0, 0.0]
-        for (_, i), v in zip(d, w):
-            gap = [z[c] - m.places[i][c] for c in (0, 1)]
-            r = gap[0] ** 2 + gap[1] ** 2
-            f = -2 * m.a * m.b * r ** (m.b - 1) / (m.a * r**m.b + 1) if r > 0 else 0.0
-            for c in (0, 1):
-                force[c] += min(4, max(-4, f * gap[c])) * v / max(w)
-        for j in m.pushing(e):
-            gap = [z[c] - m.places[j][c] for c in (0, 1)]
-            r = gap[0] ** 2 + gap[1] ** 2
-            if r > 0:
-                for c in (0, 1):
-                    force[c] += min(4, max(-4, 2 * m.b / ((0.001 + r) * (m.a * r**m.b + 1)) * gap[c])) * sum(w) / max(w)
-        z = [z[c] + m.rate * (1 - e / m.epochs) * force[c] for c in (0, 1)]
+        for n, ((_, i), v) in enumerate(zip(d, w)):
+            step = m.rate * (1 - e / m.epochs) * v / max(w)
+            for k, j in enumerate((i, *m.pushing(e * len(d) + n))):
+                gap = [z[c] - m.places[j][c] for c in (0, 1)]
+                r = gap[0] ** 2 + gap[1] ** 2
+                f = 0.0
+                if r > 0:
+                    f = 2 * m.b / ((0.001 + r) * (m.a * r**m.b + 1)) if k else -2 * m.a * m.b * r ** (m.b - 1) / (m.a * r**m.b + 1)
+                z = [z[c] + step * min(4, max(-4, f * gap[c])) for c in (0, 1)]
     return [i for _, i in d], w, z
 
 
-@pytest.mark.parametrize("more", [{}, {"k": 3, "epochs": 0}, {"k": 1000, "epochs": 2}])
+@pytest.mark.parametrize("more", [{}, {"k": 3, "epochs": 0}, {"k": 1000, "epochs": 1, "pushes": 1}])
 def test_projection_by_plain_loops(more, monkeypatch):
     monkeypatch.setattr(neighbours, "BLOCK", 64)  # many blocks
     monkeypatch.setattr(neighbours, "ROWS", 7)
