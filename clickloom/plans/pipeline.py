@@ -205,6 +205,37 @@ def run_sites(
     ledger = store.Ledger.load(spark, f"{out}/ledger")
     ledger = store.append(spark, place, ledger, ledger.tails(files, run.force))
     report.read, todo = ledger.read, list(files)
+    _score_and_publish(spark, out, ledger, todo, models, own, day, at, run, report)
+    return report
+
+
+def publish_batch(
+    spark: SparkSession, lines: DataFrame, n: int, out: str, models: dict[str, Models], day: str, at: str, run: Run = Run(), own: dict[str, dict[str, Models]] | None = None
+) -> Report | None:
+    """Micro-batch n of a stream of log lines: its records are added, and the sessions that it touched are scored and published.
+
+    None if the batch was worked off before: the ledger is saved last, and a batch that was stopped is worked off again. A
+    site whose models fail keeps its records, and its sessions are scored with the next batch that touches the site.
+    """
+    own, report = own or {}, Report()
+    ledger = store.Ledger.load(spark, f"{out}/ledger")
+    if n < ledger.streamed:
+        return None
+    since = {s: v["since"] for s, v in ledger.sites.items() if v["since"] < v["offset"]}
+    ledger = store.append_stream(spark, f"{out}/records", ledger, lines, n)
+    for site, seq in since.items():  # not scored yet
+        if ndjson.generation_of(seq) == ledger.sites[site]["generation"]:
+            ledger.sites[site]["since"] = min(seq, ledger.sites[site]["since"])
+    report.left_out = [s for s in ledger.sites if not models and not own.get(s)]
+    _score_and_publish(spark, out, ledger, [s for s in ledger.sites if s not in report.left_out], models, own, day, at, run, report)
+    return report
+
+
+def _score_and_publish(
+    spark: SparkSession, out: str, ledger: store.Ledger, todo: list[str], models: dict[str, Models], own: dict[str, dict[str, Models]], day: str, at: str, run: Run, report: Report
+) -> None:
+    """Scores the sessions with records that no run has scored, publishes them and saves the ledger."""
+    place = f"{out}/records"
     registries = {d: Registry(models.get(d), {s: m[d] for s, m in own.items() if d in m}) for d in DEVICES}
     registries = {d: r for d, r in registries.items() if r.all}
     rebuild = run.rebuild or any(_unscored(spark, f"{out}/{d}/predictions") for d in registries)
@@ -232,7 +263,6 @@ def run_sites(
     ledger.scored([s for s in todo if s not in report.failed], at).save(spark, f"{out}/ledger")
     store.sweep(spark, place, ledger)
     delete(spark, work)
-    return report
 
 
 def _unscored(spark: SparkSession, path: str) -> bool:

@@ -21,6 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
@@ -64,6 +65,13 @@ def head(file: str, n: int) -> str:
         return hashlib.sha256(f.read_at(n, 0)).hexdigest()
 
 
+def first_line(file: str, most: int = 4096) -> str:
+    """Digest of the first line, or of its first bytes if it is long."""
+    fs, path = place(file)
+    with fs.open_input_file(path) as f:
+        return hashlib.sha256(f.read_at(most, 0).split(b"\n", 1)[0]).hexdigest()
+
+
 def last_line_end(file: str, start: int, size: int, step: int = 1 << 16) -> int:
     """Offset after the last newline in [start, size), or start; looks backwards from the end."""
     fs, path = place(file)
@@ -80,11 +88,14 @@ def last_line_end(file: str, start: int, size: int, step: int = 1 << 16) -> int:
 
 @dataclass
 class Range(InputPartition):
+    """Bytes of a log; `first` is added to the offsets of its lines."""
+
     site: str
     file: str
     start: int
     end: int
     aligned: bool = True
+    first: int = 0
 
 
 @dataclass
@@ -107,6 +118,20 @@ def packed(ranges: list[Range], step: int, most: int = 256) -> list[Ranges]:
     return out or [Ranges([])]
 
 
+#: In a stream the offsets of a log's lines carry its generation above so many bits.
+OFFSET_BITS = 48
+
+
+def generation_of(seq):
+    """The generation in a number or column of offsets of a stream."""
+    return seq // (1 << OFFSET_BITS) if isinstance(seq, int) else F.shiftright(seq, OFFSET_BITS).cast("int")
+
+
+def generation(inode: int, first: str) -> int:
+    """A number of 14 bits for a log by its inode and its first line."""
+    return int.from_bytes(hashlib.sha256(f"{inode}:{first}".encode()).digest()[:2], "big") >> 2
+
+
 def _batch(site: str, at: int, data: bytes) -> tuple[pa.RecordBatch, int]:
     """The lines of `data`, which begins at `at`, up to its last newline, and how many bytes that are; blank lines are left out."""
     ends = np.flatnonzero(np.frombuffer(data, np.uint8) == 10)
@@ -141,16 +166,16 @@ def lines(part: Range, chunk: int = CHUNK) -> Iterator[pa.RecordBatch]:
             if read > part.end:  # of the last line in the range the end is behind it
                 inside = data.find(b"\n", max(0, part.end - at - 1))
                 if inside >= 0:
-                    yield _batch(part.site, at, data[: inside + 1])[0]
+                    yield _batch(part.site, part.first + at, data[: inside + 1])[0]
                     return
             if not more:
                 break
-            batch, used = _batch(part.site, at, data)
+            batch, used = _batch(part.site, part.first + at, data)
             if batch.num_rows:
                 yield batch
             at, data = at + used, data[used:]
         if at < part.end and b"\n" in data:
-            yield _batch(part.site, at, data)[0]
+            yield _batch(part.site, part.first + at, data)[0]
 
 
 class _Batch(DataSourceReader):
@@ -173,7 +198,8 @@ class _Batch(DataSourceReader):
 class _Stream(DataSourceStreamReader):
     """Offsets are {site: {offset, inode, generation}}; `onReplace` says what a new inode or a shorter file means.
 
-    rebuild (default): the file is read again from its start, as a new generation; continue: only a shorter file is.
+    rebuild (default): the file is read again from its start; continue: only a shorter file is, or one that begins with another line.
+    `seq` has the generation of the log (`generation`) in its high bits, so that readers can tell its records from those of the log before.
     """
 
     def __init__(self, options: dict):
@@ -186,7 +212,8 @@ class _Stream(DataSourceStreamReader):
         out = {}
         for site, file in sites(self.options["path"], _allow(self.options)).items():
             size, _, inode = stat(file)
-            out[site] = {"offset": last_line_end(file, 0, size), "inode": inode}
+            end = last_line_end(file, 0, size)
+            out[site] = {"offset": end, "inode": inode, "generation": generation(inode if self.options.get("onReplace", "rebuild") == "rebuild" else 0, first_line(file)) if end else 0}
         return out
 
     def partitions(self, start: dict, end: dict) -> list[InputPartition]:
@@ -194,13 +221,14 @@ class _Stream(DataSourceStreamReader):
         step = int(self.options.get("rangeBytes", 64 << 20))
         out = []
         for site, to in end.items():
-            had = start.get(site) or {"offset": 0, "inode": to["inode"]}
+            had = start.get(site) or {"offset": 0, "inode": to["inode"], "generation": to["generation"]}
             begin = 0 if self.again(had, to) else had["offset"]
-            out += [Range(site, files[site], a, min(a + step, to["offset"]), aligned=a == begin) for a in range(begin, to["offset"], step)]
+            out += [Range(site, files[site], a, min(a + step, to["offset"]), a == begin, to["generation"] << OFFSET_BITS) for a in range(begin, to["offset"], step)]
         return packed(out, step)
 
     def again(self, had: dict, now: dict) -> bool:
-        return rebuild_needed(had["offset"], had["inode"], now["offset"], now["inode"], self.options.get("onReplace", "rebuild"))
+        other = had["offset"] > 0 and had["generation"] != now["generation"]
+        return other or rebuild_needed(had["offset"], had["inode"], now["offset"], now["inode"], self.options.get("onReplace", "rebuild"))
 
     def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
         for part in partition.parts:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from . import versions
 from .events import parse
-from .ndjson import head, last_line_end, read_ranges, rebuild_needed, stat
+from .ndjson import generation_of, head, last_line_end, read_ranges, rebuild_needed, stat
 
 KEY = ["site_id", "session_id"]
 MERGE = 32
@@ -40,20 +40,22 @@ class Tail:
 
 @dataclass(frozen=True)
 class Ledger:
-    """sites: {site: {inode, head, offset, generation, since, at}}; batches: the names of those that count; read: bytes of the last batch."""
+    """sites: {site: {inode, head, offset, generation, since, at}}; batches: the names of those that count; read: bytes of
+    the last batch; streamed: micro-batches of a stream that are worked off."""
 
     sites: dict[str, dict] = field(default_factory=dict)
     batches: tuple[str, ...] = ()
     runs: int = 0
     read: int = 0
+    streamed: int = 0
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Ledger:
         doc = versions.document(spark, path)
-        return cls(doc["sites"], tuple(doc["batches"]), doc["runs"], doc["read"]) if doc else cls()
+        return cls(doc["sites"], tuple(doc["batches"]), doc["runs"], doc["read"], doc["streamed"]) if doc else cls()
 
     def save(self, spark: SparkSession, path: str) -> None:
-        versions.replace_document(spark, {"sites": self.sites, "batches": list(self.batches), "runs": self.runs, "read": self.read}, path)
+        versions.replace_document(spark, {"sites": self.sites, "batches": list(self.batches), "runs": self.runs, "read": self.read, "streamed": self.streamed}, path)
 
     def tails(self, files: dict[str, str], force: bool = False, on_replace: str = "rebuild") -> dict[str, Tail]:
         """What is to be read of each log; a tail without its newline waits."""
@@ -83,11 +85,7 @@ def append(spark: SparkSession, place: str, ledger: Ledger, tails: dict[str, Tai
     """Adds the tails' records under `place`; the ledger that says so is still to be saved."""
     now = {s: {"inode": t.inode, "head": (n := min(HEAD, t.end), head(t.file, n)), "offset": t.end, "generation": t.generation, "since": t.since, "at": ledger.sites.get(s, {}).get("at")} for s, t in tails.items()}
     after = replace(ledger, sites={**ledger.sites, **now}, runs=ledger.runs + 1, read=sum(t.end - t.start for t in tails.values()))
-    batches = ledger.batches
-    if len(batches) >= MERGE:
-        batches = (f"batch-{after.runs:08d}-all",)
-        merged = records(spark, place, ledger)
-        _write(merged, f"{place}/{batches[0]}")
+    batches = merged(spark, place, ledger, after.runs)
     ranges = {s: (t.file, t.start, t.end) for s, t in tails.items() if t.end > t.start}
     if ranges:
         batches = (*batches, f"batch-{after.runs:08d}")
@@ -96,6 +94,30 @@ def append(spark: SparkSession, place: str, ledger: Ledger, tails: dict[str, Tai
     return replace(after, batches=batches)
 
 
+def merged(spark: SparkSession, place: str, ledger: Ledger, run: int) -> tuple[str, ...]:
+    """The ledger's batches, or one that holds them all, if they are many."""
+    if len(ledger.batches) < MERGE:
+        return ledger.batches
+    name = f"batch-{run:08d}-all"
+    _write(records(spark, place, ledger), f"{place}/{name}")
+    return (name,)
+
+
+def append_stream(spark: SparkSession, place: str, ledger: Ledger, lines: DataFrame, n: int) -> Ledger:
+    """Adds the records of micro-batch n of a stream, whose `seq` has the log's generation; the ledger that says so is still to be saved.
+
+    A log that was replaced brings another generation, and records of the one before no longer count.
+    """
+    name = f"batch-{n:08d}-stream"
+    _write(parse(lines).where("session_id is not null").withColumn("generation", generation_of(F.col("seq"))), f"{place}/{name}")
+    after = replace(ledger, runs=ledger.runs + 1, streamed=n + 1, batches=(*merged(spark, place, ledger, ledger.runs + 1), name))
+    if not [x for x in versions.names(spark, f"{place}/{name}") if x.startswith("bucket=")]:
+        return replace(after, batches=after.batches[:-1])
+    seen = spark.read.parquet(f"{place}/{name}").groupBy("site_id").agg(F.max(F.struct("seq", "generation")).alias("last"), F.min("seq").alias("first")).collect()  # a row a site
+    now = {r["site_id"]: {**ledger.sites.get(r["site_id"], {}), "generation": r["last"]["generation"], "offset": r["last"]["seq"] + 1, "since": r["first"]} for r in seen}
+    return replace(after, sites={**ledger.sites, **now})
+
+
 def _write(rows: DataFrame, path: str) -> None:
     dealt = rows.withColumn("bucket", F.pmod(F.xxhash64(*KEY), F.lit(versions.BUCKETS)).cast("int"))
     dealt.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)

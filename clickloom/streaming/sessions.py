@@ -1,4 +1,4 @@
-"""Streaming shell: the same snapshots from a log that grows.
+"""Streaming shell: the same snapshots, and the same scores, from a log that grows.
 
 One stateful operator, keyed by site and session, keeps what the batch plan gets from windows: the
 device map and the last K records of each kind. Rows of a key are folded in the order of `seq`.
@@ -8,40 +8,65 @@ State needs the RocksDB store (`spark.sql.streaming.stateStore.providerClass`).
 
 from __future__ import annotations
 
-import json
+import datetime
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import DataStreamWriter, StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from clickloom.operators.decode import track
 from clickloom.operators.features import upsert
 from clickloom.operators.snapshots import Policy
 from clickloom.operators.trajectory import track_stats
+from clickloom.plans.config import Run
+from clickloom.sources.ndjson import OFFSET_BITS, generation_of
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 OUT = """site_id string, device_type string, session_id string, seq long, tm double, ts double, ip string, ua string, type string, synthetic boolean,
-  x array<double>, y array<double>, t array<double>, `groups` array<int>, scl_count int, scroll_data array<double>"""
+  x array<double>, y array<double>, t array<double>, `groups` array<int>, scl_count int, scroll_data array<double>, generation int"""
+
+
+#: State of a session: what routing and session ends need, and of each device the last records of each kind, a row each.
+MARKS = "generation int, has_mb boolean, mapped boolean, desktop_ready boolean, desktop_qml double, mobile_ready boolean, mobile_qml double"
+HISTORY = "tm double, clk boolean, x array<double>, y array<double>, t array<double>"
+DEVICES = ("mobile", "desktop")
 
 
 class Sessions(StatefulProcessor):
-    """State of a session, as one JSON value: device map, numbered histories, last event."""
+    """The last K records of each kind and the marks of a session. They are read once and written once for each batch of its rows.
 
-    def __init__(self, policy: Policy):
-        self.policy = policy
+    A session whose log was replaced begins anew: its rows carry another generation. ttl: ms after which the state of a session without rows is gone.
+    """
+
+    def __init__(self, policy: Policy, ttl: int | None = None):
+        self.policy, self.ttl = policy, ttl
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("session", "body string")
+        self.marks = handle.getValueState("marks", MARKS, self.ttl)
+        self.lists = {(d, k): handle.getListState(f"{d}_{k}", HISTORY, self.ttl) for d in DEVICES for k in "pc"}
 
     def close(self) -> None:
         """Nothing is held outside the state."""
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
-        got = self.state.get()
-        s = json.loads(got[0]) if got else {"has_mb": False, "mapped": None, "mobile": {"p": [], "c": []}, "desktop": {"p": [], "c": []}, "last": {}}
-        batch = pd.concat(list(rows)).sort_values("seq").to_dict("records")
+        batch = pd.concat(list(rows)).sort_values("seq")
+        batch = [dict(zip(batch.columns, r, strict=True)) for r in zip(*(batch[c].tolist() for c in batch.columns), strict=True)]
+        at = generation_of(int(batch[-1]["seq"]))
+        batch = [r for r in batch if generation_of(int(r["seq"])) == at]
+        got = self.marks.get() if self.marks.exists() else None
+        if got is not None and got[0] != at:
+            got = None
+            for state in self.lists.values():
+                state.clear()
+        s = {"has_mb": bool(got and got[1]), "mapped": got[2] if got else None}
+        for i, d in enumerate(DEVICES[::-1]):
+            s[d] = {"p": self._held(d, "p"), "c": self._held(d, "c")}
+            if got and got[3 + 2 * i]:
+                s[d]["ready"] = True
+            if got and got[4 + 2 * i] is not None:
+                s[d]["first_qml"] = got[4 + 2 * i]
         self._map(s, batch)
         out, touched = [], {}
         for r in batch:
@@ -57,10 +82,19 @@ class Sessions(StatefulProcessor):
                 cutoff = r["tm"] + first
                 made = self._made(h["p"], [x for x in h["c"] if x["tm"] < cutoff], cutoff)
                 out.append(self._row(key, device, r | {"tm": cutoff, "ts": None, "ip": None, "ua": ""}, "qml_ready", *made, True))
-        self.state.update((json.dumps(s),))
+        marks = [x for d in DEVICES[::-1] for x in (bool(s[d].get("ready")), s[d].get("first_qml"))]
+        self.marks.update((at, s["has_mb"], s["mapped"], *marks))
+        for d in touched:
+            for k in "pc":
+                if s[d][k]:
+                    self.lists[d, k].put([(x["tm"], x["clk"], *(list(c) for c in zip(*x["points"]))) if x["points"] else (x["tm"], x["clk"], [], [], []) for x in s[d][k]])
         if out:
             yield pd.DataFrame(out)
 
+    def _held(self, device: str, kind: str) -> list[dict]:
+        state = self.lists[device, kind]
+        return [{"tm": tm, "clk": clk, "points": [list(q) for q in zip(x, y, t)]} for tm, clk, x, y, t in state.get()] if state.exists() else []
+
     def _map(self, s: dict, batch: list[dict]) -> None:
         touch = False
         for r in batch:
@@ -109,8 +143,9 @@ class Sessions(StatefulProcessor):
         x, y, t = ([q[i] for q in points] for i in range(3))
         deltas = [s["points"][-1][1] - s["points"][0][1] for s in scrolls if len(s["points"]) > 1 and None not in (s["points"][-1][1], s["points"][0][1])]
         return {
-            "site_id": key[0], "device_type": device, "session_id": key[1], "seq": r["seq"], "tm": r["tm"], "ts": r["ts"], "ip": r["ip"], "ua": r["ua"], "type": kind,
+            "site_id": key[0], "device_type": device, "session_id": key[1], "seq": int(r["seq"]) % (1 << OFFSET_BITS), "tm": r["tm"], "ts": r["ts"], "ip": r["ip"], "ua": r["ua"], "type": kind,
             "synthetic": synthetic, "x": x, "y": y, "t": t, "groups": [] if synthetic else groups, "scl_count": sum(len(s["points"]) for s in scrolls), "scroll_data": deltas,
+            "generation": generation_of(int(r["seq"])),
         }
 
 
@@ -123,13 +158,16 @@ def _list(points: object) -> list[list[float | None]]:
     return out
 
 
-def trajectories(records: DataFrame, policy: Policy = Policy()) -> DataFrame:
-    """Snapshots with their trajectories from a stream of typed records; of a record's click and page-ready one `with_statistics` chooses."""
+def trajectories(records: DataFrame, policy: Policy = Policy(), ttl: int | None = None) -> DataFrame:
+    """Snapshots with their trajectories from a stream of typed records; of a record's click and page-ready one `with_statistics` chooses.
+
+    ttl: ms of processing time after which the state of a session without records is dropped; None keeps it.
+    """
     rows = records.where("session_id is not null").select(
         "site_id", "session_id", "seq", "act", "tm", "ts", "ip", "ua", "clk", "touch", "mb",
         track("mmv", "tm", "pointer").alias("pointer_points"), track("tmv", "tm", "touch").alias("touch_points"), track("scl", "tm", "scroll").alias("scroll_points"),
     )
-    return rows.groupBy("site_id", "session_id").transformWithStateInPandas(Sessions(policy), OUT, outputMode="Update", timeMode="None")
+    return rows.groupBy("site_id", "session_id").transformWithStateInPandas(Sessions(policy, ttl), OUT, outputMode="Update", timeMode="None" if ttl is None else "ProcessingTime")
 
 
 def with_statistics(rows: DataFrame) -> DataFrame:
@@ -150,13 +188,30 @@ def latest_synthetic(snaps: DataFrame) -> DataFrame:
     return snaps.join(last, key, "left").where("not synthetic or seq = _last").drop("_last")
 
 
-def publish_stream(rows: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], every: str | None = None):
-    """Starts the query: each micro-batch of trajectories goes to `sink` once its statistics are there.
+def started(writer: DataStreamWriter, every: str | None) -> StreamingQuery:
+    """every: a processing-time trigger such as '45 seconds'; else what is there now is worked off and the query ends."""
+    return writer.trigger(processingTime=every).start() if every else writer.trigger(availableNow=True).start()
 
-    every: a processing-time trigger such as '45 seconds'; else what is there now is worked off and the query ends.
-    """
+
+def publish_stream(rows: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], every: str | None = None) -> StreamingQuery:
+    """Starts the query: each micro-batch of trajectories goes to `sink` once its statistics are there."""
     writer = rows.writeStream.option("checkpointLocation", checkpoint).outputMode("update").foreachBatch(lambda df, n: sink(with_statistics(df), n))
-    return writer.trigger(processingTime=every).start() if every else writer.trigger(availableNow=True).start()
+    return started(writer, every)
+
+
+def publish_sites(lines: DataFrame, out: str, models: dict, run: Run = Run(), own: dict | None = None, every: str | None = None, now: Callable[[], datetime.datetime] = datetime.datetime.now) -> StreamingQuery:
+    """From a stream of log lines to scores: each micro-batch adds its records, and the sessions that it touched are scored and published.
+
+    The tables under `out` are those of `plans.pipeline.run_sites`, and a batch is worked off exactly once: its records, change log and
+    ledger are named by its number, and a batch that the ledger knows is left out. The checkpoint is under `out`, too.
+    """
+    from clickloom.plans.pipeline import publish_batch
+
+    def sink(df: DataFrame, n: int) -> None:
+        at = now()
+        publish_batch(df.sparkSession, df, n, out, models, f"{at:%Y-%m-%d}", f"{at:%Y-%m-%d %H:%M:%S}", run, own)
+
+    return started(lines.writeStream.option("checkpointLocation", f"{out}/checkpoint").outputMode("append").foreachBatch(sink), every)
 
 
 def upsert_features(existing: DataFrame, snaps: DataFrame, features: Callable[[DataFrame], DataFrame]) -> DataFrame:
