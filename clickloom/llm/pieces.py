@@ -35,7 +35,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import filesystem, settled, shared_dir
+from .common import dropped, filesystem, settled, shared_dir
 
 SPACE = "▁"
 #: The model file where none is named: a setting of the driver's environment.
@@ -157,12 +157,18 @@ def piece_table(spark: SparkSession, model: Model) -> DataFrame:
 
 
 def sharded(docs: DataFrame) -> DataFrame:
-    """(shard, doc_id, text): the shard names the file split that a row is read from, so that a second scan finds the same."""
-    whole = docs.select("doc_id", "text")
+    """(shard, doc_id, text): the shard names the file split that a row is read from, so that a second scan finds the same.
+
+    A table that isn't a plain scan of files (rows of one split must stay together) is written once.
+    """
     try:
-        return docs.select(F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias("shard"), "doc_id", "text")
+        rows = docs.select(F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias("shard"), "doc_id", "text")
+        plan = rows._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        if all(re.match(r"\W*(Project|Filter|Relation)\b", x) for x in plan if x.strip()):
+            return rows
     except AnalysisException:  # not read from files
-        return sharded(settled(whole))
+        pass
+    return sharded(settled(docs.select("doc_id", "text")))
 
 
 def shard_units(rows: DataFrame, model: Model) -> DataFrame:
@@ -178,7 +184,7 @@ def shard_units(rows: DataFrame, model: Model) -> DataFrame:
             for shard, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if text:
                     seen.setdefault(shard, set()).update(find(model.spaced(text)))
-            if sum(map(len, seen.values())) > 1_000_000:  # bounded memory; the rest is told apart in Spark
+            if sum(map(len, seen.values())) > 200_000:  # bounded memory; the rest is told apart in Spark
                 yield table(seen)
                 seen = {}
         if seen:
@@ -254,37 +260,51 @@ def encoded_units(units: DataFrame, model: Model) -> DataFrame:
     return found.unionByName(others.mapInArrow(one_by_one, kind))
 
 
+#: A unit in so large a share of the shards stands in one dictionary for all; so that has at most as many units as eight shards.
+COMMON = 8
+
+
 def dictionaries(rows: DataFrame, model: Model) -> str:
-    """Writes the ids of each shard's units to a folder of its own under the one returned, in the shared folder."""
-    units = shard_units(rows, model)
+    """Writes the ids of each shard's units to a folder of its own under the one returned, in the shared folder.
+
+    Units that many shards have are written once, to the folder `common`, and not sent to each.
+    """
+    units = settled(shard_units(rows, model))  # texts are cut once
     folder = f"{shared_dir(rows.sparkSession)}/clickloom-pieces-{uuid.uuid4().hex}"
-    known = encoded_units(units, model).join(units, "unit")
-    known.select("unit", "ids", F.explode("shards").alias("shard")).repartition("shard").write.partitionBy("shard").parquet(folder)
+    n = rows.select("shard").distinct().count()
+    places = F.when(F.size("shards") * COMMON >= n, F.array(F.lit("common"))).otherwise(F.col("shards").cast("array<string>"))
+    known = encoded_units(units.select("unit").repartition("unit"), model).join(units, "unit")
+    known.select("unit", "ids", F.explode(places).alias("shard")).repartition("shard").write.partitionBy("shard").parquet(folder)
+    dropped(units)
     return folder
 
 
 class Shard:
-    """The dictionary of the shard that a task reads; the last ones are kept, as a task may hold more than one."""
+    """The dictionary of the shard that a task is at, and the common one."""
 
-    def __init__(self, folder: str, keep: int = 2):
+    def __init__(self, folder: str):
         self.fs, self.root = filesystem(folder)
-        self.keep, self.held = keep, {}
-
-    def of(self, shard: int) -> dict[str, bytes]:
-        if shard not in self.held:
-            while len(self.held) >= self.keep:
-                del self.held[next(iter(self.held))]
-            out: dict[str, bytes] = {}
-            place = posixpath.join(self.root, f"shard={shard}")
-            for f in self.fs.get_file_info(pyarrow.fs.FileSelector(place)) if self.fs.get_file_info(place).type == pyarrow.fs.FileType.Directory else []:
-                if f.path.endswith(".parquet"):
-                    with self.fs.open_input_file(f.path) as source:
-                        for part in pq.ParquetFile(source).iter_batches(columns=["unit", "ids"]):
-                            ids = part.column("ids")
-                            flat, ends = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32), ids.value_lengths().to_numpy(zero_copy_only=False).astype(int).cumsum()
-                            out.update(zip(part.column("unit").to_pylist(), (flat[i:j].tobytes() for i, j in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)), strict=True))
-            self.held[shard] = out
-        return self.held[shard]
+        self.at, self.own, self.common = None, {}, self._read("common")
+
+    def _read(self, name: str) -> dict[str, bytes]:
+        out: dict[str, bytes] = {}
+        place = posixpath.join(self.root, f"shard={name}")
+        for f in self.fs.get_file_info(pyarrow.fs.FileSelector(place, allow_not_found=True)):
+            if f.path.endswith(".parquet"):
+                with self.fs.open_input_file(f.path) as source:
+                    for part in pq.ParquetFile(source).iter_batches(columns=["unit", "ids"]):
+                        ids = part.column("ids")
+                        flat, ends = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32), ids.value_lengths().to_numpy(zero_copy_only=False).astype(int).cumsum()
+                        out.update(zip(part.column("unit").to_pylist(), (flat[i:j].tobytes() for i, j in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)), strict=True))
+        return out
+
+    def ids(self, shard: int, units: list[str]) -> bytes:
+        """The ids of all units, one after another."""
+        if shard != self.at:
+            self.own = {}  # before the next one is read
+            self.at, self.own = shard, self._read(str(shard))
+        own, common = self.own, self.common
+        return b"".join([common.get(u) or own[u] for u in units])
 
 
 def decoder(model: Model) -> list[bytes]:
@@ -319,7 +339,7 @@ def encode(docs: DataFrame, model: Model | None = None) -> DataFrame:
             for at in range(0, batch.num_rows, 256):  # texts may be long
                 found, same = [], []
                 for of, text in zip(shards.slice(at, 256).to_pylist(), texts.slice(at, 256).to_pylist(), strict=True):
-                    ids = b"".join(map(shard.of(of).__getitem__, find(model.spaced(text)))) if text else b""
+                    ids = shard.ids(of, find(model.spaced(text))) if text else b""
                     found.append(ids)
                     same.append(_text(np.frombuffer(ids, np.int32).tolist(), table, model.prefix) == (text or ""))
                 n = np.array([len(x) // 4 for x in found], np.int64)
