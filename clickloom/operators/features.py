@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.expressions import ratio
 
+from .quantiles import quantiles
 from .trajectory import features_of
 
 KEY = ["site_id", "device_type", "session_id"]
@@ -109,13 +110,13 @@ def summary(features: DataFrame) -> DataFrame:
 
 
 def profile(features: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, count, mean, std, min, q25, q50, q75, max) with exact quartiles, in one pass."""
-    parts = F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns))
-    x = F.col("p.x")
-    return features.select(F.explode(parts).alias("p")).groupBy("p.column").agg(
-        F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"),
-        *(F.percentile(x, F.lit(q / 100)).alias(f"q{q}") for q in (25, 50, 75)), F.max(x).alias("max"),
-    )
+    """(column, count, mean, std, min, q25, q50, q75, max) with exact quartiles: one aggregate, and rounds of counts for the quartiles."""
+    numbers = [F.col(f"`{c}`").cast("double") for c in columns]
+    parts = [F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")) for c, x in zip(columns, numbers, strict=True)]
+    flat = features.agg(F.array(*parts).alias("p")).select(F.explode("p").alias("p")).select("p.*")
+    found = quantiles(features, columns, [0.25, 0.5, 0.75])
+    quartiles = features.sparkSession.createDataFrame([(c, *found[c]) for c in columns], "column string, q25 double, q50 double, q75 double")
+    return flat.join(F.broadcast(quartiles), "column").select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")  # a row a column
 
 
 def correlations(features: DataFrame, columns: list[str]) -> DataFrame:

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .quantiles import quantiles
 from .scaling import aligned
 
 # Floors of the probabilities.
@@ -350,4 +351,6 @@ def needs_rebuild(changed: DataFrame | None, full_rebuild: bool, existing: DataF
 
 
 def distribution(scores: DataFrame, column: str = SCORES[0]) -> DataFrame:
-    return scores.agg(F.min(column).alias("min"), F.median(column).alias("median"), F.max(column).alias("max"))
+    """One row: min, median and max of the known scores. The median is found by rounds of counts."""
+    ends = scores.agg(F.min(column).alias("min"), F.max(column).alias("max"))
+    return ends.select("min", F.lit(quantiles(scores, [column], [0.5])[column][0]).cast("double").alias("median"), "max")

@@ -35,12 +35,26 @@ class Policy:
         return F.when(F.col("device_type") == "mobile", self.mobile).otherwise(self.desktop)
 
 
-def numbered(records: DataFrame) -> DataFrame:
-    """Records with a session and an event time, with the numbers so far of pointer and scroll records."""
-    w = Window.partitionBy(*KEY).orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+#: Bytes of the log, as a power of two, whose records are numbered in one task.
+BLOCK_BITS = 24
+
+
+def numbered(records: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
+    """Records with a session and an event time, with the numbers so far of pointer and scroll records.
+
+    A session is numbered in blocks of the log: inside each by a window, and from block to block by what the blocks before
+    have, a row a block. So a session that never ends is spread over tasks.
+    """
     pointer = F.when(F.col("device_type") == "mobile", F.col("tmv")).otherwise(F.col("mmv"))
-    own = records.where("session_id is not null and tm != 0").withColumn("pointer", pointer)
-    return own.withColumns({"n_pointer": F.count("pointer").over(w), "n_scroll": F.count("scl").over(w)})
+    own = records.where("session_id is not null and tm != 0").withColumns({"pointer": pointer, "_block": F.shiftright("seq", bits)})
+    counts = {"n_pointer": F.count("pointer"), "n_scroll": F.count("scl")}
+    inside = Window.partitionBy(*KEY, "_block").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*KEY).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = own.groupBy(*KEY, "_block").agg(*(c.alias(f"_{n}") for n, c in counts.items()))
+    offsets = blocks.select(*KEY, "_block", *(F.coalesce(F.sum(f"_{n}").over(before), F.lit(0)).alias(f"_{n}") for n in counts))
+    plus = {n: F.col(n) + F.coalesce(f"_{n}", F.lit(0)) for n in counts}
+    later = offsets.where(" + ".join(f"_{n}" for n in counts) + " > 0")
+    return own.withColumns({n: c.over(inside) for n, c in counts.items()}).join(later, [*KEY, "_block"], "left").withColumns(plus).drop("_block", *(f"_{n}" for n in counts))
 
 
 LOOKBACK_MS = 10_000

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -708,6 +709,42 @@ def site_scores(spark: SparkSession, d: str) -> DataFrame:
     return score(none, feats, m).withColumns({c: F.round(c, 6) for c in scoring.SCORES})
 
 
+_FEATURES = trajectory.features_of("desktop")
+_STAT = lambda i: f"CASE WHEN (event_id + {i}) % 7 <> 0 THEN (value - 20) * {i + 1} / 10.0D END"
+_KEPT = {"n": "CAST(1 + event_id % 90 AS INTEGER)", "ms": "value * 3.0D", "l": "value * 2.5D", "bot_score": "CAST(event_id % 100 AS DOUBLE) / 100.0D", "is_likely_bot": "event_id % 3 = 0"}
+_TYPE = "CASE event_type WHEN 'click' THEN 'mmv_clk' WHEN 'purchase' THEN 'qml_ready' ELSE 'other' END"
+
+
+def _feature_sql() -> str:
+    """Every statistic of every feature, the ratios and the scroll statistics, over snapshots made of events."""
+    plain = lambda x: re.sub(r"(?<=\d)D\b", "", x)
+    made = ", ".join([*(f"CASE WHEN ok THEN {plain(_STAT(i))} END AS {c}" for i, c in enumerate(_FEATURES)), *(f"CASE WHEN ok THEN CAST({plain(_KEPT[c])} AS DOUBLE) END AS {c}" for c in ("n", "ms", "l", "bot_score"))])
+    family = lambda name, x: [f"round(coalesce({f}, 0), 9) + 0.0 AS {name}_{n}" for n, f in (("min", f"min(abs({x}))"), ("max", f"max(abs({x}))"), ("mean", f"avg(abs({x}))"), ("std", f"stddev_pop({x})"))]
+    columns = [c for n in ("n", "ms", "l") for c in family(f"mousemove_prm_data_b_{n}", n)] + [c for n in (*_FEATURES, "bot_score") for c in family(n if n.startswith("bot_") else f"bot_{n}", n)]
+    share = lambda c: f"round(coalesce(avg(CASE WHEN ok THEN CASE WHEN {c} THEN 1.0 ELSE 0.0 END END), 0), 9) + 0.0"
+    return f"""WITH e AS (SELECT user_id AS session_id, event_type IN ('click', 'purchase') AS ok, event_id, value FROM events),
+  x AS (SELECT session_id, ok, event_id % 3 = 0 AS likely, {made}, CASE WHEN ok THEN list_filter([value - 20, CASE WHEN event_id % 5 <> 0 THEN 20 - 2 * value END], lambda v: true)[1:event_id % 3] END AS d FROM e),
+  s AS (SELECT session_id, unnest(d) AS v FROM x WHERE ok), m AS (SELECT session_id, avg(v) AS m FROM s GROUP BY 1),
+  sc AS (SELECT session_id, count(*) AS n, min(abs(v)) AS lo, max(abs(v)) AS hi, avg(abs(v)) AS mean, CASE WHEN bool_or(v IS NULL) THEN 0 ELSE sum(abs(v)) END AS total, stddev_pop(v) AS sd, avg(abs(v - m)) AS mad FROM s JOIN m USING (session_id) GROUP BY 1),
+  f AS (SELECT session_id, {", ".join(columns)}, {share("likely")} AS bot_is_likely_bot_ratio, count(*) FILTER (ok) AS mousemove_count, count(*) FILTER (ok) AS bot_detection_features_count,
+    {share("bot_score > 0.5")} AS bot_score_above_threshold_ratio, {share("bot_score > 0.8")} AS bot_score_above_high_threshold_ratio FROM x GROUP BY 1)
+  SELECT f.*, coalesce(sc.n, 0) AS scroll_count, round(coalesce(mean, 0), 9) + 0.0 AS scroll_prm_data_mean, round(coalesce(lo, 0), 9) + 0.0 AS scroll_prm_data_min, round(coalesce(hi, 0), 9) + 0.0 AS scroll_prm_data_max,
+    round(coalesce(total, 0), 9) + 0.0 AS scroll_prm_data_sum, round(coalesce(sd, 0), 9) + 0.0 AS scroll_prm_data_std, round(coalesce(mad, 0), 9) + 0.0 AS scroll_prm_data_mad,
+    round(coalesce(CAST(sc.n AS DOUBLE) / nullif(mousemove_count, 0), 0), 9) + 0.0 AS ratio_scroll_count_on_mousemove_count FROM f LEFT JOIN sc USING (session_id)"""
+
+
+@query(_feature_sql())
+def session_feature_table(spark: SparkSession, d: str) -> DataFrame:
+    """All features of a session, every statistic of them, from snapshots of which some have unknown values, no scrolls or a type that doesn't count."""
+    e = read(spark, d, "events")
+    stats = [F.expr(_STAT(i)).alias(c) for i, c in enumerate(_FEATURES)] + [F.expr(x).alias(c) for c, x in _KEPT.items()]
+    scrolls = F.expr("slice(array(value - 20, case when event_id % 5 <> 0 then 20 - 2 * value end), 1, cast(event_id % 3 as int))")
+    snaps = e.select(F.lit("1_1").alias("site_id"), F.lit("desktop").alias("device_type"), F.col("user_id").alias("session_id"), F.expr(_TYPE).alias("type"), scrolls.alias("scroll_data"), F.struct(*stats).alias("s"))
+    out = features.session_features(snaps, "desktop", mean_only=False).drop("site_id", "device_type")
+    # nine digits, as means of amounts with three often lie just between two numbers of six
+    return out.select(*((F.round(c, 9) + 0.0).alias(c) if t == "double" else c for c, t in out.dtypes))
+
+
 # What each event becomes in the log of `engine_snapshots`, in words that both Spark and the oracle know.
 _BECOMES = {
     "ptr": "event_type = 'click' OR (event_type IN ('purchase', 'signup') AND seq % 2 = 0)",

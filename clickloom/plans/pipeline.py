@@ -177,13 +177,15 @@ def _merged(existing: DataFrame, fresh: DataFrame) -> DataFrame:
 
 
 class Report(dict):
-    """Changed rows by device; failed: {site: why}; left_out: sites without a complete model set; read: bytes of logs that were read."""
+    """Changed rows by device; failed: {site: why}; left_out: sites without a complete model set; read: bytes
+    of logs that were read; scores: of each device the least, median and largest of this run's bot scores."""
 
     def __init__(self):
         super().__init__()
         self.failed: dict[str, str] = {}
         self.left_out: list[str] = []
         self.read = 0
+        self.scores: dict[str, tuple[float | None, ...]] = {}
 
 
 def run_sites(
@@ -256,6 +258,7 @@ def _score_and_publish(
     for device, (mine, feats, fresh) in made.items():
         good = ~F.col("site_id").isin(list(report.failed)) if report.failed else F.lit(True)
         report[device] = _publish(spark, f"{out}/{device}", device, mine.where(good), feats.where(good), fresh.where(good).drop("error"), ledger, day, at, run, rebuild, f"{work}/{device}")
+        report.scores[device] = tuple(scoring.distribution(fresh.where(good)).first())
     for device in registries.keys() - made.keys():
         report[device] = 0
     if made:

@@ -109,6 +109,8 @@ def once(logs: str, out: str, roots: tuple[str, ...], run: Run, only: list[str]
             print(f"{site}: {why}", file=sys.stderr)
         for site in report.left_out:
             print(f"{site}: no complete model set, left out", file=sys.stderr)
+        for device, (least, median, most) in report.scores.items():
+            print(f"{device}: scores from {least} over {median} to {most}", file=sys.stderr)
         done = {s: now[s] for s in changed if s not in report.failed and s not in report.left_out}
         save_state({**saved_state(state), **done}, state)  # only after success
         return report

@@ -289,3 +289,38 @@ def test_keys_above_two_to_53(spark):
     assert {r["session_id"] for r in got.collect()} == {big, None}
     t = scoring.Trees(("x",), ({"feature": [0], "threshold": [1.5], "left": [-1], "right": [-2], "leaf": [1.0, -1.0]},))
     assert {r["session_id"] for r in scoring.score_trees(df, t).collect()} == {big, None}
+
+
+def test_quantiles_by_sorting(spark):
+    import math
+    import random
+
+    from clickloom.operators.quantiles import quantiles
+
+    r = random.Random(6)
+    columns = {
+        "ties": [float(r.randrange(3)) for _ in range(500)], "wide": [r.choice([-1, 1]) * 10 ** r.uniform(-300, 300) for _ in range(500)], "near": [1e15 + r.randrange(4) / 8 for _ in range(500)],
+        "some": [r.gauss(0, 1) if r.random() < 0.3 else None for _ in range(500)], "odd": [r.choice([math.nan, math.inf, 1.0, 2.0, None]) for _ in range(500)], "none": [None] * 500, "one": [7.0] + [None] * 499,
+    }
+    shares = [0.0, 0.25, 0.5, 0.9, 1.0]
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} double" for c in columns)).repartition(5)
+    got = quantiles(df, list(columns), shares)
+    for c, v in columns.items():
+        v = sorted(x for x in v if x is not None and math.isfinite(x))
+        at = [q * (len(v) - 1) for q in shares]
+        assert got[c] == ([v[int(p)] + (v[math.ceil(p)] - v[int(p)]) * (p - int(p)) for p in at] if v else [None] * 5), c
+    assert "percentile" not in features.profile(df, ["some"])._jdf.queryExecution().toString()
+
+
+def test_numbers_in_blocks_equal_a_window(spark):
+    """Records of a session in many blocks of the log; its numbering is spread over as many tasks."""
+    from pyspark.sql import Window
+
+    from clickloom.operators.snapshots import KEY, numbered
+
+    rows = [("1_1", "desktop", f"s{i % 3}" if i % 7 else "one", 37 * i, 1.0, None, "m" if i % 2 else None, "c" if i % 5 == 0 else None) for i in range(900)]
+    df = spark.createDataFrame(rows, "site_id string, device_type string, session_id string, seq long, tm double, tmv string, mmv string, scl string")
+    w = Window.partitionBy(*KEY).orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    want = sorted(map(tuple, df.select("seq", F.count("mmv").over(w), F.count("scl").over(w)).collect()))
+    for bits in (5, 10, 24):
+        assert sorted(map(tuple, numbered(df, bits).select("seq", "n_pointer", "n_scroll").collect())) == want
