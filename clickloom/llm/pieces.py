@@ -181,12 +181,14 @@ def shard_units(rows: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find, seen = model.units().findall, {}
         for batch in batches:
-            for shard, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if text:
-                    seen.setdefault(shard, set()).update(find(model.spaced(text)))
-            if sum(map(len, seen.values())) > 200_000:  # bounded memory; the rest is told apart in Spark
-                yield table(seen)
-                seen = {}
+            for at in range(0, batch.num_rows, 256):  # texts may be long
+                part = batch.slice(at, 256)
+                for shard, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    if text:
+                        seen.setdefault(shard, set()).update(find(model.spaced(text)))
+                if sum(map(len, seen.values())) > 200_000:  # bounded memory; the rest is told apart in Spark
+                    yield table(seen)
+                    seen = {}
         if seen:
             yield table(seen)
 
@@ -203,13 +205,20 @@ def lattice(units: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
 
 
 def _merged() -> Column:
-    """Borders of the parts after all merges, highest score first, of equal ones the leftmost; `wide`: the edges of several characters."""
+    """Borders of the parts after all merges, highest score first, of equal ones the leftmost.
+
+    Of each edge of several characters the borders inside it are counted: it can be merged when there is one. A merge takes that
+    border away, and with it the edges that begin or end there; those around it have one less. `start` is negative, so that
+    the largest edge is the one to merge.
+    """
     return F.expr("""
-        aggregate(sequence(1, length(unit)), struct(sequence(1, length(unit) + 1) as cuts, false as done), (a, step) -> case when a.done then a else
-          transform(array(array_max(transform(
-              filter(wide, e -> array_position(a.cuts, e.start) > 0 and array_position(a.cuts, e.end) = array_position(a.cuts, e.start) + 2),
-              e -> struct(e.score as score, -e.start as start)))),
-            m -> case when m is null then struct(a.cuts as cuts, true as done) else struct(filter(a.cuts, (c, i) -> i != array_position(a.cuts, -m.start)) as cuts, false as done) end)[0] end,
+        aggregate(sequence(1, length(unit)), struct(sequence(1, length(unit) + 1) as cuts,
+            transform(filter(edges, e -> e.end > e.start + 1), e -> struct(e.score as score, -e.start as start, e.end as end, e.end - e.start - 1 as inner)) as open, false as done),
+          (a, step) -> case when a.done then a else
+            transform(array(array_max(filter(a.open, e -> e.inner = 1))), m -> case when m is null then struct(a.cuts as cuts, a.open as open, true as done) else
+              transform(filter(a.cuts, c -> c > -m.start and c < m.end), c -> struct(array_remove(a.cuts, c) as cuts,
+                transform(filter(a.open, e -> -e.start != c and e.end != c and (e.inner > 1 or -e.start > c or e.end < c)),
+                  e -> case when -e.start < c and c < e.end then struct(e.score as score, e.start as start, e.end as end, e.inner - 1 as inner) else e end) as open, false as done))[0] end)[0] end,
           a -> a.cuts)""")
 
 
@@ -229,8 +238,7 @@ def folded(grid: DataFrame, model: Model) -> DataFrame:
     """(unit, parts): the ids of each part, or null for a character without a piece, with its text."""
     low = min((p[1] for p in model.pieces if p), default=0.0) - 10.0
     cuts = _merged() if model.kind == "bpe" else _best_path(low)
-    wide = grid.withColumn("wide", F.expr("filter(edges, e -> e.end > e.start + 1)"))
-    return wide.withColumn("cuts", cuts).select(
+    return grid.withColumn("cuts", cuts).select(
         "unit",
         F.expr("""transform(slice(cuts, 1, size(cuts) - 1), (a, i) -> struct(
             get(filter(edges, e -> e.start = a and e.end = cuts[i + 1]), 0).id as id,
@@ -260,8 +268,8 @@ def encoded_units(units: DataFrame, model: Model) -> DataFrame:
     return found.unionByName(others.mapInArrow(one_by_one, kind))
 
 
-#: A unit in so large a share of the shards stands in one dictionary for all; so that has at most as many units as eight shards.
-COMMON = 8
+#: A unit in so large a share of the shards (one in two) stands in one dictionary for all; so that has at most as many units as two shards.
+COMMON = 2
 
 
 def dictionaries(rows: DataFrame, model: Model) -> str:
