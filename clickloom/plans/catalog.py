@@ -755,8 +755,8 @@ _BECOMES = {
 }
 
 
-@query(f"""WITH {_P}, r AS (SELECT *, {', '.join(f'{c} AS {k}' for k, c in _BECOMES.items())}
-    FROM (SELECT session_id, seq, event_type, CAST(30 * (row_number() OVER (PARTITION BY session_id ORDER BY seq) // 2) AS DOUBLE) AS tm FROM p) WHERE tm <> 0 AND session_id <> 0),
+_SNAPSHOTS = f"""WITH {_P}, r AS (SELECT *, {', '.join(f'{c} AS {k}' for k, c in _BECOMES.items())}
+    FROM (SELECT session_id, seq, event_type, CAST(STEP_MS * (row_number() OVER (PARTITION BY session_id ORDER BY seq) // 2) AS DOUBLE) AS tm FROM p) WHERE tm <> 0 AND session_id <> 0),
   own AS (SELECT *, count(*) FILTER (ptr) OVER w AS np, count(*) FILTER (scl) OVER w AS ns FROM r WINDOW w AS (PARTITION BY session_id ORDER BY seq)),
   snap AS (SELECT session_id AS sid, seq AS shot, tm AS until, 'mmv_clk' AS type, false AS synthetic, np AS sp, ns AS ss FROM own WHERE clk AND ptr
     UNION ALL SELECT session_id, seq, tm, 'qml_ready', false, np, ns FROM own WHERE ready
@@ -774,18 +774,39 @@ _BECOMES = {
   k AS (SELECT unnest([0, 1, 2]) AS k),
   pt AS (SELECT sid, shot, type, synthetic, block, place, k, tm + [5, 15, 18][k + 1] AS t, 40 * g + CASE WHEN block = 2 THEN [20, 26][k + 1] ELSE [0, 7, 13][k + 1] END AS x,
     CASE WHEN block = 2 THEN g % 30 + [0, 5 + g % 3][k + 1] ELSE g % 50 + [0, 3, 0][k + 1] END AS y FROM part, k WHERE block <> 2 OR k < 2),
-  step AS (SELECT *, row_number() OVER w AS i, sqrt((x - lag(x) OVER w) ** 2 + (y - lag(y) OVER w) ** 2) AS dist FROM pt WINDOW w AS (PARTITION BY sid, shot, type, synthetic ORDER BY block, place, k)),
+  step AS (SELECT *, run = max(run) OVER (PARTITION BY sid, shot, type, synthetic) AS stays FROM (SELECT *, sum(pause) OVER (PARTITION BY sid, shot, type, synthetic ORDER BY i) AS run
+    FROM (SELECT *, row_number() OVER w AS i, CASE WHEN t - lag(t) OVER w > 15000 THEN 1 ELSE 0 END AS pause, sqrt((x - lag(x) OVER w) ** 2 + (y - lag(y) OVER w) ** 2) AS dist
+      FROM pt WINDOW w AS (PARTITION BY sid, shot, type, synthetic ORDER BY block, place, k)))),
   made AS (SELECT sid AS session_id, shot AS seq, type, synthetic, CAST(count(*) FILTER (block = 2) AS INTEGER) AS scl_count, CAST(coalesce(sum(CASE WHEN block = 2 THEN CASE k WHEN 0 THEN -y ELSE y END END), 0) AS DOUBLE) AS scrolled,
-    CAST(count(*) AS INTEGER) AS n, round(sum(dist), 6) AS l, CAST(arg_max(t, i) - arg_min(t, i) AS DOUBLE) AS ms, CAST(arg_min(x, i) AS DOUBLE) AS x0, CAST(arg_max(y, i) AS DOUBLE) AS y1,
-    CASE WHEN NOT synthetic AND bool_or(block <> 2) THEN 3.0 ELSE 0.0 END AS mmv_points_per_group FROM step GROUP BY sid, shot, type, synthetic HAVING count(*) >= 3)
-  SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY session_id, seq, synthetic ORDER BY type) AS r FROM made) WHERE r = 1""")
+    CAST(count(*) FILTER (stays) AS INTEGER) AS n, round(sum(dist) FILTER (stays AND pause = 0), 6) AS l, CAST(arg_max(t, i) - arg_min(t, i) FILTER (stays) AS DOUBLE) AS ms, CAST(arg_min(x, i) FILTER (stays) AS DOUBLE) AS x0, CAST(arg_max(y, i) AS DOUBLE) AS y1,
+    CASE WHEN NOT synthetic AND bool_or(block <> 2) AND max(run) = 0 THEN 3.0 ELSE 0.0 END AS mmv_points_per_group FROM step GROUP BY sid, shot, type, synthetic HAVING count(*) FILTER (stays) >= 3)
+  SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY session_id, seq, synthetic ORDER BY type) AS r FROM made) WHERE r = 1"""
+#: The same by the rules of the two-phase mode: a click takes the scrolls of ten seconds, a session ends after its last page-ready record only.
+_TWO_PHASE = (
+    _SNAPSHOTS.replace("CASE WHEN NOT bool_or(ready) AND bool_or(qml) THEN 1 ELSE 0 END", "CASE WHEN bool_or(qml) THEN 1 ELSE 0 END")
+    .replace("arg_max(ns, seq) FROM own GROUP BY session_id)", "arg_max(ns, seq) FROM own GROUP BY session_id HAVING coalesce(arg_max(tm, seq) FILTER (ready) < arg_max(tm, seq), true))")
+    .replace("own.tm > coalesce(since, -1)", "own.tm > CASE WHEN snap.type = 'mmv_clk' THEN snap.until - 10000 ELSE -1 END")
+)
+
+
+@query(_SNAPSHOTS.replace("STEP_MS", "30"))
 def engine_snapshots(spark: SparkSession, d: str) -> DataFrame:
     """Click, page-ready and session-end snapshots of a log, from its lines to the trajectory that each is given."""
-    from clickloom.operators.snapshots import snapshots
+    return _desktop_snapshots(spark, d, 30, False)
+
+
+@query(_TWO_PHASE.replace("STEP_MS", "3000"))
+def two_phase_snapshots(spark: SparkSession, d: str) -> DataFrame:
+    """The same by the rules of the two-phase mode, over a log with pauses."""
+    return _desktop_snapshots(spark, d, 3000, True)
+
+
+def _desktop_snapshots(spark: SparkSession, d: str, step_ms: int, two_phase: bool) -> DataFrame:
+    from clickloom.operators.snapshots import Policy, snapshots
     from clickloom.plans.pipeline import log_records
 
     order = Window.partitionBy("session_id").orderBy("seq")
-    e = points(spark, d).select("session_id", "seq", "event_type", (30 * F.floor(F.row_number().over(order) / 2)).cast("double").alias("tm"))
+    e = points(spark, d).select("session_id", "seq", "event_type", (step_ms * F.floor(F.row_number().over(order) / 2)).cast("double").alias("tm"))
     e = e.withColumns({k: F.expr(c) for k, c in _BECOMES.items()})
     to36 = lambda c: F.lower(F.conv(c.cast("string"), 10, 36))
     step = lambda delta, x, y: F.concat_ws(",", F.lit(delta), to36(40 * F.col("seq") + x), to36(y))
@@ -796,6 +817,37 @@ def engine_snapshots(spark: SparkSession, d: str) -> DataFrame:
     body = F.struct(part("ptr", pointer).alias("mmv"), part("scl", scroll).alias("scl"), F.when(F.col("clk"), 1).alias("clk"))
     act = F.when(F.col("ready"), "qml.ready").when(F.col("qml"), "qml").otherwise("track")
     record = F.struct(F.struct(F.col("session_id").cast("string").alias("a")).alias("sess"), act.alias("act"), F.struct("tm", F.struct(body.alias("e")).alias("data")).alias("prm"))
-    made = snapshots(log_records(e.select(F.lit("1_1").alias("site_id"), "seq", F.to_json(record).alias("line"))))
+    made = snapshots(log_records(e.select(F.lit("1_1").alias("site_id"), "seq", F.to_json(record).alias("line"))), Policy(two_phase=two_phase))
     scrolled = F.expr("aggregate(scroll_data, 0D, (a, v) -> a + v)").alias("scrolled")
     return made.select(F.col("session_id").cast("long").alias("session_id"), "seq", "type", "synthetic", "scl_count", scrolled, "s.n", F.round("s.l", 6).alias("l"), "s.ms", "s.x0", "s.y1", "s.mmv_points_per_group")
+
+
+@query(f"""WITH {_P}, own AS (SELECT *, count(*) FILTER (event_type = 'click') OVER w AS np, count(*) FILTER (event_type = 'view') OVER w AS ns
+    FROM (SELECT session_id, seq, event_type, CAST(30 * (row_number() OVER (PARTITION BY session_id ORDER BY seq) // 2) AS DOUBLE) AS tm FROM p) WHERE tm <> 0 AND session_id <> 0 WINDOW w AS (PARTITION BY session_id ORDER BY seq)),
+  snap AS (SELECT session_id AS sid, seq AS shot, tm AS until, false AS synthetic, np AS sp, ns AS ss FROM own WHERE event_type = 'purchase'
+    UNION ALL SELECT session_id, max(seq), arg_max(tm, seq), true, arg_max(np, seq), arg_max(ns, seq) FROM own GROUP BY session_id),
+  part AS (SELECT sid, shot, synthetic, 1 AS block, own.np AS place, own.seq AS g, own.tm FROM snap JOIN own ON own.session_id = sid AND event_type = 'click' AND np > sp - 10 AND np <= sp AND tm < until
+    UNION ALL SELECT sid, shot, synthetic, 2, own.ns, own.seq, own.tm FROM snap JOIN own ON own.session_id = sid AND event_type = 'view' AND ns > ss - 10 AND ns <= ss AND tm < until),
+  k AS (SELECT unnest([0, 1, 2]) AS k),
+  pt AS (SELECT sid, shot, synthetic, block, place, k, tm + [5, 15, 18][k + 1] AS t, CASE WHEN block = 2 THEN 40 * g + [20, 26][k + 1] ELSE [40 * g, 40 * g + 7, 40 * g + 13][k + 1] END AS x,
+    CASE WHEN block = 2 THEN g % 30 + [0, 5 + g % 3][k + 1] ELSE [g % 50, g % 50 + 3, 0][k + 1] END AS y FROM part, k WHERE block <> 2 OR k < 2),
+  step AS (SELECT *, row_number() OVER w AS i, sqrt((x - lag(x) OVER w) ** 2 + (y - lag(y) OVER w) ** 2) AS dist FROM pt WINDOW w AS (PARTITION BY sid, shot, synthetic ORDER BY block, place, k))
+  SELECT sid AS session_id, shot AS seq, synthetic, CAST(count(*) FILTER (block = 2) AS INTEGER) AS scl_count, CAST(count(*) AS INTEGER) AS n, round(sum(dist), 6) AS l, CAST(arg_max(t, i) - arg_min(t, i) AS DOUBLE) AS ms,
+    CAST(arg_min(x, i) AS DOUBLE) AS x0, CAST(arg_max(y, i) AS DOUBLE) AS y1 FROM step GROUP BY sid, shot, synthetic HAVING count(*) >= 3""")
+def mobile_snapshots(spark: SparkSession, d: str) -> DataFrame:
+    """Page-ready and session-end snapshots of touch tracks: other fields, ten records of each kind, and a missing coordinate that is 0."""
+    from clickloom.operators.snapshots import snapshots
+    from clickloom.plans.pipeline import log_records
+
+    order = Window.partitionBy("session_id").orderBy("seq")
+    e = points(spark, d).select("session_id", "seq", "event_type", (30 * F.floor(F.row_number().over(order) / 2)).cast("double").alias("tm"))
+    to36 = lambda c: F.lower(F.conv(c.cast("string"), 10, 36))
+    step = lambda delta, *fields: F.concat_ws(",", F.lit(delta), *map(to36, fields))
+    at, low, high, none = 40 * F.col("seq"), F.col("seq") % 50, F.col("seq") % 30, F.lit(0)
+    touch = F.concat_ws(";", step("5", none, at, low), step("a", none, at + 7, low + 3), step("3", none, at + 13))
+    scroll = F.concat_ws(";", step("5", at + 20, high), step("a", at + 26, high + 5 + F.col("seq") % 3))
+    body = F.struct(F.when(F.col("event_type") == "click", F.struct(touch.alias("l"))).alias("tmv"), F.when(F.col("event_type") == "view", F.struct(scroll.alias("l"))).alias("scl"))
+    act = F.when(F.col("event_type") == "purchase", "qml.ready").otherwise("track")
+    record = F.struct(F.struct(F.col("session_id").cast("string").alias("a")).alias("sess"), act.alias("act"), F.lit(1).alias("mb"), F.struct("tm", F.struct(body.alias("e")).alias("data")).alias("prm"))
+    made = snapshots(log_records(e.select(F.lit("1_1").alias("site_id"), "seq", F.to_json(record).alias("line"))))
+    return made.select(F.col("session_id").cast("long").alias("session_id"), "seq", "synthetic", "scl_count", "s.n", F.round("s.l", 6).alias("l"), "s.ms", "s.x0", "s.y1")
