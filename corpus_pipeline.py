@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import mixing, pieces, secrets, simhash, toxicity
-from clickloom.llm.common import settled, table
+from clickloom.llm.common import dropped, settled, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,6 +58,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's table over the documents of sf_dir; the others are written to the shared folder."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = settled(stage(spark, docs, sf_dir))
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        kept = settled(stage(spark, docs, sf_dir))
+        if k:
+            dropped(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
