@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
@@ -256,18 +257,27 @@ def _ids(model: Model) -> Column:
 
 
 def encoded_units(units: DataFrame, model: Model) -> DataFrame:
-    """(unit, ids) of all units of `units`, a row each."""
-    kind, local = "unit string, ids array<int>", Local(model)
+    """(unit, ids, same) of all units of `units`, a row each; same: decoding the ids gives the unit."""
+    local = Local(model)
 
     def one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([local.fold(u) for u in batch.column(0).to_pylist()], pa.list_(pa.int32()))], names=["unit", "ids"])
 
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = decoder(model)
+        for batch in batches:
+            same = [b"".join([table[i] for i in ids]) == u.replace(SPACE, " ").encode("utf-8", "surrogatepass") for u, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(same, pa.bool_())], names=["unit", "ids", "same"])
+
     words, others = (units.select("unit").where(c) for c in (F.length("unit") <= LATTICE, F.length("unit") > LATTICE))
     found = folded(lattice(words, piece_table(units.sparkSession, model), model.longest), model).select("unit", _ids(model).alias("ids"))
-    return found.unionByName(others.mapInArrow(one_by_one, kind))
+    every = found.unionByName(others.mapInArrow(one_by_one, "unit string, ids array<int>"))
+    return every.mapInArrow(decoded, "unit string, ids array<int>, same boolean")
 
 
+#: Units whose lattice a task holds.
+UNITS = 30_000
 #: A unit in so large a share of the shards (one in two) stands in one dictionary for all; so that has at most as many units as two shards.
 COMMON = 2
 
@@ -281,8 +291,9 @@ def dictionaries(rows: DataFrame, model: Model) -> str:
     folder = f"{shared_dir(rows.sparkSession)}/clickloom-pieces-{uuid.uuid4().hex}"
     n = rows.select("shard").distinct().count()
     places = F.when(F.size("shards") * COMMON >= n, F.array(F.lit("common"))).otherwise(F.col("shards").cast("array<string>"))
-    known = encoded_units(units.select("unit").repartition("unit"), model).join(units, "unit")
-    known.select("unit", "ids", F.explode(places).alias("shard")).repartition("shard").write.partitionBy("shard").parquet(folder)
+    parts = units.count() // UNITS + 1
+    known = encoded_units(units.select("unit").repartition(parts, "unit"), model).join(units, "unit")
+    known.select("unit", "ids", "same", F.explode(places).alias("shard")).repartition("shard").write.partitionBy("shard").parquet(folder)
     dropped(units)
     return folder
 
@@ -292,6 +303,7 @@ class Shard:
 
     def __init__(self, folder: str):
         self.fs, self.root = filesystem(folder)
+        self.odd: set[str] = set()
         self.at, self.own, self.common = None, {}, self._read("common")
 
     def _read(self, name: str) -> dict[str, bytes]:
@@ -300,8 +312,9 @@ class Shard:
         for f in self.fs.get_file_info(pyarrow.fs.FileSelector(place, allow_not_found=True)):
             if f.path.endswith(".parquet"):
                 with self.fs.open_input_file(f.path) as source:
-                    for part in pq.ParquetFile(source).iter_batches(columns=["unit", "ids"]):
+                    for part in pq.ParquetFile(source).iter_batches(columns=["unit", "ids", "same"]):
                         ids = part.column("ids")
+                        self.odd.update(part.column("unit").filter(pc.invert(part.column("same"))).to_pylist())
                         flat, ends = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32), ids.value_lengths().to_numpy(zero_copy_only=False).astype(int).cumsum()
                         out.update(zip(part.column("unit").to_pylist(), (flat[i:j].tobytes() for i, j in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)), strict=True))
         return out
@@ -341,15 +354,16 @@ def encode(docs: DataFrame, model: Model | None = None) -> DataFrame:
     folder = dictionaries(rows, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, find, table = Shard(folder), model.units().findall, decoder(model)
+        shard, find = Shard(folder), model.units().findall
         for batch in batches:
             shards, doc_ids, texts = batch.columns
             for at in range(0, batch.num_rows, 256):  # texts may be long
                 found, same = [], []
                 for of, text in zip(shards.slice(at, 256).to_pylist(), texts.slice(at, 256).to_pylist(), strict=True):
-                    ids = shard.ids(of, find(model.spaced(text))) if text else b""
-                    found.append(ids)
-                    same.append(_text(np.frombuffer(ids, np.int32).tolist(), table, model.prefix) == (text or ""))
+                    units = find(model.spaced(text)) if text else []
+                    found.append(shard.ids(of, units) if units else b"")
+                    # decoding joins what the units give: a space for U+2581, and the units themselves but for odd ones
+                    same.append(not text or (SPACE not in text and (not shard.odd or shard.odd.isdisjoint(units))))
                 n = np.array([len(x) // 4 for x in found], np.int64)
                 flat = pa.Array.from_buffers(pa.int32(), int(n.sum()), [None, pa.py_buffer(b"".join(found))])
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], n.cumsum())).astype(np.int32)), flat)

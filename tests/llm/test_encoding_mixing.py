@@ -29,6 +29,8 @@ def test_bpe_equals_the_library(spark):
         assert got[i]["round_trip"] and got[i]["n_tokens"] == len(got[i]["ids"])
     back = {x["doc_id"]: x["text"] for x in pieces.decode(enc).collect()}
     assert back == {i: t or "" for i, t in enumerate(texts)}
+    odd = spark.createDataFrame([(0, "a ▁b"), (1, "a b")], "doc_id long, text string")
+    assert {x["doc_id"]: x["round_trip"] for x in pieces.encode(odd).collect()} == {0: False, 1: True}
     assert pieces.encode(df.limit(0)).collect() == []
 
 
