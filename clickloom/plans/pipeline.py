@@ -143,6 +143,7 @@ def score_sites(records: DataFrame, feats: DataFrame, registry: Registry, mode:
     sent = registry.sent(feats.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sent.value  # what can't be sent at all fails the run
         for batch in batches:
             sites = np.array(batch.column("site_id").to_pylist(), object)
             bots, trees, errors = np.full(len(sites), np.nan), np.full(len(sites), np.nan), np.full(len(sites), None, object)
@@ -150,7 +151,7 @@ def score_sites(records: DataFrame, feats: DataFrame, registry: Registry, mode:
             for site in set(sites.tolist()):
                 here = np.flatnonzero(sites == site)
                 try:
-                    b, t = _scores(sent.value.of(site), {c: v[here] for c, v in x.items()}, [(tokens[i] if tokens else None) or [] for i in here], mode)
+                    b, t = _scores(known.of(site), {c: v[here] for c, v in x.items()}, [(tokens[i] if tokens else None) or [] for i in here], mode)
                 except Exception as e:  # noqa: BLE001 - a site's models fail for that site
                     errors[here] = f"{type(e).__name__}: {e}"
                     continue
