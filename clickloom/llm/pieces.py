@@ -36,7 +36,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import dropped, filesystem, settled, shared_dir
+from .common import dropped, filesystem, lean, settled, shared_dir
 
 SPACE = "▁"
 #: The model file where none is named: a setting of the driver's environment.
@@ -180,6 +180,7 @@ def shard_units(rows: DataFrame, model: Model) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array([u for v in seen.values() for u in v], pa.string()), pa.array(np.repeat(np.array(list(seen), np.int64), n))], names=["unit", "shard"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()  # of what stages before have left in this worker
         find, seen = model.units().findall, {}
         for batch in batches:
             for at in range(0, batch.num_rows, 256):  # texts may be long
@@ -187,11 +188,13 @@ def shard_units(rows: DataFrame, model: Model) -> DataFrame:
                 for shard, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     if text:
                         seen.setdefault(shard, set()).update(find(model.spaced(text)))
-                if sum(map(len, seen.values())) > 200_000:  # bounded memory; the rest is told apart in Spark
+                if sum(map(len, seen.values())) > 100_000:  # bounded memory; the rest is told apart in Spark
                     yield table(seen)
                     seen = {}
         if seen:
             yield table(seen)
+        del seen
+        lean()
 
     return rows.select("shard", "text").mapInArrow(run, "unit string, shard long").groupBy("unit").agg(F.collect_set("shard").alias("shards"))
 
@@ -265,6 +268,7 @@ def encoded_units(units: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([local.fold(u) for u in batch.column(0).to_pylist()], pa.list_(pa.int32()))], names=["unit", "ids"])
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         table = decoder(model)
         for batch in batches:
             same = [b"".join([table[i] for i in ids]) == u.replace(SPACE, " ").encode("utf-8", "surrogatepass") for u, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
@@ -354,6 +358,7 @@ def encode(docs: DataFrame, model: Model | None = None) -> DataFrame:
     folder = dictionaries(rows, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         shard, find = Shard(folder), model.units().findall
         for batch in batches:
             shards, doc_ids, texts = batch.columns

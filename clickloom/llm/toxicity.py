@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_fold, labelled_sample
+from .common import in_fold, labelled_sample, lean
 
 # A seed lexicon of stems with weights, and phrases in which they are harmless.
 SEED = {
@@ -168,11 +168,13 @@ def learn(docs: DataFrame, labels: DataFrame, fit: Fit = Fit(), label: str = "to
         for batch in batches:
             for text, y in zip(batch["text"], batch["y"], strict=True):
                 seen[int(y > 0)].update(stems(folded(text)))
-                if sum(map(len, seen.values())) > 500_000:  # bounded memory; the sums go on in Spark
+                if sum(map(len, seen.values())) > 150_000:  # bounded memory; the sums go on in Spark
                     yield _counted(seen)
                     seen = {0: Counter(), 1: Counter()}
         if any(seen.values()):  # an empty frame has no type to send
             yield _counted(seen)
+        del seen
+        lean()
 
     n = {int(r["y"] > 0): r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(0) or not n.get(1):
