@@ -613,12 +613,13 @@ rep AS (SELECT a.session_id, avg(CASE WHEN greatest(0, 1 - (sqrt(((b.x1 - b.x) -
 _ALL = (*trajectory.COMMON, *trajectory.DESKTOP_ONLY)
 
 
-def _engine_sql() -> str:
+def _engine_sql(points: str = _S2, group: str = "CAST(n AS DOUBLE)") -> str:
+    """All features and the score over the points that `points` names; group: the size of a session's one group of points."""
     terms = ["CASE " + " ".join(f"WHEN {name} {op} {limit} THEN CAST({p} AS DOUBLE)" for op, limit, p in cases) + " ELSE 0 END" for name, _, cases in trajectory.SCORE_TERMS]
     score = f"least(1.0, {' + '.join(terms)})"
     shown = ", ".join(f"round({'ln(1 + jerk)' if c == 'jerk' else c}, 6) + 0.0 AS {c}" for c in (*_ALL, "l", "ms"))
-    return _S2 + _DIR + _ANG + _RUNS + _REPEATED + f""", f AS (SELECT b.*, CASE WHEN chord = 0 OR l = 0 THEN 1 ELSE chord / l END AS linearity, coalesce(direction_entropy, 0) AS direction_entropy,
-  coalesce(angle_entropy, 0) AS angle_entropy, coalesce(long_straight_run_share, 0) AS long_straight_run_share, coalesce(repetition_patterns, 0) AS repetition_patterns, CAST(n AS DOUBLE) AS mmv_points_per_group
+    return points + _DIR + _ANG + _RUNS + _REPEATED + f""", f AS (SELECT b.*, CASE WHEN chord = 0 OR l = 0 THEN 1 ELSE chord / l END AS linearity, coalesce(direction_entropy, 0) AS direction_entropy,
+  coalesce(angle_entropy, 0) AS angle_entropy, coalesce(long_straight_run_share, 0) AS long_straight_run_share, coalesce(repetition_patterns, 0) AS repetition_patterns, {group} AS mmv_points_per_group
   FROM ({_FLAT}) b LEFT JOIN de USING (session_id) LEFT JOIN ae USING (session_id) LEFT JOIN sr USING (session_id) LEFT JOIN rep USING (session_id))
   SELECT session_id, CAST(n AS INTEGER) AS n, {shown}, round({score}, 6) + 0.0 AS bot_score, {score} > 0.5 AS is_likely_bot FROM f WHERE n >= 3"""
 
@@ -657,6 +658,24 @@ def engine_intake(spark: SparkSession, d: str) -> DataFrame:
     return full.select("session_id", "n", F.round("ms", 3).alias("ms"), F.round("l", 6).alias("l"), "x0", F.round("y1", 6).alias("y1"), "mmv_points_per_group")
 
 
+#: The points that stay of each session's track, by one step a point: noise goes, a pause starts it anew, the last thousand count.
+_STAYING = f"""WITH RECURSIVE {_P.replace("p AS (", "p0 AS (", 1)}, q AS (SELECT session_id, tm / 1000000 AS tm, x, y, CAST(row_number() OVER (PARTITION BY session_id ORDER BY tm, seq) AS BIGINT) AS i FROM p0),
+  r(session_id, i, px, py, pt, kept, run) AS (SELECT session_id, i, x, y, tm, true, 0 FROM q WHERE i = 1 UNION ALL
+    SELECT session_id, i, CASE WHEN noise THEN px ELSE x END, CASE WHEN noise THEN py ELSE y END, CASE WHEN noise THEN pt ELSE tm END, NOT noise, CASE WHEN NOT noise AND tm - pt > 15000 THEN run + 1 ELSE run END
+    FROM (SELECT q.*, r.px, r.py, r.pt, r.run, sqrt((q.x - r.px) ** 2 + (q.y - r.py) ** 2) < 1 AS noise FROM r JOIN q ON q.session_id = r.session_id AND q.i = r.i + 1)),
+  lasts AS (SELECT *, max(run) OVER (PARTITION BY session_id) AS last_run, row_number() OVER (PARTITION BY session_id, run, kept ORDER BY i DESC) AS back FROM r),
+  grp AS (SELECT session_id, CASE WHEN max(run) > 0 THEN 0 ELSE CAST(count(*) AS DOUBLE) END AS group_size FROM r GROUP BY 1),
+  p AS (SELECT session_id, i AS seq, pt AS tm, px AS x, py AS y FROM lasts WHERE kept AND run = last_run AND back <= 1000)"""
+
+
+@query(_engine_sql(_S.replace(f"WITH {_P}", _STAYING), "(SELECT group_size FROM grp WHERE grp.session_id = b.session_id)"))
+def track_features(spark: SparkSession, d: str) -> DataFrame:
+    """`track_statistics`, rounded: the intake and all features of each session's track as it is."""
+    full = track_statistics(spark, d)
+    rounded = [round6(F.log1p(c) if c == "jerk" else F.col(c)).alias(c) for c in (*_ALL, "l", "ms", "bot_score")]
+    return full.select("session_id", "n", *rounded, "is_likely_bot")
+
+
 _LINE_ACT = "CASE event_type WHEN 'purchase' THEN 'qml.ready' WHEN 'signup' THEN 'qml' ELSE 'track' END"
 
 
