@@ -10,10 +10,12 @@ states of that pattern. Candidates share the prefixes of their edits: an edit is
 further up (skew-binary lifting: one jump a node instead of one for each power of two, so that memory
 stays linear) and a rolling hash of the letters down to it. Two candidates of equal cost are compared by a
 search for their longest common prefix over those jumps, by hash; what the hash calls equal is then verified letter by
-letter up to the node that both share. The repaired text is not kept: each candidate carries the running digest of its own.
+letter up to the node that both share. Candidates that can't become the cheapest any more are given up, and from time to time what
+all others begin with is written down, one byte a row, and its nodes are forgotten. The repaired text is not kept: each candidate
+carries the running digest of its own.
 
-Rows are shuffled by conversation and sorted, and stream through a task: it holds an entry for each row
-(digest, edit nodes), never the texts, and one conversation, which is one row of the result, in one task, however long it is.
+Rows are shuffled by conversation and sorted, and stream through a task: it holds a digest and a letter for each row
+and the nodes of the last ones, never the texts, and one conversation, which is one row of the result, in one task, however long it is.
 
 Null role, text or turn count as one space in the key that decides the damage, null role and text as one space
 elsewhere too. Rows of equal turn go by role, then text. A null conv_id is a conversation of its own. Repeated rows are
@@ -24,6 +26,7 @@ role and text are read, so other columns can't clash.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from collections.abc import Iterator
@@ -58,10 +61,14 @@ def damaged(conversations: DataFrame) -> DataFrame:
 
 
 class Edits:
-    """Lists of edits that share their prefixes: node 0 is the empty one."""
+    """Lists of edits that share their prefixes: node 0 is the empty one, or what all lists begin with (`done`, in pieces)."""
 
     def __init__(self):
         self.parent, self.jump, self.depth, self.hash, self.letter = [0], [0], [0], [0], [""]
+        self.done: list[str] = []
+
+    def __len__(self) -> int:
+        return len(self.letter)
 
     def add(self, node: int, letter: str) -> int:
         """The list `node` with one more letter."""
@@ -104,19 +111,48 @@ class Edits:
             x, y = self.parent[x], self.parent[y]
         return True
 
-    def letters(self, node: int) -> str:
+    def _since(self, node: int) -> str:
+        """The letters after `done`."""
         out = []
         while node:
             out.append(self.letter[node])
             node = self.parent[node]
         return "".join(reversed(out))
 
+    def letters(self, node: int) -> str:
+        return "".join(self.done) + self._since(node)
+
+    def shared(self, a: int, b: int) -> int:
+        """The last node that both lists have."""
+        n = min(self.depth[a], self.depth[b])
+        a, b = self.up(a, n), self.up(b, n)
+        while a != b:
+            i, j = self.jump[a], self.jump[b]
+            a, b = (i, j) if i != j else (self.parent[a], self.parent[b])
+        return a
+
+    def settle(self, live: list[int]) -> list[int]:
+        """Keeps the lists `live` alone, under the nodes returned; what all of them begin with goes to `done`."""
+        root = functools.reduce(self.shared, live)
+        kept = set()
+        for node in live:
+            while node != root and node not in kept:
+                kept.add(node)
+                node = self.parent[node]
+        fresh, now = Edits(), {root: 0}
+        for node in sorted(kept):  # parents are older
+            now[node] = fresh.add(now[self.parent[node]], self.letter[node])
+        fresh.done = [*self.done, self._since(root)]
+        self.__dict__.update(vars(fresh))
+        return [now[node] for node in live]
+
 
 class Repair:
-    """One conversation, row after row."""
+    """One conversation, row after row; room: nodes from which on those that no candidate needs are forgotten."""
 
-    def __init__(self):
+    def __init__(self, room: int = 4096):
         self.edits = Edits()
+        self.least_room = self.room = room
         #: of each state: cost, edits, digest of the repaired text, whether that has a row
         self.best: list[tuple | None] = [(0, 0, hashlib.sha256(), False), None, None, None]
         self.seen: set[bytes] = set()
@@ -160,7 +196,16 @@ class Repair:
                 self._offer(now, to, c, extra, "K", body)
             new, to = NEXT[q]
             self._offer(now, to, c, REROLE + extra, "R", f"{new}:{text}".encode("utf-8", "surrogatepass"))
+        # before a first pair anything follows that may follow a whole one, and a system row, which costs at most DELETE after one
+        for q, more in ((START, DELETE), (SYSTEM, 0)):
+            if now[q] is not None and now[q][0] > now[ASSISTANT][0] + more:
+                now[q] = None
         self.best = [c and self._taken(c) for c in now]
+        if len(self.edits) > self.room:
+            live = [q for q, c in enumerate(self.best) if c is not None]
+            for q, node in zip(live, self.edits.settle([self.best[q][1] for q in live]), strict=True):
+                self.best[q] = (self.best[q][0], node, *self.best[q][2:])
+            self.room = max(self.least_room, 2 * len(self.edits))
 
     def _insert(self, best: list[tuple | None]) -> None:
         """Up to two insertions, from every state; more lead back to the same state."""

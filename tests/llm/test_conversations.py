@@ -196,6 +196,44 @@ def test_repair_of_one_long_conversation(spark):
     assert got[1] == plain_repair(rows[:-1]) and got[2] == plain_repair(rows[-1:])
 
 
+@pytest.mark.parametrize("room", [1, 8, 100])
+def test_repair_forgets_what_all_candidates_share(room):
+    r = random.Random(room)
+    for n in (0, 1, 2, 5, 40, 400):
+        for roles in (["user", "assistant"], ["user"], ["system"], ["assistant", "system", "user", "tool"]):
+            rows = [(1, t, r.choice(roles), r.choice(["Hi.", "cut", "", f"{t}.", f"{t}"])) for t in range(n)]
+            one = repair.Repair(room)
+            for x in sorted(rows, key=lambda x: x[1]):
+                one.row(*x[1:])
+            assert one.result() == plain_repair(rows)
+
+
+def test_repair_holds_few_nodes_of_a_long_conversation():
+    r = random.Random(8)
+    one, most = repair.Repair(), 0
+    for t in range(60_000):
+        one.row(t, r.choice(["user", "assistant", "system"]) if r.random() < 0.4 else ["user", "assistant"][t % 2], f"{t}" if r.random() < 0.1 else f"{t}.")
+        most = max(most, len(one.edits))
+    assert most < 5000 and len(one.result()[6]) >= 60_000
+
+
+def test_settled_edits_keep_their_letters():
+    r = random.Random(4)
+    for _ in range(60):
+        e, nodes = repair.Edits(), {0: ""}
+        for _ in range(4):
+            for _ in range(r.randrange(40)):
+                at = r.choice(list(nodes)[-6:])
+                letter = r.choice("DIKR")
+                nodes[e.add(at, letter)] = nodes[at] + letter
+            live = r.sample(sorted(nodes), min(len(nodes), r.randrange(1, 5)))
+            texts = [nodes[x] for x in live]
+            nodes = dict(zip(e.settle(live), texts))
+            assert [e.letters(x) for x in nodes] == list(nodes.values())
+            for a, b in itertools.product(nodes, nodes):
+                assert e.less(a, b) == (nodes[a] < nodes[b])
+
+
 def test_edits_compare_like_their_letters():
     r = random.Random(2)
     e = repair.Edits()
