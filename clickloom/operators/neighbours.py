@@ -12,6 +12,7 @@ The model is a file that is sent to every task once (its size is checked there);
 
 from __future__ import annotations
 
+import io
 import json
 import math
 import posixpath
@@ -19,6 +20,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
+from clickloom.sources import files
+
 from .scoring import Projection
 
 #: Share of 2^32 that the golden ratio leaves: odd, so that multiples run through all numbers.
@@ -139,11 +142,10 @@ class NeighbourProjection:
 
 def load(path: str) -> Projection | NeighbourProjection:
     """The projection that a JSON file describes: linear, or by neighbours with the arrays in an NPZ file beside it; nothing is unpickled."""
-    with open(path) as f:
-        m = json.load(f)
+    m = json.loads(files.read(path))
     if m.get("kind", "linear") != "neighbours":
         return Projection.load(path)
-    with np.load(posixpath.join(posixpath.dirname(path), m["arrays"]), allow_pickle=False) as f:
+    with np.load(io.BytesIO(files.read(posixpath.join(posixpath.dirname(path), m["arrays"]))), allow_pickle=False) as f:
         points, places = np.asarray(f["points"], float), np.asarray(f["places"], float)
     if points.ndim != 2 or places.shape != (len(points), 2) or points.shape[1] != len(m["columns"]):
         raise ValueError("points and places don't fit")

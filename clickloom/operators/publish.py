@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.sources import files
+
 from .scoring import SCORES
 
 
@@ -82,12 +84,8 @@ def append_log(delta: DataFrame, path: str, day: str, run: str = "0") -> None:
 
 def reset_day(spark, path: str, day: str) -> None:
     """Empties the day's partition; nothing happens where there is none."""
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(f"{path}/day={day}")
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    files.delete(spark, f"{path}/day={day}")
 
 
 def owns_day(spark, path: str, day: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(f"{path}/day={day}")
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    return files.exists(spark, f"{path}/day={day}")

@@ -5,6 +5,7 @@ Models are plain JSON or NPZ files: nothing is unpickled.
 
 from __future__ import annotations
 
+import io
 import json
 import math
 import re
@@ -16,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickloom.sources import files
+
 from .quantiles import quantiles
 from .scaling import aligned
 
@@ -104,8 +107,7 @@ class Projection:
 
     @classmethod
     def load(cls, path: str) -> Projection:
-        with open(path) as f:
-            m = json.load(f)
+        m = json.loads(files.read(path))
         return cls(tuple(m["columns"]), tuple(map(tuple, m["weights"])), tuple(m.get("bias", (0.0, 0.0))))
 
 
@@ -188,7 +190,7 @@ class Encoder:
 
     @classmethod
     def load(cls, path: str, **config: int) -> Encoder:
-        with np.load(path, allow_pickle=False) as f:
+        with np.load(io.BytesIO(files.read(path)), allow_pickle=False) as f:
             return cls({k: f[k] for k in f.files}, **config)
 
     def __call__(self, ids: Sequence[Sequence[int]]) -> np.ndarray:
@@ -262,8 +264,7 @@ class Trees:
 
     @classmethod
     def load(cls, path: str) -> Trees:
-        with open(path) as f:
-            m = json.load(f)
+        m = json.loads(files.read(path))
         if lost := [k for k in cls.REQUIRED if k not in m]:
             raise ValueError(f"tree model without {lost}")
         return cls(tuple(m["feature_columns"]), tuple(m["trees"]), m.get("base", 0.0), m.get("embedding_dim", 64), m.get("missing_left", True), m.get("scaler", {}))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import posixpath
 import re
 from dataclasses import dataclass, field
-from pathlib import Path
+
+from clickloom.sources import files
 
 DEVICES = ("mobile", "desktop")
 #: Files of a complete projection model.
@@ -17,7 +19,7 @@ def load_env(path: str, environ: dict[str, str] | None = None) -> dict[str, str]
     """Settings of a `key=value` file; quotes are stripped, lines with # skipped, and what is set already stays."""
     environ = os.environ if environ is None else environ
     try:
-        lines = Path(path).read_text().splitlines()
+        lines = files.read(path).decode().splitlines()
     except FileNotFoundError:
         return environ
     for line in lines:
@@ -33,26 +35,26 @@ def site_name(text: str) -> str:
 
 @dataclass(frozen=True)
 class Site:
-    """models: where its own model sets are (custom), then the base's, then older places."""
+    """models: where its own model sets are (custom), then the base's, then older places; paths or URIs."""
 
     site_id: str
     file: str
     models: tuple[str, ...] = ()
 
-    def projection(self, device: str) -> Path | None:
+    def projection(self, device: str) -> str | None:
         """The first folder with a complete projection model of the device."""
         for root in self.models:
-            folder = Path(root) / device
-            if all((folder / f).exists() for f in PROJECTION_FILES):
+            folder = posixpath.join(root, device)
+            if all(files.is_file(posixpath.join(folder, f)) for f in PROJECTION_FILES):
                 return folder
         return None
 
-    def trees(self, device: str, named: str | None = None) -> tuple[str, Path | None]:
+    def trees(self, device: str, named: str | None = None) -> tuple[str, str | None]:
         """(where from, file) of the tree model: a named file, else the first folder's, else missing; never raises."""
-        if named and Path(named).exists():
-            return "env", Path(named)
+        if named and files.is_file(named):
+            return "env", named
         for kind, root in zip(("custom", "base", "legacy"), self.models, strict=False):
-            if (file := Path(root) / device / TREE_FILE).exists():
+            if files.is_file(file := posixpath.join(root, device, TREE_FILE)):
                 return kind, file
         return "missing", None
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 import pickle
+import posixpath
 import re
 import uuid
 from collections.abc import Iterable, Iterator
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import features, neighbours, publish, routing, scoring
 from clickloom.operators.snapshots import Policy, snapshots
-from clickloom.sources import ndjson, store, tables
+from clickloom.sources import files, ndjson, store, tables
 from clickloom.sources.events import parse
 from clickloom.sources.versions import current, delete, names, next_version, replace, upsert, upserted
 
@@ -60,13 +61,13 @@ class Models:
         folder = site.projection(device)
         if folder is None:
             raise FileNotFoundError(f"no complete projection model for {site.site_id}, {device}")
-        read = lambda f: json.loads((folder / f).read_text())
+        at = lambda f: posixpath.join(folder, f)
+        read = lambda f: json.loads(files.read(at(f)))
         _, trees = site.trees(device, named)
-        encoder, words = folder / "encoder.npz", folder / "vocabulary.json"
-        complete = trees is not None and encoder.exists() and words.exists()
+        complete = trees is not None and files.is_file(at("encoder.npz")) and files.is_file(at("vocabulary.json"))
         return cls(
-            read("scaler.json"), neighbours.load(str(folder / "projection.json")), read("centroid.json"), scoring.Trees.load(str(trees)) if trees else None,
-            scoring.Encoder.load(str(encoder)) if complete else None, read("vocabulary.json") if complete else {},
+            read("scaler.json"), neighbours.load(at("projection.json")), read("centroid.json"), scoring.Trees.load(trees) if trees else None,
+            scoring.Encoder.load(at("encoder.npz")) if complete else None, read("vocabulary.json") if complete else {},
         )
 
 
@@ -201,13 +202,13 @@ def run_sites(
     saved last, so a run may stop anywhere. The combined log is the union of the devices'; the combined history has the day's keys.
     """
     own, report = own or {}, Report()
-    files = ndjson.sites(logs, sites if sites is not None else list(run.allow) if run.allow else None)
-    report.left_out = [s for s in files if not models and not own.get(s)]
-    files = {s: f for s, f in files.items() if s not in report.left_out}
+    found = ndjson.sites(logs, sites if sites is not None else list(run.allow) if run.allow else None)
+    report.left_out = [s for s in found if not models and not own.get(s)]
+    found = {s: f for s, f in found.items() if s not in report.left_out}
     place = f"{out}/records"
     ledger = store.Ledger.load(spark, f"{out}/ledger")
-    ledger = store.append(spark, place, ledger, ledger.tails(files, run.force))
-    report.read, todo = ledger.read, list(files)
+    ledger = store.append(spark, place, ledger, ledger.tails(found, run.force))
+    report.read, todo = ledger.read, list(found)
     _score_and_publish(spark, out, ledger, todo, models, own, day, at, run, report)
     return report
 

@@ -1,6 +1,6 @@
 """Command line: one batch run over the sites whose logs changed, or one after another as they change.
 
-    python -m clickloom.plans.run LOGS OUT --models DIR [--force] [--sites 1_1,1_2] [--follow 45] [--exports DIR]
+    python -m clickloom.plans.run LOGS OUT --models DIR [--force] [--sites 1_1,1_2] [--follow 45] [--exports DIR] [--keep DIR]
 
 The exit code is 1 if a site failed; the others are published.
 """
@@ -11,7 +11,6 @@ import argparse
 import datetime
 import fcntl
 import json
-import os
 import sys
 import time
 import traceback
@@ -20,11 +19,17 @@ from contextlib import contextmanager
 from dataclasses import replace
 from pathlib import Path
 
+from clickloom.sources.files import is_folder, is_uri, place
 from clickloom.sources.ndjson import sites, stat
 
 from .config import DEVICES, Run, Site, load_env, site_name
 
 
+def local(path: str) -> str:
+    """The path on this machine of a path or `file:` URI."""
+    return place(path)[1]
+
+
 def log_state(path: str, allow: list[str] | None = None) -> dict[str, list[int]]:
     """{site: size, mtime in ns, inode} of each log."""
     return {s: list(stat(f)) for s, f in sites(path, allow).items()}
@@ -71,7 +76,7 @@ def own_models(sites: list[str], logs: str, roots: tuple[str, ...], run: Run) ->
     """{site: models by device} of the sites with a folder of their name under the first root, and {site: why} of those that can't be read."""
     own, failed = {}, {}
     for s in sites:
-        if roots and os.path.isdir(folder := f"{roots[0]}/{site_name(s)}"):
+        if roots and is_folder(folder := f"{roots[0]}/{site_name(s)}"):
             try:
                 own[s] = models_of(Site(s, logs, (folder, *roots)), run)
             except Exception as e:  # noqa: BLE001 - a site's models fail for that site
@@ -79,14 +84,18 @@ def own_models(sites: list[str], logs: str, roots: tuple[str, ...], run: Run) ->
     return own, failed
 
 
-def once(logs: str, out: str, roots: tuple[str, ...], run: Run, only: list[str] | None = None):
+def once(logs: str, out: str, roots: tuple[str, ...], run: Run, only: list[str] | None = None, keep: str | None = None):
     """One run over the sites whose logs changed, of `only` if given; its Report, or None if another run is at work or nothing changed.
 
     A site's own models are in the folder of its name under the first of `roots`. The state of a site is kept once its run went well.
-    Logs, models, lock and state are files that the driver sees; tables are on any file system.
+    Lock and state are files on the driver's machine, in the folder `keep`, or in `out` if that is local; all others are on any file system.
     """
-    state = f"{out}/state.json"
-    with only_writer(f"{out}/lock") as free:
+    if keep is None and is_uri(out):
+        raise ValueError("tables on another file system need a local folder for lock and state")
+    keep = local(keep or out)
+    Path(keep).mkdir(parents=True, exist_ok=True)
+    state = f"{keep}/state.json"
+    with only_writer(f"{keep}/lock") as free:
         if not free:
             print("another run is at work")
             return None
@@ -194,16 +203,16 @@ def main(args: list[str] | None = None) -> int:
     p.add_argument("--env", default=".env", help="file of settings that aren't set yet")
     p.add_argument("--follow", type=float, metavar="SECONDS", help="go on, and run a site so many seconds after its log's last change")
     p.add_argument("--longest", type=float, default=120.0, metavar="SECONDS", help="or so many after the first one")
+    p.add_argument("--keep", help="local folder for lock and state; OUT without it")
     p.add_argument("--exports", help="folder for text files of each run")
     a = p.parse_args(args)
     run = Run.from_env(load_env(a.env))
     run = replace(run, force=run.force or a.force, allow=tuple(a.sites.split(",")) if a.sites else run.allow, exports=a.exports or run.exports)
-    Path(a.out).mkdir(parents=True, exist_ok=True)
     if a.follow:
         look = lambda: log_state(a.logs, list(run.allow) if run.allow else None)
-        watch(look, lambda sites: print(json.dumps(once(a.logs, a.out, tuple(a.models), run, sites))), Debounce(a.follow, a.longest))
+        watch(look, lambda sites: print(json.dumps(once(a.logs, a.out, tuple(a.models), run, sites, a.keep))), Debounce(a.follow, a.longest))
         return 0
-    report = once(a.logs, a.out, tuple(a.models), run)
+    report = once(a.logs, a.out, tuple(a.models), run, keep=a.keep)
     print(json.dumps(report))
     return 1 if report is not None and report.failed else 0
 

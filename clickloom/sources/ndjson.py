@@ -14,7 +14,6 @@ import posixpath
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
@@ -25,21 +24,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
+from .files import place
+
 SITE_FILE = re.compile(r"1_\d+\.json\Z")
 SCHEMA = "site_id string, seq long, line string"
 #: Bytes that a task reads at once.
 CHUNK = 4 << 20
 
 
-def place(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    """The file system of a path or URI, and the path there."""
-    if len(urlparse(path).scheme) < 2:
-        path = f"file://{os.path.abspath(path)}"
-    elif path.startswith("file:/") and not path.startswith("file://"):
-        path = "file://" + path.removeprefix("file:")
-    return pyarrow.fs.FileSystem.from_uri(path)
-
-
 def sites(path: str, allow: list[str] | None = None) -> dict[str, str]:
     """{site id: file} of the logs in a folder, in order; ids may be given with or without `.json`."""
     named = None if allow is None else {x.removesuffix(".json") for x in allow}

@@ -12,29 +12,14 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BUCKETS = 64
-
-
-def _path(spark: SparkSession, path: str):
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
+from .files import delete, exists, names
 
-def delete(spark: SparkSession, path: str) -> None:
-    at, fs = _path(spark, path)
-    fs.delete(at, True)
-
-
-def names(spark: SparkSession, path: str) -> list[str]:
-    """Names in a folder, in order; none where there is no folder."""
-    at, fs = _path(spark, path)
-    return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
+BUCKETS = 64
 
 
 def versions(spark: SparkSession, path: str) -> list[str]:
     """Names of the complete versions under `path`, the oldest first; a write that stopped has none."""
-    fs = _path(spark, path)[1]
-    return [n for n in names(spark, path) if n.startswith("v0") and fs.exists(_path(spark, f"{path}/{n}/_SUCCESS")[0])]
+    return [n for n in names(spark, path) if n.startswith("v0") and exists(spark, f"{path}/{n}/_SUCCESS")]
 
 
 def next_version(spark: SparkSession, path: str) -> str:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import math
 import re
 
 import pytest
@@ -159,6 +160,36 @@ def test_encoder_masks_padding():
     e = scoring.Encoder({k: rng.normal(size=v) for k, v in shapes.items()}, heads=2)
     alone, together = e([[1, 2]]), e([[1, 2], [1, 2, 3, 4]])
     assert np.allclose(alone[0], together[0], atol=1e-5) and together.shape == (2, 8)
+    for got, ids in zip(together, ([1, 2], [1, 2, 3, 4])):
+        assert got.tolist() == pytest.approx(plain_encoder(e, ids), rel=1e-4, abs=1e-5)
+    assert e([[]])[0].tolist() == pytest.approx(plain_encoder(e, []), rel=1e-4, abs=1e-5)
+
+
+def plain_encoder(e, ids):
+    """One sequence, number by number."""
+    p = {k: v.tolist() for k, v in e.weights.items()}
+    d, size = e.width, e.width // e.heads
+    times = lambda v, w, b: [sum(v[i] * w[i][j] for i in range(len(v))) + b[j] for j in range(len(b))]
+
+    def norm(v, g, b):
+        mean = sum(v) / len(v)
+        spread = sum((x - mean) ** 2 for x in v) / len(v)
+        return [(x - mean) / math.sqrt(spread + 1e-5) * g[i] + b[i] for i, x in enumerate(v)]
+
+    rows = [[p["cls"][j] + p["position"][0][j] for j in range(d)]]
+    rows += [[p["embed"][t][j] * math.sqrt(d) + p["position"][k][j] for j in range(d)] for k, t in enumerate(ids, 1)]
+    for i in range(e.layers):
+        packed = [times(norm(v, p[f"{i}.norm1.g"], p[f"{i}.norm1.b"]), p[f"{i}.qkv.w"], p[f"{i}.qkv.b"]) for v in rows]
+        heads = [[] for _ in rows]
+        for h in range(e.heads):
+            q, k, v = ([x[c * d + h * size : c * d + (h + 1) * size] for x in packed] for c in range(3))
+            for r, mine in enumerate(q):
+                a = [math.exp(sum(x * y for x, y in zip(mine, other)) / math.sqrt(size)) for other in k]
+                heads[r] += [sum(w * x[c] for w, x in zip(a, v)) / sum(a) for c in range(size)]
+        rows = [[x + y for x, y in zip(r, times(h, p[f"{i}.out.w"], p[f"{i}.out.b"]))] for r, h in zip(rows, heads)]
+        inner = [[max(0.0, x) for x in times(norm(r, p[f"{i}.norm2.g"], p[f"{i}.norm2.b"]), p[f"{i}.ff1.w"], p[f"{i}.ff1.b"])] for r in rows]
+        rows = [[x + y for x, y in zip(r, times(h, p[f"{i}.ff2.w"], p[f"{i}.ff2.b"]))] for r, h in zip(rows, inner)]
+    return norm(rows[0], p["norm.g"], p["norm.b"])
 
 
 def test_sites_and_config(tmp_path):
@@ -173,7 +204,7 @@ def test_sites_and_config(tmp_path):
     (tmp_path / "base" / "mobile").mkdir(parents=True)
     for f in (*config.PROJECTION_FILES, config.TREE_FILE):
         (tmp_path / "base" / "mobile" / f).write_text("{}")
-    assert site.projection("mobile") == tmp_path / "base" / "mobile" and site.trees("mobile")[0] == "base"
+    assert site.projection("mobile") == str(tmp_path / "base" / "mobile") and site.trees("mobile")[0] == "base"
     assert config.site_name("a/b c") == "a_b_c"
 
 

@@ -54,6 +54,54 @@ def test_other_tables(spark, tmp_path):
     assert tables.write_summary(df.selectExpr("count(*) as n"), str(tmp_path / "s.json")) == {"n": 1} == json.loads((tmp_path / "s.json").read_text())
 
 
+def test_tables_on_a_mounted_file_system(spark, tmp_path):
+    """Everything of `tables` works where paths are no local ones: a mount table of Hadoop's stands for another file system."""
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.made-up.link./data", f"file://{tmp_path}")
+    at = "viewfs://made-up/data"
+    assert tables.read_changed(spark, f"{at}/c.json") == (None, True) and tables.read_history(spark, f"{at}/none").collect() == []
+    for ids in ("ba", "c"):  # written over
+        tables.write_changed(spark.createDataFrame([(x,) for x in ids], "session_id string"), f"{at}/c.json", full=ids == "c")
+    df, full = tables.read_changed(spark, f"{at}/c.json")
+    assert full and [r[0] for r in df.collect()] == ["c"] and [f.name for f in tmp_path.iterdir() if f.name.endswith(".tmp")] == []
+    scores = spark.createDataFrame([("s", 0.5, None)], "session_id string, probability_bot_umap double, probability_lgbm double")
+    tables.write_csv(scores, f"{at}/p.csv")
+    assert [tuple(r) for r in tables.read_predictions(spark, f"{at}/p.csv", required=True).collect()] == [("s", 0.5, None)]
+    (tmp_path / "a.json").write_text('[{"x": 1}, {"x": 2}]')
+    assert tables.read_json_array(spark, f"{at}/a.json", "x int").count() == 2
+    (tmp_path / "f.csv").write_text("session_id,a\n01,2\n")
+    assert [tuple(r) for r in tables.read_features(spark, f"{at}/f.csv", ["a"]).collect()] == [("01", 2.0)]
+    (tmp_path / "predictions_1.csv").write_text("session_id,ip\ns,1\n")
+    assert [r["file"] for r in tables.read_history(spark, at).collect()] == ["predictions_1.csv"]
+    assert tables.write_summary(scores.selectExpr("count(*) as n"), f"{at}/deep/s.json") == {"n": 1} == json.loads((tmp_path / "deep" / "s.json").read_text())
+    assert tables.write_delta(scores, f"{at}/d") and (tmp_path / "d").exists()
+    assert not tables.write_delta(scores.limit(0), f"{at}/d") and not (tmp_path / "d").exists()
+
+
+def test_a_changed_set_with_odd_items(spark, tmp_path):
+    for text, want in [('["a", null, 7, 2.5]', (["2.5", "7", "a"], False)), ('{"session_ids": [], "full_rebuild": true}', ([], True)), ('{"full_rebuild": true}', None), ("3", None), ("", None)]:
+        (tmp_path / "c.json").write_text(text)
+        df, full = tables.read_changed(spark, str(tmp_path / "c.json"))
+        assert (df, full) == (None, True) if want is None else (sorted(r[0] for r in df.collect()), full) == want, text
+
+
+def test_models_are_found_by_uri(tmp_path):
+    from clickloom.plans import config
+    from clickloom.plans.pipeline import Models
+    from clickloom.sources import files
+
+    folder = tmp_path / "with space" / "desktop"
+    folder.mkdir(parents=True)
+    (folder / "projection.json").write_text(json.dumps({"columns": ["a"], "weights": [[1.0, 0.0]]}))
+    (folder / "scaler.json").write_text(json.dumps({"a": {"scale": 1.0, "min": 0.0}}))
+    (folder / "centroid.json").write_text(json.dumps({"centroid_x": 0.0, "centroid_y": 0.0, "bot_distance_p95": 9.0}))
+    (tmp_path / "plain").symlink_to(tmp_path / "with space")
+    for root in (str(tmp_path / "with space"), f"file://{tmp_path}/plain", f"file:{tmp_path}/plain"):
+        assert Models.load(config.Site("1_1", "f", (f"{tmp_path}/none", root)), "desktop").projection.columns == ("a",)
+    assert files.is_uri("hdfs://a/b") and files.is_uri("s3a://b/c") and not files.is_uri("file:///a") and not files.is_uri("/a") and not files.is_uri("a/b")
+    with pytest.raises(ValueError):
+        run.once(str(tmp_path), "hdfs://none/out", (), config.Run())
+
+
 def test_run_state(tmp_path):
     (tmp_path / "1_1.json").write_text("{}\n")
     now, state = run.log_state(str(tmp_path)), str(tmp_path / "state")
