@@ -132,6 +132,16 @@ def test_mix(spark, n):
     assert key(got) == key(again)
 
 
+def test_mix_of_one_very_long_text(spark):
+    """A text of 300,000 words spans many blocks; its source's words come near the target, and no text exceeds three times its size."""
+    rows = [(0, "w " * 300_000, "a"), (1, "w", "a"), *((i, "some words here " * 40, "b") for i in range(2, 60))]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    for s, t in plain_targets({"a": 300_001, "b": 58 * 120}).items():
+        taken = sum(r["taken"] for r in got if r["source"] == s)
+        assert abs(taken - t) <= 0.02 * t and all(r["target"] == pytest.approx(t) for r in got if r["source"] == s)
+    assert all(r["taken"] <= 3 * r["size"] for r in got) and {r["size"] for r in got if r["doc_id"] == 0} == {300_000}
+
+
 def test_repeated(spark):
     rows = corpus(200)
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")

@@ -106,6 +106,54 @@ def test_rules_as_columns(spark):
     assert got == pytest.approx((1 / (1 + np.exp(-total))).tolist())
 
 
+def test_first_split_by_brute_force():
+    """The root of a tree takes the cut of the largest gain among all cuts of all statistics."""
+    r = np.random.default_rng(3)
+    for least in (1, 8, 25):
+        X, g, h = r.integers(0, 6, (60, len(quality.STATISTICS))).astype(float), r.normal(size=60), r.random(60) + 0.1
+        cuts = [np.unique(X[:, k])[:-1] for k in range(X.shape[1])]
+        gains = {}
+        for k, at in enumerate(cuts):
+            for c in at.tolist():
+                left = [i for i in range(60) if X[i, k] <= c]
+                right = [i for i in range(60) if X[i, k] > c]
+                if min(len(left), len(right)) >= least:
+                    worth = lambda rows: sum(g[i] for i in rows) ** 2 / (sum(h[i] for i in rows) + 1)
+                    gains[k, c] = worth(left) + worth(right) - worth(left + right)
+        (k, c), _ = max(gains.items(), key=lambda x: x[1])
+        paths, step = quality._tree(X, g, h, cuts, quality.Fit(depth=1, least=least))
+        assert paths == [((quality.STATISTICS[k], True, c),), ((quality.STATISTICS[k], False, c),)]
+        for side in (X[:, k] <= c, X[:, k] > c):
+            assert step[side] == pytest.approx(-g[side].sum() / (h[side].sum() + 1))
+
+
+def test_lasso_weights_are_optimal():
+    """At the fitted weights the loss falls by exactly the penalty along each rule that is kept, and not at all along the bias."""
+    rng = np.random.default_rng(0)
+    X = np.array([quality.statistics(t) for _, t, _, _ in corpus(160)])
+    y = (X[:, quality.STATISTICS.index("n_words")] > 80).astype(float)
+    y = np.where(rng.random(160) < 0.1, 1 - y, y)
+    fit = quality.Fit(trees=4, penalty=5e-3, rounds=20_000)
+    m = quality.ensemble(X, y, fit)
+    total = m.bias + sum(w * quality._holds(X, r) for r, w in m.rules)
+    off = 1 / (1 + np.exp(-total)) - y
+    assert 0 < len(m.rules) < 40 and abs(off.mean()) < 1e-4
+    for rule, w in m.rules:
+        assert (off * quality._holds(X, rule)).mean() == pytest.approx(-fit.penalty * np.sign(w), abs=1e-4)
+
+
+def test_very_long_texts_of_the_classifiers(spark):
+    """A text of two megabytes has the statistics of its words, and is scored beside a short one."""
+    long = "Word, and more. " * 130_000
+    got, one = (dict(zip(quality.STATISTICS, quality.statistics(t), strict=True)) for t in (long, "Word, and more. "))
+    assert got["n_words"] == 390_000 and all(got[c] == pytest.approx(one[c]) for c in ("mean_word", "upper", "digits", "stops", "commas", "short_words"))
+    docs = spark.createDataFrame([(1, long), (2, "short"), (3, long + "snarkel")], "doc_id long, text string")
+    model = quality.Ensemble((((("n_words", False, 10.0),), 2.0),), -1.0)
+    assert {r["doc_id"]: round(r["score"], 6) for r in quality.score(docs, model).collect()} == {1: 0.731059, 2: 0.268941, 3: 0.731059}
+    lex = toxicity.Lexicon({"snarkel": 5.0}, power=0.0)
+    assert lex.total(lex.automaton(), long + "snarkel") == (5.0, 1) and lex.total(lex.automaton(), long)[1] == 0
+
+
 def test_quality_degenerate(spark):
     docs, labels = tables(spark, corpus(20))
     m = quality.learn(docs, labels.limit(0))

@@ -78,6 +78,50 @@ def test_secrets_constants_pass_any_number_of_names():
     assert literals(long) == ["q1w2e3r4t5"]
 
 
+def test_secrets_literals_by_a_plain_interpreter():
+    """Names that are assigned once each, in any order and through each other, and sensitive names that use them."""
+    r = random.Random(17)
+    scan = secrets.Scan()
+    values = ["q1w2e3r4t5", "correcthorse", "ab", "changeme", "two words", "aaaaaaaa", "Zx9-Yw8_Vu7", "${HOME}"]
+    found = 0
+    for _ in range(500):
+        names = [f"v{i}" for i in range(r.randrange(1, 8))]
+        text, known, want = "", {}, set()
+
+        def literal(name):
+            """The place of the literal that a name stands for by now; None for a name that nobody assigned, and for circles."""
+            seen = set()
+            while isinstance(known.get(name), str) and name not in seen:
+                seen.add(name)
+                name = known[name]
+            return known.get(name) if isinstance(known.get(name), tuple) else None
+
+        for name in [*r.sample(names, len(names)), *r.choices(["client_secret", "authToken", "title", "API_KEY", "max_tokens_count", "key"], k=6)]:
+            sign = r.choice([" = ", ": ", "=", " := ", " => "])
+            text += name + sign
+            if r.random() < 0.5:
+                value = r.choice(values)
+                place = (len(text) + 1, len(text) + 1 + len(value))
+                text += f'"{value}"'
+                known[name] = place
+            else:
+                known[name] = r.choice(names)
+                text += known[name]
+                place = literal(name)
+            text += r.choice(["\n", "\n", "  # a note\n", "\n\nplain words\n"])
+            parts = {p.lower() for p in re.findall(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+", name)}
+            score = sum((secrets.SENSITIVE | secrets.HARMLESS).get(p, 0.0) for p in parts)
+            if place and score > 0:
+                v = text[slice(*place)]
+                counts = [v.count(c) / len(v) for c in set(v)]
+                worth = min(0.3, -sum(p * math.log2(p) for p in counts) / 15)
+                if len(v) >= 6 and " " not in v and v not in ("changeme", "${HOME}") and score + worth >= scan.threshold:
+                    want.add((*place, "literal"))
+        assert secrets.lexed_spans(text, scan) == sorted(want), text
+        found += len(want)
+    assert found > 300
+
+
 def test_secrets_ids_stay_as_they_are(spark):
     big = 2**53 + 1
     rows = [(big, "token = abcdefgh"), (None, "token = abcdefgh"), (big + 2, None)]
@@ -147,6 +191,45 @@ def test_pii_disclosing_terms(spark):
     assert clean[0] == "Often  wrote to <email> once" and clean[1] == "Often a <name> at <email> again" and clean[43] is None and clean[44] == ""
 
 
+def test_pii_terms_by_brute_force(spark):
+    """Disclosure of every term of every document, from plain counts."""
+    r = random.Random(23)
+    people = [(f"name{'abcdefgh'[i]}", [f"p{i}@x.org", f"P{i}@x.org", f"+1 555 000 1{i}", f"10.0.0.{i}"]) for i in range(8)]
+    texts: list[str | None] = [None, ""]
+    for _ in range(300):
+        words = r.choices(["often", "there", "words", "some", "a", "of"], k=6)
+        if r.random() < 0.4:
+            name, marks = r.choice(people)
+            words += [r.choice([name, name.title(), "common"]), *r.choices(marks, k=r.randrange(1, 3)), r.choice([name, "rare", "org"])]
+        r.shuffle(words)
+        texts.append(" ".join(words))
+    n, how = len(texts), pii.Sanitise()
+    terms, held, in_docs = [], [], {}
+    for t in texts:
+        base = [(k, int(a), int(b)) for k, a, b in (x.split(":") for x in plain_pii(t))]
+        value = lambda k, a, b: re.sub("[^0-9]", "", t[a:b]) if k in ("card", "phone") else t[a:b].lower()
+        held.append({(k, value(k, a, b)) for k, a, b in base})
+        terms.append([m for m in re.finditer("[A-Za-z]{3,}", t or "") if base and all(m.end() <= a or b <= m.start() for _, a, b in base)])
+        for w in set(re.findall("[a-z]{3,}", (t or "").lower())):
+            in_docs[w] = in_docs.get(w, 0) + 1
+    entities = {e for h in held for e in h}
+    hits = set()
+    for e in entities:
+        mine = [i for i in range(n) if e in held[i]]
+        both: dict[str, int] = {}
+        for i in mine:
+            for w in {m[0].lower() for m in terms[i]}:
+                both[w] = both.get(w, 0) + 1
+        for w, k in both.items():
+            if k >= how.support and len(mine) >= how.support and in_docs[w] >= how.support:
+                share = math.log2(k * n / (len(mine) * in_docs[w])) / math.log2(n / len(mine))
+                assert abs(share - how.disclosure) > 1e-9
+                hits |= {(e, w)} if share >= how.disclosure else set()
+    want = {i: sorted(m.span() for m in terms[i] if any((e, m[0].lower()) in hits for e in held[i])) for i in range(n)}
+    got = {x["doc_id"]: [tuple(t) for t in x["terms"]] for x in pii.find(docs(spark, texts)).collect()}
+    assert got == want and sum(map(bool, want.values())) > 10 and len({w for _, w in hits}) > 2
+
+
 def test_pii_terms_of_the_whole_document(spark):
     """A name far from the address discloses it, and goes wherever it stands in the document."""
     far = " often" * 60
