@@ -178,6 +178,24 @@ def test_the_command_and_its_exit_code(spark, place, monkeypatch):
     assert run.main(args) == 0 and ("1_3", "t") in predictions(spark, out)
 
 
+def test_a_run_whose_tables_are_on_another_file_system(spark, place):
+    """OUT is in a mount table of Hadoop's, which no local path names; only lock and state are local."""
+    logs, out = place
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.elsewhere.link./tables", f"file://{out}")
+    save_models(logs.parent / "models")
+    (logs / "1_1.json").write_text(lines(record("s", 1000, "qml", {"mmv": {"l": DESKTOP}})))
+    args = [str(logs), "viewfs://elsewhere/tables/run", "--models", f"file://{logs.parent}/models", "--env", str(out / "none")]
+    with pytest.raises(ValueError):
+        run.main(args)
+    args += ["--keep", str(logs.parent / "keep")]
+    assert run.main(args) == 0
+    assert set(predictions(spark, "viewfs://elsewhere/tables/run")) == {("1_1", "s")} == set(predictions(spark, str(out / "run")))
+    with (logs / "1_1.json").open("a") as f:
+        f.write(lines(record("t", 2000, "qml", {"mmv": {"l": DESKTOP}})))
+    assert run.main(args) == 0 and set(predictions(spark, str(out / "run"))) == {("1_1", "s"), ("1_1", "t")}
+    assert {x.name for x in (logs.parent / "keep").iterdir()} == {"state.json", "lock"}
+
+
 def test_an_upsert_writes_the_buckets_it_touches(spark, tmp_path):
     path, key = str(tmp_path / "t"), ["k"]
     versions.upsert(spark, spark.range(2000).selectExpr("id as k", "0 as v"), path, key)
