@@ -3,9 +3,9 @@
 Texts are cut into units that no piece crosses. The lattice of all different units is a table: substrings of bounded
 length are exploded and joined by equality to the piece table (bounded: the vocabulary), the edges are grouped by unit, and a
 higher-order aggregate folds them: Viterbi's best sum of scores for unigram models; for BPE models, whose scores are merge
-ranks and whose best sum isn't what the model encodes, the merges in order of score over the same edges. The cost of that fold
-grows with the cube of a unit's length: the rare units of over `LATTICE` characters, which are no words, are folded by the
-same rule with a heap, a row each.
+ranks and whose best sum isn't what the model encodes, the merges over the same edges, each edge once in the order in which
+merges happen (`Local.rules`). The borders of a unit are the bits of one number: the rare units of over `LATTICE` characters,
+which are no words, are folded by the same rule with a heap, a row each.
 
 Texts are not shuffled. Each file split that Spark scans is a shard; a first pass lists its different units, and the
 units' ids go back to the shards that hold them, as a table with a folder for each. A second pass over the same splits reads the
@@ -24,7 +24,7 @@ import os
 import posixpath
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,6 +43,8 @@ SPACE = "▁"
 MODEL = os.environ.get("CLICKLOOM_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 #: Characters of the longest unit whose edges are a relation.
 LATTICE = 64
+#: Words and units that a task has seen and still holds.
+HELD = 500_000
 
 
 @dataclass(frozen=True)
@@ -90,6 +92,21 @@ class Model:
     def spaced(self, text: str) -> str:
         return (SPACE * self.prefix + text.replace(" ", SPACE)) if text else ""
 
+    def cut(self) -> Callable[[str], list[str]]:
+        """Cuts a text at its spaces into words of one unit or several; texts repeat words, so that few need be cut into units.
+
+        Several spaces in a row stay together: such a text is cut into its units, and so is one where a unit may go on after a space.
+        """
+        find = self.units().findall
+        simple, first = not any(SPACE in p[0].lstrip(SPACE) for p in self.pieces if p), SPACE * self.prefix
+
+        def words(text: str) -> list[str]:
+            if simple and text[:1] != " " and "  " not in text and SPACE not in text:
+                return (first + text.replace(" ", " " + SPACE)).split(" ") if text else []
+            return find(self.spaced(text))
+
+        return words
+
 
 class Local:
     """The folds for one unit, over the edges that the piece table gives."""
@@ -112,9 +129,36 @@ class Local:
         parts = self._viterbi(unit) if self.model.kind == "unigram" else self._merged(unit)
         return [i for p in parts for i in self.of_piece(p)]
 
+    def rules(self) -> list[tuple[str, int, int, int, int, int]]:
+        """(piece, id, mid, rank, offset, path) of each piece that merges can make: where its two parts meet, and when it is made.
+
+        What is merged inside a piece that comes about is what is merged in the piece alone. So its two last parts are always the
+        same, and if they make no whole of it, it never comes about. By score, a piece comes after its parts, unless one of them has
+        a worse score: then it is made right after that one. `rank` is the worst score on the way, `offset` where its piece begins, and
+        `path` tells those apart that follow it. By rank, place of rank's piece and path, the edges of a unit are in order of their merges.
+        """
+        rank = {s: i for i, s in enumerate(sorted(set(self.scores.values()), reverse=True))}
+        when: dict[str, tuple[tuple[int, int], tuple]] = {}
+        mids: dict[str, int] = {}
+        for piece in sorted((p for p in self.scores if len(p) > 1), key=len):
+            parts, mid = self._merges(piece)
+            if len(parts) > 1:
+                continue
+            (left, path), ((worst, at), other) = (when.get(x, ((-1, 0), ())) for x in (piece[:mid], piece[mid:]))
+            last, path = max((left, path), ((worst, mid + at), other))
+            own = (rank[self.scores[piece]], 0)
+            when[piece] = (own, ()) if own > last else (last, (*path, (own[0], -last[1])))
+            mids[piece] = mid
+        paths = {x: i for i, x in enumerate(sorted({path for _, path in when.values()}))}
+        return [(p, self.ids[p], mids[p], *last, paths[path]) for p, (last, path) in when.items()]
+
     def _merged(self, unit: str) -> list[str]:
-        """The merges in order of score, of equal ones the leftmost, from a heap."""
+        return self._merges(unit)[0]
+
+    def _merges(self, unit: str) -> tuple[list[str], int]:
+        """The merges in order of score, of equal ones the leftmost, from a heap; and where the two parts of the last one met."""
         parts: list[str] = list(unit)
+        mid = 0
         after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
         heap: list[tuple[float, int, int, str]] = []
 
@@ -129,13 +173,13 @@ class Local:
             _, i, j, both = heapq.heappop(heap)
             if not parts[i] or not parts[j] or after[i] != j or parts[i] + parts[j] != both:
                 continue
-            parts[i], parts[j], after[i] = both, "", after[j]
+            parts[i], parts[j], after[i], mid = both, "", after[j], j
             if after[j] < len(parts):
                 before[after[j]] = i
                 push(i, after[j])
             if before[i] >= 0:
                 push(before[i], i)
-        return [p for p in parts if p]
+        return [p for p in parts if p], mid
 
     def _viterbi(self, unit: str) -> list[str]:
         low = min(self.scores.values(), default=0.0) - 10.0
@@ -181,19 +225,24 @@ def shard_units(rows: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean()  # of what stages before have left in this worker
-        find, seen = model.units().findall, {}
+        find, words, seen, known = model.units().findall, model.cut(), {}, {}
         for batch in batches:
             for at in range(0, batch.num_rows, 256):  # texts may be long
                 part = batch.slice(at, 256)
                 for shard, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     if text:
-                        seen.setdefault(shard, set()).update(find(model.spaced(text)))
-                if sum(map(len, seen.values())) > 100_000:  # bounded memory; the rest is told apart in Spark
+                        units, old = seen.setdefault(shard, set()), known.setdefault(shard, set())
+                        for w in set(words(text)) - old:
+                            found = find(w)
+                            units.update(found) if len(found) > 1 else units.add(w)
+                            if len(w) <= LATTICE:
+                                old.add(w)
+                if sum(map(len, (*seen.values(), *known.values()))) > HELD:  # bounded memory; the rest is told apart in Spark
                     yield table(seen)
-                    seen = {}
+                    seen, known = {}, {}
         if seen:
             yield table(seen)
-        del seen
+        del seen, known
         lean()
 
     return rows.select("shard", "text").mapInArrow(run, "unit string, shard long").groupBy("unit").agg(F.collect_set("shard").alias("shards"))
@@ -208,22 +257,38 @@ def lattice(units: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
     return units.select("unit").join(grouped, "unit", "left").withColumn("edges", F.coalesce("edges", F.expr("cast(array() as array<struct<start:int,end:int,id:int,score:double>>)")))
 
 
-def _merged() -> Column:
-    """Borders of the parts after all merges, highest score first, of equal ones the leftmost.
+def merge_table(spark: SparkSession, model: Model) -> DataFrame:
+    """`Local.rules` as a table, and the empty piece, that no unit is left without a row."""
+    return spark.createDataFrame([("", None, None, None, None, None), *Local(model).rules()], "piece string, id int, mid int, rank int, offset int, path int")
+
 
-    Of each edge of several characters the borders inside it are counted: it can be merged when there is one. A merge takes that
-    border away, and with it the edges that begin or end there; those around it have one less. `start` is negative, so that
-    the largest edge is the one to merge.
+def merge_lattice(units: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
+    """(unit, edges): every substring of `unit` (two characters or more) that merges can make, in `merge_table`.
+
+    Borders of a unit are bits, from 0 before its first character. span: those of the edge, its ends included; before: those that
+    are there when it can be merged; after: those that are left then, its ends. Border 64 falls on bit 0, which is always there too.
     """
-    return F.expr("""
-        aggregate(sequence(1, length(unit)), struct(sequence(1, length(unit) + 1) as cuts,
-            transform(filter(edges, e -> e.end > e.start + 1), e -> struct(e.score as score, -e.start as start, e.end as end, e.end - e.start - 1 as inner)) as open, false as done),
-          (a, step) -> case when a.done then a else
-            transform(array(array_max(filter(a.open, e -> e.inner = 1))), m -> case when m is null then struct(a.cuts as cuts, a.open as open, true as done) else
-              transform(filter(a.cuts, c -> c > -m.start and c < m.end), c -> struct(array_remove(a.cuts, c) as cuts,
-                transform(filter(a.open, e -> -e.start != c and e.end != c and (e.inner > 1 or -e.start > c or e.end < c)),
-                  e -> case when -e.start < c and c < e.end then struct(e.score as score, e.start as start, e.end as end, e.inner - 1 as inner) else e end) as open, false as done))[0] end)[0] end,
-          a -> a.cuts)""")
+    starts = units.select("unit", F.explode(F.expr("sequence(-1, length(unit) - 2)")).alias("start"))
+    cut = starts.select("unit", "start", F.explode(F.expr(f"sequence(start + 2, if(start < 0, 1, least(start + {longest}, length(unit))))")).alias("end"))
+    edges = cut.withColumn("piece", F.expr("if(start < 0, '', substring(unit, start + 1, end - start))")).join(F.broadcast(pieces), "piece")  # bounded by the vocabulary
+    bits = edges.withColumn("after", F.expr("shiftleft(1L, start) | shiftleft(1L, end)")).withColumn("inner", F.expr("shiftleft(shiftleft(-1L, start), 1) & ~shiftleft(shiftleft(-1L, end - 1), 1)"))
+    key = F.expr("shiftleft(cast(rank as long), 32) | shiftleft(cast(start + offset as long), 24) | path")
+    edge = F.struct(key.alias("key"), F.expr("after | inner").alias("span"), F.expr("after | shiftleft(1L, start + mid)").alias("before"), "after", "start", "id")
+    return bits.groupBy("unit").agg(F.collect_list(F.when(F.col("start") >= 0, edge)).alias("edges"))
+
+
+def merged(grid: DataFrame) -> DataFrame:
+    """(unit, ids): one pass over the edges in the order of their merges; each that can be merged takes away the border in it.
+
+    A character that is in no edge left has -1 less its code point.
+    """
+    borders = "aggregate(sort_array(edges), -1L, (m, e) -> if(m & e.span = e.before, m ^ e.before ^ e.after, m))"
+    parts = grid.withColumn("borders", F.expr(borders)).withColumn("parts", F.expr("filter(edges, e -> borders & e.span = e.after)"))
+    return parts.select(
+        "unit",
+        F.expr("""transform(filter(sequence(0, length(unit) - 1), i -> shiftright(borders, i) & 1 = 1), i ->
+            coalesce(get(filter(parts, e -> e.start = i), 0).id, -1 - ascii(substring(unit, i + 1, 1))))""").alias("ids"),
+    )
 
 
 def _best_path(low: float) -> Column:
@@ -241,8 +306,7 @@ def _best_path(low: float) -> Column:
 def folded(grid: DataFrame, model: Model) -> DataFrame:
     """(unit, parts): the ids of each part, or null for a character without a piece, with its text."""
     low = min((p[1] for p in model.pieces if p), default=0.0) - 10.0
-    cuts = _merged() if model.kind == "bpe" else _best_path(low)
-    return grid.withColumn("cuts", cuts).select(
+    return grid.withColumn("cuts", _best_path(low)).select(
         "unit",
         F.expr("""transform(slice(cuts, 1, size(cuts) - 1), (a, i) -> struct(
             get(filter(edges, e -> e.start = a and e.end = cuts[i + 1]), 0).id as id,
@@ -259,6 +323,20 @@ def _ids(model: Model) -> Column:
     return F.expr(f"flatten(transform(parts, p -> case when p.id is not null then array(p.id) else {other} end))")
 
 
+def _with_lone(ids: pa.ListArray, local: Local) -> pa.ListArray:
+    """`ids` with the ids of each character that stands as -1 less its code point."""
+    flat, ends = ids.flatten().to_numpy(zero_copy_only=False), ids.value_lengths().to_numpy(zero_copy_only=False).cumsum()
+    lone, at = np.unique(flat[flat < 0], return_inverse=True)
+    of = [local.of_piece(chr(-1 - x)) for x in lone.tolist()]
+    n = np.ones(len(flat), np.int64)
+    n[flat < 0] = np.array([len(x) for x in of], np.int64)[at]
+    out = np.repeat(flat, n)
+    if len(lone):
+        out[out < 0] = np.concatenate([of[x] for x in at.tolist()])
+    offsets = np.concatenate(([0], n.cumsum()))[np.concatenate(([0], ends))]
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(out.astype(np.int32)))
+
+
 def encoded_units(units: DataFrame, model: Model) -> DataFrame:
     """(unit, ids, same) of all units of `units`, a row each; same: decoding the ids gives the unit."""
     local = Local(model)
@@ -269,13 +347,19 @@ def encoded_units(units: DataFrame, model: Model) -> DataFrame:
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean()
-        table = decoder(model)
+        table = pa.array(decoder(model), pa.binary())
         for batch in batches:
-            same = [b"".join([table[i] for i in ids]) == u.replace(SPACE, " ").encode("utf-8", "surrogatepass") for u, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(same, pa.bool_())], names=["unit", "ids", "same"])
+            ids = _with_lone(batch.column(1), local)
+            text = pc.binary_join(pa.ListArray.from_arrays(ids.offsets, table.take(ids.values)), b"")
+            same = pc.equal(text, pc.replace_substring(batch.column(0), SPACE, " ").cast(pa.binary()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids, same], names=["unit", "ids", "same"])
 
     words, others = (units.select("unit").where(c) for c in (F.length("unit") <= LATTICE, F.length("unit") > LATTICE))
-    found = folded(lattice(words, piece_table(units.sparkSession, model), model.longest), model).select("unit", _ids(model).alias("ids"))
+    if model.kind == "bpe":
+        lone = words.where(F.length("unit") == 1).select("unit", F.expr("array(-1 - ascii(unit))").alias("ids"))
+        found = merged(merge_lattice(words.where(F.length("unit") > 1), merge_table(units.sparkSession, model), model.longest)).unionByName(lone)
+    else:
+        found = folded(lattice(words, piece_table(units.sparkSession, model), model.longest), model).select("unit", _ids(model).alias("ids"))
     every = found.unionByName(others.mapInArrow(one_by_one, "unit string, ids array<int>"))
     return every.mapInArrow(decoded, "unit string, ids array<int>, same boolean")
 
@@ -305,8 +389,9 @@ def dictionaries(rows: DataFrame, model: Model) -> str:
 class Shard:
     """The dictionary of the shard that a task is at, and the common one."""
 
-    def __init__(self, folder: str):
+    def __init__(self, folder: str, model: Model):
         self.fs, self.root = filesystem(folder)
+        self.find = model.units().findall
         self.odd: set[str] = set()
         self.at, self.own, self.common = None, {}, self._read("common")
 
@@ -323,13 +408,22 @@ class Shard:
                         out.update(zip(part.column("unit").to_pylist(), (flat[i:j].tobytes() for i, j in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)), strict=True))
         return out
 
-    def ids(self, shard: int, units: list[str]) -> bytes:
-        """The ids of all units, one after another."""
+    def ids(self, shard: int, words: list[str]) -> bytes:
+        """The ids of all words, one after another; those of several units are kept like units."""
         if shard != self.at:
             self.own = {}  # before the next one is read
             self.at, self.own = shard, self._read(str(shard))
         own, common = self.own, self.common
-        return b"".join([common.get(u) or own[u] for u in units])
+        return b"".join([common.get(w) or own.get(w) or self._put(w) for w in words])
+
+    def _put(self, word: str) -> bytes:
+        units = self.find(word)
+        ids = b"".join([self.common.get(u) or self.own[u] for u in units])
+        if not self.odd.isdisjoint(units):
+            self.odd.add(word)
+        if len(word) <= LATTICE:
+            self.own[word] = ids
+        return ids
 
 
 def decoder(model: Model) -> list[bytes]:
@@ -359,16 +453,16 @@ def encode(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean()
-        shard, find = Shard(folder), model.units().findall
+        shard, cut = Shard(folder, model), model.cut()
         for batch in batches:
             shards, doc_ids, texts = batch.columns
             for at in range(0, batch.num_rows, 256):  # texts may be long
                 found, same = [], []
                 for of, text in zip(shards.slice(at, 256).to_pylist(), texts.slice(at, 256).to_pylist(), strict=True):
-                    units = find(model.spaced(text)) if text else []
-                    found.append(shard.ids(of, units) if units else b"")
+                    words = cut(text) if text else []
+                    found.append(shard.ids(of, words) if words else b"")
                     # decoding joins what the units give: a space for U+2581, and the units themselves but for odd ones
-                    same.append(not text or (SPACE not in text and (not shard.odd or shard.odd.isdisjoint(units))))
+                    same.append(not text or (SPACE not in text and (not shard.odd or shard.odd.isdisjoint(words))))
                 n = np.array([len(x) // 4 for x in found], np.int64)
                 flat = pa.Array.from_buffers(pa.int32(), int(n.sum()), [None, pa.py_buffer(b"".join(found))])
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], n.cumsum())).astype(np.int32)), flat)

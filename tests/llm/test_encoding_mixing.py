@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import os
 import random
+import time
 
 import pytest
 
@@ -65,6 +66,75 @@ def test_encoding_of_files_in_many_splits(spark, tmp_path):
         assert {x["doc_id"]: list(x["ids"]) for x in pieces.encode(df).collect()} == {i: sp.encode(t) for i, t in enumerate(texts)}
 
 
+def random_model(seed, chars, n):
+    """Pieces of random parts with random scores, repeated ones among them: parts may have worse scores than the whole, or not exist."""
+    r = random.Random(seed)
+    made = list(chars)
+    for _ in range(n):
+        made.append("".join(r.choice(made) for _ in range(r.choice((2, 2, 2, 3))))[:12])
+    multi = [p for p in dict.fromkeys(made) if len(p) > 1]
+    return pieces.Model((None, *((c, -900.0) for c in chars[1:]), *((p, -float(r.randrange(n // 2 + 1))) for p in multi)), None, 0, "bpe", prefix=False)
+
+
+def test_merges_in_one_pass():
+    """The order of `Local.rules`, walked through once, gives what the heap gives, also where a piece has a better score than its parts."""
+    r, late = random.Random(8), 0
+    for seed in range(60):
+        m = random_model(seed, "abc"[: 2 + seed % 2], 3 + seed)
+        local = pieces.Local(m)
+        rules = {x[0]: x[1:] for x in local.rules()}
+        late += sum(x[4] > 0 for x in rules.values())
+        for _ in range(60):
+            unit = "".join(r.choice("abc"[: 2 + seed % 2]) for _ in range(r.randrange(1, 40)))
+            edges = [(rank, a + offset, path, a, a + mid, a + n) for a in range(len(unit)) for n in range(2, 13) if unit[a : a + n] in rules and a + n <= len(unit) for _, mid, rank, offset, path in [rules[unit[a : a + n]]]]
+            cuts = set(range(len(unit) + 1))
+            for *_, a, mid, b in sorted(edges):
+                if {x for x in cuts if a <= x <= b} == {a, mid, b}:
+                    cuts.remove(mid)
+            assert [unit[a:b] for a, b in itertools.pairwise(sorted(cuts))] == local._merged(unit)
+    assert late > 300
+
+
+def test_relational_merges_of_a_random_model(spark):
+    """Late pieces, ties, characters without a piece and units of up to 64 characters, against the heap."""
+    m = random_model(59, "abc", 120)
+    local, r = pieces.Local(m), random.Random(2)
+    assert any(x[5] > 0 for x in local.rules())
+    units = ["".join(r.choice("abbccé😀" if k % 3 == 0 else "abc") for _ in range(r.choice((1, 2, 3, 9, 30, 62, 63, 64, 65)))) for k in range(300)]
+    got = {x["unit"]: list(x["ids"]) for x in pieces.encoded_units(spark.createDataFrame([(u,) for u in set(units)], "unit string"), m).collect()}
+    assert got == {u: local.fold(u) for u in set(units)}
+
+
+def test_time_of_the_fold(spark):
+    """Units of 60 characters cost about as much a character as those of 6: each edge is visited once."""
+    m, r = random_model(59, "abc", 120), random.Random(3)
+
+    def seconds(n, size):
+        rows = spark.createDataFrame([("".join(r.choice("abc") for _ in range(size)) + f"{k:05}",) for k in range(n)], "unit string").repartition(4, "unit").cache()
+        rows.count()
+        times = []
+        for _ in range(2):
+            began = time.time()
+            pieces.encoded_units(rows, m).write.format("noop").mode("overwrite").save()
+            times.append(time.time() - began)
+        rows.unpersist()
+        return min(times)
+
+    assert seconds(1200, 59) < 4 * seconds(12000, 5) + 2
+
+
+def test_words_are_cut_like_texts():
+    """Cut at spaces first, then into units: the same units as of the whole text."""
+    r = random.Random(5)
+    known = tuple((p, -float(k)) for k, p in enumerate(["▁a", "ab", "▁▁", "(a", "))", "▁ab", "b"]))
+    for prefix, more in itertools.product((True, False), ((), (("a▁b", -9.0),))):
+        m = pieces.Model((None, *known, *more), None, 0, "bpe", prefix=prefix)
+        find, cut = m.units().findall, m.cut()
+        for _ in range(500):
+            text = "".join(r.choice("aab () \n▁x" if k else "ab(x ") for k in range(r.randrange(12)))
+            assert [u for w in cut(text) for u in find(w)] == find(m.spaced(text)), text
+
+
 def test_viterbi(spark):
     """A unigram model: the best sum over all segmentations, relational and local."""
     scores = {"a": -2.0, "b": -2.5, "ab": -3.0, "aba": -5.1, "ba": -4.0, "bab": -4.2, "c": -1.0}
