@@ -356,8 +356,7 @@ def encoded_units(units: DataFrame, model: Model) -> DataFrame:
 
     words, others = (units.select("unit").where(c) for c in (F.length("unit") <= LATTICE, F.length("unit") > LATTICE))
     if model.kind == "bpe":
-        lone = words.where(F.length("unit") == 1).select("unit", F.expr("array(-1 - ascii(unit))").alias("ids"))
-        found = merged(merge_lattice(words.where(F.length("unit") > 1), merge_table(units.sparkSession, model), model.longest)).unionByName(lone)
+        found = merged(merge_lattice(words, merge_table(units.sparkSession, model), model.longest))
     else:
         found = folded(lattice(words, piece_table(units.sparkSession, model), model.longest), model).select("unit", _ids(model).alias("ids"))
     every = found.unionByName(others.mapInArrow(one_by_one, "unit string, ids array<int>"))
@@ -386,17 +385,38 @@ def dictionaries(rows: DataFrame, model: Model) -> str:
     return folder
 
 
+class Known(dict):
+    """The ids of units and, as they come, of words of several units."""
+
+    def __init__(self, model: Model):
+        super().__init__()
+        self.find, self.odd = model.units().findall, set()
+
+    def __missing__(self, word: str) -> bytes:
+        units = self.find(word)
+        if units == [word]:
+            raise KeyError(word)
+        ids = b"".join([self[u] for u in units])
+        if not self.odd.isdisjoint(units):
+            self.odd.add(word)
+        if len(word) <= LATTICE:
+            self[word] = ids
+        return ids
+
+
 class Shard:
-    """The dictionary of the shard that a task is at, and the common one."""
+    """The dictionary of the shard that a task is at, with the common one."""
 
     def __init__(self, folder: str, model: Model):
         self.fs, self.root = filesystem(folder)
-        self.find = model.units().findall
-        self.odd: set[str] = set()
-        self.at, self.own, self.common = None, {}, self._read("common")
+        self.model, self.at, self.known = model, None, Known(model)
+
+    @property
+    def odd(self) -> set[str]:
+        return self.known.odd
 
-    def _read(self, name: str) -> dict[str, bytes]:
-        out: dict[str, bytes] = {}
+    def _read(self, name: str) -> None:
+        out = self.known
         place = posixpath.join(self.root, f"shard={name}")
         for f in self.fs.get_file_info(pyarrow.fs.FileSelector(place, allow_not_found=True)):
             if f.path.endswith(".parquet"):
@@ -406,24 +426,15 @@ class Shard:
                         self.odd.update(part.column("unit").filter(pc.invert(part.column("same"))).to_pylist())
                         flat, ends = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32), ids.value_lengths().to_numpy(zero_copy_only=False).astype(int).cumsum()
                         out.update(zip(part.column("unit").to_pylist(), (flat[i:j].tobytes() for i, j in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)), strict=True))
-        return out
 
     def ids(self, shard: int, words: list[str]) -> bytes:
         """The ids of all words, one after another; those of several units are kept like units."""
         if shard != self.at:
-            self.own = {}  # before the next one is read
-            self.at, self.own = shard, self._read(str(shard))
-        own, common = self.own, self.common
-        return b"".join([common.get(w) or own.get(w) or self._put(w) for w in words])
-
-    def _put(self, word: str) -> bytes:
-        units = self.find(word)
-        ids = b"".join([self.common.get(u) or self.own[u] for u in units])
-        if not self.odd.isdisjoint(units):
-            self.odd.add(word)
-        if len(word) <= LATTICE:
-            self.own[word] = ids
-        return ids
+            self.known = Known(self.model)  # the one before goes first
+            self.at = shard
+            self._read("common")
+            self._read(str(shard))
+        return b"".join(map(self.known.__getitem__, words))
 
 
 def decoder(model: Model) -> list[bytes]:
